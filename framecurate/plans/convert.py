@@ -27,6 +27,12 @@ def _first_label(r: Column) -> Column:
     return F.get(r["value"]["rectanglelabels"], 0)
 
 
+def typed_results(tasks: DataFrame) -> DataFrame:
+    """F8: ``all_results`` = results of the first annotation set (NULL when none)."""
+    return tasks.withColumn("all_results",
+                            F.try_variant_get("task", "$.annotations[0].result", RESULT_ARRAY))
+
+
 def convert_tasks(tasks: DataFrame, inventory: DataFrame, classes=None,
                   document_root: str = ".") -> DataFrame:
     """One row per task with status, stem, YOLO lines and per-box problems.

@@ -41,3 +41,15 @@ def session_stats(routed: DataFrame) -> DataFrame:
         F.count_if(F.col("has_cats")).alias("detection_frames"),
         F.count_if(F.col("kind") == "cats").alias("saved_frames"),
         F.count_if(F.col("kind") == "background").alias("background_frames"))
+
+
+def latest_frame(frames: DataFrame, bucket: str = "1 minute") -> DataFrame:
+    """T1 batch analogue: the newest frame per camera and time bucket.
+
+    ``max_by`` over (ts, frame_id) is a partial aggregate, so a hot camera
+    sends one row per bucket and map task to the shuffle."""
+    b = F.window("ts", bucket)["start"]
+    row = F.struct("ts", "frame_id")
+    agg = frames.withColumn("bucket", b).groupBy("camera_id", "bucket").agg(
+        F.max_by(F.struct(*[c for c in frames.columns if c not in ("camera_id",)]), row).alias("r"))
+    return agg.select("camera_id", "bucket", "r.*")

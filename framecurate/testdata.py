@@ -58,6 +58,12 @@ def frame_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- detections
+# lineitem has no unique key below the full row: line numbers repeat within an
+# order.  Array positions (crop index, rank) follow this full-row order.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 def raw_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detection per lineitem: frame=order, index=line-1, boxes partly
     outside the frame and partly degenerate, confidence 0..1, class 0/1/15/99."""
@@ -77,6 +83,7 @@ def raw_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / 53.0 - 200.0).alias("fy1"),
         (F.col("l_extendedprice") / 29.0 + F.col("l_quantity")).alias("fx2"),
         (F.col("l_extendedprice") / 31.0 - F.col("l_quantity")).alias("fy2"),
+        F.struct(*LINE_ORDER).alias("line_key"),
     )
 
 
@@ -88,7 +95,7 @@ def detection_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffle of each side."""
     det = raw_boxes(spark, sf_dir)
     per_frame = det.groupBy("frame_id").agg(
-        F.array_sort(F.collect_list(F.struct("det_idx", "bbox", "confidence", "class_id"))).alias("d"))
+        F.array_sort(F.collect_list(F.struct("line_key", "bbox", "confidence", "class_id"))).alias("d"))
     per_frame = per_frame.select(
         "frame_id",
         F.transform("d", lambda e: F.struct(e["bbox"].alias("bbox"), e["confidence"].alias("confidence"),
@@ -119,12 +126,37 @@ def image_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def capture_meta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capture-metadata rows: the detection frames rendered as metadata (the
-    `full_frame` points at the part image of the first box's part key)."""
+def capture_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved captures: detection frames with ≥1 box; the frame file is the part
+    image of line 1; crops named for boxes that pass the 32 px rule."""
+    from framecurate.functions.boxes import clamp_box, crop_eligible
+    from framecurate.functions.naming import capture_stem
     li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1) \
         .select(F.col("l_orderkey").alias("frame_id"), F.col("l_partkey").alias("img_key"))
-    return li
+    f = detection_frames(spark, sf_dir).join(li, "frame_id")
+    stem = capture_stem("ts", F.size("detections"), F.lit("cats"), "camera_id")
+    crops = F.filter(F.transform("detections", lambda d, i: F.when(
+        crop_eligible(clamp_box(d["bbox"], F.col("width"), F.col("height"))),
+        F.concat(F.lit("/data/raw/"), stem, F.lit("_crop_"), i.cast("string"), F.lit(".jpg")))),
+        lambda c: c.isNotNull())
+    return f.select("frame_id", "camera_id", "ts", "detections",
+                    F.concat(F.lit("/data/raw/img_"), F.col("img_key").cast("string"), F.lit(".jpg")).alias("full_frame"),
+                    crops.alias("crops"))
+
+
+def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory listing (path) of frame files with mixed extensions."""
+    p = table(spark, sf_dir, "part")
+    ext = F.when(F.col("p_size") % 10 == 0, F.lit(".JPG")).when(F.col("p_size") % 10 == 1, F.lit(".png")) \
+           .otherwise(F.lit(".jpg"))
+    return p.select(F.concat(F.lit("/data/labeled/images/img_"), F.col("p_partkey").cast("string"), ext).alias("path"))
+
+
+def label_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing (path) of label files: one per part ordered with return flag N."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "N").select("l_partkey").distinct()
+    return li.select(F.concat(F.lit("/data/labeled/labels/img_"), F.col("l_partkey").cast("string"),
+                              F.lit(".txt")).alias("path"))
 
 
 # ------------------------------------------------------------- annotation exports
@@ -169,7 +201,7 @@ def export_task_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("exports/project-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                  F.floor(F.col("l_orderkey") / EXPORT_FILE_SPAN).cast("string"), F.lit(".json")).alias("file"),
         F.col("l_linenumber").alias("line"),
-        F.col("l_orderkey").alias("ord"),
+        F.struct("l_orderkey", *LINE_ORDER[1:]).alias("ord"),
         F.to_json(task).alias("task_json"))
 
 
@@ -182,7 +214,7 @@ def export_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = export_task_rows(spark, sf_dir)
     per_file = rows.groupBy("file", "line").agg(
         F.array_sort(F.collect_list(F.struct("ord", "task_json"))).alias("t"),
-        F.min("ord").alias("min_ord"))
+        F.min("ord.l_orderkey").alias("min_ord"))
     arr = F.concat(F.lit("["), F.array_join(F.transform("t", lambda e: e["task_json"]), ","), F.lit("]"))
     text = F.when(F.col("line") == 5, F.concat(F.lit('{"tasks": '), arr, F.lit("}"))) \
             .when(F.col("line") == 6, F.concat(F.lit('{"results": '), arr, F.lit("}"))) \
