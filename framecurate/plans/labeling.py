@@ -54,14 +54,16 @@ def annotation_results(detections, width, height):
     return F.transform(detections, one)
 
 
-def build_tasks(classified: DataFrame, document_root: str, base_url: str = "") -> DataFrame:
+def build_tasks(classified: DataFrame, document_root: str, base_url: str = "",
+                keep: tuple[str, ...] = ("frame_id",)) -> DataFrame:
     """Exported captures → (full_frame, image_url, results, task_json).
 
     ``annotations`` is omitted from the JSON when there are no boxes (a NULL
     field is dropped by ``to_json``)."""
     ex = classified.where(F.col("outcome") == "exported")
     results = annotation_results(F.coalesce("detections", F.array()), F.col("width"), F.col("height"))
-    ex = ex.select("full_frame", image_url("full_frame", document_root, base_url).alias("image_url"),
+    keep = [c for c in keep if c in ex.columns]
+    ex = ex.select(*keep, "full_frame", image_url("full_frame", document_root, base_url).alias("image_url"),
                    results.alias("results"))
     task = F.struct(F.struct(F.col("image_url").alias("image")).alias("data"),
                     F.when(F.size("results") > 0, F.array(F.struct(F.col("results").alias("result"))))
