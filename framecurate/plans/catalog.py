@@ -54,13 +54,8 @@ def _exploded(spark, d):
                     F.posexplode("detections").alias("det_idx", "d"))
 
 
-def _hists(spark, d):
-    raw = td.frame_histograms(spark, d)
-    return raw.select("frame_id", hg.minmax_normalize("raw").alias("hist"))
-
-
 def _routing_rows(spark, d):
-    return cu.routing_input(td.filter_frames(spark, d), _hists(spark, d))
+    return td.routing_rows(spark, d)
 
 
 def _params():
@@ -377,13 +372,13 @@ def q_tile_histogram(spark, d):
 def q_clipped_histogram(spark, d):
     th = eq.tile_histogram(td.luminance_pixels(spark, d), td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
     area = (td.THUMB // td.CLAHE_GRID) ** 2
-    return eq.clip_histogram(th, eq.clip_limit_count(2.0, area)).select("frame_id", "ty", "tx", "bin", "n")
+    return eq.clip_histogram(th, eq.clip_limit_count(2.0, area), area).select("frame_id", "ty", "tx", "bin", "n")
 
 
 def q_equalize_lut(spark, d):
     th = eq.tile_histogram(td.luminance_pixels(spark, d), td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
     area = (td.THUMB // td.CLAHE_GRID) ** 2
-    return eq.tile_lut(eq.clip_histogram(th, eq.clip_limit_count(2.0, area)), area)
+    return eq.tile_lut(th, eq.clip_limit_count(2.0, area), area)
 
 
 # ------------------------------------------------------------------ window / set

@@ -12,7 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framecurate.operators.state_machine import ROUTE_SCHEMA, FilterParams, make_batch_router
+from framecurate.operators.histogram import dense_histogram, hs_histogram, minmax_normalize
+from framecurate.operators.images import THUMB_SIZE, thumbnail_pixels
+from framecurate.operators.state_machine import ROUTE_SCHEMA, FilterParams, make_partition_router
+
+
+def frame_histograms(frames: DataFrame, size: tuple[int, int] = THUMB_SIZE) -> DataFrame:
+    """X2 → A7 → A8: (frame_id, hist) normalised 16×8 hue/saturation histogram
+    of each frame's thumbnail.  Runs fully in parallel before the fold."""
+    dense = dense_histogram(hs_histogram(thumbnail_pixels(frames, size)))
+    return dense.select("frame_id", minmax_normalize("hist").alias("hist"))
 
 
 def routing_input(frames: DataFrame, hist: DataFrame | None = None) -> DataFrame:
@@ -28,7 +37,7 @@ def route_frames(rows: DataFrame, params: FilterParams = FilterParams()) -> Data
     """T5: kind ∈ cats | background | dropped (NULL for pure control rows) + manual_save."""
     ordered = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
                   .repartition("camera_id").sortWithinPartitions("camera_id", "us", "frame_id")
-    return ordered.groupBy("camera_id").applyInPandas(make_batch_router(params), ROUTE_SCHEMA)
+    return ordered.mapInPandas(make_partition_router(params), ROUTE_SCHEMA)
 
 
 def session_stats(routed: DataFrame) -> DataFrame:

@@ -46,15 +46,34 @@ def filter_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frame_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(frame_id, raw) : |embedding| of vector event_id % 500, as doubles.
+    """(frame_id, hist): min-max normalised |embedding| of vector event_id % 500.
 
-    The embeddings side is a fixed-size dimension (≤ a few thousand rows) and
-    is broadcast; the events side is never shuffled for this join."""
-    ev = table(spark, sf_dir, "events").select("event_id")
+    Normalisation runs once per vector on the small dimension side, which is
+    then broadcast (its size is fixed by the embeddings table, not by events)."""
+    from framecurate.operators.histogram import minmax_normalize
     emb = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double"))).alias("raw"))
+        "vec_id", minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+    ev = table(spark, sf_dir, "events").select("event_id")
     return ev.join(F.broadcast(emb), (F.col("event_id") % HIST_VECTORS) == F.col("vec_id")) \
-             .select(F.col("event_id").alias("frame_id"), "raw")
+             .select(F.col("event_id").alias("frame_id"), "hist")
+
+
+def routing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with their histogram in one scan of `events` (broadcast dimension join)."""
+    from framecurate.operators.histogram import minmax_normalize
+    emb = table(spark, sf_dir, "embeddings").select(
+        "vec_id", minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+    ev = table(spark, sf_dir, "events")
+    f = ev.join(F.broadcast(emb), (F.col("event_id") % HIST_VECTORS) == F.col("vec_id"), "left")
+    return f.select(
+        F.col("user_id").cast("string").alias("camera_id"),
+        F.col("event_id").alias("frame_id"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+        (F.col("event_type") != "view").alias("has_cats"),
+        F.when(F.col("event_type") == "signup", F.lit("manual_background"))
+         .when((F.col("event_type") == "error") & (F.col("value") > 200), F.lit("reset"))
+         .alias("control"),
+        "hist")
 
 
 # ---------------------------------------------------------------------- detections
@@ -213,9 +232,9 @@ def export_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     A file holds ≤ 2000 tasks by construction, so the per-file group is bounded."""
     rows = export_task_rows(spark, sf_dir)
     per_file = rows.groupBy("file", "line").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "task_json"))).alias("t"),
+        F.sort_array(F.collect_list(F.struct("ord", "task_json"))).alias("t"),
         F.min("ord.l_orderkey").alias("min_ord"))
-    arr = F.concat(F.lit("["), F.array_join(F.transform("t", lambda e: e["task_json"]), ","), F.lit("]"))
+    arr = F.concat(F.lit("["), F.concat_ws(",", F.col("t.task_json")), F.lit("]"))
     text = F.when(F.col("line") == 5, F.concat(F.lit('{"tasks": '), arr, F.lit("}"))) \
             .when(F.col("line") == 6, F.concat(F.lit('{"results": '), arr, F.lit("}"))) \
             .when((F.col("line") == 7) & (F.col("min_ord") < EXPORT_FILE_SPAN), F.concat(F.lit("not json {{"), arr)) \
