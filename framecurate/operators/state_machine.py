@@ -180,3 +180,75 @@ def make_partition_router(p: FilterParams):
                 out.append(fold_frames(pdf.iloc[a:b], state, p))
             yield pd.concat(out, ignore_index=True) if len(out) > 1 else out[0]
     return route
+
+
+# ---------------------------------------------------------------- hot cameras
+# A camera with a very long history is routed in time-ordered waves of bounded
+# chunks.  Each wave's task gets the camera's carried state as a leading
+# "state row" (is_state = True) followed by the chunk's rows in order.
+STATE_ROW_SCHEMA = ("camera_id string, is_state boolean, us long, frame_id long, has_cats boolean, "
+                    "control string, hist array<double>, s_cat_us long, s_cat_hist array<double>, "
+                    "s_cat_fid long, s_bg_us long")
+WAVE_OUT_SCHEMA = ("camera_id string, is_state boolean, frame_id long, us long, has_cats boolean, kind string, "
+                   "manual_save boolean, s_cat_us long, s_cat_hist array<double>, s_cat_fid long, s_bg_us long")
+
+
+def _nullable_int(v):
+    if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NA:
+        return None
+    return int(v)
+
+
+def make_wave_router(p: FilterParams):
+    """``mapInPandas`` function for one wave: per camera an optional state row,
+    then its rows sorted by (us, frame_id); emits decisions plus one end-state
+    row per camera for the next wave."""
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cam, state = None, None
+
+        def end_row(c, s):
+            return {"camera_id": c, "is_state": True, "frame_id": None, "us": None, "has_cats": None,
+                    "kind": None, "manual_save": None, "s_cat_us": s.last_cat_us,
+                    "s_cat_hist": None if s.last_cat_hist is None else [float(x) for x in s.last_cat_hist],
+                    "s_cat_fid": s.last_cat_fid, "s_bg_us": s.last_bg_us}
+
+        pending_end = []
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            cams = pdf["camera_id"].to_numpy()
+            is_state = pdf["is_state"].to_numpy().astype(bool)
+            change = np.flatnonzero(cams[1:] != cams[:-1]) + 1
+            starts = np.concatenate(([0], change))
+            ends = np.concatenate((change, [len(pdf)]))
+            outs = []
+            for a, b in zip(starts, ends):
+                if cams[a] != cam:
+                    if cam is not None:
+                        pending_end.append(end_row(cam, state))
+                    cam, state = cams[a], CameraState()
+                if is_state[a]:
+                    r = pdf.iloc[a]
+                    h = r["s_cat_hist"]
+                    state = CameraState(last_cat_us=_nullable_int(r["s_cat_us"]),
+                                        last_cat_hist=None if h is None else np.asarray(h, dtype=np.float64),
+                                        last_cat_fid=_nullable_int(r["s_cat_fid"]),
+                                        last_bg_us=_nullable_int(r["s_bg_us"]))
+                    a += 1
+                if b > a:
+                    o = fold_frames(pdf.iloc[a:b], state, p)
+                    o["is_state"] = False
+                    none = pd.Series([None] * len(o), dtype=object)
+                    for c in ("s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us"):
+                        o[c] = none
+                    outs.append(o)
+            if pending_end:
+                outs.append(pd.DataFrame(pending_end))
+                pending_end = []
+            if outs:
+                out = pd.concat([o.astype(object) for o in outs], ignore_index=True)
+                yield out.reindex(columns=["camera_id", "is_state", "frame_id", "us", "has_cats", "kind",
+                                           "manual_save", "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us"])
+        if cam is not None:
+            yield pd.DataFrame([end_row(cam, state)])
+    return route

@@ -14,7 +14,15 @@ from pyspark.sql import functions as F
 
 from framecurate.operators.histogram import dense_histogram, hs_histogram, minmax_normalize
 from framecurate.operators.images import THUMB_SIZE, thumbnail_pixels
-from framecurate.operators.state_machine import ROUTE_SCHEMA, FilterParams, make_partition_router
+import os
+import uuid
+
+from framecurate.operators.state_machine import (ROUTE_SCHEMA, STATE_ROW_SCHEMA, WAVE_OUT_SCHEMA, FilterParams,
+                                                 make_partition_router, make_wave_router)
+from framecurate.session import checkpoint_dir
+
+DAY_US = 86_400_000_000
+HOT_CAMERA_ROWS = 5_000_000     # a camera above this is routed in time-ordered waves
 
 
 def frame_histograms(frames: DataFrame, size: tuple[int, int] = THUMB_SIZE) -> DataFrame:
@@ -33,13 +41,67 @@ def routing_input(frames: DataFrame, hist: DataFrame | None = None) -> DataFrame
     return base.join(hist.select("frame_id", "hist"), "frame_id", "left")
 
 
-def route_frames(rows: DataFrame, params: FilterParams = FilterParams()) -> DataFrame:
-    """T5: kind ∈ cats | background | dropped (NULL for pure control rows) + manual_save."""
+def _route_single_pass(rows: DataFrame, params: FilterParams) -> DataFrame:
     ordered = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
                   .repartition("camera_id").sortWithinPartitions("camera_id", "us", "frame_id")
     return ordered.mapInPandas(make_partition_router(params), ROUTE_SCHEMA)
 
 
+def route_frames(rows: DataFrame, params: FilterParams = FilterParams(),
+                 hot_camera_rows: int = HOT_CAMERA_ROWS, chunk_us: int = DAY_US) -> DataFrame:
+    """T5: kind ∈ cats | background | dropped (NULL for pure control rows) + manual_save.
+
+    Cameras with fewer than ``hot_camera_rows`` frames: one shuffle by camera,
+    sorted within partitions, one streaming fold per partition.  Hotter
+    cameras (found with a per-camera count; at most total/threshold of them)
+    are routed by :func:`route_hot_cameras` in bounded time chunks."""
+    counts = rows.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_camera_rows)
+    hot = [r.camera_id for r in counts.select("camera_id").collect()]   # bounded by total / threshold
+    if not hot:
+        return _route_single_pass(rows, params)
+    cold = _route_single_pass(rows.where(~F.col("camera_id").isin(hot)), params)
+    return cold.unionByName(route_hot_cameras(rows.where(F.col("camera_id").isin(hot)), params, chunk_us))
+
+
+def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int = DAY_US,
+                      work_dir: str | None = None) -> DataFrame:
+    """Exact routing of long camera histories in time-ordered waves.
+
+    Wave k routes the k-th time chunk of every hot camera in parallel; each
+    task sees one (camera, chunk) slice — bounded by the chunk length, never
+    the whole history — preceded by the camera's carried state (last accepted
+    cat frame and histogram, last background time).  Decisions and end states
+    are written to the shared checkpoint folder, so lineage stays one wave
+    long and a lost executor only repeats its task of the current wave."""
+    spark = rows.sparkSession
+    base = work_dir or os.path.join(checkpoint_dir(spark), "route-waves", uuid.uuid4().hex)
+    r = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
+            .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long"))
+    chunks = [x.chunk for x in r.select("chunk").distinct().orderBy("chunk").collect()]  # duration / chunk_us
+    state = None
+    router = make_wave_router(params)
+    for k in chunks:
+        data = r.where(F.col("chunk") == k).select(
+            "camera_id", F.lit(False).alias("is_state"), "us", "frame_id", "has_cats", "control", "hist",
+            F.lit(None).cast("long").alias("s_cat_us"), F.lit(None).cast("array<double>").alias("s_cat_hist"),
+            F.lit(None).cast("long").alias("s_cat_fid"), F.lit(None).cast("long").alias("s_bg_us"))
+        if state is not None:
+            st = state.select("camera_id", F.lit(True).alias("is_state"), F.lit(None).cast("long").alias("us"),
+                              F.lit(None).cast("long").alias("frame_id"), F.lit(None).cast("boolean").alias("has_cats"),
+                              F.lit(None).cast("string").alias("control"),
+                              F.lit(None).cast("array<double>").alias("hist"),
+                              "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us")
+            data = st.unionByName(data)
+        wave = data.repartition("camera_id") \
+                   .sortWithinPartitions("camera_id", F.col("is_state").desc(), "us", "frame_id") \
+                   .mapInPandas(router, WAVE_OUT_SCHEMA)
+        out = os.path.join(base, f"wave={k}")
+        wave.write.mode("overwrite").parquet(out)
+        state = spark.read.parquet(out).where(F.col("is_state"))
+    done = spark.read.parquet(base).where(~F.col("is_state"))
+    return done.select("camera_id", "frame_id", "us", "has_cats", "kind", "manual_save")
+
+
 def session_stats(routed: DataFrame) -> DataFrame:
     """A1 per camera: total, detection (has cats), saved (cats), background.
 
