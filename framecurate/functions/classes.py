@@ -71,10 +71,19 @@ def class_name_fallback(name) -> Column:
     return F.coalesce(_c(name), F.concat(F.lit("class_"), F.col("class_id").cast("string")))
 
 
-def attach_class_names(df: DataFrame, names_df: DataFrame, id_col: str = "class_id") -> DataFrame:
-    """Broadcast left join of a bounded class dimension + P17 fallback."""
-    dim = names_df.withColumnRenamed("class_id", "__cid")
-    out = df.join(F.broadcast(dim), F.col(id_col) == F.col("__cid"), "left").drop("__cid")
+MAX_BROADCAST_CLASSES = 100_000
+
+
+def attach_class_names(df: DataFrame, names_df: DataFrame, id_col: str = "class_id",
+                       max_broadcast_rows: int = MAX_BROADCAST_CLASSES) -> DataFrame:
+    """Left join of the class dimension + P17 fallback.
+
+    The dimension is broadcast only after its row count is checked against
+    ``max_broadcast_rows`` (a class list is a few hundred rows); a larger table
+    falls back to an ordinary shuffle join."""
+    dim = names_df.select(F.col("class_id").alias("__cid"), "name")
+    small = names_df.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    out = df.join(F.broadcast(dim) if small else dim, F.col(id_col) == F.col("__cid"), "left").drop("__cid")
     return out.withColumn("name", F.coalesce(F.col("name"),
                                              F.concat(F.lit("class_"), F.col(id_col).cast("string"))))
 

@@ -124,3 +124,32 @@ def latest_frame(frames: DataFrame, bucket: str = "1 minute") -> DataFrame:
     agg = frames.withColumn("bucket", b).groupBy("camera_id", "bucket").agg(
         F.max_by(F.struct(*[c for c in frames.columns if c not in ("camera_id",)]), row).alias("r"))
     return agg.select("camera_id", "bucket", "r.*")
+
+
+def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterParams(),
+           confidence: float = 0.4, num_classes: int = 80, preprocess=None,
+           hot_camera_rows: int = HOT_CAMERA_ROWS) -> DataFrame:
+    """The capture loop as one DataFrame chain.
+
+    frames (camera_id, frame_id, ts, image[, control]) → optional ``preprocess``
+    (a DataFrame → DataFrame transform, e.g. contrast equalisation) → X1
+    detection → P4/F1/F2 → histograms of frames with cats only → T5 routing →
+    rows with ``kind`` ready for the K1-K3 sinks.  Image bytes are not part
+    of the routing shuffle; they are joined back for saved frames only."""
+    from framecurate.functions.boxes import class_scope, confidence_filter
+    from framecurate.operators.images import detect
+
+    f = preprocess(frames) if preprocess is not None else frames
+    det = detect(f, make_predict_fn)
+    det = det.withColumn("detections", class_scope(confidence_filter("detections", confidence), num_classes))
+    det = det.withColumn("has_cats", F.size("detections") > 0)
+    if "control" not in det.columns:
+        det = det.withColumn("control", F.lit(None).cast("string"))
+    # variety histograms only for frames with cats (the reference skips the rest)
+    hists = frame_histograms(det.where(F.col("has_cats")).select("frame_id", "image"))
+    routed = route_frames(routing_input(det.select("camera_id", "frame_id", "ts", "has_cats", "control"), hists),
+                          params, hot_camera_rows)
+    keep = routed.where(F.col("kind").isin("cats", "background") | F.col("manual_save"))
+    return keep.join(det.select("frame_id", "ts", "image", "detections"), "frame_id") \
+               .withColumn("kind", F.when(F.col("kind").isin("cats", "background"), F.col("kind"))
+                           .otherwise(F.lit("manual_background")))

@@ -22,17 +22,22 @@ TO_NAME = "image"
 RESULT_TYPE = "rectanglelabels"
 
 
-def classify_captures(meta: DataFrame, inventory: DataFrame, labeled: DataFrame) -> DataFrame:
+def classify_captures(meta: DataFrame, inventory: DataFrame, labeled: DataFrame,
+                      document_root: str | None = None) -> DataFrame:
     """Adds (width, height, filename, outcome) with outcome ∈ error | skipped | exported.
 
     Order matters (J1 before J2): a missing or unreadable image is an error
-    even when its name is already labeled."""
+    even when its name is already labeled; with ``document_root`` an image
+    outside the root (no task URL possible, P12) is an error too."""
     inv = inventory.select(F.col("path").alias("full_frame"), "width", "height",
                            F.lit(True).alias("__found"))
     lab = labeled.select(F.col("filename").alias("__lab_name"), F.lit(True).alias("__labeled"))
     m = meta.join(inv, "full_frame", "left").withColumn("filename", file_name("full_frame"))
     m = m.join(lab, F.col("filename") == F.col("__lab_name"), "left").drop("__lab_name")
-    outcome = F.when(F.col("__found").isNull() | (F.col("width") <= 0), F.lit("error")) \
+    bad = F.col("__found").isNull() | (F.col("width") <= 0)
+    if document_root is not None:
+        bad = bad | image_url("full_frame", document_root).isNull()
+    outcome = F.when(bad, F.lit("error")) \
                .when(F.col("__labeled").isNotNull(), F.lit("skipped")).otherwise(F.lit("exported"))
     return m.withColumn("outcome", outcome).drop("__found", "__labeled")
 

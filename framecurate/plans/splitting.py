@@ -47,6 +47,8 @@ def pair_samples(images: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataF
 def seeded_split(samples: DataFrame, ratios=DEFAULT_RATIOS, seed: int = DEFAULT_SEED,
                  key: str = "stem", hex_digits: int = 3) -> DataFrame:
     """Reproducible split; counts are ``int(n*r_train)``, ``int(n*r_val)``, rest test."""
+    if not 1 <= hex_digits <= 5:
+        raise ValueError("hex_digits must be 1..5 (the broadcast bucket table has 16^hex_digits rows)")
     r_train, r_val, r_test = (float(r) for r in ratios)
     if abs(r_train + r_val + r_test - 1.0) >= 1e-6:
         raise ValueError("Split ratios must sum to 1.0")

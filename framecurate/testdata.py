@@ -45,14 +45,23 @@ def filter_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hist_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, hist) for the HIST_VECTORS vectors the join key can reach.
+
+    The filter is what bounds the broadcast: at most HIST_VECTORS rows of
+    64 doubles, whatever the size of the embeddings table."""
+    from framecurate.operators.histogram import minmax_normalize
+    emb = table(spark, sf_dir, "embeddings").where((F.col("vec_id") >= 0) & (F.col("vec_id") < HIST_VECTORS))
+    return emb.select("vec_id",
+                      minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+
+
 def frame_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(frame_id, hist): min-max normalised |embedding| of vector event_id % 500.
 
     Normalisation runs once per vector on the small dimension side, which is
     then broadcast (its size is fixed by the embeddings table, not by events)."""
-    from framecurate.operators.histogram import minmax_normalize
-    emb = table(spark, sf_dir, "embeddings").select(
-        "vec_id", minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+    emb = _hist_dimension(spark, sf_dir)
     ev = table(spark, sf_dir, "events").select("event_id")
     return ev.join(F.broadcast(emb), (F.col("event_id") % HIST_VECTORS) == F.col("vec_id")) \
              .select(F.col("event_id").alias("frame_id"), "hist")
@@ -60,9 +69,7 @@ def frame_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def routing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames with their histogram in one scan of `events` (broadcast dimension join)."""
-    from framecurate.operators.histogram import minmax_normalize
-    emb = table(spark, sf_dir, "embeddings").select(
-        "vec_id", minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+    emb = _hist_dimension(spark, sf_dir)
     ev = table(spark, sf_dir, "events")
     f = ev.join(F.broadcast(emb), (F.col("event_id") % HIST_VECTORS) == F.col("vec_id"), "left")
     return f.select(

@@ -164,3 +164,25 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
              for r in cu.route_frames(df, p, hot_camera_rows=100, chunk_us=7 * day).collect()}
     assert waves == single
     assert len(single) == 340
+
+
+def test_curate_composition(spark):
+    """Detection → filters → histograms → routing on real frame bytes."""
+    t0 = dt.datetime(2024, 1, 1)
+    frames = [("cam", 0, t0, make_frame(color=(200, 50, 50))),
+              ("cam", 1, t0 + dt.timedelta(seconds=1), make_frame(color=(200, 50, 50))),
+              ("cam", 2, t0 + dt.timedelta(seconds=3), make_frame(color=(50, 50, 200))),
+              ("cam", 3, t0 + dt.timedelta(seconds=4), make_frame(color=(0, 0, 0)))]
+    df = spark.createDataFrame([(c, i, t, image_row(a)) for c, i, t, a in frames],
+                               "camera_id string, frame_id long, ts timestamp, image struct<origin:string,"
+                               "height:int,width:int,nChannels:int,mode:int,data:binary>")
+
+    def make():
+        def predict(imgs):
+            # a "cat" wherever the frame is not black
+            return [np.array([[10, 10, 200, 200, 0.9, 15]]) if img.max() > 0 else np.zeros((0, 6)) for img in imgs]
+        return predict
+
+    p = FilterParams(similarity=0.15, min_us=0, max_us=30 * S, background_us=60 * S)
+    out = {r.frame_id: r.kind for r in cu.curate(df, make, p).collect()}
+    assert out == {0: "cats", 2: "cats", 3: "background"}
