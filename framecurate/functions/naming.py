@@ -68,6 +68,12 @@ def _join_root(root: str, rel: Column) -> Column:
     return F.when((s == "") | (s == "."), F.lit(".")).otherwise(s)
 
 
+# first non-empty ``d`` parameter of the query string (before any fragment)
+_LOCAL_D = r"^[^?#]*\?(?:[^#]*?&)?d=([^&#]+)"
+# path of scheme://netloc/path;params?query#fragment, leading slashes dropped
+_HTTP_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?/*([^?#]*?)(?:;[^/?#]*)?(?:[?#].*)?$"
+
+
 def image_path(url, document_root: str = ".") -> Column:
     """Filesystem path of a task image.
 
@@ -75,16 +81,8 @@ def image_path(url, document_root: str = ".") -> Column:
     (``+`` is a space).  HTTP form: the URL path without query, fragment or
     ``;params``, leading ``/`` stripped, not decoded."""
     u = _c(url)
-    no_frag = F.regexp_replace(u, r"#.*$", "")
-    query = F.regexp_extract(no_frag, r"^[^?]*\?(.*)$", 1)
-    d_raw = F.regexp_extract(query, r"(?:^|&)d=([^&]+)", 1)
-    local_rel = F.coalesce(F.try_url_decode(d_raw), F.lit(""))
-    # http form: path of scheme://netloc/path;params?query
-    path_part = F.regexp_replace(no_frag, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
-    path_part = F.regexp_replace(path_part, r"^//[^/?]*", "")
-    path_part = F.regexp_replace(path_part, r"\?.*$", "")
-    path_part = F.regexp_replace(path_part, r";[^/]*$", "")
-    http_rel = F.regexp_replace(path_part, r"^/+", "")
+    local_rel = F.coalesce(F.try_url_decode(F.regexp_extract(u, _LOCAL_D, 1)), F.lit(""))
+    http_rel = F.regexp_extract(u, _HTTP_PATH, 1)
     rel = F.when(F.instr(u, LOCAL_FILES_MARKER) > 0, local_rel).otherwise(http_rel)
     return _join_root(document_root, rel)
 

@@ -24,10 +24,14 @@ def dedup_first(df: DataFrame, key: str, order: list[str], keep_null_keys: bool
     return agg.select(key, *[F.col("__r")[c].alias(c) for c in cols])
 
 
-def dedup_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Keep, per ``key``, the row with the largest ``order`` tuple (overwrite semantics)."""
+def dedup_last(df: DataFrame, key: str, order: list[str], keys_not_null: bool = False) -> DataFrame:
+    """Keep, per ``key``, the row with the largest ``order`` tuple (overwrite semantics).
+
+    ``keys_not_null`` skips the NULL-key filter when the caller guarantees it
+    (keeps a computed key expression from being inlined a second time)."""
     cols = [c for c in df.columns if c != key]
     ordering = F.struct(*[F.col(c) for c in order])
     row = F.struct(*[F.col(c) for c in cols])
-    agg = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(row, ordering).alias("__r"))
+    src = df if keys_not_null else df.where(F.col(key).isNotNull())
+    agg = src.groupBy(key).agg(F.max_by(row, ordering).alias("__r"))
     return agg.select(key, *[F.col("__r")[c].alias(c) for c in cols])

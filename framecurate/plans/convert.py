@@ -97,7 +97,8 @@ def convert_warnings(converted: DataFrame) -> DataFrame:
 def label_files(converted: DataFrame) -> DataFrame:
     """One label text per stem; a later task overwrites an earlier one."""
     ok = converted.where(F.col("status") == "ok").select("stem", "file", "pos", "image_name", "label_text", "n_boxes")
-    return dedup_last(ok, key="stem", order=["file", "pos"])
+    # status 'ok' implies a non-NULL path, hence a non-NULL stem
+    return dedup_last(ok, key="stem", order=["file", "pos"], keys_not_null=True)
 
 
 def convert_summary(converted: DataFrame, classes=None) -> DataFrame:
