@@ -37,14 +37,21 @@ def iso_timestamp(ts) -> Column:
 
 
 def file_name(path) -> Column:
-    """Last path component after collapsing trailing ``/`` and ``/.``."""
-    p = F.regexp_replace(_c(path), r"(/+\.?)+$", "")
+    """Last path component after collapsing trailing ``/`` and ``/.``
+    (the regex only runs for the rare paths that end that way)."""
+    p = _c(path)
+    odd = p.endswith("/") | p.endswith("/.")
+    p = F.when(odd, F.regexp_replace(p, r"(/+\.?)+$", "")).otherwise(p)
     return F.substring_index(p, "/", -1)
 
 
 def file_stem(path) -> Column:
-    """Name without its last suffix; dot-files and trailing-dot names unchanged."""
-    return F.regexp_replace(file_name(path), r"(?<=.)\.[^.]+$", "")
+    """Name without its last suffix; dot-files and trailing-dot names unchanged
+    (Python ``PurePath.stem``: the last dot must be neither first nor last)."""
+    n = file_name(path)
+    back = F.instr(F.reverse(n), ".")                  # 1-based from the end, 0 = no dot
+    last_dot = F.length(n) - back + 1
+    return F.when((back > 1) & (last_dot > 1), n.substr(F.lit(1), last_dot - 1)).otherwise(n)
 
 
 def image_filename(url) -> Column:
@@ -65,7 +72,11 @@ def _join_root(root: str, rel: Column) -> Column:
     s = F.regexp_replace(s, r"/(\./)+", "/")
     s = F.regexp_replace(s, r"^(\./)+", "")
     s = F.regexp_replace(s, r"(?<=.)/\.?$", "")
-    return F.when((s == "") | (s == "."), F.lit(".")).otherwise(s)
+    norm = F.when((s == "") | (s == "."), F.lit(".")).otherwise(s)
+    # the regexes only run for paths that need them
+    odd = (F.instr(joined, "//") > 0) | (F.instr(joined, "/./") > 0) | joined.startswith("./") \
+        | joined.endswith("/") | joined.endswith("/.") | (joined == "") | (joined == ".")
+    return F.when(odd, norm).otherwise(joined)
 
 
 # first non-empty ``d`` parameter of the query string (before any fragment)
