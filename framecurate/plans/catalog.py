@@ -381,6 +381,14 @@ def q_equalize_lut(spark, d):
     return eq.tile_lut(th, eq.clip_limit_count(2.0, area), area)
 
 
+def q_equalize_apply(spark, d):
+    px = td.luminance_pixels(spark, d)
+    area = (td.THUMB // td.CLAHE_GRID) ** 2
+    th = eq.tile_histogram(px, td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
+    luts = eq.tile_luts(th, eq.clip_limit_count(2.0, area), area)
+    return eq.apply_lut(px, luts, td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
+
+
 # ------------------------------------------------------------------ window / set
 def q_merge_dedup_first(spark, d):
     m = mg.merge_dedup_first(_tasks(spark, d))

@@ -419,6 +419,26 @@ SELECT a.vec_id, b.vec_id AS next_id, {_dist_sql('a.h', 'b.h')} AS distance FROM
     q["tile_histogram"] = lum + "\nSELECT frame_id, ty, tx, l, n FROM th"
     q["clipped_histogram"] = lum + "\nSELECT frame_id, ty, tx, bin, n FROM cl"
     q["equalize_lut"] = lum + "\nSELECT frame_id, ty, tx, bin, lut FROM lut"
+    tile = td.THUMB // td.CLAHE_GRID
+    g = td.CLAHE_GRID - 1
+    q["equalize_apply"] = lum + f""",
+pf AS (
+  SELECT frame_id, x, y, l,
+         CAST(x AS FLOAT) * CAST({1.0 / tile} AS FLOAT) - CAST(0.5 AS FLOAT) AS txf,
+         CAST(y AS FLOAT) * CAST({1.0 / tile} AS FLOAT) - CAST(0.5 AS FLOAT) AS tyf FROM lp),
+pg AS (
+  SELECT frame_id, x, y, l, CAST(txf - CAST(floor(txf) AS FLOAT) AS FLOAT) AS xa, CAST(tyf - CAST(floor(tyf) AS FLOAT) AS FLOAT) AS ya,
+         greatest(CAST(floor(txf) AS INTEGER), 0) AS ta, least(CAST(floor(txf) AS INTEGER) + 1, {g}) AS tb,
+         greatest(CAST(floor(tyf) AS INTEGER), 0) AS ua, least(CAST(floor(tyf) AS INTEGER) + 1, {g}) AS ub FROM pf)
+SELECT pg.frame_id, pg.x, pg.y,
+       CAST(least(greatest(round_even(CAST(
+         (CAST(l1.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l2.lut AS FLOAT) * xa) * (CAST(1 AS FLOAT) - ya)
+         + (CAST(l3.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l4.lut AS FLOAT) * xa) * ya AS FLOAT), 0), 0), 255) AS INTEGER) AS l_eq
+FROM pg
+JOIN lut l1 ON l1.frame_id = pg.frame_id AND l1.ty = pg.ua AND l1.tx = pg.ta AND l1.bin = pg.l
+JOIN lut l2 ON l2.frame_id = pg.frame_id AND l2.ty = pg.ua AND l2.tx = pg.tb AND l2.bin = pg.l
+JOIN lut l3 ON l3.frame_id = pg.frame_id AND l3.ty = pg.ub AND l3.tx = pg.ta AND l3.bin = pg.l
+JOIN lut l4 ON l4.frame_id = pg.frame_id AND l4.ty = pg.ub AND l4.tx = pg.tb AND l4.bin = pg.l"""
 
     q["route_frames"] = _route_sql("", "SELECT camera_id, frame_id, kind, manual_save FROM r")
     q["session_stats"] = _route_sql("", """SELECT camera_id, count(*) AS total_frames, count(*) FILTER (WHERE has_cats) AS detection_frames,
