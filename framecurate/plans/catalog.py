@@ -236,12 +236,6 @@ def q_annotation_task_json(spark, d):
 
 
 # ------------------------------------------------------------------------ filters
-def _indexed(spark, d):
-    f = _frames(spark, d)
-    return f.select("frame_id", F.transform("detections", lambda x, i: F.struct(i.alias("det_idx"), x.alias("d")))
-                    .alias("dets"))
-
-
 def q_confidence_filter(spark, d):
     f = _frames(spark, d)
     kept = bx.confidence_filter(F.transform("detections", lambda x, i: x.withField("idx", i)),

@@ -56,17 +56,6 @@ def _hist_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
                       minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
 
 
-def frame_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(frame_id, hist): min-max normalised |embedding| of vector event_id % 500.
-
-    Normalisation runs once per vector on the small dimension side, which is
-    then broadcast (its size is fixed by the embeddings table, not by events)."""
-    emb = _hist_dimension(spark, sf_dir)
-    ev = table(spark, sf_dir, "events").select("event_id")
-    return ev.join(F.broadcast(emb), (F.col("event_id") % HIST_VECTORS) == F.col("vec_id")) \
-             .select(F.col("event_id").alias("frame_id"), "hist")
-
-
 def routing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames with their histogram in one scan of `events` (broadcast dimension join)."""
     emb = _hist_dimension(spark, sf_dir)

@@ -186,3 +186,46 @@ def test_curate_composition(spark):
     p = FilterParams(similarity=0.15, min_us=0, max_us=30 * S, background_us=60 * S)
     out = {r.frame_id: r.kind for r in cu.curate(df, make, p).collect()}
     assert out == {0: "cats", 2: "cats", 3: "background"}
+
+
+def test_streaming_latest_frame_and_incremental_queue(spark, tmp_path):
+    """T1 conflation and T7 skip-already-labeled, each drained with availableNow."""
+    t0 = dt.datetime(2024, 1, 1)
+    frames = spark.createDataFrame([("c1", 1, t0), ("c1", 2, t0 + dt.timedelta(seconds=1)),
+                                    ("c2", 3, t0), ("c1", 4, t0 + dt.timedelta(seconds=2))],
+                                   "camera_id string, frame_id long, ts timestamp")
+    land = str(tmp_path / "frames")
+    frames.coalesce(1).write.parquet(land)
+    got = []
+    src = spark.readStream.schema(frames.schema).parquet(land)
+    q = st.start_latest_frame(src, lambda df, bid: got.extend(r.frame_id for r in df.collect()),
+                              "t1_test", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert sorted(got) == [3, 4]
+
+    caps = spark.createDataFrame([("a.jpg",), ("b.jpg",), ("c.jpg",)], "filename string")
+    cl = str(tmp_path / "caps")
+    caps.coalesce(1).write.parquet(cl)
+    labeled = spark.createDataFrame([("b.jpg",)], "filename string")
+    queued = []
+    q = st.start_incremental_queue(spark.readStream.schema(caps.schema).parquet(cl), lambda: labeled,
+                                   lambda df, bid: queued.extend(r.filename for r in df.collect()), "t7_test")
+    q.awaitTermination(120)
+    assert sorted(queued) == ["a.jpg", "c.jpg"]
+
+
+def test_running_session_stats_stream(spark, tmp_path):
+    """Incremental counters equal the batch A1 numbers once drained."""
+    rows = [("c", i, i * S, i % 3 != 0, None, [1.0, 0.0] if i % 3 else None) for i in range(30)]
+    schema = "camera_id string, frame_id long, us long, has_cats boolean, control string, hist array<double>"
+    df = spark.createDataFrame(rows, schema)
+    p = FilterParams(similarity=0.5, min_us=3 * S, max_us=6 * S, background_us=5 * S)
+    batch = cu.session_stats(cu.route_frames(df, p)).first()
+    land = str(tmp_path / "rows")
+    df.coalesce(1).write.parquet(land)
+    stats = st.running_session_stats(st.route_stream(spark.readStream.schema(schema).parquet(land), p))
+    q = stats.writeStream.format("memory").queryName("t6_stats").outputMode("complete") \
+        .option("checkpointLocation", str(tmp_path / "ck6")).trigger(availableNow=True).start()
+    q.awaitTermination(180)
+    got = spark.table("t6_stats").first()
+    assert tuple(got) == tuple(batch)
