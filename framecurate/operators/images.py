@@ -171,3 +171,87 @@ def detect(frames: DataFrame, make_predict_fn: Callable, batch_size: int = 16) -
     return frames.withColumn("detections", run(F.struct(img["data"].alias("data"), img["height"].alias("height"),
                                                         img["width"].alias("width"),
                                                         img["nChannels"].alias("nChannels"))))
+
+
+# ----------------------------------------------- P24 numpy twins (per-frame path)
+def _srgb_to_linear_np(v):
+    return np.where(v <= 0.04045, v / 12.92, np.power((v + 0.055) / 1.055, 2.4))
+
+
+def _f_lab_np(t):
+    return np.where(t > 0.008856, np.power(np.maximum(t, 0.0), 1.0 / 3.0), 7.787 * t + 16.0 / 116.0)
+
+
+def bgr_to_lab_np(img: np.ndarray) -> np.ndarray:
+    """Same formulas as :func:`bgr_to_lab`, for a whole H×W×3 frame."""
+    f = img.astype(np.float64) / 255.0
+    bl, gl, rl = (_srgb_to_linear_np(f[..., i]) for i in range(3))
+    x = (0.412453 * rl + 0.357580 * gl + 0.180423 * bl) / 0.950456
+    y = 0.212671 * rl + 0.715160 * gl + 0.072169 * bl
+    z = (0.019334 * rl + 0.119193 * gl + 0.950227 * bl) / 1.088754
+    fx, fy, fz = _f_lab_np(x), _f_lab_np(y), _f_lab_np(z)
+    lum = np.where(y > 0.008856, 116.0 * fy - 16.0, 903.3 * y)
+
+    def clamp(v):
+        # Spark round() is half-up; floor(v + 0.5) reproduces it for these ranges
+        return np.clip(np.floor(v + 0.5), 0, 255).astype(np.uint8)
+
+    return np.stack([clamp(lum * 255.0 / 100.0), clamp(500.0 * (fx - fy) + 128.0),
+                     clamp(200.0 * (fy - fz) + 128.0)], axis=-1)
+
+
+def lab_to_bgr_np(lab: np.ndarray) -> np.ndarray:
+    """Same formulas as :func:`lab_to_bgr`, for a whole H×W×3 Lab frame."""
+    L = lab[..., 0].astype(np.float64) * 100.0 / 255.0
+    A = lab[..., 1].astype(np.float64) - 128.0
+    B = lab[..., 2].astype(np.float64) - 128.0
+    fy = (L + 16.0) / 116.0
+    fx, fz = fy + A / 500.0, fy - B / 200.0
+
+    def finv(t):
+        return np.where(t > 0.206893, np.power(t, 3.0), (t - 16.0 / 116.0) / 7.787)
+
+    x, y, z = finv(fx) * 0.950456, finv(fy), finv(fz) * 1.088754
+    rl = 3.240479 * x - 1.53715 * y - 0.498535 * z
+    gl = -0.969256 * x + 1.875991 * y + 0.041556 * z
+    bl = 0.055648 * x - 0.204043 * y + 1.057311 * z
+
+    def to8(v):
+        s = np.where(v <= 0.0031308, 12.92 * v, 1.055 * np.power(np.maximum(v, 0.0), 1 / 2.4) - 0.055)
+        return np.clip(np.floor(s * 255.0 + 0.5), 0, 255).astype(np.uint8)
+
+    return np.stack([to8(bl), to8(gl), to8(rl)], axis=-1)
+
+
+def equalize_frames(frames: DataFrame, clip_limit: float = 2.0, grid: tuple[int, int] = (8, 8),
+                    enabled: bool = True) -> DataFrame:
+    """A10 preprocessing of full-resolution frames (X3 ``preprocess``).
+
+    Each frame is equalised inside the task that holds its bytes (L channel of
+    Lab only, a/b untouched), with the same computation as the relational
+    operator in ``operators.equalize`` (tested bit-identical on the L plane),
+    so millions of pixels per frame never become rows.  Disabled → identity."""
+    if not enabled:
+        return frames
+    from framecurate.operators.equalize import equalize_plane
+
+    schema = frames.schema
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            imgs = []
+            for img in pdf["image"]:
+                if img is None or img["width"] is None or img["width"] < 1:
+                    imgs.append(img)
+                    continue
+                a = _as_bgr(img["data"], int(img["height"]), int(img["width"]), int(img["nChannels"]))
+                lab = bgr_to_lab_np(a)
+                lab[..., 0] = equalize_plane(lab[..., 0], clip_limit, grid)
+                out = lab_to_bgr_np(lab)
+                imgs.append({"origin": img["origin"], "height": out.shape[0], "width": out.shape[1],
+                             "nChannels": 3, "mode": 16, "data": out.tobytes()})
+            pdf = pdf.copy()
+            pdf["image"] = imgs
+            yield pdf
+
+    return frames.mapInPandas(run, schema)
