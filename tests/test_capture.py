@@ -2,8 +2,7 @@
 and the streaming form (drained stream = batch)."""
 
 import datetime as dt
-import os
-import time
+import uuid
 
 import numpy as np
 import pytest
@@ -199,7 +198,7 @@ def test_streaming_latest_frame_and_incremental_queue(spark, tmp_path):
     got = []
     src = spark.readStream.schema(frames.schema).parquet(land)
     q = st.start_latest_frame(src, lambda df, bid: got.extend(r.frame_id for r in df.collect()),
-                              "t1_test", trigger={"availableNow": True})
+                              f"t1_test_{uuid.uuid4().hex}", trigger={"availableNow": True})
     q.awaitTermination(120)
     assert sorted(got) == [3, 4]
 
@@ -209,7 +208,8 @@ def test_streaming_latest_frame_and_incremental_queue(spark, tmp_path):
     labeled = spark.createDataFrame([("b.jpg",)], "filename string")
     queued = []
     q = st.start_incremental_queue(spark.readStream.schema(caps.schema).parquet(cl), lambda: labeled,
-                                   lambda df, bid: queued.extend(r.filename for r in df.collect()), "t7_test")
+                                   lambda df, bid: queued.extend(r.filename for r in df.collect()),
+                                   f"t7_test_{uuid.uuid4().hex}")
     q.awaitTermination(120)
     assert sorted(queued) == ["a.jpg", "c.jpg"]
 
