@@ -45,29 +45,27 @@ def write_crops(captures: DataFrame, path: str, min_px: int = MIN_CROP_PX) -> No
     crops(captures, min_px).write.mode("append").parquet(path)
 
 
-def _write_json_rows(df: DataFrame, col: str, path: str, single_array_file: bool) -> bool:
-    """JSON-lines shards by default; optionally one JSON array file.  Returns
-    False (and writes nothing) when there are no rows."""
+def _write_json_rows(df: DataFrame, col: str, path: str) -> bool:
+    """JSON-lines shards (one task per line, written in parallel).  Returns
+    False and writes nothing when there are no rows (the reference writes no
+    file then).  A single JSON-array file would funnel every task through one
+    writer, so it is not offered."""
     if df.limit(1).count() == 0:
         return False
-    if single_array_file:
-        # explicit opt-in: the whole output goes through one task
-        arr = df.agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(col)), F.lit("]")).alias("value"))
-        arr.coalesce(1).write.mode("overwrite").text(path)
-    else:
-        df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
+    df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
     return True
 
 
-def write_annotation_import(tasks: DataFrame, path: str, single_array_file: bool = False) -> bool:
+def write_annotation_import(tasks: DataFrame, path: str) -> bool:
     """K4: annotation-tool import (``task_json`` column); nothing when empty."""
-    return _write_json_rows(tasks, "task_json", path, single_array_file)
+    return _write_json_rows(tasks, "task_json", path)
 
 
-def write_merged_tasks(merged: DataFrame, path: str, single_array_file: bool = False) -> bool:
-    """K5: merged tasks, whole payload, ordered by first appearance (file, pos)."""
+def write_merged_tasks(merged: DataFrame, path: str) -> bool:
+    """K5: merged tasks, whole payload, in first-appearance order (file, pos):
+    a range-partitioned sort, so shard i holds tasks before shard i+1."""
     m = merged.orderBy("file", "pos").select(F.to_json(F.col("task")).alias("task_json"))
-    return _write_json_rows(m, "task_json", path, single_array_file)
+    return _write_json_rows(m, "task_json", path)
 
 
 def write_label_text(labels: DataFrame, path: str) -> None:
