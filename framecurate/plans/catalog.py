@@ -250,15 +250,13 @@ def q_class_scope_filter(spark, d):
 
 
 def q_crop_eligible(spark, d):
-    e = _exploded(spark, d)
-    clamped = bx.clamp_box(F.col("d.bbox"), F.col("width"), F.col("height"))
-    stem = nm.capture_stem("ts", F.lit(0), F.lit("cats"), "camera_id")
-    e = e.withColumn("c", clamped).where(bx.crop_eligible("c"))
-    f = _frames(spark, d).select("frame_id", bx.cat_count("detections").alias("n"), "ts", "camera_id")
-    return e.select("frame_id", "det_idx").join(
-        f.select("frame_id", nm.capture_stem("ts", F.col("n"), F.lit("cats"), "camera_id").alias("stem")),
-        "frame_id").select("frame_id", "det_idx",
-                           F.concat("stem", F.lit("_crop_"), F.col("det_idx").cast("string")).alias("crop_name"))
+    f = _frames(spark, d)
+    e = f.select("frame_id", "camera_id", "ts", "width", "height", bx.cat_count("detections").alias("n"),
+                 F.posexplode("detections").alias("det_idx", "d"))
+    e = e.where(bx.crop_eligible(bx.clamp_box(F.col("d.bbox"), F.col("width"), F.col("height"))))
+    stem = nm.capture_stem("ts", F.col("n"), F.lit("cats"), "camera_id")
+    return e.select("frame_id", "det_idx",
+                    F.concat(stem, F.lit("_crop_"), F.col("det_idx").cast("string")).alias("crop_name"))
 
 
 def q_first_annotation(spark, d):

@@ -84,14 +84,14 @@ def convert_tasks(tasks: DataFrame, inventory: DataFrame, classes=None,
 def convert_warnings(converted: DataFrame) -> DataFrame:
     """F6 + F7 side output: one row per task failure or rejected box.
 
-    Columns (stage, file, pos, seq, reason); seq −1 marks a task-level reason."""
-    task_w = converted.where(F.col("status") != "ok").select(
-        F.lit("convert").alias("stage"), "file", "pos", F.lit(-1).alias("seq"),
-        F.when(F.col("status") == "no_url", F.lit("Task has no image URL, skipping"))
-         .otherwise(F.concat(F.lit("Image not found: "), F.col("src_path"))).alias("reason"))
-    box_w = converted.select(F.lit("convert").alias("stage"), "file", "pos",
-                             F.posexplode("box_problems").alias("seq", "reason"))
-    return task_w.unionByName(box_w)
+    Columns (stage, file, pos, seq, reason); seq −1 marks a task-level reason.
+    One pass over the converted tasks (no union of two re-computations)."""
+    task_reason = F.when(F.col("status") == "no_url", F.lit("Task has no image URL, skipping")) \
+                   .otherwise(F.concat(F.lit("Image not found: "), F.col("src_path")))
+    ws = F.when(F.col("status") != "ok",
+                F.array(F.struct(F.lit(-1).alias("seq"), task_reason.alias("reason")))) \
+          .otherwise(F.transform("box_problems", lambda x, i: F.struct(i.alias("seq"), x.alias("reason"))))
+    return converted.select(F.lit("convert").alias("stage"), "file", "pos", F.inline(ws))
 
 
 def label_files(converted: DataFrame) -> DataFrame:
