@@ -72,17 +72,19 @@ def _join_root(root: str, rel: Column) -> Column:
     s = F.regexp_replace(s, r"/(\./)+", "/")
     s = F.regexp_replace(s, r"^(\./)+", "")
     s = F.regexp_replace(s, r"(?<=.)/\.?$", "")
-    norm = F.when((s == "") | (s == "."), F.lit(".")).otherwise(s)
+    # single use of ``s`` keeps the regex chain inside the guarded branch
+    norm = F.regexp_replace(s, r"^\.?$", ".")
     # the regexes only run for paths that need them
     odd = (F.instr(joined, "//") > 0) | (F.instr(joined, "/./") > 0) | joined.startswith("./") \
         | joined.endswith("/") | joined.endswith("/.") | (joined == "") | (joined == ".")
     return F.when(odd, norm).otherwise(joined)
 
 
-# first non-empty ``d`` parameter of the query string (before any fragment)
-_LOCAL_D = r"^[^?#]*\?(?:[^#]*?&)?d=([^&#]+)"
-# path of scheme://netloc/path;params?query#fragment, leading slashes dropped
-_HTTP_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?/*([^?#]*?)(?:;[^/?#]*)?(?:[?#].*)?$"
+# query string (after the first '?', before any fragment), then its first non-empty d
+_QUERY = r"^[^?#]*\?([^#]*)"
+_D_PARAM = r"(?:^|&)d=([^&]+)"
+# path of scheme://netloc/path?query#fragment, leading slashes dropped (linear, no backtracking)
+_HTTP_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?/*([^?#]*)"
 
 
 def image_path(url, document_root: str = ".") -> Column:
@@ -92,8 +94,11 @@ def image_path(url, document_root: str = ".") -> Column:
     (``+`` is a space).  HTTP form: the URL path without query, fragment or
     ``;params``, leading ``/`` stripped, not decoded."""
     u = _c(url)
-    local_rel = F.coalesce(F.try_url_decode(F.regexp_extract(u, _LOCAL_D, 1)), F.lit(""))
-    http_rel = F.regexp_extract(u, _HTTP_PATH, 1)
+    d_raw = F.regexp_extract(F.regexp_extract(u, _QUERY, 1), _D_PARAM, 1)
+    local_rel = F.coalesce(F.try_url_decode(d_raw), F.lit(""))
+    path = F.regexp_extract(u, _HTTP_PATH, 1)
+    # ';params' belong to the last segment only
+    http_rel = F.when(F.instr(path, ";") > 0, F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
     rel = F.when(F.instr(u, LOCAL_FILES_MARKER) > 0, local_rel).otherwise(http_rel)
     return _join_root(document_root, rel)
 

@@ -26,7 +26,16 @@ CLAHE_GRID = 2                         # 2×2 tiles of 16×16 px (256 px per til
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan a driver table.  The test files are single row groups, which Spark
+    reads in ONE task; when a scan has fewer partitions than the cluster's
+    default parallelism it is spread round-robin over that many partitions
+    (an explicit count, so AQE keeps it).  A real multi-file table already
+    scans in parallel and is returned untouched."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        df = df.repartition(par)
+    return df
 
 
 # --------------------------------------------------------------------------- frames
