@@ -48,36 +48,47 @@ def _route_single_pass(rows: DataFrame, params: FilterParams) -> DataFrame:
 
 
 def route_frames(rows: DataFrame, params: FilterParams = FilterParams(),
-                 hot_camera_rows: int = HOT_CAMERA_ROWS, chunk_us: int = DAY_US) -> DataFrame:
+                 hot_camera_rows: int = HOT_CAMERA_ROWS, chunk_us: int | None = None,
+                 target_chunk_rows: int = HOT_CAMERA_ROWS // 2) -> DataFrame:
     """T5: kind ∈ cats | background | dropped (NULL for pure control rows) + manual_save.
 
     Cameras with fewer than ``hot_camera_rows`` frames: one shuffle by camera,
     sorted within partitions, one streaming fold per partition.  Hotter
     cameras (found with a per-camera count; at most total/threshold of them)
     are routed by :func:`route_hot_cameras` in bounded time chunks."""
-    counts = rows.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_camera_rows)
-    hot = [r.camera_id for r in counts.select("camera_id").collect()]   # bounded by total / threshold
+    stats = rows.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("lo"),
+                                          F.max("us").alias("hi")).where(F.col("n") >= hot_camera_rows)
+    hot = stats.collect()                                   # bounded by total / threshold
     if not hot:
         return _route_single_pass(rows, params)
-    cold = _route_single_pass(rows.where(~F.col("camera_id").isin(hot)), params)
-    return cold.unionByName(route_hot_cameras(rows.where(F.col("camera_id").isin(hot)), params, chunk_us))
+    if chunk_us is None:
+        # time span holding ~target_chunk_rows frames of the densest hot camera
+        chunk_us = max(min(int((h.hi - h.lo + 1) * target_chunk_rows / h.n) for h in hot), 1)
+    names = [h.camera_id for h in hot]
+    cold = _route_single_pass(rows.where(~F.col("camera_id").isin(names)), params)
+    return cold.unionByName(route_hot_cameras(rows.where(F.col("camera_id").isin(names)), params, chunk_us))
 
 
 def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int = DAY_US,
                       work_dir: str | None = None) -> DataFrame:
     """Exact routing of long camera histories in time-ordered waves.
 
-    Wave k routes the k-th time chunk of every hot camera in parallel; each
-    task sees one (camera, chunk) slice — bounded by the chunk length, never
-    the whole history — preceded by the camera's carried state (last accepted
-    cat frame and histogram, last background time).  Decisions and end states
-    are written to the shared checkpoint folder, so lineage stays one wave
-    long and a lost executor only repeats its task of the current wave."""
+    The compact routing rows of the hot cameras are materialised once in the
+    shared checkpoint folder, partitioned by time chunk.  Wave k then reads
+    only chunk k (partition pruning) and routes it for every hot camera in
+    parallel; each task sees one (camera, chunk) slice — bounded by the chunk
+    length, never the whole history — preceded by the camera's carried state
+    (last accepted cat frame and histogram, last background time).  Decisions
+    and end states are written back to the checkpoint folder, so lineage stays
+    one wave long and a lost executor only repeats its task of the current wave."""
     spark = rows.sparkSession
     base = work_dir or os.path.join(checkpoint_dir(spark), "route-waves", uuid.uuid4().hex)
-    r = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
-            .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long"))
-    chunks = [x.chunk for x in r.select("chunk").distinct().orderBy("chunk").collect()]  # duration / chunk_us
+    staged = os.path.join(base, "input")
+    rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
+        .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long")) \
+        .write.mode("overwrite").partitionBy("chunk").parquet(staged)
+    r = spark.read.parquet(staged)
+    chunks = [x.chunk for x in r.select("chunk").distinct().orderBy("chunk").collect()]  # partition listing
     state = None
     router = make_wave_router(params)
     for k in chunks:
@@ -95,10 +106,10 @@ def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int = DAY
         wave = data.repartition("camera_id") \
                    .sortWithinPartitions("camera_id", F.col("is_state").desc(), "us", "frame_id") \
                    .mapInPandas(router, WAVE_OUT_SCHEMA)
-        out = os.path.join(base, f"wave={k}")
+        out = os.path.join(base, "out", f"wave={k}")
         wave.write.mode("overwrite").parquet(out)
         state = spark.read.parquet(out).where(F.col("is_state"))
-    done = spark.read.parquet(base).where(~F.col("is_state"))
+    done = spark.read.parquet(os.path.join(base, "out")).where(~F.col("is_state"))
     return done.select("camera_id", "frame_id", "us", "has_cats", "kind", "manual_save")
 
 

@@ -162,6 +162,10 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
     waves = {r.frame_id: (r.kind, r.manual_save)
              for r in cu.route_frames(df, p, hot_camera_rows=100, chunk_us=7 * day).collect()}
     assert waves == single
+    # adaptive chunk size: ~30 frames per (camera, chunk) slice
+    adaptive = {r.frame_id: (r.kind, r.manual_save)
+                for r in cu.route_frames(df, p, hot_camera_rows=100, target_chunk_rows=30).collect()}
+    assert adaptive == single
     assert len(single) == 340
 
 
