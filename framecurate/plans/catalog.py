@@ -275,7 +275,9 @@ def q_convert_warnings(spark, d):
 # -------------------------------------------------------------------------- joins
 def _task_paths(spark, d):
     t = _tasks(spark, d).where(F.coalesce("image_url", F.lit("")) != "")
-    return t.select("file", "pos", nm.image_path("image_url", DOC_ROOT).alias("path"))
+    # image_path is never NULL for a non-empty URL; the non-nullable key stops the
+    # join's inferred isnotnull() from re-evaluating the whole path expression
+    return t.select("file", "pos", F.coalesce(nm.image_path("image_url", DOC_ROOT), F.lit("")).alias("path"))
 
 
 def q_image_exists_semi(spark, d):

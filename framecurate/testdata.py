@@ -25,15 +25,31 @@ THUMB = 32                             # pixel adapter: 32×32 thumbnails per pa
 CLAHE_GRID = 2                         # 2×2 tiles of 16×16 px (256 px per tile)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a driver table.  The test files are single row groups, which Spark
-    reads in ONE task; when a scan has fewer partitions than the cluster's
-    default parallelism it is spread round-robin over that many partitions
-    (an explicit count, so AQE keeps it).  A real multi-file table already
-    scans in parallel and is returned untouched."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _size_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """Scan a driver table.
+
+    The test files are single row groups, which Spark reads in ONE task.  A
+    scan with fewer partitions than the cluster's default parallelism is
+    spread round-robin over that many partitions (an explicit count, so AQE
+    keeps it) when it is big enough to be worth a shuffle (> 1 MB) or when
+    the caller expands it (``spread=True``, e.g. pixel generation).  A real
+    multi-file table already scans in parallel and is returned untouched."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
     par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    if df.rdd.getNumPartitions() >= par or spread is False:
+        return df
+    if spread or _size_bytes(spark, path) > SPREAD_MIN_BYTES:
         df = df.repartition(par)
     return df
 
@@ -259,7 +275,7 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------------ pixels
 def thumbnail_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> DataFrame:
     """(frame_id, x, y, b, g, r): a size×size BGR thumbnail per part."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    p = table(spark, sf_dir, "part", spread=True).select("p_partkey", "p_size")
     px = p.select(F.col("p_partkey").alias("frame_id"), "p_size",
                   F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("i"))
     x = F.col("i") % size
@@ -273,7 +289,7 @@ def thumbnail_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> Dat
 
 def luminance_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> DataFrame:
     """(frame_id, x, y, l): an 8-bit L channel per part for the equaliser."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    p = table(spark, sf_dir, "part", spread=True).select("p_partkey", "p_size")
     px = p.select(F.col("p_partkey").alias("frame_id"), "p_size",
                   F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("i"))
     x = F.col("i") % size
