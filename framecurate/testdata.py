@@ -273,10 +273,22 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ pixels
+def _frames_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame rows hash-partitioned by frame_id, with an explicit partition count
+    (AQE keeps it), BEFORE their pixels are generated: one shuffle of one row
+    per frame, after which every per-frame / per-tile aggregation and the
+    per-frame LUT join reuse this partitioning — no pixel row is shuffled."""
+    # same count as the shuffles of later per-frame steps, so a frame_id join
+    # after a Python UDF (which drops partitioning info) stays co-partitioned
+    par = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("frame_id"), "p_size")
+    return p.repartition(par, "frame_id")
+
+
 def thumbnail_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> DataFrame:
     """(frame_id, x, y, b, g, r): a size×size BGR thumbnail per part."""
-    p = table(spark, sf_dir, "part", spread=True).select("p_partkey", "p_size")
-    px = p.select(F.col("p_partkey").alias("frame_id"), "p_size",
+    p = _frames_by_id(spark, sf_dir)
+    px = p.select("frame_id", "p_size",
                   F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("i"))
     x = F.col("i") % size
     y = F.floor(F.col("i") / size).cast("int")
@@ -289,8 +301,8 @@ def thumbnail_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> Dat
 
 def luminance_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> DataFrame:
     """(frame_id, x, y, l): an 8-bit L channel per part for the equaliser."""
-    p = table(spark, sf_dir, "part", spread=True).select("p_partkey", "p_size")
-    px = p.select(F.col("p_partkey").alias("frame_id"), "p_size",
+    p = _frames_by_id(spark, sf_dir)
+    px = p.select("frame_id", "p_size",
                   F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("i"))
     x = F.col("i") % size
     y = F.floor(F.col("i") / size).cast("int")
