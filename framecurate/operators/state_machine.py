@@ -186,9 +186,6 @@ def make_partition_router(p: FilterParams):
 # A camera with a very long history is routed in time-ordered waves of bounded
 # chunks.  Each wave's task gets the camera's carried state as a leading
 # "state row" (is_state = True) followed by the chunk's rows in order.
-STATE_ROW_SCHEMA = ("camera_id string, is_state boolean, us long, frame_id long, has_cats boolean, "
-                    "control string, hist array<double>, s_cat_us long, s_cat_hist array<double>, "
-                    "s_cat_fid long, s_bg_us long")
 WAVE_OUT_SCHEMA = ("camera_id string, is_state boolean, frame_id long, us long, has_cats boolean, kind string, "
                    "manual_save boolean, s_cat_us long, s_cat_hist array<double>, s_cat_fid long, s_bg_us long")
 

@@ -7,7 +7,6 @@ names match the DuckDB oracles in ``framecurate.plans.oracles``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framecurate import testdata as td

@@ -17,7 +17,7 @@ from framecurate.operators.images import THUMB_SIZE, thumbnail_pixels
 import os
 import uuid
 
-from framecurate.operators.state_machine import (ROUTE_SCHEMA, STATE_ROW_SCHEMA, WAVE_OUT_SCHEMA, FilterParams,
+from framecurate.operators.state_machine import (ROUTE_SCHEMA, WAVE_OUT_SCHEMA, FilterParams,
                                                  make_partition_router, make_wave_router)
 from framecurate.session import checkpoint_dir
 

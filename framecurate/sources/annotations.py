@@ -79,6 +79,17 @@ def labeled_filenames(tasks: DataFrame) -> DataFrame:
     return tasks.where(F.col("filename").isNotNull()).select("filename").distinct()
 
 
+def read_labeled_filenames(spark: SparkSession, path: str) -> DataFrame:
+    """S4b from storage: filenames already in an export; a missing path is an
+    empty set (not an error), like the reference's skip list."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return spark.createDataFrame([], "filename string")
+    return labeled_filenames(parse_task_files(read_annotation_files(spark, path)))
+
+
 def typed_tasks(tasks: DataFrame) -> DataFrame:
     """Typed projection of the first annotation set's results (F8)."""
     from framecurate.schemas import TASK_RESULT

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from framecurate.plans import convert as cv
 from framecurate.plans import labeling as lb
 from framecurate.plans import merge as mg
@@ -120,3 +118,11 @@ def test_export_queue_order_and_task_json(spark):
 def test_labeled_filenames_distinct(spark):
     files = _files(spark, {"e.json": json.dumps([_task("/x/a.jpg"), _task("/y/a.jpg"), 5, {"data": {}}])})
     assert [r.filename for r in labeled_filenames(parse_task_files(files)).collect()] == ["a.jpg"]
+
+
+def test_read_labeled_filenames_missing_and_present(spark, tmp_path):
+    from framecurate.sources.annotations import read_labeled_filenames
+    assert read_labeled_filenames(spark, str(tmp_path / "nope.json")).count() == 0
+    f = tmp_path / "export.json"
+    f.write_text(json.dumps({"annotations": [_task("/data/local-files/?d=data/raw/x1.jpg")]}))
+    assert [r.filename for r in read_labeled_filenames(spark, str(f)).collect()] == ["x1.jpg"]

@@ -5,8 +5,6 @@ import datetime as dt
 import uuid
 
 import numpy as np
-import pytest
-from pyspark.sql import functions as F
 
 from conftest import image_row, make_frame, make_random_frame
 from framecurate.operators.histogram import bhattacharyya as bh_col

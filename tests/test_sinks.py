@@ -4,7 +4,6 @@ import datetime as dt
 import json
 import os
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import image_row, make_frame
