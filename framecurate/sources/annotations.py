@@ -88,12 +88,3 @@ def read_labeled_filenames(spark: SparkSession, path: str) -> DataFrame:
     if not fs.exists(p):
         return spark.createDataFrame([], "filename string")
     return labeled_filenames(parse_task_files(read_annotation_files(spark, path)))
-
-
-def typed_tasks(tasks: DataFrame) -> DataFrame:
-    """Typed projection of the first annotation set's results (F8)."""
-    from framecurate.schemas import TASK_RESULT
-    from pyspark.sql import types as T
-    results = F.try_variant_get(F.col("task"), "$.annotations[0].result",
-                                T.ArrayType(TASK_RESULT).simpleString())
-    return tasks.withColumn("results", results)
