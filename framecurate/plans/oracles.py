@@ -143,7 +143,7 @@ f AS (
          CASE WHEN e.event_type = 'signup' THEN 'manual_background'
               WHEN e.event_type = 'error' AND e.value > 200 THEN 'reset' END AS control,
          {_norm_sql('v.embedding')} AS h
-  FROM events e JOIN embeddings v ON e.event_id % {td.HIST_VECTORS} = v.vec_id
+  FROM events e JOIN embeddings v ON e.event_id % (SELECT count(*) FROM embeddings) = v.vec_id
   {{where}}),
 fr_ AS (SELECT *, row_number() OVER (PARTITION BY camera_id ORDER BY us, frame_id) AS rn FROM f)"""
 

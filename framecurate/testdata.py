@@ -20,7 +20,7 @@ VF_SIMILARITY = 0.42
 VF_MIN_US = 2 * HOURS
 VF_MAX_US = 30 * HOURS
 BG_INTERVAL_US = 60 * HOURS
-HIST_VECTORS = 500                     # events.event_id % 500 → embeddings.vec_id
+MAX_BROADCAST_VECTORS = 100_000        # histogram dimension broadcast only below this many rows
 THUMB = 32                             # pixel adapter: 32×32 thumbnails per part
 CLAHE_GRID = 2                         # 2×2 tiles of 16×16 px (256 px per tile)
 
@@ -70,22 +70,23 @@ def filter_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _hist_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(vec_id, hist) for the HIST_VECTORS vectors the join key can reach.
-
-    The filter is what bounds the broadcast: at most HIST_VECTORS rows of
-    64 doubles, whatever the size of the embeddings table."""
+def _hist_dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """(vec_id, hist) for every embedding (min-max normalised |embedding|) and
+    the number of vectors; frame histograms map event_id % n → vec_id."""
     from framecurate.operators.histogram import minmax_normalize
-    emb = table(spark, sf_dir, "embeddings").where((F.col("vec_id") >= 0) & (F.col("vec_id") < HIST_VECTORS))
-    return emb.select("vec_id",
-                      minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+    emb = table(spark, sf_dir, "embeddings")
+    n = emb.count()
+    dim = emb.select("vec_id",
+                     minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
+    # broadcast behind a checked size; a bigger dimension takes a shuffle join
+    return (F.broadcast(dim) if n <= MAX_BROADCAST_VECTORS else dim), n
 
 
 def routing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames with their histogram in one scan of `events` (broadcast dimension join)."""
-    emb = _hist_dimension(spark, sf_dir)
+    """Frames with their histogram in one scan of `events` (dimension join)."""
+    emb, n = _hist_dimension(spark, sf_dir)
     ev = table(spark, sf_dir, "events")
-    f = ev.join(F.broadcast(emb), (F.col("event_id") % HIST_VECTORS) == F.col("vec_id"), "left")
+    f = ev.join(emb, (F.col("event_id") % F.lit(max(n, 1))) == F.col("vec_id"), "left")
     return f.select(
         F.col("user_id").cast("string").alias("camera_id"),
         F.col("event_id").alias("frame_id"),
