@@ -151,3 +151,11 @@ def test_equalize_frames_preprocess(spark):
     assert arr.mean() < over.mean() and out.width == 64
     same = equalize_frames(_frames(spark, [over]), enabled=False).first().image
     assert bytes(same.data) == over.tobytes()
+
+
+def test_equalize_plane_non_divisible_size():
+    rng = np.random.default_rng(3)
+    arr = np.clip(230 + rng.integers(-20, 20, (50, 70)), 0, 255).astype(np.uint8)
+    out = eq.equalize_plane(arr, 2.0, (8, 8))
+    assert out.shape == arr.shape and out.dtype == np.uint8
+    assert out.mean() < arr.mean()
