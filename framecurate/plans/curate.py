@@ -61,16 +61,18 @@ def route_frames(rows: DataFrame, params: FilterParams = FilterParams(),
     hot = stats.collect()                                   # bounded by total / threshold
     if not hot:
         return _route_single_pass(rows, params)
-    if chunk_us is None:
-        # time span holding ~target_chunk_rows frames of the densest hot camera
-        chunk_us = max(min(int((h.hi - h.lo + 1) * target_chunk_rows / h.n) for h in hot), 1)
     names = [h.camera_id for h in hot]
+    # per camera: chunks counted from its own first frame (so wave k holds the
+    # k-th chunk of every hot camera), each spanning ~target_chunk_rows frames
+    widths = {h.camera_id: (h.lo, chunk_us if chunk_us is not None
+                            else max(int((h.hi - h.lo + 1) * target_chunk_rows / h.n), 1)) for h in hot}
     cold = _route_single_pass(rows.where(~F.col("camera_id").isin(names)), params)
-    return cold.unionByName(route_hot_cameras(rows.where(F.col("camera_id").isin(names)), params, chunk_us))
+    return cold.unionByName(route_hot_cameras(rows.where(F.col("camera_id").isin(names)), params, widths))
 
 
-def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int = DAY_US,
+def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int | dict = DAY_US,
                       work_dir: str | None = None) -> DataFrame:
+    # chunk_us: one length for all cameras, or {camera_id: (origin_us, length_us)}
     """Exact routing of long camera histories in time-ordered waves.
 
     The compact routing rows of the hot cameras are materialised once in the
@@ -84,9 +86,17 @@ def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int = DAY
     spark = rows.sparkSession
     base = work_dir or os.path.join(checkpoint_dir(spark), "route-waves", uuid.uuid4().hex)
     staged = os.path.join(base, "input")
-    rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
-        .withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long")) \
-        .write.mode("overwrite").partitionBy("chunk").parquet(staged)
+    r0 = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist")
+    if isinstance(chunk_us, dict):
+        # (origin, length) per camera: one row per hot camera, broadcast (bounded
+        # by the number of hot cameras); waves only need per-camera time order
+        w = rows.sparkSession.createDataFrame([(c, lo, wd) for c, (lo, wd) in sorted(chunk_us.items())],
+                                              "camera_id string, __lo long, __w long")
+        r0 = r0.join(F.broadcast(w), "camera_id").withColumn(
+            "chunk", F.floor((F.col("us") - F.col("__lo")) / F.col("__w")).cast("long")).drop("__lo", "__w")
+    else:
+        r0 = r0.withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long"))
+    r0.write.mode("overwrite").partitionBy("chunk").parquet(staged)
     r = spark.read.parquet(staged)
     chunks = [x.chunk for x in r.select("chunk").distinct().orderBy("chunk").collect()]  # partition listing
     state = None

@@ -146,10 +146,10 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
     state; decisions must equal the single-pass fold exactly."""
     rng = np.random.default_rng(11)
     rows, day = [], 86_400 * S
-    for cam, n in (("hot", 300), ("cold", 40)):
-        us = 0
+    for cam, n, gap in (("hot", 300, 6 * 3600), ("hot2", 200, 2 * 3600), ("cold", 40, 6 * 3600)):
+        us = int(rng.integers(0, 30 * 86_400)) * S
         for i in range(n):
-            us += int(rng.integers(1, 6 * 3600)) * S
+            us += int(rng.integers(1, gap)) * S
             hc = bool(rng.random() < 0.6)
             ctl = ("manual_background" if rng.random() < 0.08 else ("reset" if rng.random() < 0.03 else None))
             rows.append((cam, len(rows), us, hc, ctl, [float(x) for x in rng.random(16)] if hc else None))
@@ -164,7 +164,7 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
     adaptive = {r.frame_id: (r.kind, r.manual_save)
                 for r in cu.route_frames(df, p, hot_camera_rows=100, target_chunk_rows=30).collect()}
     assert adaptive == single
-    assert len(single) == 340
+    assert len(single) == 540
 
 
 def test_curate_composition(spark):
