@@ -20,8 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # image bytes cross to Python in small Arrow batches (frames are MBs each)
+    # Arrow batches to Python close at 4096 rows OR 64 MiB, whichever comes
+    # first: compact routing rows batch by count, multi-MB frames by bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
