@@ -449,7 +449,9 @@ def q_background_throttle_manual(spark, d):
 
 def q_latest_frame(spark, d):
     f = td.filter_frames(spark, d)
-    return cu.latest_frame(f, "1 day").select("camera_id", "bucket", "frame_id", "ts")
+    # wall-clock (NTZ) output: the values do not depend on any reader's time zone
+    return cu.latest_frame(f, "1 day").select("camera_id", F.col("bucket").cast("timestamp_ntz").alias("bucket"),
+                                              "frame_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}
