@@ -9,7 +9,7 @@ only for accepted frames by the sinks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framecurate.operators.histogram import dense_histogram, hs_histogram, minmax_normalize
@@ -62,17 +62,43 @@ def route_frames(rows: DataFrame, params: FilterParams = FilterParams(),
     if not hot:
         return _route_single_pass(rows, params)
     names = [h.camera_id for h in hot]
-    # per camera: chunks counted from its own first frame (so wave k holds the
-    # k-th chunk of every hot camera), each spanning ~target_chunk_rows frames
-    widths = {h.camera_id: (h.lo, chunk_us if chunk_us is not None
-                            else max(int((h.hi - h.lo + 1) * target_chunk_rows / h.n), 1)) for h in hot}
     cold = _route_single_pass(rows.where(~F.col("camera_id").isin(names)), params)
-    return cold.unionByName(route_hot_cameras(rows.where(F.col("camera_id").isin(names)), params, widths))
+    hot_rows = rows.where(F.col("camera_id").isin(names))
+    if chunk_us is not None:
+        return cold.unionByName(route_hot_cameras(hot_rows, params, chunk_us))
+    # per camera: chunks count from its own first frame; their edges follow the
+    # camera's measured frame counts (balanced, so bursts do not make one slice hot)
+    origins = {h.camera_id: (h.lo, max(int((h.hi - h.lo + 1) * target_chunk_rows / h.n) // SLOTS_PER_CHUNK, 1))
+               for h in hot}
+    return cold.unionByName(route_hot_cameras(hot_rows, params, balanced_chunks(hot_rows, origins,
+                                                                                 target_chunk_rows)))
 
 
-def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int | dict = DAY_US,
+SLOTS_PER_CHUNK = 16
+
+
+def balanced_chunks(rows: DataFrame, origins: dict, target_rows: int) -> DataFrame:
+    """(camera_id, slot, chunk): consecutive time slots of each hot camera
+    grouped into chunks of ~target_rows frames, from per-slot counts.
+
+    The slot table has (#hot cameras × span / slot length) rows — bounded by
+    the slot count, not by the number of frames — and is broadcast back."""
+    spark = rows.sparkSession
+    o = spark.createDataFrame([(c, lo, w) for c, (lo, w) in sorted(origins.items())],
+                              "camera_id string, __lo long, __sw long")
+    slots = rows.select("camera_id", "us").join(F.broadcast(o), "camera_id") \
+                .select("camera_id", F.floor((F.col("us") - F.col("__lo")) / F.col("__sw")).cast("long").alias("slot")) \
+                .groupBy("camera_id", "slot").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("camera_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = slots.select("camera_id", "slot",
+                          F.floor(F.coalesce(F.sum("__n").over(w), F.lit(0)) / F.lit(target_rows)).cast("long")
+                          .alias("chunk"))
+    return chunks.join(F.broadcast(o), "camera_id").select("camera_id", "slot", "chunk", "__lo", "__sw")
+
+
+def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: "int | DataFrame" = DAY_US,
                       work_dir: str | None = None) -> DataFrame:
-    # chunk_us: one length for all cameras, or {camera_id: (origin_us, length_us)}
+    # chunk_us: one chunk length for all cameras, or a balanced_chunks() table
     """Exact routing of long camera histories in time-ordered waves.
 
     The compact routing rows of the hot cameras are materialised once in the
@@ -87,13 +113,14 @@ def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: int | dic
     base = work_dir or os.path.join(checkpoint_dir(spark), "route-waves", uuid.uuid4().hex)
     staged = os.path.join(base, "input")
     r0 = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist")
-    if isinstance(chunk_us, dict):
-        # (origin, length) per camera: one row per hot camera, broadcast (bounded
-        # by the number of hot cameras); waves only need per-camera time order
-        w = rows.sparkSession.createDataFrame([(c, lo, wd) for c, (lo, wd) in sorted(chunk_us.items())],
-                                              "camera_id string, __lo long, __w long")
-        r0 = r0.join(F.broadcast(w), "camera_id").withColumn(
-            "chunk", F.floor((F.col("us") - F.col("__lo")) / F.col("__w")).cast("long")).drop("__lo", "__w")
+    if isinstance(chunk_us, DataFrame):
+        # (camera_id, slot, chunk, __lo, __sw) from balanced_chunks: bounded by the
+        # slot count, broadcast; waves only need per-camera time order
+        slot = F.floor((F.col("us") - F.col("__lo")) / F.col("__sw")).cast("long")
+        o = chunk_us.select("camera_id", "__lo", "__sw").distinct()
+        r0 = r0.join(F.broadcast(o), "camera_id").withColumn("slot", slot).drop("__lo", "__sw") \
+               .join(F.broadcast(chunk_us.select("camera_id", "slot", "chunk")), ["camera_id", "slot"]) \
+               .drop("slot")
     else:
         r0 = r0.withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long"))
     r0.write.mode("overwrite").partitionBy("chunk").parquet(staged)

@@ -149,7 +149,8 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
     for cam, n, gap in (("hot", 300, 6 * 3600), ("hot2", 200, 2 * 3600), ("cold", 40, 6 * 3600)):
         us = int(rng.integers(0, 30 * 86_400)) * S
         for i in range(n):
-            us += int(rng.integers(1, gap)) * S
+            # "hot" has a burst: 100 frames one second apart in the middle
+            us += (1 if cam == "hot" and 100 <= i < 200 else int(rng.integers(1, gap))) * S
             hc = bool(rng.random() < 0.6)
             ctl = ("manual_background" if rng.random() < 0.08 else ("reset" if rng.random() < 0.03 else None))
             rows.append((cam, len(rows), us, hc, ctl, [float(x) for x in rng.random(16)] if hc else None))
