@@ -75,8 +75,11 @@ def convert_tasks(tasks: DataFrame, inventory: DataFrame, classes=None,
 
     problems = F.when(ok, F.transform(F.filter("rects", lambda r: ~is_valid(r)), problem)) \
                 .otherwise(F.array().cast("array<string>"))
+    # n_boxes counts valid boxes without formatting them, so queries that only
+    # need counts never evaluate the text (column pruning drops `lines`)
+    n_boxes = F.when(ok, F.size(F.filter("rects", is_valid))).otherwise(F.lit(0))
     return t.withColumn("lines", lines) \
-            .withColumn("n_boxes", F.size("lines")) \
+            .withColumn("n_boxes", n_boxes) \
             .withColumn("label_text", label_text("lines")) \
             .withColumn("box_problems", problems)
 
@@ -111,16 +114,19 @@ def convert_summary(converted: DataFrame, classes=None) -> DataFrame:
 
 def class_box_counts(converted: DataFrame, classes=None) -> DataFrame:
     """A3 class counts: over tasks with ≥1 written box, every result of the first
-    set whose first label is a class (type NOT checked); every class reported."""
+    set whose first label is a class (type NOT checked); every class reported.
+
+    Results are exploded and counted per label (partial aggregate, ≤ #classes
+    rows leave each task); zero rows for every class are unioned in so absent
+    classes still appear."""
     classes = list(classes or CLASS_NAMES)
+    cls_arr = F.array(*[F.lit(c) for c in classes])
     res = F.coalesce(F.col("all_results"), F.array().cast(RESULT_ARRAY))
-    with_boxes = converted.where(F.col("n_boxes") > 0)
-    def has_label(c):
-        return lambda r: F.coalesce(_first_label(r) == F.lit(c), F.lit(False))
-
-    aggs = [F.coalesce(F.sum(F.size(F.filter(res, has_label(c)))), F.lit(0)).cast("long").alias(f"c{i}")
-            for i, c in enumerate(classes)]
-    one = with_boxes.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(i).alias("class_id"), F.lit(c).alias("class_name"),
-                               F.col(f"c{i}").alias("boxes")) for i, c in enumerate(classes)])
-    return one.select(F.inline(pairs))
+    labels = converted.where(F.col("n_boxes") > 0).select(F.explode(res).alias("r")) \
+                      .select(_first_label(F.col("r")).alias("class_name"))
+    counted = labels.where(F.col("class_name").isin(classes)).groupBy("class_name") \
+                    .agg(F.count(F.lit(1)).alias("boxes"))
+    zeros = converted.sparkSession.createDataFrame([(c, 0) for c in classes], "class_name string, boxes long")
+    total = counted.unionByName(zeros).groupBy("class_name").agg(F.sum("boxes").cast("long").alias("boxes"))
+    return total.select((F.array_position(cls_arr, F.col("class_name")) - 1).cast("int").alias("class_id"),
+                        "class_name", "boxes")
