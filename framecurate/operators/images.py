@@ -78,6 +78,49 @@ def thumbnail_pixels(frames: DataFrame, size: tuple[int, int] = THUMB_SIZE) -> D
     return frames.select("frame_id", "image").mapInPandas(run, PIXEL_SCHEMA)
 
 
+def thumbnail_bytes(image, size: tuple[int, int] = THUMB_SIZE) -> Column:
+    """X2/P25 as a column: the BGR thumbnail bytes (w·h·3) of each frame, so a
+    pass that already holds the image (e.g. next to detection) can keep it."""
+    out_w, out_h = size
+
+    @pandas_udf("binary")
+    def thumb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for pdf in batches:
+            out = []
+            for d, h, w, c in zip(pdf["data"], pdf["height"], pdf["width"], pdf["nChannels"]):
+                if d is None or w is None or pd.isna(w) or w < 1:
+                    out.append(None)
+                    continue
+                out.append(bilinear_resize(_as_bgr(d, int(h), int(w), int(c)), out_w, out_h).tobytes())
+            yield pd.Series(out, dtype=object)
+
+    img = F.col(image) if isinstance(image, str) else image
+    return thumb(F.struct(img["data"].alias("data"), img["height"].alias("height"),
+                          img["width"].alias("width"), img["nChannels"].alias("nChannels")))
+
+
+def thumbnail_bytes_pixels(df: DataFrame, size: tuple[int, int] = THUMB_SIZE, col: str = "thumb") -> DataFrame:
+    """Pixel rows (frame_id, x, y, b, g, r) from thumbnail bytes (12 KB per frame)."""
+    out_w, out_h = size
+    yy, xx = np.mgrid[0:out_h, 0:out_w]
+    xs, ys = xx.ravel().astype(np.int32), yy.ravel().astype(np.int32)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parts = []
+            for fid, t in zip(pdf["frame_id"].to_numpy(), pdf[col]):
+                if t is None:
+                    continue
+                a = np.frombuffer(t, dtype=np.uint8).reshape(out_h * out_w, 3)
+                parts.append(pd.DataFrame({"frame_id": np.full(out_w * out_h, fid, dtype=np.int64), "x": xs, "y": ys,
+                                           "b": a[:, 0].astype(np.int32), "g": a[:, 1].astype(np.int32),
+                                           "r": a[:, 2].astype(np.int32)}))
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
+
+    return df.select("frame_id", col).mapInPandas(run, PIXEL_SCHEMA)
+
+
 def crop_pixels(image, bbox) -> Column:
     """Bytes of ``image[y1:y2, x1:x2]`` (half-open, box already clamped).
 

@@ -47,23 +47,38 @@ def _route_single_pass(rows: DataFrame, params: FilterParams) -> DataFrame:
     return ordered.mapInPandas(make_partition_router(params), ROUTE_SCHEMA)
 
 
+def camera_stats(rows: DataFrame, us_col: str = "us") -> DataFrame:
+    """(camera_id, n, lo, hi) per camera: a partial aggregate over two columns."""
+    return rows.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n"), F.min(us_col).alias("lo"),
+                                         F.max(us_col).alias("hi"))
+
+
 def route_frames(rows: DataFrame, params: FilterParams = FilterParams(),
                  hot_camera_rows: int = HOT_CAMERA_ROWS, chunk_us: int | None = None,
-                 target_chunk_rows: int = HOT_CAMERA_ROWS // 2) -> DataFrame:
+                 target_chunk_rows: int = HOT_CAMERA_ROWS // 2, stats: DataFrame | None = None) -> DataFrame:
     """T5: kind ∈ cats | background | dropped (NULL for pure control rows) + manual_save.
 
     Cameras with fewer than ``hot_camera_rows`` frames: one shuffle by camera,
     sorted within partitions, one streaming fold per partition.  Hotter
-    cameras (found with a per-camera count; at most total/threshold of them)
-    are routed by :func:`route_hot_cameras` in bounded time chunks."""
-    stats = rows.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n"), F.min("us").alias("lo"),
-                                          F.max("us").alias("hi")).where(F.col("n") >= hot_camera_rows)
-    hot = stats.collect()                                   # bounded by total / threshold
+    cameras (at most total/threshold of them) are routed by
+    :func:`route_hot_cameras` in bounded chunks.
+
+    ``stats`` (:func:`camera_stats`) should come from a cheap source such as
+    the frame table's (camera_id, ts) columns when ``rows`` is expensive to
+    recompute (decoding, detection); otherwise it is computed from ``rows``.
+    When hot cameras exist, ``rows`` is staged once in the checkpoint folder
+    and both passes read the staged copy, so the upstream runs once."""
+    st = stats if stats is not None else camera_stats(rows.select("camera_id", "us"))
+    hot = st.where(F.col("n") >= hot_camera_rows).collect()      # bounded by total / threshold
     if not hot:
         return _route_single_pass(rows, params)
+    spark = rows.sparkSession
+    base = os.path.join(checkpoint_dir(spark), "route-input", uuid.uuid4().hex)
+    rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist").write.mode("overwrite").parquet(base)
+    staged = spark.read.parquet(base)
     names = [h.camera_id for h in hot]
-    cold = _route_single_pass(rows.where(~F.col("camera_id").isin(names)), params)
-    hot_rows = rows.where(F.col("camera_id").isin(names))
+    cold = _route_single_pass(staged.where(~F.col("camera_id").isin(names)), params)
+    hot_rows = staged.where(F.col("camera_id").isin(names))
     if chunk_us is not None:
         return cold.unionByName(route_hot_cameras(hot_rows, params, chunk_us))
     # per camera: chunks count from its own first frame; their edges follow the
@@ -179,25 +194,39 @@ def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterPara
            hot_camera_rows: int = HOT_CAMERA_ROWS) -> DataFrame:
     """The capture loop as one DataFrame chain.
 
-    frames (camera_id, frame_id, ts, image[, control]) → optional ``preprocess``
-    (a DataFrame → DataFrame transform, e.g. contrast equalisation) → X1
-    detection → P4/F1/F2 → histograms of frames with cats only → T5 routing →
-    rows with ``kind`` ready for the K1-K3 sinks.  Image bytes are not part
-    of the routing shuffle; they are joined back for saved frames only."""
+    1. One pass over the frame bytes: optional ``preprocess`` (e.g. contrast
+       equalisation), X1 detection and the 64×64 thumbnail, evaluated together
+       (the image column is read once).  P4/F1/F2 run as Column expressions.
+    2. The compact per-frame result (ids, time, detections, thumbnail — no
+       image bytes) is staged once in the checkpoint folder, so inference and
+       decoding never run twice.
+    3. Histograms (for frames with cats only) and T5 routing read the staged
+       table; hot-camera detection reads only (camera_id, ts) of the input.
+    4. Image bytes are joined back (and preprocessed again) for saved frames
+       only, ready for the K1-K3 sinks."""
     from framecurate.functions.boxes import class_scope, confidence_filter
-    from framecurate.operators.images import detect
+    from framecurate.operators.images import detect, thumbnail_bytes, thumbnail_bytes_pixels
 
     f = preprocess(frames) if preprocess is not None else frames
-    det = detect(f, make_predict_fn)
+    if "control" not in f.columns:
+        f = f.withColumn("control", F.lit(None).cast("string"))
+    det = detect(f, make_predict_fn).withColumn("thumb", thumbnail_bytes("image"))
     det = det.withColumn("detections", class_scope(confidence_filter("detections", confidence), num_classes))
-    det = det.withColumn("has_cats", F.size("detections") > 0)
-    if "control" not in det.columns:
-        det = det.withColumn("control", F.lit(None).cast("string"))
-    # variety histograms only for frames with cats (the reference skips the rest)
-    hists = frame_histograms(det.where(F.col("has_cats")).select("frame_id", "image"))
-    routed = route_frames(routing_input(det.select("camera_id", "frame_id", "ts", "has_cats", "control"), hists),
-                          params, hot_camera_rows)
-    keep = routed.where(F.col("kind").isin("cats", "background") | F.col("manual_save"))
-    return keep.join(det.select("frame_id", "ts", "image", "detections"), "frame_id") \
-               .withColumn("kind", F.when(F.col("kind").isin("cats", "background"), F.col("kind"))
-                           .otherwise(F.lit("manual_background")))
+    compact = det.select("camera_id", "frame_id", "ts", "control", "detections",
+                         (F.size("detections") > 0).alias("has_cats"), "thumb")
+    spark = frames.sparkSession
+    base = os.path.join(checkpoint_dir(spark), "curate", uuid.uuid4().hex)
+    compact.write.mode("overwrite").parquet(base)
+    staged = spark.read.parquet(base)
+    sparse = hs_histogram(thumbnail_bytes_pixels(staged.where(F.col("has_cats"))))
+    hists = dense_histogram(sparse).select("frame_id", minmax_normalize("hist").alias("hist"))
+    stats = camera_stats(frames.select("camera_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")))
+    routed = route_frames(routing_input(staged.select("camera_id", "frame_id", "ts", "has_cats", "control"), hists),
+                          params, hot_camera_rows, stats=stats)
+    keep = routed.where(F.col("kind").isin("cats", "background") | F.col("manual_save")) \
+                 .join(staged.select("frame_id", "ts", "detections"), "frame_id") \
+                 .withColumn("kind", F.when(F.col("kind").isin("cats", "background"), F.col("kind"))
+                             .otherwise(F.lit("manual_background")))
+    # image bytes only for saved frames (AQE broadcasts the id side when small)
+    saved = f.join(keep.select("frame_id"), "frame_id", "left_semi").select("frame_id", "image")
+    return keep.join(saved, "frame_id")

@@ -168,8 +168,9 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
     assert len(single) == 540
 
 
-def test_curate_composition(spark):
-    """Detection → filters → histograms → routing on real frame bytes."""
+def test_curate_composition(spark, tmp_path):
+    """Detection → filters → histograms → routing on real frame bytes;
+    the model sees every frame exactly once."""
     t0 = dt.datetime(2024, 1, 1)
     frames = [("cam", 0, t0, make_frame(color=(200, 50, 50))),
               ("cam", 1, t0 + dt.timedelta(seconds=1), make_frame(color=(200, 50, 50))),
@@ -179,15 +180,21 @@ def test_curate_composition(spark):
                                "camera_id string, frame_id long, ts timestamp, image struct<origin:string,"
                                "height:int,width:int,nChannels:int,mode:int,data:binary>")
 
+    log = str(tmp_path / "calls.log")
+
     def make():
         def predict(imgs):
+            with open(log, "a") as fh:
+                fh.write("x\n" * len(imgs))
             # a "cat" wherever the frame is not black
             return [np.array([[10, 10, 200, 200, 0.9, 15]]) if img.max() > 0 else np.zeros((0, 6)) for img in imgs]
         return predict
 
     p = FilterParams(similarity=0.15, min_us=0, max_us=30 * S, background_us=60 * S)
-    out = {r.frame_id: r.kind for r in cu.curate(df, make, p).collect()}
-    assert out == {0: "cats", 2: "cats", 3: "background"}
+    rows = cu.curate(df, make, p).collect()
+    assert {r.frame_id: r.kind for r in rows} == {0: "cats", 2: "cats", 3: "background"}
+    assert all(r.image is not None for r in rows)
+    assert open(log).read().count("x") == 4
 
 
 def test_streaming_latest_frame_and_incremental_queue(spark, tmp_path):
