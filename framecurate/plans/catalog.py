@@ -309,8 +309,7 @@ def q_session_stats(spark, d):
 
 
 def q_merge_stats(spark, d):
-    files = td.export_file_texts(spark, d)
-    return mg.merge_stats(files, parse_task_files(files))
+    return mg.merge_stats(td.export_file_texts(spark, d))
 
 
 def q_tasks_per_file(spark, d):

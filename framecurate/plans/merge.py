@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framecurate.operators.dedup import dedup_first
-from framecurate.sources.annotations import file_status
+from framecurate.functions.naming import image_filename
+from framecurate.sources.annotations import MERGE_WRAPPER_KEYS, file_status, task_array
 
 
 def merge_dedup_first(tasks: DataFrame) -> DataFrame:
@@ -15,18 +16,18 @@ def merge_dedup_first(tasks: DataFrame) -> DataFrame:
                        key="filename", order=["file", "pos"])
 
 
-def merge_stats(files: DataFrame, tasks: DataFrame) -> DataFrame:
+def merge_stats(files: DataFrame, wrapper_keys=MERGE_WRAPPER_KEYS) -> DataFrame:
     """A2: files (incl. unreadable), total tasks (incl. no URL), duplicates, unique.
 
-    One global aggregate over the union of per-file and per-task rows; the
-    distinct count runs as a partial aggregate per map task before the shuffle."""
-    per_file = file_status(files).select(
-        "file", F.col("n_tasks").cast("long").alias("n_tasks"), F.lit(None).cast("string").alias("filename"))
-    per_task = tasks.where(F.col("filename").isNotNull()).select(
-        F.lit(None).cast("string").alias("file"), F.lit(0).cast("long").alias("n_tasks"), "filename")
-    agg = per_file.unionByName(per_task).agg(
-        F.count("file").alias("files"),
-        F.coalesce(F.sum("n_tasks"), F.lit(0)).cast("long").alias("total"),
+    One parse of each file: ``posexplode_outer`` keeps empty and unreadable
+    files as one NULL row, so a single aggregate gives every counter; the
+    distinct counts are partial aggregates before the shuffle."""
+    arr = task_array(F.try_parse_json(F.col("text")), wrapper_keys, False)
+    ex = files.select("file", F.posexplode_outer(arr).alias("pos", "task"))
+    name = image_filename(F.try_variant_get(F.col("task"), "$.data.image", "string"))
+    agg = ex.select("file", "pos", name.alias("filename")).agg(
+        F.count_distinct("file").alias("files"),
+        F.count("pos").alias("total"),
         F.count("filename").alias("with_name"),
         F.count_distinct("filename").alias("unique_tasks"))
     return agg.select("files", "total", (F.col("with_name") - F.col("unique_tasks")).alias("duplicates"),

@@ -32,7 +32,7 @@ def read_annotation_files(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
-def _task_array(j: Column, wrapper_keys, single_task_fallback: bool) -> Column:
+def task_array(j: Column, wrapper_keys, single_task_fallback: bool) -> Column:
     as_list = F.try_variant_get(j, "$", "array<variant>")
     wrapped = [F.try_variant_get(j, f"$.{k}", "array<variant>") for k in wrapper_keys]
     arr = F.coalesce(as_list, *wrapped)
@@ -51,7 +51,7 @@ def parse_task_files(files: DataFrame, wrapper_keys=MERGE_WRAPPER_KEYS,
     ``parsed`` flag is kept on a single NULL-task row by ``file_status``)."""
     j = F.try_parse_json(F.col("text"))
     staged = files.select("file", j.alias("j"))
-    arr = _task_array(F.col("j"), wrapper_keys, single_task_fallback)
+    arr = task_array(F.col("j"), wrapper_keys, single_task_fallback)
     ex = staged.select("file", F.posexplode(arr).alias("pos", "task"))
     url = F.try_variant_get(F.col("task"), "$.data.image", "string")
     return ex.select("file", "pos", "task",
@@ -62,7 +62,7 @@ def parse_task_files(files: DataFrame, wrapper_keys=MERGE_WRAPPER_KEYS,
 def file_status(files: DataFrame, wrapper_keys=MERGE_WRAPPER_KEYS) -> DataFrame:
     """(file, parsed BOOLEAN, n_tasks) per file — includes unreadable files."""
     j = F.try_parse_json(F.col("text"))
-    arr = _task_array(j, wrapper_keys, False)
+    arr = task_array(j, wrapper_keys, False)
     return files.select("file", j.isNotNull().alias("parsed"),
                         F.coalesce(F.size(arr), F.lit(0)).alias("n_tasks"))
 

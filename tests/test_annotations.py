@@ -32,7 +32,7 @@ def test_merge_first_wins_and_stats(spark):
     merged = mg.merge_dedup_first(tasks).orderBy("file", "pos").collect()
     assert [r.filename for r in merged] == ["img1.jpg", "img2.jpg", "img3.jpg"]
     assert merged[1].file == "export_a.json"                   # first wins
-    s = mg.merge_stats(files, tasks).first()
+    s = mg.merge_stats(files).first()
     assert (s.files, s.total, s.duplicates, s.unique_tasks) == (2, 4, 1, 3)
 
 
@@ -43,7 +43,7 @@ def test_wrapped_bad_and_other_json(spark):
     per = {r.file: r.n_tasks for r in mg.tasks_per_file(files).collect()}
     assert per == {"w.json": 1, "bad.json": 0, "num.json": 0, "res.json": 2}
     assert [r.key for r in read_warnings(files).collect()] == ["bad.json"]
-    s = mg.merge_stats(files, parse_task_files(files)).first()
+    s = mg.merge_stats(files).first()
     assert s.files == 4 and s.total == 3
 
 
