@@ -11,7 +11,7 @@ from __future__ import annotations
 from framecurate import testdata as td
 from framecurate.functions.classes import COCO_NAMES
 
-H = td.HOURS
+URL_ROOT_SQL = "/srv/ls"          # same document root as catalog.URL_ROOT
 
 # ----------------------------------------------------------------- SQL fragments
 EXPORT_CTE = f"""
@@ -455,6 +455,3 @@ WITH f AS (SELECT CAST(user_id AS VARCHAR) AS camera_id, event_id AS frame_id, t
 k AS (SELECT *, row_number() OVER (PARTITION BY camera_id, bucket ORDER BY ts DESC, frame_id DESC) AS rn FROM f)
 SELECT camera_id, bucket, frame_id, ts FROM k WHERE rn = 1"""
     return q
-
-
-URL_ROOT_SQL = "/srv/ls"
