@@ -53,20 +53,25 @@ def seeded_split(samples: DataFrame, ratios=DEFAULT_RATIOS, seed: int = DEFAULT_
     if abs(r_train + r_val + r_test - 1.0) >= 1e-6:
         raise ValueError("Split ratios must sum to 1.0")
     k = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    s = samples.withColumn("__k", k).withColumn("__b", F.substring("__k", 1, hex_digits))
-    counts = s.groupBy("__b").agg(F.count(F.lit(1)).alias("__nb"))
+    # non-nullable bucket key: no inferred isnotnull filter makes the two
+    # branches below differ, so their shuffle is shared (ReusedExchange)
+    s = samples.withColumn("__k", F.coalesce(k, F.lit(""))) \
+               .withColumn("__b", F.coalesce(F.substring("__k", 1, hex_digits), F.lit("")))
+    # rank inside each hash bucket first; the bucket counts are then read from
+    # the same (reused) exchange, so the samples are computed only once
+    within = s.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy("__k", key)) - 1)
+    counts = within.groupBy("__b").agg((F.max("__r") + 1).alias("__nb"))
     # ≤ 16^hex_digits rows: the prefix sum runs on a bounded table
     w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("__b", F.coalesce(F.sum("__nb").over(w), F.lit(0)).alias("__base"),
                           F.sum("__nb").over(Window.partitionBy()).alias("__n"))
-    rn = F.col("__base") + F.row_number().over(Window.partitionBy("__b").orderBy("__k", key)) - 1
-    ranked = s.join(F.broadcast(bases), "__b").withColumn("__rn", rn)
+    ranked = within.join(F.broadcast(bases), "__b").withColumn("__rn", F.col("__base") + F.col("__r"))
     n = F.col("__n").cast("double")
     n_train = F.floor(n * F.lit(r_train)).cast("long")
     n_val = F.floor(n * F.lit(r_val)).cast("long")
     split = F.when(F.col("__rn") < n_train, F.lit("train")) \
              .when(F.col("__rn") < n_train + n_val, F.lit("val")).otherwise(F.lit("test"))
-    return ranked.withColumn("split", split).drop("__k", "__b", "__base", "__n", "__rn")
+    return ranked.withColumn("split", split).drop("__k", "__b", "__base", "__n", "__rn", "__r")
 
 
 def split_counts(split_df: DataFrame) -> DataFrame:
