@@ -183,20 +183,25 @@ def lab_to_bgr(l, a, b) -> Column:
 
 
 # ------------------------------------------------------------------------- X1
-def detect(frames: DataFrame, make_predict_fn: Callable, batch_size: int = 16) -> DataFrame:
+# Loaded models, per Python worker process (workers are reused across tasks).
+_MODELS: dict = {}
+
+
+def detect(frames: DataFrame, make_predict_fn: Callable, batch_size: int = 16,
+           model_key: str | None = None) -> DataFrame:
     """Batched inference with a user model, loaded once per Python worker.
 
     ``make_predict_fn()`` returns ``predict(list[np.ndarray BGR]) -> list[np.ndarray
     (n, 6)]`` with rows (x1, y1, x2, y2, confidence, class_id) as floats.  Boxes
     become int (truncation, P4); missing output → empty array.  Confidence and
     class filters (F1, F2) are applied afterwards as Column expressions."""
-    cache: dict = {}
+    key = model_key or f"{getattr(make_predict_fn, '__module__', '')}.{getattr(make_predict_fn, '__qualname__', id(make_predict_fn))}"
 
     @pandas_udf(DETECTIONS)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        if "fn" not in cache:
-            cache["fn"] = make_predict_fn()
-        fn = cache["fn"]
+        fn = _MODELS.get(key)
+        if fn is None:                       # first task of this worker process
+            fn = _MODELS[key] = make_predict_fn()
         for pdf in batches:
             out = []
             for i in range(0, len(pdf), batch_size):
