@@ -239,3 +239,22 @@ def test_running_session_stats_stream(spark, tmp_path):
     q.awaitTermination(180)
     got = spark.table("t6_stats").first()
     assert tuple(got) == tuple(batch)
+
+
+def test_stream_late_rows_dropped(spark, tmp_path):
+    """Documented policy: a row older than its camera's last-seen time in an
+    earlier micro-batch is routed to dropped_late (the reference has no clock skew)."""
+    schema = "camera_id string, frame_id long, us long, has_cats boolean, control string, hist array<double>"
+    land = str(tmp_path / "late")
+    spark.createDataFrame([("c", 1, 10 * S, False, None, None), ("c", 2, 100 * S, False, None, None)], schema) \
+        .coalesce(1).write.parquet(land + "/b1")
+    spark.createDataFrame([("c", 3, 50 * S, False, None, None), ("c", 4, 200 * S, False, None, None)], schema) \
+        .coalesce(1).write.parquet(land + "/b2")
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True) \
+        .parquet(land)
+    name = f"late_{uuid.uuid4().hex}"
+    q = st.route_stream(src, FilterParams(background_us=60 * S)).writeStream.format("memory").queryName(name) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(180)
+    kinds = {r.frame_id: r.kind for r in spark.table(name).collect()}
+    assert kinds == {1: "background", 2: "background", 3: "dropped_late", 4: "background"}
