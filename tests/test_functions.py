@@ -137,3 +137,11 @@ def test_debug_summary_and_overlay(spark):
                                "f array<struct<name:string,confidence:double>>")
     r = [x.s for x in df.select(cl.debug_summary("f").alias("s")).collect()]
     assert r == ["dog: 0.91, cat: 0.87", "no detections"]
+
+
+def test_image_filename_path_edge_cases(spark):
+    urls = ["http://h/a/b/.", "http://h/a/b//", "x?d=", "/data/local-files/?d=a%20b.jpg", "http://h/p/x.jpg#frag"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = [r.f for r in df.select(nm.image_filename("u").alias("f")).collect()]
+    # Path(...).name: '.' components and trailing slashes collapse; no percent-decoding; fragments stay
+    assert got == ["b", "b", "", "a%20b.jpg", "x.jpg#frag"]
