@@ -57,6 +57,13 @@ def _routing_rows(spark, d):
     return td.routing_rows(spark, d)
 
 
+def _camera_stats(spark, d):
+    """Per-camera counts from two columns of `events` (no histogram join)."""
+    ev = td.table(spark, d, "events")
+    return cu.camera_stats(ev.select(F.col("user_id").cast("string").alias("camera_id"),
+                                     F.unix_micros(F.col("ts").cast("timestamp")).alias("us")))
+
+
 def _params():
     return FilterParams(similarity=td.VF_SIMILARITY, min_us=td.VF_MIN_US,
                         max_us=td.VF_MAX_US, background_us=td.BG_INTERVAL_US)
@@ -305,7 +312,7 @@ def q_pair_samples(spark, d):
 
 # --------------------------------------------------------------------- aggregates
 def q_session_stats(spark, d):
-    return cu.session_stats(cu.route_frames(_routing_rows(spark, d), _params()))
+    return cu.session_stats(cu.route_frames(_routing_rows(spark, d), _params(), stats=_camera_stats(spark, d)))
 
 
 def q_merge_stats(spark, d):
@@ -421,7 +428,7 @@ def q_distinct_filenames(spark, d):
 
 # ------------------------------------------------------------------------ stateful
 def q_route_frames(spark, d):
-    r = cu.route_frames(_routing_rows(spark, d), _params())
+    r = cu.route_frames(_routing_rows(spark, d), _params(), stats=_camera_stats(spark, d))
     return r.select("camera_id", "frame_id", "kind", "manual_save")
 
 
@@ -440,7 +447,7 @@ def q_background_throttle(spark, d):
 def q_background_throttle_manual(spark, d):
     rows = _routing_rows(spark, d)
     # only the background timer matters here: cat frames keep their controls but not their kind
-    r = cu.route_frames(rows, _params())
+    r = cu.route_frames(rows, _params(), stats=_camera_stats(spark, d))
     out = r.where(~F.col("has_cats") | F.col("manual_save"))
     return out.select("camera_id", "frame_id",
                       F.when(~F.col("has_cats"), F.col("kind")).alias("bg_kind"), "manual_save")
