@@ -59,8 +59,11 @@ def ship_package(spark: SparkSession) -> None:
     so workers must import it: the package is zipped and distributed with
     ``SparkContext.addPyFile`` (Spark's own file distribution)."""
     import zipfile
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:                  # no SparkContext in this client (e.g. Spark Connect)
+        sc, app = None, f"session-{id(spark)}"
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -72,7 +75,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)
 
 
