@@ -5,7 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framecurate.llm.common import prepare, table
+from framecurate.llm.common import prepare, scratch, table
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def token_records(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write docs as records, read the files back: (doc_id, start, n_tokens,
+    ids_crc32), with the place of each record in its file."""
+    from framecurate.llm import records
+    path = scratch(spark, "token-records")
+    records.write_records(docs, path, tokenizer_path())
+    return records.read_records(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"), "shard", "offset", "length")
+
+
+def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents through the binary record files."""
+    prepare(spark)
+    return token_records(spark, table(spark, sf_dir, "documents"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +40,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op2_token_records,
     op10_simhash_near_dedup,
 )}
 
