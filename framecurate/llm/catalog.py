@@ -31,6 +31,13 @@ def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-256 sketches of 5-word shingles of all documents and their edits."""
+    from framecurate.llm.sketch import compare_with_edits
+    prepare(spark)
+    return compare_with_edits(table(spark, sf_dir, "documents"), k=256, shingle=5)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: 3-word shingles, fingerprints at most 3 bits apart."""
     from framecurate.llm.simhash import simhash_components
@@ -41,6 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_token_records,
+    op3_document_fingerprints,
     op10_simhash_near_dedup,
 )}
 
