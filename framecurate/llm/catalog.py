@@ -38,6 +38,26 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(table(spark, sf_dir, "documents"), k=256, shingle=5)
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Ranker learnt from labels.quality, without the held-out third of the ids."""
+    from framecurate.llm.quality import train
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    return train(docs, labels, max_labelled=20_000, max_pairs=60_000)
+
+
+def held_out(id_col: str):
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op5_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bradley-Terry quality score of every document."""
+    from framecurate.llm.quality import score
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: 3-word shingles, fingerprints at most 3 bits apart."""
     from framecurate.llm.simhash import simhash_components
@@ -49,6 +69,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op2_token_records,
     op3_document_fingerprints,
+    op5_quality_ranking,
     op10_simhash_near_dedup,
 )}
 
