@@ -58,6 +58,13 @@ def op5_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document, with edits in up to a tenth of its characters."""
+    from framecurate.llm.decontam import find_items
+    prepare(spark)
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rate=0.1)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document: 3-word shingles, fingerprints at most 3 bits apart."""
     from framecurate.llm.simhash import simhash_components
@@ -70,6 +77,7 @@ QUERIES = {f.__name__: f for f in (
     op2_token_records,
     op3_document_fingerprints,
     op5_quality_ranking,
+    op9_benchmark_decontamination,
     op10_simhash_near_dedup,
 )}
 
