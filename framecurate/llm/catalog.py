@@ -58,6 +58,13 @@ def op5_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, weak parts only where complementary ones are near."""
+    from framecurate.llm.secrets import find_secrets
+    prepare(spark)
+    return find_secrets(table(spark, sf_dir, "documents"), scope=200)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item in every document, with edits in up to a tenth of its characters."""
     from framecurate.llm.decontam import find_items
@@ -77,6 +84,7 @@ QUERIES = {f.__name__: f for f in (
     op2_token_records,
     op3_document_fingerprints,
     op5_quality_ranking,
+    op7_secret_scan,
     op9_benchmark_decontamination,
     op10_simhash_near_dedup,
 )}
