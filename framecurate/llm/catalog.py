@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framecurate.llm import oracles
 from framecurate.llm.common import prepare, scratch, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +39,27 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(table(spark, sf_dir, "documents"), k=256, shingle=5)
 
 
+#: Target shares are the own shares to these powers: rare sources gain most.
+MIX_POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+
+
+def mixed(docs: DataFrame, keep: float) -> DataFrame:
+    from framecurate.llm import mixing
+    tokens = mixing.token_count(F.col("text"))
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.form_topic(F.col("text"), tokens)}
+    return mixing.mix(docs, dims, powers=MIX_POWERS, keep=keep, seed=11)
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its raked weight, probability and draw; the budget is
+    half of all tokens."""
+    prepare(spark)
+    got = mixed(table(spark, sf_dir, "documents"), keep=0.5)
+    return got.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+                      F.round("_weight", 6).alias("weight"), F.round("_probability", 6).alias("probability"),
+                      F.col("_selected").alias("selected"))
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
     """Ranker learnt from labels.quality, without the held-out third of the ids."""
     from framecurate.llm.quality import train
@@ -83,10 +105,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op2_token_records,
     op3_document_fingerprints,
+    op4_source_mixing,
     op5_quality_ranking,
     op7_secret_scan,
     op9_benchmark_decontamination,
     op10_simhash_near_dedup,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracles.oracle_sql(MIX_POWERS)
