@@ -87,6 +87,16 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"), scope=200)
 
 
+def op8_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff bigram score of every document under the corpus's own counts."""
+    from framecurate.llm.ngram_lm import score_documents
+    prepare(spark)
+    got = score_documents(table(spark, sf_dir, "documents"), order=2, min_count=2, backoff=0.4)
+    per_token = F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens"))
+    return got.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"),
+                      F.round(per_token, 6).alias("log_score_per_token"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item in every document, with edits in up to a tenth of its characters."""
     from framecurate.llm.decontam import find_items
@@ -108,6 +118,7 @@ QUERIES = {f.__name__: f for f in (
     op4_source_mixing,
     op5_quality_ranking,
     op7_secret_scan,
+    op8_backoff_scores,
     op9_benchmark_decontamination,
     op10_simhash_near_dedup,
 )}

@@ -89,8 +89,29 @@ SELECT doc_id, d.source, d.lang, d.topic, tokens, round(CASE WHEN tokens > 0 THE
 FROM d JOIN of ON {' AND '.join(f'd.{x} IS NOT DISTINCT FROM of.{x}' for x in dims)}, factor"""
 
 
+_BACKOFF = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower(coalesce(text, '')) AS text FROM documents),
+words AS (
+  SELECT r, unnest(range(1, len(m) + 1)) AS nth, unnest(m) AS w FROM (
+    SELECT r, regexp_extract_all(text, '[^\x09-\x0D\x20]+') AS m FROM d)),
+along AS (SELECT r, w, lag(w) OVER (PARTITION BY r ORDER BY nth) AS h FROM words),
+c1 AS (SELECT w, count(*) AS n1 FROM words GROUP BY w),
+c2 AS (SELECT h, w, count(*) AS n2 FROM along WHERE h IS NOT NULL GROUP BY h, w),
+whole AS (SELECT count(*) AS n FROM words),
+scored AS (
+  SELECT r, CASE WHEN a.h IS NULL THEN ln(c.n1 / n)
+                 WHEN n2 >= 2 THEN ln(CAST(n2 AS DOUBLE) / p.n1)
+                 ELSE ln(0.4 * c.n1 / n) END AS s
+  FROM along a JOIN c1 c USING (w) LEFT JOIN c2 USING (h, w) LEFT JOIN c1 p ON p.w = a.h, whole),
+sums AS (SELECT r, count(*) AS k, sum(s) AS s FROM scored GROUP BY r)
+SELECT doc_id, coalesce(k, 0) AS n_tokens, round(coalesce(s, 0), 4) AS log_score,
+  round(s / k, 6) AS log_score_per_token
+FROM d LEFT JOIN sums USING (r)"""
+
+
 def oracle_sql(mix_powers: dict[str, float]) -> dict[str, str]:
     return {
         "op4_source_mixing": _mixing(mix_powers, 0.5, 11, 10),
         "op7_secret_scan": _secrets(),
+        "op8_backoff_scores": _BACKOFF,
     }
