@@ -26,6 +26,13 @@ def token_records(spark: SparkSession, docs: DataFrame) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"), "shard", "offset", "length")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines of every document: 3 bits of SimHash, edit similarity 0.8."""
+    from framecurate.llm.line_dedup import line_report
+    prepare(spark)
+    return line_report(table(spark, sf_dir, "documents"), radius=3, pieces=5, similarity=0.8)
+
+
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents through the binary record files."""
     prepare(spark)
@@ -113,6 +120,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_line_dedup,
     op2_token_records,
     op3_document_fingerprints,
     op4_source_mixing,
