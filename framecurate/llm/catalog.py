@@ -87,6 +87,14 @@ def op5_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from framecurate.llm.html_crf import extract_text, train
+    prepare(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages, train(pages, max_pages=300))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, weak parts only where complementary ones are near."""
     from framecurate.llm.secrets import find_secrets
@@ -125,6 +133,7 @@ QUERIES = {f.__name__: f for f in (
     op3_document_fingerprints,
     op4_source_mixing,
     op5_quality_ranking,
+    op6_html_extraction,
     op7_secret_scan,
     op8_backoff_scores,
     op9_benchmark_decontamination,
