@@ -96,7 +96,7 @@ class WordEncoder:
     pieces seen before in a bounded table: a piece's ids do not depend on its
     neighbours.  Gives what the tokenizer gives for each whole text."""
 
-    def __init__(self, path: str, room: int = 600_000):
+    def __init__(self, path: str, room: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -113,7 +113,8 @@ class WordEncoder:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+        got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)   # without offsets
+        return np.array(got[0].ids, self.dtype)
 
     def _learn(self, new: list[str]) -> None:
         ids = self.whole(" ".join(new))
