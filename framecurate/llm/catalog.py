@@ -50,11 +50,20 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIX_POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 
 
-def mixed(docs: DataFrame, keep: float) -> DataFrame:
+def mixed(docs: DataFrame, keep: float, source: str = "source", lang: str = "lang",
+          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     from framecurate.llm import mixing
-    tokens = mixing.token_count(F.col("text"))
-    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.form_topic(F.col("text"), tokens)}
-    return mixing.mix(docs, dims, powers=MIX_POWERS, keep=keep, seed=11)
+    tokens = mixing.token_count(F.col(text_col))
+    dims = {"source": F.col(source), "lang": F.col(lang), "topic": mixing.form_topic(F.col(text_col), tokens)}
+    return mixing.mix(docs, dims, powers=MIX_POWERS, keep=keep, seed=11, id_col=id_col, text_col=text_col)
+
+
+def mixed_sample(docs: DataFrame, keep: float) -> DataFrame:
+    """The rows drawn, with the columns of docs, whatever other names they have."""
+    own = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    at = {name: f"c{docs.columns.index(name)}" for name in ("doc_id", "text", "source", "lang")}
+    got = mixed(own, keep, at["source"], at["lang"], at["doc_id"], at["text"])
+    return got.where("_selected").select(*own.columns).toDF(*docs.columns)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

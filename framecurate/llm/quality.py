@@ -150,3 +150,16 @@ def score(docs: DataFrame, model: Ranker, text_col: str = "text") -> DataFrame:
 
     own = docs.select(*names)
     return own.mapInArrow(run, own.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema)
+
+
+def keep_good(docs: DataFrame, model: Ranker, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text is predicted 1, with all their columns."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = np.array([features(t) for t in b.column(at).cast(pa.large_binary()).to_pylist()])
+                yield b.filter(pa.array(model.scores(x) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
