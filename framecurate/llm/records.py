@@ -60,12 +60,16 @@ def sequence(doc_id: int | None, ids: bytes, width: int) -> bytes:
 def payload_at(data, offset: int) -> tuple[memoryview, int]:
     """The checked payload of the record at the offset, and the next offset."""
     view = memoryview(data)
+    if len(view) < offset + _HEAD.size:
+        raise ValueError(f"record at {offset}: the file ends within it")
     length, check = _HEAD.unpack_from(view, offset)
     if check != masked_crc(view[offset:offset + 8]):
         raise ValueError(f"record at {offset}: length checksum differs")
     start = offset + _HEAD.size
     payload = view[start:start + length]
-    if len(payload) != length or _UINT.unpack_from(view, start + length)[0] != masked_crc(payload):
+    if len(view) < start + length + 5:
+        raise ValueError(f"record at {offset}: the file ends within it")
+    if _UINT.unpack_from(view, start + length)[0] != masked_crc(payload):
         raise ValueError(f"record at {offset}: payload checksum differs")
     if view[start + length + 4] != END[0]:
         raise ValueError(f"record at {offset}: no end byte")
@@ -127,8 +131,8 @@ class WordEncoder:
 
     def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, end of each text in them)."""
-        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(
-            pc.utf8_lower(texts), _APART, r" \1 "))
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.replace_substring_regex(
+            pc.utf8_lower(texts), _APART, r" \1 ")))
         coded = lists.flatten().dictionary_encode()
         index, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         new = [p for p in names if p and p not in self.known]

@@ -36,13 +36,16 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words of all texts in a row, and the
     texts' bounds in them (n + 1 values)."""
     from xxhash import xxh64_intdigest
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    # trimmed first: the split is not dependable where a text ends in white space
+    lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(pc.fill_null(
+        texts.cast(pa.large_string()), ""))))
     coded = lists.flatten().dictionary_encode()
-    own = np.array([xxh64_intdigest(w) if w else 0 for w in coded.dictionary.to_pylist()], np.uint64)
-    blank = np.array([not w for w in coded.dictionary.to_pylist()], bool)
+    names = coded.dictionary.to_pylist()
+    own = np.array([xxh64_intdigest(w) if w else 0 for w in names], np.uint64)
+    blank = np.array([not w for w in names], bool)
     index = coded.indices.to_numpy()
     bounds = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-    if blank.any():                    # what stands before a leading or behind a trailing blank
+    if blank.any():                    # of texts without words
         full = ~blank[index]
         bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
         index = index[full]
@@ -126,6 +129,11 @@ def fingerprint_documents(docs: DataFrame, text_col: str = "text", k: int = K, s
     return docs.select(*names).mapInArrow(run, schema)
 
 
+def _batch(held: dict, kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(held), kind), pa.array([to_string(x) for x in held.values()], pa.string())], names=["g", "f"])
+
+
 def merge_fingerprints(df: DataFrame, by: str, fingerprint: str = "fingerprint", k: int = K) -> DataFrame:
     """(by, fingerprint) of each group.  Every partition merges its own rows
     first, so a group sends one row a partition however many rows it has."""
@@ -136,16 +144,13 @@ def merge_fingerprints(df: DataFrame, by: str, fingerprint: str = "fingerprint",
                 if f is not None:
                     held[g] = merge(held.get(g, np.empty(0, np.uint64)), from_string(f), k)
             if len(held) >= 20_000:
-                yield pa.RecordBatch.from_arrays(_columns(held), names=["g", "f"])
+                yield _batch(held, b.schema.field(0).type)
                 held = {}
         if held:
-            yield pa.RecordBatch.from_arrays(_columns(held), names=["g", "f"])
+            yield _batch(held, b.schema.field(0).type)
 
     kind = df.select(F.col(by).alias("g"), F.lit("").alias("f")).schema
 
-    def _columns(held):
-        return [pa.array(list(held)), pa.array([to_string(x) for x in held.values()], pa.string())]
-
     own = df.select(F.col(by).alias("g"), F.col(fingerprint).alias("f"))
     parts = own.mapInArrow(partial, kind)
     dealt = parts.repartition(shuffle_partitions(df.sparkSession), "g").sortWithinPartitions("g")
@@ -158,10 +163,10 @@ def merge_fingerprints(df: DataFrame, by: str, fingerprint: str = "fingerprint",
                     held = merge(held, from_string(f), k)
                     continue
                 if begun:
-                    yield pa.RecordBatch.from_arrays(_columns({last: held}), names=["g", "f"])
+                    yield _batch({last: held}, b.schema.field(0).type)
                 last, held, begun = g, from_string(f), True
         if begun:
-            yield pa.RecordBatch.from_arrays(_columns({last: held}), names=["g", "f"])
+            yield _batch({last: held}, b.schema.field(0).type)
 
     return dealt.mapInArrow(final, kind).select(F.col("g").alias(by), F.col("f").alias("fingerprint"))
 
