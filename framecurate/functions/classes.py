@@ -71,23 +71,32 @@ def class_name_fallback(name) -> Column:
     return F.coalesce(_c(name), F.concat(F.lit("class_"), F.col("class_id").cast("string")))
 
 
-MAX_BROADCAST_CLASSES = 100_000
-
-
-def attach_class_names(df: DataFrame, names_df: DataFrame, id_col: str = "class_id",
-                       max_broadcast_rows: int = MAX_BROADCAST_CLASSES) -> DataFrame:
-    """Left join of the class dimension + P17 fallback.
-
-    The dimension is broadcast only after its row count is checked against
-    ``max_broadcast_rows`` (a class list is a few hundred rows); a larger table
-    falls back to an ordinary shuffle join."""
+def attach_class_names(df: DataFrame, names_df: DataFrame, id_col: str = "class_id") -> DataFrame:
+    """Left join of the class dimension + P17 fallback.  Spark broadcasts
+    the dimension while its size is under the session's threshold."""
     dim = names_df.select(F.col("class_id").alias("__cid"), "name")
-    small = names_df.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    out = df.join(F.broadcast(dim) if small else dim, F.col(id_col) == F.col("__cid"), "left").drop("__cid")
+    out = df.join(dim, F.col(id_col) == F.col("__cid"), "left").drop("__cid")
     return out.withColumn("name", F.coalesce(F.col("name"),
                                              F.concat(F.lit("class_"), F.col(id_col).cast("string"))))
 
 
+def best_confidence(df: DataFrame, names_df: DataFrame, min_confidence: float) -> DataFrame:
+    """Per frame and class name the best confidence of at least the minimum."""
+    ex = df.select("frame_id", F.explode("detections").alias("d")).where(F.col("d.confidence") >= min_confidence)
+    named = attach_class_names(ex.select("frame_id", F.col("d.class_id").alias("class_id"),
+                                         F.col("d.confidence").alias("confidence")), names_df)
+    return named.groupBy("frame_id", "name").agg(F.max("confidence").alias("best_confidence"))
+
+
+def ranked_detections(df: DataFrame) -> DataFrame:
+    """Detections of each frame by confidence, descending; ties by index."""
+    idx = F.transform("detections", lambda x, i: F.struct((-x["confidence"]).alias("c"), i.alias("det_idx"),
+                                                          x["confidence"].alias("confidence")))
+    return df.select("frame_id", F.posexplode(F.array_sort(idx)).alias("r", "e")).select(
+        "frame_id", (F.col("r") + 1).alias("rank"), F.col("e.det_idx").alias("det_idx"),
+        F.col("e.confidence").alias("confidence"))
+
+
 def class_color(class_id) -> Column:
     """BGR overlay colour by class id as an array<int>[3]."""
     m = F.create_map(*sum(([F.lit(k), F.array(*[F.lit(c) for c in v])]

@@ -18,7 +18,8 @@ def py_float_text(x) -> Column:
     6-decimal values (``1e-05``, ``1.5e-05``, ``5e-06``)."""
     v = _c(x).cast("double")
     fixed = F.format_string("%.6f", v)
-    fixed = F.regexp_replace(F.regexp_replace(fixed, r"0+$", ""), r"\.$", ".0")
+    short = F.rtrim(fixed, F.lit("0"))
+    fixed = F.when(short.endswith("."), F.concat(short, F.lit("0"))).otherwise(short)
     a = F.abs(v)
     k = F.round(a * 1e6).cast("long")          # 1..99 when 0 < a < 1e-4
     sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))

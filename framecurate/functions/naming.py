@@ -67,7 +67,7 @@ def image_filename(url) -> Column:
 def _join_root(root: str, rel: Column) -> Column:
     """``str(Path(root) / rel)``: an absolute ``rel`` replaces the root; then
     collapse ``//``, drop ``.`` components and trailing ``/``; empty → ``.``."""
-    joined = F.when(rel.startswith("/"), rel).otherwise(F.concat(F.lit(root + "/"), rel))
+    joined = F.when(rel.startswith("/"), rel).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), rel))
     s = F.regexp_replace(joined, r"/{2,}", "/")
     s = F.regexp_replace(s, r"/(\./)+", "/")
     s = F.regexp_replace(s, r"^(\./)+", "")
@@ -95,7 +95,9 @@ def image_path(url, document_root: str = ".") -> Column:
     ``;params``, leading ``/`` stripped, not decoded."""
     u = _c(url)
     d_raw = F.regexp_extract(F.regexp_extract(u, _QUERY, 1), _D_PARAM, 1)
-    local_rel = F.coalesce(F.try_url_decode(d_raw), F.lit(""))
+    # an escape that is none stays as it is written
+    whole = F.regexp_replace(d_raw, r"%(?![0-9A-Fa-f]{2})", "%25")
+    local_rel = F.coalesce(F.try_url_decode(d_raw), F.try_url_decode(whole), d_raw)
     path = F.regexp_extract(u, _HTTP_PATH, 1)
     # ';params' belong to the last segment only
     http_rel = F.when(F.instr(path, ";") > 0, F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)

@@ -24,6 +24,12 @@ def dedup_first(df: DataFrame, key: str, order: list[str], keep_null_keys: bool
     return agg.select(key, *[F.col("__r")[c].alias(c) for c in cols])
 
 
+def union_with_merged(tasks: DataFrame, merged: DataFrame, cols: list[str]) -> DataFrame:
+    """Exported and merged tasks in one table, told apart by ``source``."""
+    return tasks.select(F.lit("export").alias("source"), *cols).unionByName(
+        merged.select(F.lit("merged").alias("source"), *cols))
+
+
 def dedup_last(df: DataFrame, key: str, order: list[str], keys_not_null: bool = False) -> DataFrame:
     """Keep, per ``key``, the row with the largest ``order`` tuple (overwrite semantics).
 

@@ -33,6 +33,22 @@ def typed_results(tasks: DataFrame) -> DataFrame:
                             F.try_variant_get("task", "$.annotations[0].result", RESULT_ARRAY))
 
 
+def rectangles(results) -> Column:
+    """the rectangle results of a result list (empty for NULL)."""
+    return F.filter(F.coalesce(F.col(results), F.array().cast(RESULT_ARRAY)),
+                    lambda r: F.coalesce(r["type"] == "rectanglelabels", F.lit(False)))
+
+
+def existing_images(tasks: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Tasks whose ``path`` is in the inventory."""
+    return tasks.join(inventory.select("path"), "path", "left_semi")
+
+
+def missing_images(tasks: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Tasks whose ``path`` is not in the inventory."""
+    return tasks.join(inventory.select("path"), "path", "left_anti")
+
+
 def convert_tasks(tasks: DataFrame, inventory: DataFrame, classes=None,
                   document_root: str = ".") -> DataFrame:
     """One row per task with status, stem, YOLO lines and per-box problems.
@@ -46,15 +62,18 @@ def convert_tasks(tasks: DataFrame, inventory: DataFrame, classes=None,
         F.try_variant_get("task", "$.annotations[0].result", RESULT_ARRAY).alias("all_results"))
     t = t.withColumn("src_path", F.when(F.coalesce(F.col("image_url"), F.lit("")) != "",
                                         image_path("image_url", document_root)))
-    inv = inventory.select(F.col("path").alias("src_path"), F.lit(True).alias("exists"))
+    inv = inventory.select(F.col("path").alias("src_path")).distinct().withColumn("exists", F.lit(True))
     t = t.join(inv, "src_path", "left")
     status = F.when(F.col("src_path").isNull(), F.lit("no_url")) \
               .when(F.col("exists").isNull(), F.lit("missing")).otherwise(F.lit("ok"))
-    rects = F.filter(F.coalesce("all_results", F.array().cast(RESULT_ARRAY)),
-                     lambda r: F.coalesce(r["type"] == "rectanglelabels", F.lit(False)))
+    rects = rectangles("all_results")
+
+    def placed(r):
+        v = r["value"]
+        return v["x"].isNotNull() & v["y"].isNotNull() & v["width"].isNotNull() & v["height"].isNotNull()
 
     def is_valid(r):
-        return F.coalesce(F.array_contains(cls_arr, _first_label(r)), F.lit(False))
+        return F.coalesce(F.array_contains(cls_arr, _first_label(r)) & placed(r), F.lit(False))
 
     def to_line(r):
         v = r["value"]
@@ -71,6 +90,8 @@ def convert_tasks(tasks: DataFrame, inventory: DataFrame, classes=None,
     def problem(r):
         lab = _first_label(r)
         return F.when(lab.isNull(), F.concat(F.col("stem"), F.lit(": box with no label, skipping"))) \
+                .when(F.array_contains(cls_arr, lab),
+                      F.concat(F.col("stem"), F.lit(": box without coordinates, skipping"))) \
                 .otherwise(F.concat(F.col("stem"), F.lit(": unknown label '"), lab, F.lit("', skipping")))
 
     problems = F.when(ok, F.transform(F.filter("rects", lambda r: ~is_valid(r)), problem)) \
@@ -99,7 +120,8 @@ def convert_warnings(converted: DataFrame) -> DataFrame:
 
 def label_files(converted: DataFrame) -> DataFrame:
     """One label text per stem; a later task overwrites an earlier one."""
-    ok = converted.where(F.col("status") == "ok").select("stem", "file", "pos", "image_name", "label_text", "n_boxes")
+    ok = converted.where(F.col("status") == "ok").select("stem", "file", "pos", "image_name", "src_path", "label_text",
+                                                      "n_boxes")
     # status 'ok' implies a non-NULL path, hence a non-NULL stem
     return dedup_last(ok, key="stem", order=["file", "pos"], keys_not_null=True)
 

@@ -26,22 +26,31 @@ def classify_captures(meta: DataFrame, inventory: DataFrame, labeled: DataFrame,
                       document_root: str | None = None) -> DataFrame:
     """Adds (width, height, filename, outcome) with outcome ∈ error | skipped | exported.
 
-    Order matters (J1 before J2): a missing or unreadable image is an error
-    even when its name is already labeled; with ``document_root`` an image
-    outside the root (no task URL possible, P12) is an error too."""
-    inv = inventory.select(F.col("path").alias("full_frame"), "width", "height",
-                           F.lit(True).alias("__found"))
-    lab = labeled.select(F.col("filename").alias("__lab_name"), F.lit(True).alias("__labeled"))
+    Order matters: a missing image is an error even when its name is already
+    labeled (J1), a labeled image is skipped without being opened (J2), and
+    only then is an unreadable image an error, or, with ``document_root``, one
+    outside the root (no task URL possible, P12).  A capture stays one row
+    however often its image or name is listed; of several sizes listed for an
+    image the greatest counts."""
+    inv = inventory.groupBy(F.col("path").alias("full_frame")).agg(F.max(F.struct("width", "height")).alias("__s")) \
+        .select("full_frame", "__s.width", "__s.height", F.lit(True).alias("__found"))
+    lab = labeled.select(F.col("filename").alias("__lab_name")).distinct().withColumn("__labeled", F.lit(True))
     m = meta.join(inv, "full_frame", "left").withColumn("filename", file_name("full_frame"))
     m = m.join(lab, F.col("filename") == F.col("__lab_name"), "left").drop("__lab_name")
-    bad = F.col("__found").isNull() | (F.col("width") <= 0)
+    bad = F.coalesce(F.col("width") <= 0, F.lit(True))
     if document_root is not None:
         bad = bad | image_url("full_frame", document_root).isNull()
-    outcome = F.when(bad, F.lit("error")) \
-               .when(F.col("__labeled").isNotNull(), F.lit("skipped")).otherwise(F.lit("exported"))
+    outcome = F.when(F.col("__found").isNull(), F.lit("error")) \
+               .when(F.col("__labeled").isNotNull(), F.lit("skipped")) \
+               .when(bad, F.lit("error")).otherwise(F.lit("exported"))
     return m.withColumn("outcome", outcome).drop("__found", "__labeled")
 
 
+def unlabeled(images: DataFrame, labeled: DataFrame) -> DataFrame:
+    """J2 alone: rows whose ``filename`` is not labeled yet."""
+    return images.join(labeled.select("filename"), "filename", "left_anti")
+
+
 def annotation_results(detections, width, height):
     """Detections (bbox array<int>[4]) → annotation-tool rectangle results."""
     def one(d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from framecurate.operators.dedup import dedup_first
 from framecurate.functions.naming import image_filename
-from framecurate.sources.annotations import MERGE_WRAPPER_KEYS, file_status, task_array
+from framecurate.sources.annotations import MERGE_WRAPPER_KEYS, _file_tasks, file_status
 
 
 def merge_dedup_first(tasks: DataFrame) -> DataFrame:
@@ -20,18 +20,17 @@ def merge_stats(files: DataFrame, wrapper_keys=MERGE_WRAPPER_KEYS) -> DataFrame:
     """A2: files (incl. unreadable), total tasks (incl. no URL), duplicates, unique.
 
     One parse of each file: ``posexplode_outer`` keeps empty and unreadable
-    files as one NULL row, so a single aggregate gives every counter; the
-    distinct counts are partial aggregates before the shuffle."""
-    arr = task_array(F.try_parse_json(F.col("text")), wrapper_keys, False)
-    ex = files.select("file", F.posexplode_outer(arr).alias("pos", "task"))
+    files as one NULL row.  Rows are first counted by filename, then the
+    filenames; a file is counted at its first row."""
+    ex = files.select(F.posexplode_outer(_file_tasks(wrapper_keys, False)).alias("pos", "task"))
     name = image_filename(F.try_variant_get(F.col("task"), "$.data.image", "string"))
-    agg = ex.select("file", "pos", name.alias("filename")).agg(
-        F.count_distinct("file").alias("files"),
-        F.count("pos").alias("total"),
-        F.count("filename").alias("with_name"),
-        F.count_distinct("filename").alias("unique_tasks"))
-    return agg.select("files", "total", (F.col("with_name") - F.col("unique_tasks")).alias("duplicates"),
-                      "unique_tasks")
+    per_name = ex.select("pos", name.alias("filename")).groupBy("filename").agg(
+        F.count("pos").alias("n"), F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("firsts"))
+    named = F.col("filename").isNotNull()
+    agg = per_name.agg(F.sum("firsts").alias("files"), F.sum("n").alias("total"),
+                       F.sum(F.when(named, F.col("n"))).alias("with_name"), F.count_if(named).alias("unique_tasks"))
+    return agg.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in ("files", "total")],
+                      (F.coalesce("with_name", F.lit(0)) - F.col("unique_tasks")).alias("duplicates"), "unique_tasks")
 
 
 def tasks_per_file(files: DataFrame) -> DataFrame:

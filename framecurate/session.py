@@ -99,3 +99,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def stage(df, tag: str):
+    """``df`` written to a new folder of the shared checkpoint folder and read
+    back, so that what is built on it does not run its upstream again."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

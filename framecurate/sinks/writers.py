@@ -12,17 +12,29 @@ from pyspark.sql import functions as F
 
 from framecurate.functions.boxes import MIN_CROP_PX, clamp_box, crop_eligible
 from framecurate.functions.naming import capture_stem
+from framecurate.operators.dedup import dedup_last
 from framecurate.operators.images import crop_pixels
+from framecurate.session import stage
 
 
-def write_captures(captures: DataFrame, path: str) -> None:
+def _write_batch(df: DataFrame, path: str, batch_id, by: tuple[str, ...] = ()) -> None:
+    """Append; with a ``batch_id`` into a folder of the batch's own, which a
+    retry of the batch replaces."""
+    w = df.write.mode("append" if batch_id is None else "overwrite").partitionBy(*by)
+    w.parquet(path if batch_id is None else f"{path}/batch_id={batch_id}")
+
+
+def write_captures(captures: DataFrame, path: str, batch_id: int | str | None = None) -> None:
     """K1: saved frames (the *preprocessed* image) partitioned by day and kind.
 
-    ``captures`` has camera_id, frame_id, ts, kind, image, detections."""
-    out = captures.where(F.col("image").isNotNull() & F.col("kind").isin("cats", "background", "manual_background"))
+    ``captures`` has camera_id, frame_id, ts, kind, image, detections.  A cats
+    frame without detections is not saved."""
+    n = F.size(F.coalesce(F.col("detections"), F.array()))
+    out = captures.where(F.col("image").isNotNull() & (
+        F.col("kind").isin("background", "manual_background") | ((F.col("kind") == "cats") & (n > 0))))
     out = out.withColumn("dt", F.to_date("ts")).withColumn(
         "stem", capture_stem("ts", F.size(F.coalesce("detections", F.array())), F.col("kind"), "camera_id"))
-    out.write.mode("append").partitionBy("dt", "kind").parquet(path)
+    _write_batch(out, path, batch_id, ("dt", "kind"))
 
 
 def crops(captures: DataFrame, min_px: int = MIN_CROP_PX) -> DataFrame:
@@ -41,18 +53,27 @@ def crops(captures: DataFrame, min_px: int = MIN_CROP_PX) -> DataFrame:
                     crop_pixels("image", "box").alias("data"))
 
 
-def write_crops(captures: DataFrame, path: str, min_px: int = MIN_CROP_PX) -> None:
-    crops(captures, min_px).write.mode("append").parquet(path)
+def write_crops(captures: DataFrame, path: str, min_px: int = MIN_CROP_PX, save_crops: bool = True,
+                batch_id: int | str | None = None) -> None:
+    """K2; nothing when ``save_crops`` is off."""
+    if save_crops:
+        _write_batch(crops(captures, min_px), path, batch_id)
+
 
+SHARD_TASKS = 50_000     # readers take a shard whole
 
-def _write_json_rows(df: DataFrame, col: str, path: str) -> bool:
-    """JSON-lines shards (one task per line, written in parallel).  Returns
-    False and writes nothing when there are no rows (the reference writes no
-    file then).  A single JSON-array file would funnel every task through one
+
+def _write_json_rows(df: DataFrame, col: str, path: str, order: tuple[str, ...] = ()) -> bool:
+    """JSON-lines shards (one task per line, written in parallel), read back by
+    ``read_annotation_files``.  Returns False and writes nothing when there are
+    no rows.  The upstream runs once: its rows are staged, looked at and then
+    written.  A single JSON-array file would funnel every task through one
     writer, so it is not offered."""
-    if df.limit(1).count() == 0:
+    rows = stage(df.select(*order, F.col(col).alias("value")), "task-rows")
+    if rows.isEmpty():
         return False
-    df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
+    rows = rows.orderBy(*order) if order else rows
+    rows.select("value").write.mode("overwrite").option("maxRecordsPerFile", SHARD_TASKS).text(path)
     return True
 
 
@@ -64,8 +85,8 @@ def write_annotation_import(tasks: DataFrame, path: str) -> bool:
 def write_merged_tasks(merged: DataFrame, path: str) -> bool:
     """K5: merged tasks, whole payload, in first-appearance order (file, pos):
     a range-partitioned sort, so shard i holds tasks before shard i+1."""
-    m = merged.orderBy("file", "pos").select(F.to_json(F.col("task")).alias("task_json"))
-    return _write_json_rows(m, "task_json", path)
+    m = merged.select("file", "pos", F.to_json(F.col("task")).alias("task_json"))
+    return _write_json_rows(m, "task_json", path, ("file", "pos"))
 
 
 def write_label_text(labels: DataFrame, path: str) -> None:
@@ -74,10 +95,20 @@ def write_label_text(labels: DataFrame, path: str) -> None:
 
 
 def materialize_labeled(labels: DataFrame, images: DataFrame | None, path: str) -> None:
-    """K7: (stem, image_name, image_path[, image]) for every converted task
-    with an existing image; optional join to stored frame bytes."""
-    out = labels.select("stem", "image_name", F.col("src_path").alias("image_path")) \
-        if "src_path" in labels.columns else labels
+    """K7: (stem, image_name, image_path[, image]) of every image to copy; see
+    :func:`labeled_images`."""
+    out = labeled_images(labels)
     if images is not None:
-        out = out.join(images.select(F.col("path").alias("image_path"), "image"), "image_path", "left")
+        one = images.groupBy(F.col("path").alias("image_path")).agg(F.first("image").alias("image"))
+        out = out.join(one, "image_path", "left")
     out.write.mode("overwrite").parquet(path)
+
+
+def labeled_images(converted: DataFrame) -> DataFrame:
+    """One row per image name, of the last task (file, pos) that has it;
+    tasks without an existing image have none.  ``converted`` is the output of
+    ``convert_tasks`` or of ``label_files``."""
+    c = converted.where(F.col("status") == "ok") if "status" in converted.columns else converted
+    last = dedup_last(c.select("stem", "file", "pos", "image_name", F.col("src_path").alias("image_path")),
+                      key="image_name", order=["file", "pos"])
+    return last.select("stem", "image_name", "image_path")

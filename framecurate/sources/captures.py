@@ -41,15 +41,21 @@ def parse_capture_meta(df: DataFrame, col: str = "meta_json") -> DataFrame:
 
 
 def read_capture_meta(spark: SparkSession, directory: str) -> DataFrame:
-    """S3: every ``*_meta.json`` directly in ``directory`` (not recursive)."""
-    df = spark.read.schema(CAPTURE_META).option("multiLine", True) \
-        .option("pathGlobFilter", "*_meta.json").option("recursiveFileLookup", False).json(directory)
-    df = df.withColumn("meta_path", F.col("_metadata.file_path"))
+    """S3: every ``*_meta.json`` document and every shard of
+    :func:`write_capture_meta` in ``directory`` (its ``batch_id`` folders included)."""
+    def files(glob: str, whole: bool) -> DataFrame:
+        return spark.read.schema(CAPTURE_META).option("multiLine", whole).option("pathGlobFilter", glob) \
+            .option("recursiveFileLookup", not whole).json(directory).withColumn("meta_path", F.col("_metadata.file_path"))
+    df = files("*_meta.json", True).unionByName(files("part-*.json", False))
     return df.withColumn("detections", F.coalesce("detections", F.array().cast(
         CAPTURE_META["detections"].dataType.simpleString())))
 
 
-def write_capture_meta(frames: DataFrame, path: str) -> None:
-    """K3 at scale: JSON-lines shards, one document per capture."""
-    frames.select(capture_meta_struct(frames).alias("m"), "frame_id").select("frame_id", "m.*") \
-          .write.mode("append").json(path)
+def write_capture_meta(frames: DataFrame, path: str, batch_id: int | str | None = None) -> None:
+    """K3 at scale: JSON-lines shards, one document per capture.  With a
+    ``batch_id`` the batch has a folder of its own, so a retry replaces it."""
+    out = frames.select(capture_meta_struct(frames).alias("m"), "frame_id").select("frame_id", "m.*")
+    if batch_id is None:
+        out.write.mode("append").json(path)
+    else:
+        out.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
