@@ -78,47 +78,48 @@ def thumbnail_pixels(frames: DataFrame, size: tuple[int, int] = THUMB_SIZE) -> D
     return frames.select("frame_id", "image").mapInPandas(run, PIXEL_SCHEMA)
 
 
-def thumbnail_bytes(image, size: tuple[int, int] = THUMB_SIZE) -> Column:
-    """X2/P25 as a column: the BGR thumbnail bytes (w·h·3) of each frame, so a
-    pass that already holds the image (e.g. next to detection) can keep it."""
+def hs_counts(thumb: np.ndarray) -> np.ndarray:
+    """A7 of one H×W×3 BGR thumbnail: the 128 bin counts that
+    ``histogram.hs_histogram`` gives for its pixels."""
+    from framecurate.operators.histogram import H_BINS, H_RANGE, HSV_SHIFT, S_BINS, S_RANGE
+    b, g, r = (thumb[..., i].ravel().astype(np.int64) for i in range(3))
+    v, low = np.maximum(np.maximum(b, g), r), np.minimum(np.minimum(b, g), r)
+    diff = v - low
+
+    def recip(numer, denom):
+        return np.where(denom == 0, 0, np.floor((numer << HSV_SHIFT) / np.where(denom == 0, 1, denom) + 0.5)).astype(np.int64)
+
+    half = 1 << (HSV_SHIFT - 1)
+    s = (diff * recip(255, v) + half) >> HSV_SHIFT
+    hue = np.where(v == r, g - b, np.where(v == g, b - r + 2 * diff, r - g + 4 * diff))
+    h = (hue * recip(180, 6 * diff) + half) >> HSV_SHIFT
+    h = np.where(h < 0, h + 180, h)
+    flat = (h * H_BINS // H_RANGE) * S_BINS + s * S_BINS // S_RANGE
+    return np.bincount(flat, minlength=H_BINS * S_BINS).astype(np.float64)
+
+
+def frame_histogram(image, size: tuple[int, int] = THUMB_SIZE, normalized: bool = False) -> Column:
+    """X2 + A7 (+ A8) as a column: the 128 hue/saturation counts of each frame's
+    thumbnail, computed where the image is held; NULL for undecodable frames."""
     out_w, out_h = size
 
-    @pandas_udf("binary")
-    def thumb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+    @pandas_udf("array<double>")
+    def hist(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for pdf in batches:
             out = []
             for d, h, w, c in zip(pdf["data"], pdf["height"], pdf["width"], pdf["nChannels"]):
                 if d is None or w is None or pd.isna(w) or w < 1:
                     out.append(None)
                     continue
-                out.append(bilinear_resize(_as_bgr(d, int(h), int(w), int(c)), out_w, out_h).tobytes())
+                n = hs_counts(bilinear_resize(_as_bgr(d, int(h), int(w), int(c)), out_w, out_h))
+                if normalized:
+                    n = (n - n.min()) / (n.max() - n.min()) if n.max() > n.min() else np.zeros_like(n)
+                out.append(n)
             yield pd.Series(out, dtype=object)
 
     img = F.col(image) if isinstance(image, str) else image
-    return thumb(F.struct(img["data"].alias("data"), img["height"].alias("height"),
-                          img["width"].alias("width"), img["nChannels"].alias("nChannels")))
-
-
-def thumbnail_bytes_pixels(df: DataFrame, size: tuple[int, int] = THUMB_SIZE, col: str = "thumb") -> DataFrame:
-    """Pixel rows (frame_id, x, y, b, g, r) from thumbnail bytes (12 KB per frame)."""
-    out_w, out_h = size
-    yy, xx = np.mgrid[0:out_h, 0:out_w]
-    xs, ys = xx.ravel().astype(np.int32), yy.ravel().astype(np.int32)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            parts = []
-            for fid, t in zip(pdf["frame_id"].to_numpy(), pdf[col]):
-                if t is None:
-                    continue
-                a = np.frombuffer(t, dtype=np.uint8).reshape(out_h * out_w, 3)
-                parts.append(pd.DataFrame({"frame_id": np.full(out_w * out_h, fid, dtype=np.int64), "x": xs, "y": ys,
-                                           "b": a[:, 0].astype(np.int32), "g": a[:, 1].astype(np.int32),
-                                           "r": a[:, 2].astype(np.int32)}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    return df.select("frame_id", col).mapInPandas(run, PIXEL_SCHEMA)
+    return hist(F.struct(img["data"].alias("data"), img["height"].alias("height"),
+                         img["width"].alias("width"), img["nChannels"].alias("nChannels")))
 
 
 def crop_pixels(image, bbox) -> Column:
@@ -183,36 +184,49 @@ def lab_to_bgr(l, a, b) -> Column:
 
 
 # ------------------------------------------------------------------------- X1
-# Loaded models, per Python worker process (workers are reused across tasks).
+# Loaded models of this Python worker process (workers are reused across tasks).
 _MODELS: dict = {}
 
 
+def load_model(key: str, make_predict_fn: Callable):
+    """The worker's model of that key, made at its first use."""
+    if key not in _MODELS:
+        _MODELS[key] = make_predict_fn()
+    return _MODELS[key]
+
+
 def detect(frames: DataFrame, make_predict_fn: Callable, batch_size: int = 16,
            model_key: str | None = None) -> DataFrame:
     """Batched inference with a user model, loaded once per Python worker.
 
     ``make_predict_fn()`` returns ``predict(list[np.ndarray BGR]) -> list[np.ndarray
     (n, 6)]`` with rows (x1, y1, x2, y2, confidence, class_id) as floats.  Boxes
-    become int (truncation, P4); missing output → empty array.  Confidence and
-    class filters (F1, F2) are applied afterwards as Column expressions."""
-    key = model_key or f"{getattr(make_predict_fn, '__module__', '')}.{getattr(make_predict_fn, '__qualname__', id(make_predict_fn))}"
+    become int (truncation, P4); missing output → empty array, as for frames
+    that cannot be decoded, which the model does not see.  Confidence and class
+    filters (F1, F2) are applied afterwards as Column expressions.  Models are
+    told apart by the factory with all it holds, or by ``model_key``."""
+    import hashlib
+
+    from pyspark import cloudpickle
+    key = model_key or hashlib.sha256(cloudpickle.dumps(make_predict_fn)).hexdigest()
 
     @pandas_udf(DETECTIONS)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        fn = _MODELS.get(key)
-        if fn is None:                       # first task of this worker process
-            fn = _MODELS[key] = make_predict_fn()
+        # the imported module outlives the task; this function's own globals do not
+        from framecurate.operators import images as own
+        fn = own.load_model(key, make_predict_fn)
         for pdf in batches:
-            out = []
-            for i in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[i:i + batch_size]
-                imgs = [_as_bgr(d, int(h), int(w), int(c)) for d, h, w, c in
-                        zip(chunk["data"], chunk["height"], chunk["width"], chunk["nChannels"])]
-                preds = fn(imgs) if imgs else []
-                for p in preds:
+            out: list = [[] for _ in range(len(pdf))]
+            good = [i for i, (d, w) in enumerate(zip(pdf["data"], pdf["width"]))
+                    if d is not None and w is not None and not pd.isna(w) and w > 0]
+            cells = list(zip(pdf["data"], pdf["height"], pdf["width"], pdf["nChannels"]))
+            for at in range(0, len(good), batch_size):
+                chunk = good[at:at + batch_size]
+                imgs = [_as_bgr(d, int(h), int(w), int(c)) for d, h, w, c in (cells[i] for i in chunk)]
+                for i, p in zip(chunk, fn(imgs)):
                     rows = [] if p is None else np.asarray(p, dtype=np.float64).reshape(-1, 6)
-                    out.append([{"bbox": {"x1": int(r[0]), "y1": int(r[1]), "x2": int(r[2]), "y2": int(r[3])},
-                                 "confidence": float(r[4]), "class_id": int(r[5])} for r in rows])
+                    out[i] = [{"bbox": {"x1": int(r[0]), "y1": int(r[1]), "x2": int(r[2]), "y2": int(r[3])},
+                               "confidence": float(r[4]), "class_id": int(r[5])} for r in rows]
             yield pd.Series(out, dtype=object)
 
     img = F.col("image")

@@ -10,8 +10,8 @@ Semantics (one frame at a time, in (ts, frame_id) order):
 
 * ``control == 'reset'`` clears both states before the frame is routed.
 * frame with cats → variety filter:  elapsed < min → reject; no last
-  histogram → accept; elapsed ≥ max → accept; distance ≥ threshold →
-  accept; else reject.  Only accepts update the state.
+  histogram, or none of its own → accept; elapsed ≥ max → accept;
+  distance ≥ threshold → accept; else reject.  Only accepts update the state.
 * frame without cats → background throttle: accept when there was no
   background save yet or ``ts − last ≥ interval``.
 * ``control == 'manual_background'`` saves the frame as background after
@@ -86,8 +86,8 @@ def step(state: CameraState, us: int, fid: int, has_cats, control, hist, p: Filt
     if has_cats is True:
         if state.last_cat_us is not None and us - state.last_cat_us < p.min_us:
             kind = KIND_DROPPED
-        elif state.last_cat_hist is None:
-            kind = KIND_CATS
+        elif state.last_cat_hist is None or hist is None or len(hist) != len(state.last_cat_hist):
+            kind = KIND_CATS                     # nothing to compare with
         elif us - state.last_cat_us >= p.max_us:
             kind = KIND_CATS
         else:
@@ -108,36 +108,117 @@ def step(state: CameraState, us: int, fid: int, has_cats, control, hist, p: Filt
     return kind, manual, dist
 
 
+def _array(values) -> list:
+    """Histogram cells as float arrays, None where there is none."""
+    return [None if v is None or isinstance(v, float) else np.asarray(v, dtype=np.float64) for v in values]
+
+
+def _distances(last: np.ndarray, hists: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """:func:`bhattacharyya` of one histogram to many, with the same sums."""
+    s = np.cumsum(np.sqrt(hists * last), axis=1)[:, -1]
+    p = float(np.cumsum(last)[-1]) * sums
+    scale = np.where(np.abs(p) > FLT_EPSILON, 1.0 / np.sqrt(np.where(p > 0, p, 1.0)), 1.0)
+    return np.sqrt(np.maximum(1.0 - s * scale, 0.0))
+
+
+BLOCK = 64      # frames compared with the last saved one at a time
+
+
+def _fold_cats(at: np.ndarray, us: np.ndarray, fid: np.ndarray, hists: list, kinds, state: CameraState,
+               p: FilterParams) -> None:
+    """Cat frames at positions ``at``, without controls between them: jumps over
+    what falls into the minimum interval and compares the rest in blocks."""
+    kinds[at] = KIND_DROPPED
+    own, k = us[at], 0
+    while k < len(at):
+        if state.last_cat_us is not None:
+            k = max(k, int(np.searchsorted(own, state.last_cat_us + p.min_us)))
+            if k >= len(at):
+                return
+        last = state.last_cat_hist
+        if last is None or own[k] - state.last_cat_us >= p.max_us:
+            hit = k
+        else:
+            block = at[k:k + BLOCK]
+            fit = np.array([hists[i] is not None and len(hists[i]) == len(last) for i in block])
+            keep = ~fit                             # nothing to compare with: saved
+            if fit.any():
+                some = np.stack([hists[i] for i in block[fit]])
+                sums = np.cumsum(some, axis=1)[:, -1] if some.shape[1] else np.zeros(len(some))
+                keep[fit] = _distances(last, some, sums) >= p.similarity if some.shape[1] else p.similarity <= 1.0
+            keep |= us[block] - state.last_cat_us >= p.max_us
+            if not keep.any():
+                k += len(block)
+                continue
+            hit = k + int(np.argmax(keep))
+        i = at[hit]
+        kinds[i] = KIND_CATS
+        state.last_cat_us, state.last_cat_hist, state.last_cat_fid = int(us[i]), hists[i], int(fid[i])
+        k = hit + 1
+
+
+def _fold_background(at: np.ndarray, us: np.ndarray, kinds, state: CameraState, p: FilterParams) -> None:
+    kinds[at] = KIND_DROPPED
+    own, k = us[at], 0
+    while k < len(at):
+        if state.last_bg_us is not None:
+            k = max(k, int(np.searchsorted(own, state.last_bg_us + p.background_us)))
+            if k >= len(at):
+                return
+        kinds[at[k]], state.last_bg_us = KIND_BACKGROUND, int(own[k])
+        k += 1
+
+
 def fold_frames(pdf: pd.DataFrame, state: CameraState, p: FilterParams,
                 late_policy: bool = False) -> pd.DataFrame:
-    """Run the state machine over rows already sorted by (us, frame_id)."""
+    """Run the state machine over rows already sorted by (us, frame_id).
+
+    Between two control rows the cat and background filters do not touch each
+    other, so each walks its own frames; a control row takes one ``step``.
+    ``late_policy``: rows before the last one seen are not routed
+    (``dropped_late``), but their controls still count."""
     n = len(pdf)
     kinds = np.empty(n, dtype=object)
     manual = np.zeros(n, dtype=bool)
-    us_arr = pdf["us"].to_numpy()
-    fid_arr = pdf["frame_id"].to_numpy()
-    cats = pdf["has_cats"].to_numpy()
-    ctrl = pdf["control"].to_numpy()
-    hists = pdf["hist"].to_numpy()
-    for i in range(n):
-        us = int(us_arr[i])
-        if late_policy and state.last_seen_us is not None and us < state.last_seen_us:
-            kinds[i] = KIND_LATE
-            continue
-        hc = cats[i]
-        hc = None if hc is None or (isinstance(hc, float) and math.isnan(hc)) else bool(hc)
-        c = ctrl[i] if isinstance(ctrl[i], str) else None
-        h = hists[i]
-        h = None if h is None or (isinstance(h, float)) else np.asarray(h, dtype=np.float64)
-        kinds[i], manual[i], _ = step(state, us, int(fid_arr[i]), hc, c, h, p)
-    return pd.DataFrame({"camera_id": pdf["camera_id"].to_numpy(), "frame_id": fid_arr,
-                         "us": us_arr, "has_cats": pdf["has_cats"].to_numpy(),
+    us = pdf["us"].to_numpy().astype(np.int64)
+    fid = pdf["frame_id"].to_numpy()
+    flags = pdf["has_cats"].to_numpy()
+    cats = np.array([x is True or x is np.True_ or (isinstance(x, float) and x == 1.0) for x in flags])
+    none = np.array([x is None or x is pd.NA or (isinstance(x, float) and math.isnan(x)) for x in flags])
+    ctrl = [c if isinstance(c, str) else None for c in pdf["control"].to_numpy()]
+    hists = _array(pdf["hist"].to_numpy())
+    begin = 0
+    if late_policy and state.last_seen_us is not None:
+        begin = int(np.searchsorted(us, state.last_seen_us))
+        kinds[:begin] = KIND_LATE
+        for i in range(begin):
+            if ctrl[i] == CONTROL_RESET:
+                state.reset()
+            elif ctrl[i] == CONTROL_MANUAL:
+                manual[i] = True
+                state.last_bg_us = max(int(us[i]), state.last_bg_us or int(us[i]))
+    events = [i for i in range(begin, n) if ctrl[i] is not None]
+    for stop in [*events, n]:
+        span = np.arange(begin, stop)
+        _fold_cats(span[cats[begin:stop]], us, fid, hists, kinds, state, p)
+        _fold_background(span[~cats[begin:stop] & ~none[begin:stop]], us, kinds, state, p)
+        if stop < n:
+            flag = None if none[stop] else bool(cats[stop])
+            kinds[stop], manual[stop], _ = step(state, int(us[stop]), int(fid[stop]), flag, ctrl[stop], hists[stop], p)
+        begin = stop + 1
+    if n:
+        state.last_seen_us = max(int(us[-1]), state.last_seen_us or int(us[-1]))
+    return pd.DataFrame({"camera_id": pdf["camera_id"].to_numpy(), "frame_id": fid,
+                         "us": us, "has_cats": pdf["has_cats"].to_numpy(),
                          "kind": kinds, "manual_save": manual})
 
 
 ROUTE_SCHEMA = "camera_id string, frame_id long, us long, has_cats boolean, kind string, manual_save boolean"
 
 
+_NO_CAMERA = object()      # before the first row; a NULL camera is a camera
+
+
 def make_batch_router(p: FilterParams):
     """``applyInPandas`` function: rows of one camera arrive as an iterator of
     Arrow batches already sorted by (us, frame_id); state lives between batches,
@@ -157,7 +238,7 @@ def make_partition_router(p: FilterParams):
     comparison rather than a separate Arrow round trip."""
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = CameraState()
-        cam = None
+        cam = _NO_CAMERA
         last = None
         for pdf in batches:
             if not len(pdf):
@@ -182,9 +263,8 @@ def make_partition_router(p: FilterParams):
     return route
 
 
-# ---------------------------------------------------------------- hot cameras
-# A camera with a very long history is routed in time-ordered waves of bounded
-# chunks.  Each wave's task gets the camera's carried state as a leading
+# ---------------------------------------------------------------- waves
+# Long histories can be routed in time-ordered waves of bounded chunks.  Each wave's task gets the camera's carried state as a leading
 # "state row" (is_state = True) followed by the chunk's rows in order.
 WAVE_OUT_SCHEMA = ("camera_id string, is_state boolean, frame_id long, us long, has_cats boolean, kind string, "
                    "manual_save boolean, s_cat_us long, s_cat_hist array<double>, s_cat_fid long, s_bg_us long")
@@ -201,7 +281,7 @@ def make_wave_router(p: FilterParams):
     then its rows sorted by (us, frame_id); emits decisions plus one end-state
     row per camera for the next wave."""
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cam, state = None, None
+        cam, state = _NO_CAMERA, None
 
         def end_row(c, s):
             return {"camera_id": c, "is_state": True, "frame_id": None, "us": None, "has_cats": None,
@@ -221,7 +301,7 @@ def make_wave_router(p: FilterParams):
             outs = []
             for a, b in zip(starts, ends):
                 if cams[a] != cam:
-                    if cam is not None:
+                    if cam is not _NO_CAMERA:
                         pending_end.append(end_row(cam, state))
                     cam, state = cams[a], CameraState()
                 if is_state[a]:
@@ -246,6 +326,6 @@ def make_wave_router(p: FilterParams):
                 out = pd.concat([o.astype(object) for o in outs], ignore_index=True)
                 yield out.reindex(columns=["camera_id", "is_state", "frame_id", "us", "has_cats", "kind",
                                            "manual_save", "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us"])
-        if cam is not None:
+        if cam is not _NO_CAMERA:
             yield pd.DataFrame([end_row(cam, state)])
     return route

@@ -4,147 +4,89 @@
 ``(camera_id, us, frame_id, has_cats, control, hist)`` — never image bytes —
 by camera, sorts them within partitions and runs the shared state machine
 per camera over a stream of Arrow batches.  Image bytes are joined back
-only for accepted frames by the sinks.
+only for accepted frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-from framecurate.operators.histogram import dense_histogram, hs_histogram, minmax_normalize
-from framecurate.operators.images import THUMB_SIZE, thumbnail_pixels
 import os
 import uuid
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from framecurate.operators.images import frame_histogram
 from framecurate.operators.state_machine import (ROUTE_SCHEMA, WAVE_OUT_SCHEMA, FilterParams,
                                                  make_partition_router, make_wave_router)
-from framecurate.session import checkpoint_dir
+from framecurate.session import checkpoint_dir, stage
+from framecurate.sources.images import valid_frames
 
-DAY_US = 86_400_000_000
-HOT_CAMERA_ROWS = 5_000_000     # a camera above this is routed in time-ordered waves
+KEY = ["camera_id", "frame_id"]          # frame ids are a camera's own
+BROADCAST_IDS = 1_000_000                # saved frames' ids are broadcast up to so many rows
 
 
-def frame_histograms(frames: DataFrame, size: tuple[int, int] = THUMB_SIZE) -> DataFrame:
-    """X2 → A7 → A8: (frame_id, hist) normalised 16×8 hue/saturation histogram
-    of each frame's thumbnail.  Runs fully in parallel before the fold."""
-    dense = dense_histogram(hs_histogram(thumbnail_pixels(frames, size)))
-    return dense.select("frame_id", minmax_normalize("hist").alias("hist"))
+def _same_frame(a: DataFrame, b: DataFrame):
+    return a["camera_id"].eqNullSafe(b["camera_id"]) & (a["frame_id"] == b["frame_id"])
+
+
+def frame_histograms(frames: DataFrame) -> DataFrame:
+    """X2 → A7 → A8: the key columns present and ``hist``, the normalised 16×8
+    hue/saturation histogram of each decodable frame's thumbnail: binned in the
+    pass that decodes it, one array a frame."""
+    key = [c for c in KEY if c in frames.columns]
+    return valid_frames(frames).select(*key, frame_histogram("image", normalized=True).alias("hist"))
 
 
 def routing_input(frames: DataFrame, hist: DataFrame | None = None) -> DataFrame:
-    """Compact routing rows; ``hist`` (frame_id, hist) is joined on frame_id."""
+    """Compact routing rows; ``hist`` (camera_id, frame_id, hist) is joined on both ids."""
     base = frames.select("camera_id", "frame_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
                          "has_cats", F.col("control").cast("string").alias("control"))
     if hist is None:
         return base.withColumn("hist", F.lit(None).cast("array<double>"))
-    return base.join(hist.select("frame_id", "hist"), "frame_id", "left")
+    return base.join(hist, _same_frame(base, hist), "left").select(*[base[c] for c in base.columns], hist["hist"])
 
 
-def _route_single_pass(rows: DataFrame, params: FilterParams) -> DataFrame:
-    ordered = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist") \
-                  .repartition("camera_id").sortWithinPartitions("camera_id", "us", "frame_id")
-    return ordered.mapInPandas(make_partition_router(params), ROUTE_SCHEMA)
-
+ROUTE_COLUMNS = ["camera_id", "us", "frame_id", "has_cats", "control", "hist"]
 
-def camera_stats(rows: DataFrame, us_col: str = "us") -> DataFrame:
-    """(camera_id, n, lo, hi) per camera: a partial aggregate over two columns."""
-    return rows.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n"), F.min(us_col).alias("lo"),
-                                         F.max(us_col).alias("hi"))
 
-
-def route_frames(rows: DataFrame, params: FilterParams = FilterParams(),
-                 hot_camera_rows: int = HOT_CAMERA_ROWS, chunk_us: int | None = None,
-                 target_chunk_rows: int = HOT_CAMERA_ROWS // 2, stats: DataFrame | None = None) -> DataFrame:
+def route_frames(rows: DataFrame, params: FilterParams = FilterParams(), chunk_us: int | None = None) -> DataFrame:
     """T5: kind ∈ cats | background | dropped (NULL for pure control rows) + manual_save.
 
-    Cameras with fewer than ``hot_camera_rows`` frames: one shuffle by camera,
-    sorted within partitions, one streaming fold per partition.  Hotter
-    cameras (at most total/threshold of them) are routed by
-    :func:`route_hot_cameras` in bounded chunks.
-
-    ``stats`` (:func:`camera_stats`) should come from a cheap source such as
-    the frame table's (camera_id, ts) columns when ``rows`` is expensive to
-    recompute (decoding, detection); otherwise it is computed from ``rows``.
-    When hot cameras exist, ``rows`` is staged once in the checkpoint folder
-    and both passes read the staged copy, so the upstream runs once."""
-    st = stats if stats is not None else camera_stats(rows.select("camera_id", "us"))
-    hot = st.where(F.col("n") >= hot_camera_rows).collect()      # bounded by total / threshold
-    if not hot:
-        return _route_single_pass(rows, params)
-    spark = rows.sparkSession
-    base = os.path.join(checkpoint_dir(spark), "route-input", uuid.uuid4().hex)
-    rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist").write.mode("overwrite").parquet(base)
-    staged = spark.read.parquet(base)
-    names = [h.camera_id for h in hot]
-    cold = _route_single_pass(staged.where(~F.col("camera_id").isin(names)), params)
-    hot_rows = staged.where(F.col("camera_id").isin(names))
+    One shuffle by camera, sorted within partitions, one streaming fold per
+    partition; a NULL camera is a camera like others.  ``chunk_us`` routes long
+    histories in waves of that time span instead (:func:`route_in_waves`); the
+    decisions are the same."""
     if chunk_us is not None:
-        return cold.unionByName(route_hot_cameras(hot_rows, params, chunk_us))
-    # per camera: chunks count from its own first frame; their edges follow the
-    # camera's measured frame counts (balanced, so bursts do not make one slice hot)
-    origins = {h.camera_id: (h.lo, max(int((h.hi - h.lo + 1) * target_chunk_rows / h.n) // SLOTS_PER_CHUNK, 1))
-               for h in hot}
-    return cold.unionByName(route_hot_cameras(hot_rows, params, balanced_chunks(hot_rows, origins,
-                                                                                 target_chunk_rows)))
-
-
-SLOTS_PER_CHUNK = 16
+        return route_in_waves(rows, params, chunk_us)
+    ordered = rows.select(*ROUTE_COLUMNS).repartition("camera_id") \
+                  .sortWithinPartitions("camera_id", "us", "frame_id")
+    return ordered.mapInPandas(make_partition_router(params), ROUTE_SCHEMA)
 
 
-def balanced_chunks(rows: DataFrame, origins: dict, target_rows: int) -> DataFrame:
-    """(camera_id, slot, chunk): consecutive time slots of each hot camera
-    grouped into chunks of ~target_rows frames, from per-slot counts.
+def route_in_waves(rows: DataFrame, params: FilterParams, chunk_us: int, work_dir: str | None = None) -> DataFrame:
+    """Exact routing of camera histories in time-ordered waves.
 
-    The slot table has (#hot cameras × span / slot length) rows — bounded by
-    the slot count, not by the number of frames — and is broadcast back."""
-    spark = rows.sparkSession
-    o = spark.createDataFrame([(c, lo, w) for c, (lo, w) in sorted(origins.items())],
-                              "camera_id string, __lo long, __sw long")
-    slots = rows.select("camera_id", "us").join(F.broadcast(o), "camera_id") \
-                .select("camera_id", F.floor((F.col("us") - F.col("__lo")) / F.col("__sw")).cast("long").alias("slot")) \
-                .groupBy("camera_id", "slot").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("camera_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = slots.select("camera_id", "slot",
-                          F.floor(F.coalesce(F.sum("__n").over(w), F.lit(0)) / F.lit(target_rows)).cast("long")
-                          .alias("chunk"))
-    return chunks.join(F.broadcast(o), "camera_id").select("camera_id", "slot", "chunk", "__lo", "__sw")
-
-
-def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: "int | DataFrame" = DAY_US,
-                      work_dir: str | None = None) -> DataFrame:
-    # chunk_us: one chunk length for all cameras, or a balanced_chunks() table
-    """Exact routing of long camera histories in time-ordered waves.
-
-    The compact routing rows of the hot cameras are materialised once in the
-    shared checkpoint folder, partitioned by time chunk.  Wave k then reads
-    only chunk k (partition pruning) and routes it for every hot camera in
-    parallel; each task sees one (camera, chunk) slice — bounded by the chunk
-    length, never the whole history — preceded by the camera's carried state
-    (last accepted cat frame and histogram, last background time).  Decisions
-    and end states are written back to the checkpoint folder, so lineage stays
-    one wave long and a lost executor only repeats its task of the current wave."""
+    The compact routing rows are materialised once in the shared checkpoint
+    folder, partitioned by time chunk.  Wave k then reads only chunk k
+    (partition pruning) and routes it for every camera in parallel; each task
+    sees one (camera, chunk) slice — bounded by the chunk length, never the
+    whole history — preceded by the camera's carried state (last accepted cat
+    frame and histogram, last background time).  Decisions and end states are
+    written back to the checkpoint folder, so lineage stays one wave long and a
+    lost executor only repeats its task of the current wave."""
     spark = rows.sparkSession
     base = work_dir or os.path.join(checkpoint_dir(spark), "route-waves", uuid.uuid4().hex)
     staged = os.path.join(base, "input")
-    r0 = rows.select("camera_id", "us", "frame_id", "has_cats", "control", "hist")
-    if isinstance(chunk_us, DataFrame):
-        # (camera_id, slot, chunk, __lo, __sw) from balanced_chunks: bounded by the
-        # slot count, broadcast; waves only need per-camera time order
-        slot = F.floor((F.col("us") - F.col("__lo")) / F.col("__sw")).cast("long")
-        o = chunk_us.select("camera_id", "__lo", "__sw").distinct()
-        r0 = r0.join(F.broadcast(o), "camera_id").withColumn("slot", slot).drop("__lo", "__sw") \
-               .join(F.broadcast(chunk_us.select("camera_id", "slot", "chunk")), ["camera_id", "slot"]) \
-               .drop("slot")
-    else:
-        r0 = r0.withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long"))
-    r0.write.mode("overwrite").partitionBy("chunk").parquet(staged)
-    r = spark.read.parquet(staged)
-    chunks = [x.chunk for x in r.select("chunk").distinct().orderBy("chunk").collect()]  # partition listing
+    given = rows.select(*ROUTE_COLUMNS, F.floor(F.col("us") / F.lit(chunk_us)).cast("long").alias("chunk"))
+    given.write.mode("overwrite").partitionBy("chunk").parquet(staged)
+    r = spark.read.schema(given.schema).parquet(staged)
+    # one value a chunk of the time span
+    chunks = [x.chunk for x in r.select("chunk").distinct().orderBy("chunk").collect()]
     state = None
     router = make_wave_router(params)
     for k in chunks:
-        data = r.where(F.col("chunk") == k).select(
+        data = r.where(F.col("chunk").eqNullSafe(F.lit(k))).select(
             "camera_id", F.lit(False).alias("is_state"), "us", "frame_id", "has_cats", "control", "hist",
             F.lit(None).cast("long").alias("s_cat_us"), F.lit(None).cast("array<double>").alias("s_cat_hist"),
             F.lit(None).cast("long").alias("s_cat_fid"), F.lit(None).cast("long").alias("s_bg_us"))
@@ -161,6 +103,8 @@ def route_hot_cameras(rows: DataFrame, params: FilterParams, chunk_us: "int | Da
         out = os.path.join(base, "out", f"wave={k}")
         wave.write.mode("overwrite").parquet(out)
         state = spark.read.parquet(out).where(F.col("is_state"))
+    if not chunks:
+        return spark.createDataFrame([], ROUTE_SCHEMA)
     done = spark.read.parquet(os.path.join(base, "out")).where(~F.col("is_state"))
     return done.select("camera_id", "frame_id", "us", "has_cats", "kind", "manual_save")
 
@@ -180,53 +124,63 @@ def session_stats(routed: DataFrame) -> DataFrame:
 def latest_frame(frames: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """T1 batch analogue: the newest frame per camera and time bucket.
 
-    ``max_by`` over (ts, frame_id) is a partial aggregate, so a hot camera
-    sends one row per bucket and map task to the shuffle."""
+    The winner's (ts, frame_id) is a partial aggregate, so a hot camera sends
+    one row per bucket and map task to the shuffle.  Plain columns travel with
+    it; a table with images gets the winners joined back, so image bytes of
+    other frames go through no aggregate."""
     b = F.window("ts", bucket)["start"]
     row = F.struct("ts", "frame_id")
-    agg = frames.withColumn("bucket", b).groupBy("camera_id", "bucket").agg(
-        F.max_by(F.struct(*[c for c in frames.columns if c not in ("camera_id",)]), row).alias("r"))
-    return agg.select("camera_id", "bucket", "r.*")
+    cols = [c for c in frames.columns if c != "camera_id"]
+    heavy = [f.name for f in frames.schema if isinstance(f.dataType, (T.BinaryType, T.StructType))]
+    light = [c for c in cols if c not in heavy]
+    agg = frames.select("camera_id", *light).withColumn("bucket", b).groupBy("camera_id", "bucket").agg(
+        F.max_by(F.struct(*light), row).alias("r")).select("camera_id", "bucket", "r.*")
+    if not heavy:
+        return agg
+    back = frames.select(*KEY, F.col("ts").alias("__ts"), *heavy).dropDuplicates([*KEY, "__ts"])
+    return agg.join(back, _same_frame(agg, back) & (agg["ts"] == back["__ts"])) \
+              .select(agg["camera_id"], agg["bucket"], *[(back if c in heavy else agg)[c] for c in cols])
 
 
 def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterParams(),
            confidence: float = 0.4, num_classes: int = 80, preprocess=None,
-           hot_camera_rows: int = HOT_CAMERA_ROWS) -> DataFrame:
-    """The capture loop as one DataFrame chain.
-
-    1. One pass over the frame bytes: optional ``preprocess`` (e.g. contrast
-       equalisation), X1 detection and the 64×64 thumbnail, evaluated together
-       (the image column is read once).  P4/F1/F2 run as Column expressions.
-    2. The compact per-frame result (ids, time, detections, thumbnail — no
+           chunk_us: int | None = None) -> DataFrame:
+    """The capture loop as one DataFrame chain, keyed by (camera_id, frame_id).
+
+    1. F3: null and undecodable frames go (``sources.images.bad_frames`` lists
+       them as warnings).
+    2. One pass over the frame bytes: optional ``preprocess`` (e.g. contrast
+       equalisation), X1 detection and the thumbnail's histogram, evaluated
+       together (the image column is read once).  P4/F1/F2 run as Column
+       expressions.
+    3. The compact per-frame result (ids, time, detections, histogram — no
        image bytes) is staged once in the checkpoint folder, so inference and
-       decoding never run twice.
-    3. Histograms (for frames with cats only) and T5 routing read the staged
-       table; hot-camera detection reads only (camera_id, ts) of the input.
-    4. Image bytes are joined back (and preprocessed again) for saved frames
-       only, ready for the K1-K3 sinks."""
+       decoding never run twice; T5 routing reads it.
+    4. The saved frames' ids, staged too, are joined to the raw frames, and
+       only those frames are preprocessed again, ready for the K1-K3 sinks."""
     from framecurate.functions.boxes import class_scope, confidence_filter
-    from framecurate.operators.images import detect, thumbnail_bytes, thumbnail_bytes_pixels
+    from framecurate.operators.images import detect
 
-    f = preprocess(frames) if preprocess is not None else frames
-    if "control" not in f.columns:
-        f = f.withColumn("control", F.lit(None).cast("string"))
-    det = detect(f, make_predict_fn).withColumn("thumb", thumbnail_bytes("image"))
+    good = valid_frames(frames)
+    if "control" not in good.columns:
+        good = good.withColumn("control", F.lit(None).cast("string"))
+    f = preprocess(good) if preprocess is not None else good
+    det = detect(f, make_predict_fn).withColumn("hist", frame_histogram("image", normalized=True))
     det = det.withColumn("detections", class_scope(confidence_filter("detections", confidence), num_classes))
-    compact = det.select("camera_id", "frame_id", "ts", "control", "detections",
-                         (F.size("detections") > 0).alias("has_cats"), "thumb")
-    spark = frames.sparkSession
-    base = os.path.join(checkpoint_dir(spark), "curate", uuid.uuid4().hex)
-    compact.write.mode("overwrite").parquet(base)
-    staged = spark.read.parquet(base)
-    sparse = hs_histogram(thumbnail_bytes_pixels(staged.where(F.col("has_cats"))))
-    hists = dense_histogram(sparse).select("frame_id", minmax_normalize("hist").alias("hist"))
-    stats = camera_stats(frames.select("camera_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")))
-    routed = route_frames(routing_input(staged.select("camera_id", "frame_id", "ts", "has_cats", "control"), hists),
-                          params, hot_camera_rows, stats=stats)
-    keep = routed.where(F.col("kind").isin("cats", "background") | F.col("manual_save")) \
-                 .join(staged.select("frame_id", "ts", "detections"), "frame_id") \
-                 .withColumn("kind", F.when(F.col("kind").isin("cats", "background"), F.col("kind"))
-                             .otherwise(F.lit("manual_background")))
-    # image bytes only for saved frames (AQE broadcasts the id side when small)
-    saved = f.join(keep.select("frame_id"), "frame_id", "left_semi").select("frame_id", "image")
-    return keep.join(saved, "frame_id")
+    staged = stage(det.select(*KEY, "ts", "control", "detections", (F.size("detections") > 0).alias("has_cats"),
+                              "hist"), "curate")
+    rows = staged.select("camera_id", "frame_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+                         "has_cats", F.col("control").cast("string").alias("control"),
+                         F.when(F.col("has_cats"), F.col("hist")).alias("hist"))
+    routed = route_frames(rows, params, chunk_us)
+    chosen = routed.where(F.col("kind").isin("cats", "background") | F.col("manual_save")) \
+        .withColumn("kind", F.when(F.col("kind").isin("cats", "background"), F.col("kind"))
+                    .otherwise(F.lit("manual_background")))
+    info = staged.select(*KEY, "ts", "detections")
+    keep = stage(chosen.join(info, _same_frame(chosen, info)).select(*[chosen[c] for c in chosen.columns],
+                                                                     "ts", "detections"), "curate-saved")
+    ids = keep.select(*KEY).distinct()
+    ids = F.broadcast(ids) if keep.count() <= BROADCAST_IDS else ids
+    raw = good.join(ids, _same_frame(good, ids), "left_semi")
+    saved = (preprocess(raw) if preprocess is not None else raw).select(*KEY, "image")
+    return keep.join(saved, _same_frame(keep, saved)).select(*[keep[c] for c in keep.columns], "image")

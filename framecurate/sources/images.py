@@ -30,6 +30,24 @@ def image_dims(frames: DataFrame) -> DataFrame:
                          F.col("image.height").alias("height"), (F.col("image.width") > 0).alias("readable"))
 
 
+def _decodable():
+    img = F.col("image")
+    return F.coalesce(img.isNotNull() & img["data"].isNotNull() & (img["width"] > 0) & (img["height"] > 0), F.lit(False))
+
+
+def valid_frames(frames: DataFrame) -> DataFrame:
+    """frames that can be decoded."""
+    return frames.where(_decodable())
+
+
+def bad_frames(frames: DataFrame) -> DataFrame:
+    """F3 side output: one warning per null or undecodable frame."""
+    return frames.where(~_decodable()).select(
+        F.lit("read").alias("stage"), "camera_id", "frame_id",
+        F.when(F.col("image").isNull(), F.lit("no frame")).otherwise(F.lit("cannot be decoded")).alias("reason"),
+        F.col("image.origin").alias("detail"))
+
+
 def stream_frames(spark: SparkSession, path: str, camera_pattern: str = r"/([^/]+)/[^/]+$",
                   max_files_per_trigger: int = 1000) -> DataFrame:
     """Continuous frame source over a landing directory (explicit schema)."""

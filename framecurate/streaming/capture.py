@@ -98,15 +98,25 @@ def start_latest_frame(frames_stream: DataFrame, sink: Callable[[DataFrame, int]
 
 
 def start_incremental_queue(captures_stream: DataFrame, labeled: Callable[[], DataFrame],
-                            sink: Callable[[DataFrame, int], None], name: str, trigger: dict | None = None):
+                            sink: Callable[[DataFrame, int], None], name: str, trigger: dict | None = None,
+                            inventory: Callable[[], DataFrame] | None = None, document_root: str | None = None,
+                            on_summary: Callable[[DataFrame, int], None] | None = None):
     """Every micro-batch of new captures is queued for labeling minus the
-    images already labeled (anti join on filename against the *current*
-    labeled table, re-read per batch)."""
+    images already labeled (against the *current* labeled table, re-read per
+    batch).  With an ``inventory`` the batch is classified like the batch queue
+    (J1, J2, A4): ``sink`` gets the rows with their outcome, ``on_summary`` the
+    one-row counts."""
+    from framecurate.plans import labeling as lb
     spark = captures_stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        done = labeled().select("filename").distinct()
-        sink(batch.join(done, "filename", "left_anti"), batch_id)
+        if inventory is None:
+            sink(lb.unlabeled(batch, labeled().distinct()), batch_id)
+            return
+        got = lb.classify_captures(batch, inventory(), labeled(), document_root)
+        if on_summary is not None:
+            on_summary(lb.export_summary(got), batch_id)
+        sink(got, batch_id)
 
     w = captures_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_for(spark, name))
     return w.trigger(**(trigger or {"availableNow": True})).start()

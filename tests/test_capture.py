@@ -141,12 +141,12 @@ def test_stream_drain_equals_batch(spark, tmp_path):
     assert stream == batch
 
 
-def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
-    """A camera above the hot threshold is routed in day chunks with carried
-    state; decisions must equal the single-pass fold exactly."""
+def test_waves_equal_single_pass(spark, tmp_path):
+    """Histories routed in time chunks with carried state, a NULL camera among
+    them; decisions must equal the single-pass fold exactly."""
     rng = np.random.default_rng(11)
     rows, day = [], 86_400 * S
-    for cam, n, gap in (("hot", 300, 6 * 3600), ("hot2", 200, 2 * 3600), ("cold", 40, 6 * 3600)):
+    for cam, n, gap in (("hot", 300, 6 * 3600), ("hot2", 200, 2 * 3600), (None, 40, 6 * 3600)):
         us = int(rng.integers(0, 30 * 86_400)) * S
         for i in range(n):
             # "hot" has a burst: 100 frames one second apart in the middle
@@ -158,13 +158,9 @@ def test_hot_camera_waves_equal_single_pass(spark, tmp_path):
     df = spark.createDataFrame(rows, schema)
     p = FilterParams(similarity=0.15, min_us=2 * 3600 * S, max_us=30 * 3600 * S, background_us=20 * 3600 * S)
     single = {r.frame_id: (r.kind, r.manual_save) for r in cu.route_frames(df, p).collect()}
-    waves = {r.frame_id: (r.kind, r.manual_save)
-             for r in cu.route_frames(df, p, hot_camera_rows=100, chunk_us=7 * day).collect()}
-    assert waves == single
-    # adaptive chunk size: ~30 frames per (camera, chunk) slice
-    adaptive = {r.frame_id: (r.kind, r.manual_save)
-                for r in cu.route_frames(df, p, hot_camera_rows=100, target_chunk_rows=30).collect()}
-    assert adaptive == single
+    for span in (7 * day, day // 3):
+        waves = {r.frame_id: (r.kind, r.manual_save) for r in cu.route_frames(df, p, chunk_us=span).collect()}
+        assert waves == single
     assert len(single) == 540
 
 
