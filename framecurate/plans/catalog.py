@@ -21,8 +21,12 @@ from framecurate.plans import curate as cu
 from framecurate.plans import labeling as lb
 from framecurate.plans import merge as mg
 from framecurate.plans import splitting as sp
-from framecurate.sources.annotations import parse_task_files, labeled_filenames
+from framecurate.operators import images as im
+from framecurate.operators.dedup import union_with_merged
+from framecurate.sinks.writers import labeled_images
+from framecurate.sources.annotations import CONVERT_WRAPPER_KEYS, labeled_filenames, parse_task_files
 from framecurate.sources.captures import parse_capture_meta, capture_meta_json
+from framecurate.sources.images import image_dims
 
 DOC_ROOT = "/"                    # task URLs resolve under the filesystem root
 URL_ROOT = "/srv/ls"              # document root used for the page-URL examples
@@ -47,12 +51,6 @@ def _frames(spark, d):
     return td.detection_frames(spark, d)
 
 
-def _exploded(spark, d):
-    f = _frames(spark, d)
-    return f.select("frame_id", "camera_id", "ts", "width", "height",
-                    F.posexplode("detections").alias("det_idx", "d"))
-
-
 def _routing_rows(spark, d):
     return td.routing_rows(spark, d)
 
@@ -75,9 +73,15 @@ def q_export_tasks_parse(spark, d):
                     "image_url", "filename")
 
 
+def q_convert_unwrap(spark, d):
+    t = parse_task_files(td.export_file_texts(spark, d), CONVERT_WRAPPER_KEYS, single_task_fallback=True)
+    return t.select("file", "pos", "image_url")
+
+
 def q_image_dims(spark, d):
     inv = td.image_inventory(spark, d)
-    return inv.select("path", "width", "height", (F.col("width") > 0).alias("readable"))
+    image = F.struct(F.col("path").alias("origin"), "width", "height")
+    return image_dims(inv.select(image.alias("image")))
 
 
 def q_capture_meta_parse(spark, d):
@@ -101,12 +105,10 @@ def _manifest_with_counts(spark, d, path):
     counts = sp.split_counts(_split(spark, d))
     one = counts.agg(*[F.coalesce(F.sum(F.when(F.col("split") == s, F.col("n"))), F.lit(0)).alias(f"n_{s}")
                        for s in ("train", "val", "test")])
-    names = cl.CLASS_NAMES
-    return one.select(F.lit(path).alias("path"), F.lit(sp.SPLIT_DIRS["train"]).alias("train"),
-                      F.lit(sp.SPLIT_DIRS["val"]).alias("val"), F.lit(sp.SPLIT_DIRS["test"]).alias("test"),
-                      F.lit(len(names)).alias("nc"),
-                      F.to_json(F.array(*[F.lit(n) for n in names])).alias("names_json"),
-                      "n_train", "n_val", "n_test")
+    # one row each: the manifest and the counts
+    m = sp.manifest(spark, path).select("path", "train", "val", "test", "nc", F.to_json("names").alias("names_json"),
+                                        F.lit(1).alias("k"))
+    return m.join(one.withColumn("k", F.lit(1)), "k").drop("k")
 
 
 def q_split_manifest(spark, d):
@@ -197,9 +199,9 @@ def q_class_label_lookup(spark, d):
 
 
 def q_label_class_id(spark, d):
-    t = cv.typed_results(_tasks(spark, d)).where(F.size("all_results") > 0)
-    lab = F.get(F.get("all_results", 0)["value"]["rectanglelabels"], 0)
-    return t.select("file", "pos", lab.alias("label"), cl.class_for_label(lab).alias("class_id"))
+    t = cv.typed_results(_tasks(spark, d)).select("file", "pos", F.posexplode("all_results").alias("box_idx", "r"))
+    lab = F.get(F.col("r.value.rectanglelabels"), 0)
+    return t.select("file", "pos", "box_idx", lab.alias("label"), cl.class_for_label(lab).alias("class_id"))
 
 
 def q_class_name_fallback(spark, d):
@@ -248,6 +250,35 @@ def q_class_scope_filter(spark, d):
     return f.select("frame_id", F.inline(scoped)).select("frame_id", F.col("idx").alias("det_idx"), "class_id")
 
 
+def q_class_scope_other(spark, d):
+    f = _frames(spark, d)
+    scoped = bx.class_scope(F.transform("detections", lambda x, i: x.withField("idx", i)), F.lit(2))
+    return f.select("frame_id", F.inline(scoped)).select("frame_id", F.col("idx").alias("det_idx"), "class_id")
+
+
+def q_crop_pixels(spark, d):
+    i = td.text_images(spark, d)
+    return i.select("frame_id", F.lower(F.hex(im.crop_pixels("image", "box"))).alias("crop_hex"))
+
+
+def q_lab_round_trip(spark, d):
+    px = td.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        (F.col("l_partkey") * 7 % 256).cast("int").alias("b"), (F.col("l_suppkey") * 29 % 256).cast("int").alias("g"),
+        (F.col("l_orderkey") % 256).cast("int").alias("r")).select("b", "g", "r").distinct()
+    lab = px.select("b", "g", "r", im.bgr_to_lab("b", "g", "r").alias("lab"))
+    back = im.lab_to_bgr(F.col("lab.l"), F.col("lab.a"), F.col("lab.b"))
+    return lab.select("b", "g", "r", F.col("lab.l").alias("lab_l"), F.col("lab.a").alias("lab_a"),
+                      F.col("lab.b").alias("lab_b"), back["b"].alias("b2"), back["g"].alias("g2"), back["r"].alias("r2"))
+
+
+def q_debug_summary(spark, d):
+    best = cl.best_confidence(_frames(spark, d), cl.class_names_df(spark), bx.DEBUG_CONFIDENCE)
+    found = best.groupBy("frame_id").agg(F.collect_list(F.struct("name", F.col("best_confidence").alias("confidence")))
+                                         .alias("found"))
+    return found.select("frame_id", cl.debug_summary("found").alias("summary"))
+
+
 def q_crop_eligible(spark, d):
     f = _frames(spark, d)
     e = f.select("frame_id", "camera_id", "ts", "width", "height", bx.cat_count("detections").alias("n"),
@@ -260,8 +291,7 @@ def q_crop_eligible(spark, d):
 
 def q_first_annotation(spark, d):
     t = cv.typed_results(_tasks(spark, d))
-    rects = F.filter(F.coalesce("all_results", F.array()), lambda r: F.coalesce(r["type"] == "rectanglelabels",
-                                                                                 F.lit(False)))
+    rects = cv.rectangles("all_results")
     return t.select("file", "pos", F.col("all_results").isNotNull().alias("has_annotations"),
                     F.coalesce(F.size("all_results"), F.lit(0)).alias("n_results"),
                     F.size(rects).alias("n_rect"))
@@ -280,11 +310,11 @@ def _task_paths(spark, d):
 
 
 def q_image_exists_semi(spark, d):
-    return _task_paths(spark, d).join(td.image_inventory(spark, d).select("path"), "path", "left_semi")
+    return cv.existing_images(_task_paths(spark, d), td.image_inventory(spark, d))
 
 
 def q_image_missing_anti(spark, d):
-    return _task_paths(spark, d).join(td.image_inventory(spark, d).select("path"), "path", "left_anti")
+    return cv.missing_images(_task_paths(spark, d), td.image_inventory(spark, d))
 
 
 def _labeled(spark, d):
@@ -295,7 +325,7 @@ def _labeled(spark, d):
 def q_unlabeled_queue(spark, d):
     docs = td.table(spark, d, "documents").select(
         "doc_id", F.concat(F.lit("img_"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("filename"))
-    return docs.join(_labeled(spark, d), "filename", "left_anti").select("doc_id", "filename")
+    return lb.unlabeled(docs, _labeled(spark, d)).select("doc_id", "filename")
 
 
 def q_pair_samples(spark, d):
@@ -329,15 +359,21 @@ def q_export_summary(spark, d):
     return lb.export_summary(cls)
 
 
+def q_export_outcomes(spark, d):
+    cls = lb.classify_captures(_captures(spark, d), td.image_inventory(spark, d), _labeled(spark, d))
+    return cls.select("frame_id", "full_frame", "outcome")
+
+
+def q_labeled_images(spark, d):
+    return labeled_images(_converted(spark, d))
+
+
 def q_split_counts(spark, d):
     return sp.split_counts(_split(spark, d))
 
 
 def q_best_confidence_per_class(spark, d):
-    e = _exploded(spark, d).where(F.col("d.confidence") >= bx.DEBUG_CONFIDENCE) \
-        .select("frame_id", F.col("d.class_id").alias("class_id"), F.col("d.confidence").alias("confidence"))
-    named = cl.attach_class_names(e, cl.class_names_df(spark))
-    return named.groupBy("frame_id", "name").agg(F.max("confidence").alias("best_confidence"))
+    return cl.best_confidence(_frames(spark, d), cl.class_names_df(spark), bx.DEBUG_CONFIDENCE)
 
 
 def q_hs_histogram(spark, d):
@@ -357,28 +393,35 @@ def q_bhattacharyya_consecutive(spark, d):
     return emb.join(nxt, "vec_id").select("vec_id", "next_id", hg.bhattacharyya("h", "h2").alias("distance"))
 
 
+def _tiles(spark, d):
+    return eq.tile_tables(td.luminance_planes(spark, d), 2.0, (td.CLAHE_GRID, td.CLAHE_GRID))
+
+
 def q_tile_histogram(spark, d):
-    return eq.tile_histogram(td.luminance_pixels(spark, d), td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
+    n = F.transform("hist", lambda n, i: F.when(n > 0, F.concat(i.cast("string"), F.lit(":"), n.cast("string"))))
+    return _tiles(spark, d).select("frame_id", "ty", "tx", F.array_join(n, ",").alias("counts"))
 
 
 def q_clipped_histogram(spark, d):
-    th = eq.tile_histogram(td.luminance_pixels(spark, d), td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
-    area = (td.THUMB // td.CLAHE_GRID) ** 2
-    return eq.clip_histogram(th, eq.clip_limit_count(2.0, area), area).select("frame_id", "ty", "tx", "bin", "n")
+    return _tiles(spark, d).select("frame_id", "ty", "tx", F.array_join("clipped", ",").alias("counts"))
 
 
 def q_equalize_lut(spark, d):
-    th = eq.tile_histogram(td.luminance_pixels(spark, d), td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
-    area = (td.THUMB // td.CLAHE_GRID) ** 2
-    return eq.tile_lut(th, eq.clip_limit_count(2.0, area), area)
+    return _tiles(spark, d).select("frame_id", "ty", "tx", F.array_join("lut", ",").alias("lut"))
+
+
+def _equalized(spark, d, width, height):
+    planes = td.luminance_planes(spark, d, width, height)
+    rows = eq.plane_rows(eq.equalize_planes(planes, 2.0, (td.CLAHE_GRID, td.CLAHE_GRID)))
+    return rows.select("frame_id", "y", F.array_join("values", ",").alias("l_eq"))
 
 
 def q_equalize_apply(spark, d):
-    px = td.luminance_pixels(spark, d)
-    area = (td.THUMB // td.CLAHE_GRID) ** 2
-    th = eq.tile_histogram(px, td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
-    luts = eq.tile_luts(th, eq.clip_limit_count(2.0, area), area)
-    return eq.apply_lut(px, luts, td.THUMB, td.THUMB, td.CLAHE_GRID, td.CLAHE_GRID)
+    return _equalized(spark, d, td.THUMB, td.THUMB)
+
+
+def q_equalize_apply_padded(spark, d):
+    return _equalized(spark, d, td.ODD_W, td.ODD_H)
 
 
 # ------------------------------------------------------------------ window / set
@@ -397,22 +440,12 @@ def q_seeded_split(spark, d):
 
 
 def q_detections_ranked(spark, d):
-    f = _frames(spark, d)
-    idx = F.transform("detections", lambda x, i: F.struct(i.alias("det_idx"), x["confidence"].alias("confidence")))
-    ranked = F.array_sort(idx, lambda a, b: F.when(a["confidence"] > b["confidence"], -1)
-                          .when(a["confidence"] < b["confidence"], 1)
-                          .when(a["det_idx"] < b["det_idx"], -1).when(a["det_idx"] > b["det_idx"], 1).otherwise(0))
-    return f.select("frame_id", F.posexplode(ranked).alias("r", "e")).select(
-        "frame_id", (F.col("r") + 1).alias("rank"), F.col("e.det_idx").alias("det_idx"),
-        F.col("e.confidence").alias("confidence"))
+    return cl.ranked_detections(_frames(spark, d))
 
 
 def q_export_union(spark, d):
     t = _tasks(spark, d)
-    merged = mg.merge_dedup_first(t)
-    a = t.select(F.lit("export").alias("source"), "filename", "file", "pos")
-    b = merged.select(F.lit("merged").alias("source"), "filename", "file", "pos")
-    return a.unionByName(b)
+    return union_with_merged(t, mg.merge_dedup_first(t), ["filename", "file", "pos"])
 
 
 def q_distinct_filenames(spark, d):
@@ -425,6 +458,12 @@ def q_route_frames(spark, d):
     return r.select("camera_id", "frame_id", "kind", "manual_save")
 
 
+def q_route_frames_waves(spark, d):
+    """The same decisions, routed in waves of 40 days."""
+    r = cu.route_frames(_routing_rows(spark, d), _params(), chunk_us=40 * 24 * td.HOURS)
+    return r.select("camera_id", "frame_id", "kind", "manual_save")
+
+
 def q_variety_filter(spark, d):
     rows = _routing_rows(spark, d).where(F.col("has_cats")).withColumn("control", F.lit(None).cast("string"))
     r = cu.route_frames(rows, _params())

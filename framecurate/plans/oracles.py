@@ -34,7 +34,7 @@ tasks AS (
          l_discount <> 0 AS has_ann,
          CASE WHEN l_returnflag = 'A' THEN 'salo' WHEN l_returnflag = 'N' THEN 'taro'
               WHEN l_linestatus = 'F' THEN 'cat' ELSE NULL END AS label,
-         CAST(l_partkey % 80 AS DOUBLE) + 0.5 AS bx, CAST(l_suppkey % 70 AS DOUBLE) + 0.25 AS by_,
+         CASE WHEN l_suppkey % 29 <> 7 THEN CAST(l_partkey % 80 AS DOUBLE) + 0.5 END AS bx, CAST(l_suppkey % 70 AS DOUBLE) + 0.25 AS by_,
          l_quantity / 2 AS bw, l_quantity / 3 AS bh
   FROM li_x WHERE NOT (l_linenumber = 7 AND chunk = 0))"""
 
@@ -117,8 +117,8 @@ conv AS (
          CASE t.label WHEN 'salo' THEN 0 WHEN 'taro' THEN 1 END AS cid
   FROM tasks t LEFT JOIN inv ON inv.path = t.src_path),
 ok AS (
-  SELECT *, CASE WHEN has_ann AND cid IS NOT NULL THEN 1 ELSE 0 END AS n_boxes,
-         CASE WHEN has_ann AND cid IS NOT NULL THEN
+  SELECT *, CASE WHEN has_ann AND cid IS NOT NULL AND bx IS NOT NULL THEN 1 ELSE 0 END AS n_boxes,
+         CASE WHEN has_ann AND cid IS NOT NULL AND bx IS NOT NULL THEN
            CAST(cid AS VARCHAR) || ' ' || {_pyfloat_sql('cx')} || ' ' || {_pyfloat_sql('cy')} || ' '
            || {_pyfloat_sql('w')} || ' ' || {_pyfloat_sql('h')} || chr(10) ELSE '' END AS label_text
   FROM conv WHERE image_url IS NOT NULL AND img_exists)"""
@@ -127,18 +127,18 @@ CAPTURES_CTE = f"""
 cap AS (
   SELECT fr.frame_id, fr.camera_id, fr.ts, fr.cat_count,
          '/data/raw/img_' || CAST(l1.l_partkey AS VARCHAR) || '.jpg' AS full_frame
-  FROM fr JOIN lineitem l1 ON l1.l_orderkey = fr.frame_id AND l1.l_linenumber = 1),
+  FROM fr JOIN det l1 ON l1.frame_id = fr.frame_id AND l1.pos_idx = 0),
 labeled AS (SELECT 'img_' || CAST(doc_id AS VARCHAR) || '.jpg' AS filename FROM labels),
 cls AS (
   SELECT cap.*, inv.width, inv.height, {_name_sql('cap.full_frame')} AS filename,
-         CASE WHEN inv.path IS NULL OR inv.width <= 0 THEN 'error'
-              WHEN lab.filename IS NOT NULL THEN 'skipped' ELSE 'exported' END AS outcome
+         CASE WHEN inv.path IS NULL THEN 'error' WHEN lab.filename IS NOT NULL THEN 'skipped'
+              WHEN inv.width <= 0 THEN 'error' ELSE 'exported' END AS outcome
   FROM cap LEFT JOIN inv ON inv.path = cap.full_frame
            LEFT JOIN (SELECT DISTINCT filename FROM labeled) lab ON lab.filename = {_name_sql('cap.full_frame')})"""
 
 ROUTE_INPUT = f"""
 f AS (
-  SELECT CAST(e.user_id AS VARCHAR) AS camera_id, e.event_id AS frame_id, epoch_us(e.ts) AS us,
+  SELECT CASE WHEN e.user_id % 50 <> 7 THEN CAST(e.user_id AS VARCHAR) END AS camera_id, e.event_id AS frame_id, epoch_us(e.ts) AS us,
          e.event_type <> 'view' AS has_cats,
          CASE WHEN e.event_type = 'signup' THEN 'manual_background'
               WHEN e.event_type = 'error' AND e.value > 200 THEN 'reset' END AS control,
@@ -175,7 +175,7 @@ r(camera_id, rn, frame_id, has_cats, kind, manual_save, lc, lh, lb) AS (
              CASE WHEN fr_.control = 'reset' THEN NULL ELSE r.lc END AS lc0,
              CASE WHEN fr_.control = 'reset' THEN NULL ELSE r.lh END AS lh0,
              CASE WHEN fr_.control = 'reset' THEN NULL ELSE r.lb END AS lb0
-      FROM r JOIN fr_ ON fr_.camera_id = r.camera_id AND fr_.rn = r.rn + 1) q) s)"""
+      FROM r JOIN fr_ ON fr_.camera_id IS NOT DISTINCT FROM r.camera_id AND fr_.rn = r.rn + 1) q) s)"""
 
 
 def _route_sql(where: str, select: str) -> str:
@@ -206,15 +206,23 @@ bins AS (SELECT frame_id, CAST(floor((CASE WHEN h0 < 0 THEN h0 + 180 ELSE h0 END
                 CAST(floor(s * 8 / 256) AS INTEGER) AS sbin FROM hs)"""
 
 
-def _lum_sql() -> str:
-    lv = f"CAST((p_partkey * 3 + (i % {td.THUMB}) * (i // {td.THUMB}) + p_size * (i % {td.THUMB})) % 256 AS INTEGER) AS l"
-    tile = td.THUMB // td.CLAHE_GRID
-    area = tile * tile
-    clip = max(int(2.0 * area / 256), 1)
+def _lum_sql(w: int, h: int) -> str:
+    """Planes of w × h, padded by reflection up to a multiple of the grid for the tiles."""
+    g = td.CLAHE_GRID
+    pw, ph = -(-w // g) * g, -(-h // g) * g
+    tw, th = pw // g, ph // g
+    clip = max(int(2.0 * tw * th / 256), 1)
+
+    def grid(cw, ch):
+        return (f"SELECT p_partkey, p_size, CAST(i % {cw} AS INTEGER) AS px, CAST(i // {cw} AS INTEGER) AS py "
+                f"FROM part, range(0, {cw * ch}) t(i)")
     return f"""
-lp AS ({_pixels_sql(lv)}),
-th AS (SELECT frame_id, CAST(y // {tile} AS INTEGER) AS ty, CAST(x // {tile} AS INTEGER) AS tx, l, count(*) AS n
-       FROM lp GROUP BY ALL),
+lp AS (SELECT p_partkey AS frame_id, px AS x, py AS y, CAST((p_partkey * 3 + px * py + p_size * px) % 256 AS INTEGER) AS l
+       FROM ({grid(w, h)})),
+pp AS (SELECT *, CASE WHEN px < {w} THEN px ELSE {2 * (w - 1)} - px END AS x,
+              CASE WHEN py < {h} THEN py ELSE {2 * (h - 1)} - py END AS y FROM ({grid(pw, ph)})),
+th AS (SELECT p_partkey AS frame_id, CAST(py // {th} AS INTEGER) AS ty, CAST(px // {tw} AS INTEGER) AS tx,
+              CAST((p_partkey * 3 + x * y + p_size * x) % 256 AS INTEGER) AS l, count(*) AS n FROM pp GROUP BY ALL),
 dense AS (
   SELECT t.frame_id, t.ty, t.tx, CAST(b.bin AS INTEGER) AS bin, coalesce(th.n, 0) AS n
   FROM (SELECT DISTINCT frame_id, ty, tx FROM th) t CROSS JOIN range(0, 256) b(bin)
@@ -228,11 +236,61 @@ cl AS (
   FROM ex),
 lut AS (
   SELECT frame_id, ty, tx, bin,
-         CAST(least(round(CAST(sum(n) OVER (PARTITION BY frame_id, ty, tx ORDER BY bin
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS FLOAT) * CAST({255 / area} AS FLOAT)), 255) AS INTEGER) AS lut
+         CAST(least(round_even(CAST(sum(n) OVER (PARTITION BY frame_id, ty, tx ORDER BY bin
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS FLOAT) * CAST({255 / (tw * th)} AS FLOAT), 0), 255) AS INTEGER) AS lut
   FROM cl)"""
 
 
+def _equalized_sql(w: int, h: int) -> str:
+    g = td.CLAHE_GRID
+    tw, th = -(-w // g), -(-h // g)
+    return "WITH " + _lum_sql(w, h).strip() + f""",
+pf AS (
+  SELECT frame_id, x, y, l,
+         CAST(x AS FLOAT) * CAST({1.0 / tw} AS FLOAT) - CAST(0.5 AS FLOAT) AS txf,
+         CAST(y AS FLOAT) * CAST({1.0 / th} AS FLOAT) - CAST(0.5 AS FLOAT) AS tyf FROM lp),
+pg AS (
+  SELECT frame_id, x, y, l, CAST(txf - CAST(floor(txf) AS FLOAT) AS FLOAT) AS xa, CAST(tyf - CAST(floor(tyf) AS FLOAT) AS FLOAT) AS ya,
+         greatest(CAST(floor(txf) AS INTEGER), 0) AS ta, least(CAST(floor(txf) AS INTEGER) + 1, {g - 1}) AS tb,
+         greatest(CAST(floor(tyf) AS INTEGER), 0) AS ua, least(CAST(floor(tyf) AS INTEGER) + 1, {g - 1}) AS ub FROM pf),
+done AS (
+SELECT pg.frame_id, pg.x, pg.y,
+       CAST(least(greatest(round_even(CAST(
+         (CAST(l1.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l2.lut AS FLOAT) * xa) * (CAST(1 AS FLOAT) - ya)
+         + (CAST(l3.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l4.lut AS FLOAT) * xa) * ya AS FLOAT), 0), 0), 255) AS INTEGER) AS v
+FROM pg
+JOIN lut l1 ON l1.frame_id = pg.frame_id AND l1.ty = pg.ua AND l1.tx = pg.ta AND l1.bin = pg.l
+JOIN lut l2 ON l2.frame_id = pg.frame_id AND l2.ty = pg.ua AND l2.tx = pg.tb AND l2.bin = pg.l
+JOIN lut l3 ON l3.frame_id = pg.frame_id AND l3.ty = pg.ub AND l3.tx = pg.ta AND l3.bin = pg.l
+JOIN lut l4 ON l4.frame_id = pg.frame_id AND l4.ty = pg.ub AND l4.tx = pg.tb AND l4.bin = pg.l)
+SELECT frame_id, y, string_agg(v, ',' ORDER BY x) AS l_eq FROM done GROUP BY frame_id, y"""
+
+
+def _lab_sql() -> str:
+    lin = lambda c: f"CASE WHEN {c} / 255.0::DOUBLE <= 0.04045 THEN {c} / 255.0::DOUBLE / 12.92 ELSE pow(({c} / 255.0::DOUBLE + 0.055) / 1.055, 2.4) END"
+    f = lambda t: f"CASE WHEN {t} > 0.008856 THEN pow({t}, 1.0::DOUBLE / 3.0) ELSE 7.787 * {t} + 16.0::DOUBLE / 116.0 END"
+    inv = lambda t: f"CASE WHEN {t} > 0.206893 THEN pow({t}, 3.0) ELSE ({t} - 16.0::DOUBLE / 116.0) / 7.787 END"
+    clamp = lambda v: f"CAST(least(greatest(round({v}), 0), 255) AS INTEGER)"
+    to8 = lambda v: clamp(f"(CASE WHEN {v} <= 0.0031308 THEN 12.92 * {v} ELSE 1.055 * pow(greatest({v}, 0), 1.0::DOUBLE / 2.4) - 0.055 END) * 255.0")
+    return f"""
+WITH px AS (SELECT DISTINCT CAST(l_partkey * 7 % 256 AS INTEGER) AS b, CAST(l_suppkey * 29 % 256 AS INTEGER) AS g,
+                            CAST(l_orderkey % 256 AS INTEGER) AS r FROM lineitem),
+lin AS (SELECT *, {lin('b')} AS bl, {lin('g')} AS gl, {lin('r')} AS rl FROM px),
+xyz AS (SELECT *, (0.412453::DOUBLE * rl + 0.357580::DOUBLE * gl + 0.180423::DOUBLE * bl) / 0.950456::DOUBLE AS x,
+  0.212671::DOUBLE * rl + 0.715160::DOUBLE * gl + 0.072169::DOUBLE * bl AS y,
+  (0.019334::DOUBLE * rl + 0.119193::DOUBLE * gl + 0.950227::DOUBLE * bl) / 1.088754::DOUBLE AS z FROM lin),
+fs AS (SELECT *, {f('x')} AS fx, {f('y')} AS fy, {f('z')} AS fz FROM xyz),
+lab AS (SELECT b, g, r, {clamp("(CASE WHEN y > 0.008856 THEN 116.0 * fy - 16.0 ELSE 903.3 * y END) * 255.0 / 100.0")} AS lab_l,
+  {clamp("500.0 * (fx - fy) + 128.0")} AS lab_a, {clamp("200.0 * (fy - fz) + 128.0")} AS lab_b FROM fs),
+back AS (SELECT *, (lab_l * 100.0::DOUBLE / 255.0 + 16.0) / 116.0 AS f2 FROM lab),
+inv AS (SELECT *, f2 + (lab_a - 128.0::DOUBLE) / 500.0 AS f1, f2 - (lab_b - 128.0::DOUBLE) / 200.0 AS f3 FROM back),
+xyz2 AS (SELECT *, ({inv('f1')}) * 0.950456::DOUBLE AS x, {inv('f2')} AS y, ({inv('f3')}) * 1.088754::DOUBLE AS z FROM inv),
+rgb AS (SELECT *, 3.240479::DOUBLE * x - 1.53715::DOUBLE * y - 0.498535::DOUBLE * z AS rl,
+  -0.969256::DOUBLE * x + 1.875991::DOUBLE * y + 0.041556::DOUBLE * z AS gl,
+  0.055648::DOUBLE * x - 0.204043::DOUBLE * y + 1.057311::DOUBLE * z AS bl FROM xyz2)
+SELECT b, g, r, lab_l, lab_a, lab_b, {to8('bl')} AS b2, {to8('gl')} AS g2, {to8('rl')} AS r2 FROM rgb"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     E = "WITH " + EXPORT_CTE.strip()
@@ -255,7 +313,12 @@ UNION ALL SELECT 'merged' AS source, filename, file, pos FROM ranked WHERE rn =
 SELECT file, pos, 0 AS box_idx, round((bx + bw / 2) / 100, 6) AS cx, round((by_ + bh / 2) / 100, 6) AS cy,
        round(bw / 100, 6) AS w, round(bh / 100, 6) AS h FROM tasks WHERE has_ann"""
     q["label_class_id"] = E + """
-SELECT file, pos, label, CASE label WHEN 'salo' THEN 0 WHEN 'taro' THEN 1 END AS class_id FROM tasks WHERE has_ann"""
+SELECT file, pos, 0 AS box_idx, label, CASE label WHEN 'salo' THEN 0 WHEN 'taro' THEN 1 END AS class_id
+FROM tasks WHERE has_ann
+UNION ALL SELECT file, pos, 1, 'salo', 0 FROM tasks WHERE has_ann AND l_quantity > 40"""
+    q["convert_unwrap"] = E + """
+SELECT file, pos, image_url FROM tasks WHERE l_linenumber <> 6
+UNION ALL SELECT DISTINCT file, 0, CAST(NULL AS VARCHAR) FROM tasks WHERE l_linenumber = 6"""
     q["first_annotation"] = E + """
 SELECT file, pos, has_ann AS has_annotations,
        CASE WHEN NOT has_ann THEN 0 WHEN l_quantity > 40 THEN 2 ELSE 1 END AS n_results,
@@ -268,6 +331,9 @@ SELECT file, pos, has_ann AS has_annotations,
     q["label_dedup_last"] = EY + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY file DESC, pos DESC) AS rn FROM ok)
 SELECT stem, file, pos, stem || '.jpg' AS image_name, label_text, n_boxes FROM ranked WHERE rn = 1"""
+    q["labeled_images"] = EY + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY src_path ORDER BY file DESC, pos DESC) AS rn FROM ok)
+SELECT stem, stem || '.jpg' AS image_name, src_path AS image_path FROM ranked WHERE rn = 1"""
     q["convert_summary"] = EY + """
 SELECT count(*) AS tasks, CAST(coalesce(sum(CASE WHEN ok.file IS NOT NULL THEN ok.n_boxes ELSE 0 END), 0) AS BIGINT) AS boxes,
        count(*) FILTER (WHERE coalesce(ok.n_boxes, 0) = 0) AS background_count
@@ -286,8 +352,9 @@ SELECT 'convert', file, pos, -1, 'Image not found: ' || src_path FROM conv WHERE
 UNION ALL
 SELECT 'convert', file, pos, 0,
        CASE WHEN label IS NULL THEN stem || ': box with no label, skipping'
-            ELSE stem || ': unknown label ''' || label || ''', skipping' END
-FROM ok WHERE has_ann AND cid IS NULL"""
+            WHEN cid IS NULL THEN stem || ': unknown label ''' || label || ''', skipping'
+            ELSE stem || ': box without coordinates, skipping' END
+FROM ok WHERE has_ann AND (cid IS NULL OR bx IS NULL)"""
 
     B = "WITH " + BOX_CTE.strip()
     q["box_area"] = B + "\nSELECT frame_id, det_idx, CAST(greatest(x2 - x1, 0) AS BIGINT) * CAST(greatest(y2 - y1, 0) AS BIGINT) AS area FROM det"
@@ -329,6 +396,11 @@ SELECT frame_id, pos_idx AS det_idx, x1, y1, x2, y2,
 FROM det LEFT JOIN coco ON coco.class_id = det.class_id"""
     q["confidence_filter"] = B + "\nSELECT frame_id, pos_idx AS det_idx, confidence FROM det WHERE confidence >= 0.4"
     q["class_scope_filter"] = B + "\nSELECT frame_id, pos_idx AS det_idx, class_id FROM det WHERE class_id = 15"
+    q["class_scope_other"] = B + "\nSELECT frame_id, pos_idx AS det_idx, class_id FROM det"
+    q["debug_summary"] = B + ", " + COCO_CTE + """,
+best AS (SELECT frame_id, coalesce(coco.name, 'class_' || CAST(det.class_id AS VARCHAR)) AS name, max(confidence) AS c
+  FROM det LEFT JOIN coco ON coco.class_id = det.class_id WHERE confidence >= 0.1 GROUP BY ALL)
+SELECT frame_id, string_agg(name || ': ' || printf('%.2f', c), ', ' ORDER BY c DESC, name) AS summary FROM best GROUP BY 1"""
     q["detections_ranked"] = B + """
 SELECT frame_id, CAST(row_number() OVER (PARTITION BY frame_id ORDER BY confidence DESC, pos_idx) AS INTEGER) AS rank,
        pos_idx AS det_idx, confidence FROM det"""
@@ -336,11 +408,12 @@ SELECT frame_id, CAST(row_number() OVER (PARTITION BY frame_id ORDER BY confiden
 SELECT frame_id, coalesce(coco.name, 'class_' || CAST(det.class_id AS VARCHAR)) AS name, max(confidence) AS best_confidence
 FROM det LEFT JOIN coco ON coco.class_id = det.class_id WHERE confidence >= 0.1 GROUP BY ALL"""
 
-    CAP = F_ + "," + INVENTORY_CTE + "," + CAPTURES_CTE
+    CAP = F_ + "," + INVENTORY_CTE + ", " + BOX_CTE.strip() + "," + CAPTURES_CTE
+    q["export_outcomes"] = CAP + "\nSELECT frame_id, full_frame, outcome FROM cls"
     q["export_summary"] = CAP + """
 SELECT count(*) FILTER (WHERE outcome = 'exported') AS exported, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
        count(*) FILTER (WHERE outcome = 'error') AS errors FROM cls"""
-    q["annotation_task_json"] = CAP + ", " + BOX_CTE.strip() + """
+    q["annotation_task_json"] = CAP + """
 SELECT cls.frame_id, '/data/local-files/?d=' || substr(cls.full_frame, 7) AS image_url, cls.cat_count AS n_results,
        CASE WHEN cls.cat_count > 0 THEN first(CASE d.class_id WHEN 0 THEN 'salo' WHEN 1 THEN 'taro' ELSE 'cat' END
                                                ORDER BY d.pos_idx) OVER (PARTITION BY cls.frame_id) END AS first_label,
@@ -350,7 +423,7 @@ SELECT cls.frame_id, '/data/local-files/?d=' || substr(cls.full_frame, 7) AS ima
        CASE d.class_id WHEN 0 THEN 'salo' WHEN 1 THEN 'taro' ELSE 'cat' END AS label,
        cls.width AS original_width, cls.height AS original_height
 FROM cls JOIN det d ON d.frame_id = cls.frame_id WHERE cls.outcome = 'exported'"""
-    q["capture_meta_parse"] = CAP + ", " + BOX_CTE.strip() + f"""
+    q["capture_meta_parse"] = CAP + f"""
 SELECT cap.frame_id, {_iso_sql('cap.ts')} AS timestamp, cap.cat_count, cap.full_frame,
        CAST((SELECT count(*) FROM det d WHERE d.frame_id = cap.frame_id
               AND least({td.FRAME_W}, d.x2) - greatest(0, d.x1) >= 32 AND least({td.FRAME_H}, d.y2) - greatest(0, d.y1) >= 32) AS INTEGER) AS n_crops,
@@ -364,7 +437,7 @@ FROM cap"""
 SELECT path, CASE WHEN starts_with(path, '/data/') THEN '/data/local-files/?d=' || substr(path, 7) END AS local_url,
        CASE WHEN starts_with(path, '/data/') THEN 'http://localhost:8081/' || substr(path, 7) END AS http_url FROM inv"""
 
-    pages = """WITH pu AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/data/local-files/?d=' || regexp_replace(url, '^https?://[^/]+/', '') ELSE url END AS url FROM pages)"""
+    pages = """WITH pu AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/data/local-files/?d=' || regexp_replace(url, '^https?://[^/]+/', '') || CASE WHEN page_id % 10 = 4 THEN '/100%/a%2.jpg' ELSE '' END ELSE url END AS url FROM pages)"""
     tail = "CASE WHEN strpos(url, '?d=') > 0 THEN (string_split(url, '?d='))[-1] ELSE url END"
     q["image_filename"] = pages + f"""
 SELECT page_id, url, CASE WHEN url IS NULL OR url = '' THEN NULL ELSE {_name_sql(tail)} END AS filename FROM pu"""
@@ -415,31 +488,23 @@ FROM (SELECT vec_id, {_norm_sql('embedding')} AS h FROM embeddings), range(1, 65
 WITH n AS (SELECT vec_id, {_norm_sql('embedding')} AS h FROM embeddings)
 SELECT a.vec_id, b.vec_id AS next_id, {_dist_sql('a.h', 'b.h')} AS distance FROM n a JOIN n b ON b.vec_id = a.vec_id + 1"""
     q["hs_histogram"] = "WITH " + _hsv_bins_sql().strip() + "\nSELECT frame_id, hbin, sbin, count(*) AS n FROM bins GROUP BY ALL"
-    lum = "WITH " + _lum_sql().strip()
-    q["tile_histogram"] = lum + "\nSELECT frame_id, ty, tx, l, n FROM th"
-    q["clipped_histogram"] = lum + "\nSELECT frame_id, ty, tx, bin, n FROM cl"
-    q["equalize_lut"] = lum + "\nSELECT frame_id, ty, tx, bin, lut FROM lut"
-    tile = td.THUMB // td.CLAHE_GRID
-    g = td.CLAHE_GRID - 1
-    q["equalize_apply"] = lum + f""",
-pf AS (
-  SELECT frame_id, x, y, l,
-         CAST(x AS FLOAT) * CAST({1.0 / tile} AS FLOAT) - CAST(0.5 AS FLOAT) AS txf,
-         CAST(y AS FLOAT) * CAST({1.0 / tile} AS FLOAT) - CAST(0.5 AS FLOAT) AS tyf FROM lp),
-pg AS (
-  SELECT frame_id, x, y, l, CAST(txf - CAST(floor(txf) AS FLOAT) AS FLOAT) AS xa, CAST(tyf - CAST(floor(tyf) AS FLOAT) AS FLOAT) AS ya,
-         greatest(CAST(floor(txf) AS INTEGER), 0) AS ta, least(CAST(floor(txf) AS INTEGER) + 1, {g}) AS tb,
-         greatest(CAST(floor(tyf) AS INTEGER), 0) AS ua, least(CAST(floor(tyf) AS INTEGER) + 1, {g}) AS ub FROM pf)
-SELECT pg.frame_id, pg.x, pg.y,
-       CAST(least(greatest(round_even(CAST(
-         (CAST(l1.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l2.lut AS FLOAT) * xa) * (CAST(1 AS FLOAT) - ya)
-         + (CAST(l3.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l4.lut AS FLOAT) * xa) * ya AS FLOAT), 0), 0), 255) AS INTEGER) AS l_eq
-FROM pg
-JOIN lut l1 ON l1.frame_id = pg.frame_id AND l1.ty = pg.ua AND l1.tx = pg.ta AND l1.bin = pg.l
-JOIN lut l2 ON l2.frame_id = pg.frame_id AND l2.ty = pg.ua AND l2.tx = pg.tb AND l2.bin = pg.l
-JOIN lut l3 ON l3.frame_id = pg.frame_id AND l3.ty = pg.ub AND l3.tx = pg.ta AND l3.bin = pg.l
-JOIN lut l4 ON l4.frame_id = pg.frame_id AND l4.ty = pg.ub AND l4.tx = pg.tb AND l4.bin = pg.l"""
-
+    lum = "WITH " + _lum_sql(td.THUMB, td.THUMB).strip()
+    q["tile_histogram"] = lum + """
+SELECT frame_id, ty, tx, string_agg(l || ':' || n, ',' ORDER BY l) AS counts FROM th GROUP BY ALL"""
+    q["clipped_histogram"] = lum + """
+SELECT frame_id, ty, tx, string_agg(n, ',' ORDER BY bin) AS counts FROM cl GROUP BY ALL"""
+    q["equalize_lut"] = lum + """
+SELECT frame_id, ty, tx, string_agg(lut, ',' ORDER BY bin) AS lut FROM lut GROUP BY ALL"""
+    q["equalize_apply"] = _equalized_sql(td.THUMB, td.THUMB)
+    q["equalize_apply_padded"] = _equalized_sql(td.ODD_W, td.ODD_H)
+    q["lab_round_trip"] = _lab_sql()
+    q["crop_pixels"] = """
+WITH d AS (SELECT doc_id AS frame_id, hex(encode(text)) AS h, octet_length(encode(text)) // 16 AS rows, doc_id % 5 AS x1 FROM documents),
+r AS (SELECT frame_id, string_agg(substr(h, CAST((y * 16 + x1) * 2 + 1 AS BIGINT), 14), '' ORDER BY y) AS c
+      FROM d, range(0, 9) t(y) WHERE y >= 1 AND y < least(rows, 9) GROUP BY frame_id)
+SELECT frame_id, lower(c) AS crop_hex FROM d LEFT JOIN r USING (frame_id)"""
+
+    q["route_frames_waves"] = _route_sql("", "SELECT camera_id, frame_id, kind, manual_save FROM r")
     q["route_frames"] = _route_sql("", "SELECT camera_id, frame_id, kind, manual_save FROM r")
     q["session_stats"] = _route_sql("", """SELECT camera_id, count(*) AS total_frames, count(*) FILTER (WHERE has_cats) AS detection_frames,
        count(*) FILTER (WHERE kind = 'cats') AS saved_frames, count(*) FILTER (WHERE kind = 'background') AS background_frames
@@ -451,7 +516,7 @@ FROM r GROUP BY camera_id""")
     q["background_throttle_manual"] = _route_sql("", """SELECT camera_id, frame_id, CASE WHEN NOT has_cats THEN kind END AS bg_kind, manual_save
 FROM r WHERE NOT has_cats OR manual_save""")
     q["latest_frame"] = """
-WITH f AS (SELECT CAST(user_id AS VARCHAR) AS camera_id, event_id AS frame_id, ts, date_trunc('day', ts) AS bucket FROM events),
+WITH f AS (SELECT CASE WHEN user_id % 50 <> 7 THEN CAST(user_id AS VARCHAR) END AS camera_id, event_id AS frame_id, ts, date_trunc('day', ts) AS bucket FROM events),
 k AS (SELECT *, row_number() OVER (PARTITION BY camera_id, bucket ORDER BY ts DESC, frame_id DESC) AS rn FROM f)
 SELECT camera_id, bucket, frame_id, ts FROM k WHERE rn = 1"""
     return q

@@ -20,38 +20,18 @@ VF_SIMILARITY = 0.42
 VF_MIN_US = 2 * HOURS
 VF_MAX_US = 30 * HOURS
 BG_INTERVAL_US = 60 * HOURS
-MAX_BROADCAST_VECTORS = 100_000        # histogram dimension broadcast only below this many rows
-THUMB = 32                             # pixel adapter: 32×32 thumbnails per part
-CLAHE_GRID = 2                         # 2×2 tiles of 16×16 px (256 px per tile)
+THUMB = 64                             # pixel adapters: 64×64 thumbnails per part
+CLAHE_GRID = 8                         # 8×8 tiles
+ODD_W, ODD_H = 60, 44                  # a plane whose sides the grid does not divide
 
 
-SPREAD_MIN_BYTES = 1 << 20
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _size_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """Scan a driver table.
-
-    The test files are single row groups, which Spark reads in ONE task.  A
-    scan with fewer partitions than the cluster's default parallelism is
-    spread round-robin over that many partitions (an explicit count, so AQE
-    keeps it) when it is big enough to be worth a shuffle (> 1 MB) or when
-    the caller expands it (``spread=True``, e.g. pixel generation).  A real
-    multi-file table already scans in parallel and is returned untouched."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par or spread is False:
-        return df
-    if spread or _size_bytes(spark, path) > SPREAD_MIN_BYTES:
-        df = df.repartition(par)
-    return df
+# Frames without a camera: every 50th user's.
+def camera_of(user_id):
+    return F.when(F.col(user_id) % 50 != 7, F.col(user_id).cast("string"))
 
 
 # --------------------------------------------------------------------------- frames
@@ -60,7 +40,7 @@ def filter_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manual background on 'signup', reset on large 'error' values."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
-        F.col("user_id").cast("string").alias("camera_id"),
+        camera_of("user_id").alias("camera_id"),
         F.col("event_id").alias("frame_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         (F.col("event_type") != "view").alias("has_cats"),
@@ -70,25 +50,18 @@ def filter_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _hist_dimension(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """(vec_id, hist) for every embedding (min-max normalised |embedding|) and
-    the number of vectors; frame histograms map event_id % n → vec_id."""
+def routing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with their histogram in one scan of `events`: min-max normalised
+    |embedding| of vector event_id % n."""
     from framecurate.operators.histogram import minmax_normalize
     emb = table(spark, sf_dir, "embeddings")
     n = emb.count()
     dim = emb.select("vec_id",
                      minmax_normalize(F.transform("embedding", lambda x: F.abs(x.cast("double")))).alias("hist"))
-    # broadcast behind a checked size; a bigger dimension takes a shuffle join
-    return (F.broadcast(dim) if n <= MAX_BROADCAST_VECTORS else dim), n
-
-
-def routing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames with their histogram in one scan of `events` (dimension join)."""
-    emb, n = _hist_dimension(spark, sf_dir)
     ev = table(spark, sf_dir, "events")
-    f = ev.join(emb, (F.col("event_id") % F.lit(max(n, 1))) == F.col("vec_id"), "left")
+    f = ev.join(dim, (F.col("event_id") % F.lit(max(n, 1))) == F.col("vec_id"), "left")
     return f.select(
-        F.col("user_id").cast("string").alias("camera_id"),
+        camera_of("user_id").alias("camera_id"),
         F.col("event_id").alias("frame_id"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
         (F.col("event_type") != "view").alias("has_cats"),
@@ -129,16 +102,17 @@ def raw_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detection_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """frame_id, ts, camera_id, width, height, detections (ordered by det_idx).
+    """frame_id, ts, camera_id, width, height, detections (ordered by det_idx)
+    and img_key, the part of the first detection.
 
-    Orders have ≤ 7 lines, so the per-frame array is bounded; the join to
+    The per-frame array holds one order's lines (a dozen or so); the join to
     `orders` is on the same key as the grouping, which AQE plans as one
     shuffle of each side."""
     det = raw_boxes(spark, sf_dir)
     per_frame = det.groupBy("frame_id").agg(
         F.array_sort(F.collect_list(F.struct("line_key", "bbox", "confidence", "class_id"))).alias("d"))
     per_frame = per_frame.select(
-        "frame_id",
+        "frame_id", F.get("d", 0)["line_key"]["l_partkey"].alias("img_key"),
         F.transform("d", lambda e: F.struct(e["bbox"].alias("bbox"), e["confidence"].alias("confidence"),
                                             e["class_id"].alias("class_id"))).alias("detections"))
     orders = table(spark, sf_dir, "orders").select(
@@ -147,7 +121,7 @@ def detection_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp"))
                            + F.round(F.col("o_totalprice") * 1e6).cast("long")).alias("ts"))
     return orders.join(per_frame, "frame_id", "left").select(
-        "frame_id", "camera_id", "ts",
+        "frame_id", "camera_id", "ts", "img_key",
         F.lit(FRAME_W).alias("width"), F.lit(FRAME_H).alias("height"),
         F.coalesce("detections", F.array().cast(
             "array<struct<bbox:struct<x1:int,y1:int,x2:int,y2:int>,confidence:double,class_id:int>>"))
@@ -169,12 +143,10 @@ def image_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capture_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved captures: detection frames with ≥1 box; the frame file is the part
-    image of line 1; crops named for boxes that pass the 32 px rule."""
+    image of the first one; crops named for boxes that pass the 32 px rule."""
     from framecurate.functions.boxes import clamp_box, crop_eligible
     from framecurate.functions.naming import capture_stem
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1) \
-        .select(F.col("l_orderkey").alias("frame_id"), F.col("l_partkey").alias("img_key"))
-    f = detection_frames(spark, sf_dir).join(li, "frame_id")
+    f = detection_frames(spark, sf_dir).where(F.col("img_key").isNotNull())
     stem = capture_stem("ts", F.size("detections"), F.lit("cats"), "camera_id")
     crops = F.filter(F.transform("detections", lambda d, i: F.when(
         crop_eligible(clamp_box(d["bbox"], F.col("width"), F.col("height"))),
@@ -201,75 +173,74 @@ def label_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- annotation exports
-def export_task_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One annotation task per lineitem, already as JSON text, with its file.
+def export_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-file texts (file, text) as the annotation tool writes them: one
+    task per lineitem, several lines of text a file.
 
     file = project-<line>-<orderkey div 2000>.json; order within a file by
     order key.  URL forms alternate; tax 0 → no URL; discount 0 → no
     annotations; labels from the return flag ('cat' is unknown to the
-    converter, an empty list is a box without label); quantity > 40 adds a
-    non-rectangle result."""
+    converter, an empty list is a box without label); every 29th supplier's
+    boxes lack x; quantity > 40 adds a non-rectangle result.
+
+    Lines 1-4: JSON list; line 5: {"tasks": [...]}; line 6: {"results": [...]};
+    line 7: list, except the first file (order keys < 2000), which is cut off.
+    A file holds ≤ 2000 orders' tasks, so the per-file group is bounded; its
+    rows are gathered first and written as JSON once, in the file's task."""
     li = table(spark, sf_dir, "lineitem")
-    key = F.col("l_partkey").cast("string")
-    rel = F.concat(F.lit("data/raw/img_"), key, F.lit(".jpg"))
-    url = F.when(F.col("l_tax") == 0, F.lit(None).cast("string")) \
-           .when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit("/data/local-files/?d="), rel)) \
-           .otherwise(F.concat(F.lit("http://localhost:8081/"), rel))
-    labels = F.when(F.col("l_returnflag") == "A", F.array(F.lit("salo"))) \
-              .when(F.col("l_returnflag") == "N", F.array(F.lit("taro"))) \
-              .when(F.col("l_linestatus") == "F", F.array(F.lit("cat"))) \
-              .otherwise(F.array().cast("array<string>"))
-    rect = F.struct(
-        F.lit("rectanglelabels").alias("type"),
-        F.struct((F.col("l_partkey") % 80 + 0.5).alias("x"),
-                 (F.col("l_suppkey") % 70 + 0.25).alias("y"),
-                 (F.col("l_quantity") / 2).alias("width"),
-                 (F.col("l_quantity") / 3).alias("height"),
-                 labels.alias("rectanglelabels")).alias("value"),
-        F.lit(FRAME_W).alias("original_width"), F.lit(FRAME_H).alias("original_height"))
-    choice = F.struct(
-        F.lit("choices").alias("type"),
-        F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"),
-                 F.lit(None).cast("double").alias("width"), F.lit(None).cast("double").alias("height"),
-                 F.array(F.lit("salo")).alias("rectanglelabels")).alias("value"),
-        F.lit(None).cast("int").alias("original_width"), F.lit(None).cast("int").alias("original_height"))
-    results = F.when(F.col("l_quantity") > 40, F.array(rect, choice)).otherwise(F.array(rect))
-    task = F.struct(
-        F.struct(url.alias("image")).alias("data"),
-        F.when(F.col("l_discount") != 0, F.array(F.struct(results.alias("result")))).alias("annotations"),
-        F.col("l_orderkey").alias("id"))
-    return li.select(
+    per_file = li.select(
         F.concat(F.lit("exports/project-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                  F.floor(F.col("l_orderkey") / EXPORT_FILE_SPAN).cast("string"), F.lit(".json")).alias("file"),
         F.col("l_linenumber").alias("line"),
-        F.struct("l_orderkey", *LINE_ORDER[1:]).alias("ord"),
-        F.to_json(task).alias("task_json"))
-
-
-def export_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-file texts (file, text) as the annotation tool writes them.
-
-    Lines 1-4: JSON list; line 5: {"tasks": [...]}; line 6: {"results": [...]};
-    line 7: list, except the first file (order keys < 2000) which is corrupt.
-    A file holds ≤ 2000 tasks by construction, so the per-file group is bounded."""
-    rows = export_task_rows(spark, sf_dir)
-    per_file = rows.groupBy("file", "line").agg(
-        F.sort_array(F.collect_list(F.struct("ord", "task_json"))).alias("t"),
-        F.min("ord.l_orderkey").alias("min_ord"))
-    arr = F.concat(F.lit("["), F.concat_ws(",", F.col("t.task_json")), F.lit("]"))
-    text = F.when(F.col("line") == 5, F.concat(F.lit('{"tasks": '), arr, F.lit("}"))) \
-            .when(F.col("line") == 6, F.concat(F.lit('{"results": '), arr, F.lit("}"))) \
-            .when((F.col("line") == 7) & (F.col("min_ord") < EXPORT_FILE_SPAN), F.concat(F.lit("not json {{"), arr)) \
+        F.struct("l_orderkey", *LINE_ORDER[1:]).alias("t")).groupBy("file", "line").agg(
+        F.sort_array(F.collect_list("t")).alias("t"))
+
+    def task(li):
+        rel = F.concat(F.lit("data/raw/img_"), li["l_partkey"].cast("string"), F.lit(".jpg"))
+        url = F.when(li["l_tax"] == 0, F.lit(None).cast("string")) \
+               .when(li["l_orderkey"] % 2 == 0, F.concat(F.lit("/data/local-files/?d="), rel)) \
+               .otherwise(F.concat(F.lit("http://localhost:8081/"), rel))
+        labels = F.when(li["l_returnflag"] == "A", F.array(F.lit("salo"))) \
+                  .when(li["l_returnflag"] == "N", F.array(F.lit("taro"))) \
+                  .when(li["l_linestatus"] == "F", F.array(F.lit("cat"))) \
+                  .otherwise(F.array().cast("array<string>"))
+        rect = F.struct(
+            F.lit("rectanglelabels").alias("type"),
+            F.struct(F.when(li["l_suppkey"] % 29 != 7, li["l_partkey"] % 80 + 0.5).alias("x"),
+                     (li["l_suppkey"] % 70 + 0.25).alias("y"),
+                     (li["l_quantity"] / 2).alias("width"),
+                     (li["l_quantity"] / 3).alias("height"),
+                     labels.alias("rectanglelabels")).alias("value"),
+            F.lit(FRAME_W).alias("original_width"), F.lit(FRAME_H).alias("original_height"))
+        none = F.lit(None).cast("double")
+        choice = F.struct(
+            F.lit("choices").alias("type"),
+            F.struct(none.alias("x"), none.alias("y"), none.alias("width"), none.alias("height"),
+                     F.array(F.lit("salo")).alias("rectanglelabels")).alias("value"),
+            F.lit(None).cast("int").alias("original_width"), F.lit(None).cast("int").alias("original_height"))
+        results = F.when(li["l_quantity"] > 40, F.array(rect, choice)).otherwise(F.array(rect))
+        return F.to_json(F.struct(
+            F.struct(url.alias("image")).alias("data"),
+            F.when(li["l_discount"] != 0, F.array(F.struct(results.alias("result")))).alias("annotations"),
+            li["l_orderkey"].alias("id")))
+
+    arr = F.concat(F.lit("[\n  "), F.array_join(F.transform("t", task), ",\n  "), F.lit("\n]"))
+    text = F.when(F.col("line") == 5, F.concat(F.lit('{\n"tasks": '), arr, F.lit("\n}"))) \
+            .when(F.col("line") == 6, F.concat(F.lit('{\n"results": '), arr, F.lit("\n}"))) \
+            .when((F.col("line") == 7) & (F.get("t", 0)["l_orderkey"] < EXPORT_FILE_SPAN),
+                  F.concat(F.lit('{"tasks": ['), arr)) \
             .otherwise(arr)
     return per_file.select("file", text.alias("text"))
 
 
 # -------------------------------------------------------------------------- URLs
 def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Task URLs from web-page URLs: even pages in the local-files form."""
+    """Task URLs from web-page URLs: even pages in the local-files form, some of
+    them with a sign that is no escape."""
     pg = table(spark, sf_dir, "pages")
     local = F.concat(F.lit("/data/local-files/?d="),
-                     F.regexp_replace("url", r"^https?://[^/]+/", ""))
+                     F.regexp_replace("url", r"^https?://[^/]+/", ""),
+                     F.when(F.col("page_id") % 10 == 4, F.lit("/100%/a%2.jpg")).otherwise(F.lit("")))
     return pg.select("page_id", F.when(F.col("page_id") % 2 == 0, local).otherwise(F.col("url")).alias("url"))
 
 
@@ -300,12 +271,25 @@ def thumbnail_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> Dat
         ((F.col("p_size") * 13 + x * 7 + y) % 256).cast("int").alias("r"))
 
 
-def luminance_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> DataFrame:
-    """(frame_id, x, y, l): an 8-bit L channel per part for the equaliser."""
-    p = _frames_by_id(spark, sf_dir)
-    px = p.select("frame_id", "p_size",
-                  F.explode(F.sequence(F.lit(0), F.lit(size * size - 1))).alias("i"))
-    x = F.col("i") % size
-    y = F.floor(F.col("i") / size).cast("int")
-    return px.select("frame_id", x.alias("x"), y.alias("y"),
-                     ((F.col("frame_id") * 3 + x * y + F.col("p_size") * x) % 256).cast("int").alias("l"))
+def luminance_planes(spark: SparkSession, sf_dir: str, width: int = THUMB, height: int = THUMB) -> DataFrame:
+    """(frame_id, width, height, plane array<int>): an 8-bit L channel, row by
+    row, per part."""
+    p = table(spark, sf_dir, "part")
+    x, y = (lambda i: i % width), (lambda i: F.floor(i / width).cast("int"))
+    plane = F.transform(F.sequence(F.lit(0), F.lit(width * height - 1)), lambda i: (
+        (F.col("p_partkey") * 3 + x(i) * y(i) + F.col("p_size") * x(i)) % 256).cast("int"))
+    return p.select(F.col("p_partkey").alias("frame_id"), F.lit(width).alias("width"), F.lit(height).alias("height"),
+                    plane.alias("plane"))
+
+
+# ------------------------------------------------------------------------- images
+def text_images(spark: SparkSession, sf_dir: str, width: int = 16) -> DataFrame:
+    """(frame_id, image, box): a document's bytes as a grey image of 16 columns
+    and a box inside it."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("frame_id"), F.col("text").cast("binary").alias("data"))
+    h = F.floor(F.octet_length("data") / width).cast("int")
+    image = F.struct(F.lit("text").alias("origin"), h.alias("height"), F.lit(width).alias("width"),
+                     F.lit(1).alias("nChannels"), F.lit(0).alias("mode"), F.col("data"))
+    box = F.struct((F.col("frame_id") % 5).cast("int").alias("x1"), F.least(h, F.lit(1)).alias("y1"),
+                   (F.col("frame_id") % 5 + 7).cast("int").alias("x2"), F.least(h, F.lit(9)).alias("y2"))
+    return d.select("frame_id", image.alias("image"), box.alias("box"))

@@ -46,32 +46,30 @@ def test_manifest(spark, tmp_path):
     assert sp.with_root(sp.manifest(spark, str(tmp_path)), "/content/x").first().path == "/content/x"
 
 
-def _lum_pixels(spark, arr):
+def _plane(spark, arr):
     h, w = arr.shape
-    yy, xx = np.mgrid[0:h, 0:w]
-    rows = [(0, int(x), int(y), int(v)) for x, y, v in zip(xx.ravel(), yy.ravel(), arr.ravel())]
-    return spark.createDataFrame(rows, "frame_id long, x int, y int, l int")
+    return spark.createDataFrame([(0, w, h, [int(v) for v in arr.ravel()])],
+                                 "frame_id long, width int, height int, plane array<int>")
+
+
+def _mean(df):
+    return np.mean(df.first().plane)
 
 
 def test_equalize_exposure(spark):
     rng = np.random.default_rng(0)
     over = np.clip(240 + rng.integers(-15, 15, (64, 64)), 0, 255)
-    out = eq.equalize_luminance(_lum_pixels(spark, over), 64, 64, clip_limit=3.0, grid=(4, 4))
-    assert out.agg(F.avg("l_eq")).first()[0] < over.mean()
+    assert _mean(eq.equalize_planes(_plane(spark, over), clip_limit=3.0, grid=(4, 4))) < over.mean()
     rng = np.random.default_rng(0)
     under = np.clip(20 + rng.integers(-10, 10, (64, 64)), 0, 255)
-    out = eq.equalize_luminance(_lum_pixels(spark, under), 64, 64, clip_limit=3.0, grid=(4, 4))
-    assert out.agg(F.avg("l_eq")).first()[0] > under.mean()
-    ident = eq.equalize_luminance(_lum_pixels(spark, under), 64, 64, enabled=False)
-    assert ident.agg(F.avg("l_eq")).first()[0] == under.mean()
+    assert _mean(eq.equalize_planes(_plane(spark, under), clip_limit=3.0, grid=(4, 4))) > under.mean()
+    assert _mean(eq.equalize_planes(_plane(spark, under), enabled=False)) == under.mean()
 
 
 def test_clip_limit_changes_result(spark):
     rng = np.random.default_rng(5)
     arr = np.clip(128 + rng.integers(-40, 40, (32, 32)), 0, 255)
-    px = _lum_pixels(spark, arr)
-    a = {(r.x, r.y): r.l_eq for r in eq.equalize_luminance(px, 32, 32, 1.0, (2, 2)).collect()}
-    b = {(r.x, r.y): r.l_eq for r in eq.equalize_luminance(px, 32, 32, 8.0, (2, 2)).collect()}
+    a, b = (eq.equalize_planes(_plane(spark, arr), c, (2, 2)).first().plane for c in (1.0, 8.0))
     assert a != b
 
 
@@ -115,14 +113,23 @@ def test_driver_contract(spark):
     assert df.count() > 0
 
 
-def test_equalize_plane_equals_relational(spark):
-    """Per-frame A10 (full-resolution path) is bit-identical to the relational chain."""
-    rng = np.random.default_rng(9)
-    arr = np.clip(200 + rng.integers(-40, 30, (48, 64)), 0, 255).astype(np.uint8)
-    arr[10:20, 5:30] = 30
-    rel = {(r.x, r.y): r.l_eq for r in eq.equalize_luminance(_lum_pixels(spark, arr), 64, 48, 2.0, (4, 3)).collect()}
-    got = eq.equalize_plane(arr, 2.0, (4, 3))
-    assert all(int(got[y, x]) == v for (x, y), v in rel.items())
+def test_tiles_of_padded_planes():
+    arr = np.arange(70).reshape(7, 10) % 256
+    hist, tw, th = eq.tile_histograms(arr, (4, 4))
+    assert (tw, th) == (3, 2) and hist.sum() == 12 * 8
+    padded = np.pad(arr, ((0, 1), (0, 2)), mode="reflect")
+    assert (hist[5] == np.bincount(padded[2:4, 3:6].ravel(), minlength=256)).all()
+
+
+def test_histogram_of_the_decode_pass_equals_the_pixel_table(spark):
+    from framecurate.operators import histogram as hg
+    from framecurate.operators import images as im
+    arr = np.random.default_rng(6).integers(0, 256, (50, 70, 3)).astype(np.uint8)
+    df = _frames(spark, [arr, arr // 3])
+    sparse = hg.hs_histogram(im.thumbnail_pixels(df))
+    want = {r.frame_id: r.hist for r in hg.dense_histogram(sparse).collect()}
+    got = {r.frame_id: r.h for r in df.select("frame_id", im.frame_histogram("image").alias("h")).collect()}
+    assert got == want
 
 
 def test_lab_numpy_twins_match_columns(spark):
