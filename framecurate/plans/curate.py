@@ -137,9 +137,10 @@ def latest_frame(frames: DataFrame, bucket: str = "1 minute") -> DataFrame:
         F.max_by(F.struct(*light), row).alias("r")).select("camera_id", "bucket", "r.*")
     if not heavy:
         return agg
-    back = frames.select(*KEY, F.col("ts").alias("__ts"), *heavy).dropDuplicates([*KEY, "__ts"])
-    return agg.join(back, _same_frame(agg, back) & (agg["ts"] == back["__ts"])) \
-              .select(agg["camera_id"], agg["bucket"], *[(back if c in heavy else agg)[c] for c in cols])
+    back = frames.select(F.col("camera_id").alias("__cam"), F.col("frame_id").alias("__fid"), F.col("ts").alias("__ts"),
+                         *heavy).dropDuplicates(["__cam", "__fid", "__ts"])
+    return agg.join(back, F.col("camera_id").eqNullSafe(F.col("__cam")) & (F.col("frame_id") == F.col("__fid"))
+                    & (F.col("ts") == F.col("__ts"))).select("camera_id", "bucket", *cols)
 
 
 def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterParams(),

@@ -254,3 +254,71 @@ def test_stream_late_rows_dropped(spark, tmp_path):
     q.awaitTermination(180)
     kinds = {r.frame_id: r.kind for r in spark.table(name).collect()}
     assert kinds == {1: "background", 2: "background", 3: "dropped_late", 4: "background"}
+
+
+def test_curate_with_shared_frame_numbers_and_bad_frames(spark, tmp_path):
+    """Frame numbers are a camera's own; null and undecodable frames become
+    warnings; saved frames alone are preprocessed twice; one model a worker."""
+    from framecurate.sources.images import bad_frames
+    t0 = dt.datetime(2024, 1, 1)
+    log, loads = str(tmp_path / "seen.log"), str(tmp_path / "loads.log")
+    rows = []
+    for cam in ("a", "b", None):
+        for i in range(8):
+            color = (200, 50, 50) if i % 4 < 3 else (50, 50, 200 if cam == "a" else 120)
+            rows.append((cam, i, t0 + dt.timedelta(seconds=i), image_row(make_frame(60, 80, color))))
+    rows.append(("a", 90, t0, None))
+    rows.append(("b", 91, t0, {"origin": "x", "height": -1, "width": -1, "nChannels": -1, "mode": -1, "data": b""}))
+    df = spark.createDataFrame(rows, "camera_id string, frame_id long, ts timestamp, image struct<origin:string,"
+                                     "height:int,width:int,nChannels:int,mode:int,data:binary>").repartition(6)
+
+    def make():
+        import os
+        with open(loads, "a") as fh:
+            fh.write(f"{os.getpid()}\n")
+        return lambda imgs: [np.array([[1, 1, 50, 50, 0.9, 15]]) for _ in imgs]
+
+    def preprocess(frames):
+        def run(batches):
+            for pdf in batches:
+                with open(log, "a") as fh:
+                    fh.write("x\n" * len(pdf))
+                yield pdf
+        return frames.mapInPandas(run, frames.schema)
+
+    p = FilterParams(similarity=0.15, min_us=0, max_us=900 * S)
+    got = cu.curate(df, make, p, preprocess=preprocess).collect()
+    saved = sorted((str(r.camera_id), r.frame_id) for r in got)
+    assert saved == [(c, i) for c in ("None", "a", "b") for i in (0, 3, 4, 7)]
+    assert all(r.image.width == 80 for r in got)
+    assert open(log).read().count("x") == 24 + 12
+    pids = open(loads).read().split()
+    assert len(pids) == len(set(pids))
+    assert sorted((r.frame_id, r.reason) for r in bad_frames(df).collect()) == [
+        (90, "no frame"), (91, "cannot be decoded")]
+
+
+def test_latest_frame_with_images(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(c, i, t0 + dt.timedelta(seconds=20 * i), image_row(make_frame(4, 4, (i, i, i))))
+            for c in ("a", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "camera_id string, frame_id long, ts timestamp, image struct<origin:string,"
+                                     "height:int,width:int,nChannels:int,mode:int,data:binary>")
+    got = cu.latest_frame(df).collect()
+    assert sorted((str(r.camera_id), r.frame_id, r.image.data[0]) for r in got) == [
+        ("None", 2, 2), ("None", 4, 4), ("a", 2, 2), ("a", 4, 4)]
+
+
+def test_incremental_queue_classifies(spark, tmp_path):
+    schema = "full_frame string, detections array<struct<class_id:int,bbox:array<int>,confidence:double>>"
+    spark.createDataFrame([("/r/a.jpg", []), ("/r/b.jpg", []), ("/r/c.jpg", [])], schema).write.parquet(str(tmp_path / "in"))
+    inv = spark.createDataFrame([("/r/a.jpg", 9, 9), ("/r/b.jpg", 9, 9)], "path string, width int, height int")
+    lab = spark.createDataFrame([("b.jpg",)], "filename string")
+    seen, sums = [], []
+    q = st.start_incremental_queue(
+        spark.readStream.schema(schema).parquet(str(tmp_path / "in")), lambda: lab,
+        lambda d, i: seen.extend((r.full_frame, r.outcome) for r in d.collect()), f"q-{uuid.uuid4().hex}",
+        inventory=lambda: inv, document_root="/r", on_summary=lambda d, i: sums.append(tuple(d.first())))
+    q.awaitTermination(120)
+    assert sorted(seen) == [("/r/a.jpg", "exported"), ("/r/b.jpg", "skipped"), ("/r/c.jpg", "error")]
+    assert sums == [(1, 1, 1)]
