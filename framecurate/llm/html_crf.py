@@ -328,9 +328,11 @@ def train(pages: DataFrame, html_col: str = "html", max_pages: int = 300, max_ch
     """Fit on labelled pages: max_pages made of known parts with sentences of
     the table's pages, and at most max_pages of the table's own (those of the
     least hashes among pages of up to max_chars) that mark their article."""
-    some = (pages.select(F.col(html_col).alias("html")).where(F.length("html").between(1, max_chars))
-            .orderBy(F.xxhash64("html")).limit(max_pages).collect())
-    own = [leaf_blocks(r["html"]) for r in some]
+    some = pages.select(F.col(html_col).alias("html")).where(F.length("html").between(1, max_chars))
+    some = some.withColumn("h", F.xxhash64("html"))
+    least = some.select("h").distinct().orderBy("h").limit(max_pages).agg(F.max("h")).first()[0]
+    got = some.where(F.col("h") <= F.lit(least)).groupBy("h").agg(F.first("html").alias("html")).collect()
+    own = [leaf_blocks(r["html"]) for r in sorted(got, key=lambda r: r["h"])]
     sentences = [s.strip() + "." for blocks in own for b in blocks for s in b.text.split(". ") if 2 < s.count(" ") < 40]
     marked = [(block_features(b), y) for b in own if (y := own_labels(b)) is not None]
     return fit(labelled_pages(sentences[:20_000], max_pages) + [m for m in marked if len(m[0]) <= 400])
