@@ -40,17 +40,18 @@ def write_captures(captures: DataFrame, path: str, batch_id: int | str | None =
 def crops(captures: DataFrame, min_px: int = MIN_CROP_PX) -> DataFrame:
     """K2 rows: one crop per eligible detection, ``{stem}_crop_{i}`` with the
     original detection index (gaps stay when small crops are skipped)."""
-    c = captures.where(F.col("kind") == "cats").select(
-        "camera_id", "frame_id", "ts", "image", F.size("detections").alias("n"),
-        F.posexplode("detections").alias("i", "d"))
-    box = clamp_box(F.col("d.bbox"), F.col("image.width"), F.col("image.height"))
-    c = c.withColumn("box", box).where(crop_eligible("box", min_px))
-    stem = capture_stem("ts", F.col("n"), F.lit("cats"), "camera_id")
+    img = F.col("image")
+    boxes = F.transform("detections", lambda d, i: F.struct(
+        i.alias("i"), clamp_box(d["bbox"], img["width"], img["height"]).alias("box")))
+    # cut out before the explode, so an image is not copied for each detection
+    cut = F.transform(F.filter(boxes, lambda k: crop_eligible(k["box"], min_px)), lambda k: F.struct(
+        k["i"].alias("i"), k["box"].alias("box"), crop_pixels(img, k["box"]).alias("data")))
+    stem = capture_stem("ts", F.size("detections"), F.lit("cats"), "camera_id")
+    c = captures.where(F.col("kind") == "cats").select("camera_id", "frame_id", stem.alias("stem"), F.explode(cut).alias("k"))
     return c.select("camera_id", "frame_id",
-                    F.concat(stem, F.lit("_crop_"), F.col("i").cast("string")).alias("crop_name"),
-                    (F.col("box.x2") - F.col("box.x1")).alias("width"),
-                    (F.col("box.y2") - F.col("box.y1")).alias("height"),
-                    crop_pixels("image", "box").alias("data"))
+                    F.concat("stem", F.lit("_crop_"), F.col("k.i").cast("string")).alias("crop_name"),
+                    (F.col("k.box.x2") - F.col("k.box.x1")).alias("width"),
+                    (F.col("k.box.y2") - F.col("k.box.y1")).alias("height"), F.col("k.data").alias("data"))
 
 
 def write_crops(captures: DataFrame, path: str, min_px: int = MIN_CROP_PX, save_crops: bool = True,

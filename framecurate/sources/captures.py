@@ -45,7 +45,8 @@ def read_capture_meta(spark: SparkSession, directory: str) -> DataFrame:
     :func:`write_capture_meta` in ``directory`` (its ``batch_id`` folders included)."""
     def files(glob: str, whole: bool) -> DataFrame:
         return spark.read.schema(CAPTURE_META).option("multiLine", whole).option("pathGlobFilter", glob) \
-            .option("recursiveFileLookup", not whole).json(directory).withColumn("meta_path", F.col("_metadata.file_path"))
+            .option("recursiveFileLookup", not whole).json(directory) \
+            .select(*CAPTURE_META.fieldNames(), F.col("_metadata.file_path").alias("meta_path"))
     df = files("*_meta.json", True).unionByName(files("part-*.json", False))
     return df.withColumn("detections", F.coalesce("detections", F.array().cast(
         CAPTURE_META["detections"].dataType.simpleString())))

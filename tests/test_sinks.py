@@ -43,14 +43,31 @@ def test_capture_meta_roundtrip(spark, tmp_path):
                            .withColumn("crops", F.array().cast("array<string>"))
     out = str(tmp_path / "meta")
     write_capture_meta(caps, out)
-    # rename shards to the *_meta.json pattern the reader globs for
-    for f in os.listdir(out):
-        if f.endswith(".json"):
-            os.rename(os.path.join(out, f), os.path.join(out, f.replace(".json", "_meta.json")))
+    # a document as a single capture writes it stands beside the shards
+    with open(os.path.join(out, "one_meta.json"), "w") as f:
+        json.dump({"timestamp": "t", "cat_count": 9, "full_frame": "/data/raw/y.jpg"}, f, indent=2)
     back = {r.cat_count: r for r in read_capture_meta(spark, out).collect()}
     assert back[3].timestamp == "2026-03-15T21:02:04.123000"
     assert back[3].detections[0].confidence == 0.9123 and list(back[3].detections[0].bbox) == [50, 60, 300, 400]
     assert back[0].detections == [] and back[0].crops == []
+    assert back[9].full_frame == "/data/raw/y.jpg" and back[9].detections == []
+    for _ in range(2):                       # a retried batch replaces itself
+        write_capture_meta(caps, str(tmp_path / "batches"), batch_id=7)
+    assert read_capture_meta(spark, str(tmp_path / "batches")).count() == 2
+
+
+def test_capture_switches(spark, tmp_path):
+    caps = _captures(spark)
+    wr.write_crops(caps, str(tmp_path / "off"), save_crops=False)
+    assert not os.path.exists(tmp_path / "off")
+    for _ in range(2):
+        wr.write_crops(caps, str(tmp_path / "crops"), batch_id="a")
+        wr.write_captures(caps, str(tmp_path / "captures"), batch_id="a")
+    assert spark.read.parquet(str(tmp_path / "crops")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "captures")).count() == 2
+    bare = caps.where("kind = 'cats'").withColumn("detections", F.array().cast(DETS))
+    wr.write_captures(bare, str(tmp_path / "bare"))          # cats without boxes are not saved
+    assert spark.read.schema(caps.schema).parquet(str(tmp_path / "bare")).count() == 0
 
 
 def test_annotation_import_and_merged(spark, tmp_path):
