@@ -33,6 +33,38 @@ _ASK = "part int, chunk long, grams binary, counts binary"
 _ANSWER = "chunk long, part int, totals binary"
 
 
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each that hold the largest; the first byte says how many."""
+    top = int(counts.max()) if len(counts) else 0
+    size = next(k for k in (1, 2, 4, 8) if top < 1 << 8 * k)
+    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
+
+
+def _counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
+def _split(values: np.ndarray) -> bytes:
+    """Unsigned integers byte by byte: all first bytes, then all second ones.
+    High bytes are mostly equal, which Spark's and Parquet's compression uses."""
+    size = values.dtype.itemsize
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, size).T).tobytes()
+
+
+def _joined(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _ascending(values: np.ndarray) -> bytes:
+    """Ascending uint64 values as their differences."""
+    return _split(np.diff(values, prepend=np.uint64(0)))
+
+
+def _summed(data: bytes) -> np.ndarray:
+    return np.cumsum(_joined(data, np.uint64), dtype=np.uint64)
+
+
 def _pack(chunk_words: int):
     """(doc_id, text) -> chunks: ids, ends of the documents in the words, the
     distinct word hashes and each word's number among them."""
@@ -51,8 +83,8 @@ def _pack(chunk_words: int):
              pa.array([np.array([i or 0 for i in flat], np.int64).tobytes()], pa.binary()),
              pa.array([np.array([i is None for i in flat], bool).tobytes()], pa.binary()),
              pa.array([np.concatenate(at).astype(np.int64).tobytes()], pa.binary()),
-             pa.array([vocab.tobytes()], pa.binary()),
-             pa.array([number.astype(np.uint32).tobytes()], pa.binary())],
+             pa.array([_ascending(vocab)], pa.binary()),
+             pa.array([_split(number.astype(np.uint32))], pa.binary())],
             names=["chunk", "doc_ids", "no_id", "ends", "vocab", "words"])
 
     def run(batches):
@@ -76,7 +108,7 @@ def _pack(chunk_words: int):
 def _grams(vocab: bytes, words: bytes, ends: bytes, order: int) -> list[np.ndarray]:
     """Hashes of the 1- to order-grams ending at each word; 0 where the
     document has not that many words before."""
-    ids = np.frombuffer(vocab, np.uint64)[np.frombuffer(words, np.uint32)]
+    ids = _summed(vocab)[_joined(words, np.uint32)]
     last = np.frombuffer(ends, np.int64)
     place = np.arange(len(ids)) - np.repeat(np.concatenate([[0], last[:-1]]),
                                             np.diff(np.concatenate([[0], last])))
@@ -99,7 +131,7 @@ def _ask(order: int, parts: int):
             for chunk, _, _, ends, vocab, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 grams, counts = np.unique(np.concatenate(_grams(vocab, words, ends, order)), return_counts=True)
                 cut = [0, *np.searchsorted(grams, bounds).tolist(), len(grams)]
-                rows = [(p, chunk, grams[s:e].tobytes(), counts[s:e].astype(np.uint32).tobytes())
+                rows = [(p, chunk, _ascending(grams[s:e]), _small(counts[s:e]))
                         for p, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if e > s]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
@@ -117,8 +149,8 @@ def _answer(batches):
         for p, chunk, g, c in zip(*(col.to_pylist() for col in b.columns), strict=True):
             part = p
             chunks.append(chunk)
-            grams.append(np.frombuffer(g, np.uint64))
-            counts.append(np.frombuffer(c, np.uint32))
+            grams.append(_summed(g))
+            counts.append(_counts(c))
     if not chunks:
         return
     _, number = np.unique(np.concatenate(grams), return_inverse=True)
@@ -126,7 +158,7 @@ def _answer(batches):
     end = np.cumsum([len(g) for g in grams])
     for chunk, own in zip(chunks, np.split(total, end[:-1]), strict=True):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary())],
+            [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([_small(own)], pa.binary())],
             names=["chunk", "part", "totals"])
 
 
@@ -139,7 +171,7 @@ def _score(order: int, min_count: int, backoff: float, whole: int):
         grams = _grams(own["vocab"], own["words"], own["ends"], order)
         distinct, number = np.unique(np.concatenate(grams), return_inverse=True)
         parts = sorted(answers.select(["part", "totals"]).to_pylist(), key=lambda r: r["part"])
-        total = np.frombuffer(b"".join(r["totals"] for r in parts), np.uint64)
+        total = np.concatenate([_counts(r["totals"]).astype(np.uint64) for r in parts] or [np.zeros(0, np.uint64)])
         assert len(total) == len(distinct)
         n = len(grams[0])
         count = [np.where(g == 0, 0, c) for g, c in zip(
