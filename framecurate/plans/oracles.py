@@ -217,53 +217,45 @@ def _lum_sql(w: int, h: int) -> str:
         return (f"SELECT p_partkey, p_size, CAST(i % {cw} AS INTEGER) AS px, CAST(i // {cw} AS INTEGER) AS py "
                 f"FROM part, range(0, {cw * ch}) t(i)")
     return f"""
-lp AS (SELECT p_partkey AS frame_id, px AS x, py AS y, CAST((p_partkey * 3 + px * py + p_size * px) % 256 AS INTEGER) AS l
-       FROM ({grid(w, h)})),
 pp AS (SELECT *, CASE WHEN px < {w} THEN px ELSE {2 * (w - 1)} - px END AS x,
               CASE WHEN py < {h} THEN py ELSE {2 * (h - 1)} - py END AS y FROM ({grid(pw, ph)})),
 th AS (SELECT p_partkey AS frame_id, CAST(py // {th} AS INTEGER) AS ty, CAST(px // {tw} AS INTEGER) AS tx,
               CAST((p_partkey * 3 + x * y + p_size * x) % 256 AS INTEGER) AS l, count(*) AS n FROM pp GROUP BY ALL),
-dense AS (
-  SELECT t.frame_id, t.ty, t.tx, CAST(b.bin AS INTEGER) AS bin, coalesce(th.n, 0) AS n
-  FROM (SELECT DISTINCT frame_id, ty, tx FROM th) t CROSS JOIN range(0, 256) b(bin)
-  LEFT JOIN th ON th.frame_id = t.frame_id AND th.ty = t.ty AND th.tx = t.tx AND th.l = b.bin),
-ex AS (SELECT *, sum(greatest(n - {clip}, 0)) OVER (PARTITION BY frame_id, ty, tx) AS e FROM dense),
+tiles AS (SELECT frame_id, ty, tx, map_from_entries(list((l, n))) AS m FROM th GROUP BY ALL),
+dense AS (SELECT frame_id, ty, tx, list_transform(range(0, 256), lambda b: coalesce(m[CAST(b AS INTEGER)], 0)) AS h FROM tiles),
+ex AS (SELECT *, CAST(list_sum(list_transform(h, lambda n: greatest(n - {clip}, 0))) AS BIGINT) AS e FROM dense),
 cl AS (
-  SELECT frame_id, ty, tx, bin,
-         CAST(least(n, {clip}) + e // 256
-              + CASE WHEN e % 256 > 0 AND bin % greatest(256 // greatest(e % 256, 1), 1) = 0
-                          AND bin // greatest(256 // greatest(e % 256, 1), 1) < e % 256 THEN 1 ELSE 0 END AS BIGINT) AS n
-  FROM ex),
+  SELECT frame_id, ty, tx, list_transform(h, lambda n, i: least(n, {clip}) + e // 256
+    + CASE WHEN e % 256 > 0 AND (i - 1) % greatest(256 // greatest(e % 256, 1), 1) = 0
+                AND (i - 1) // greatest(256 // greatest(e % 256, 1), 1) < e % 256 THEN 1 ELSE 0 END) AS c FROM ex),
 lut AS (
-  SELECT frame_id, ty, tx, bin,
-         CAST(least(round_even(CAST(sum(n) OVER (PARTITION BY frame_id, ty, tx ORDER BY bin
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS FLOAT) * CAST({255 / (tw * th)} AS FLOAT), 0), 255) AS INTEGER) AS lut
+  SELECT frame_id, ty, tx, list_transform(c, lambda n, i:
+    CAST(least(round_even(CAST(list_sum(c[1:i]) AS FLOAT) * CAST({255 / (tw * th)} AS FLOAT), 0), 255) AS INTEGER)) AS lut
   FROM cl)"""
 
 
 def _equalized_sql(w: int, h: int) -> str:
     g = td.CLAHE_GRID
     tw, th = -(-w // g), -(-h // g)
+
+    def place(c, size):
+        f = f"(CAST({c} AS FLOAT) * CAST({1.0 / size} AS FLOAT) - CAST(0.5 AS FLOAT))"
+        low = f"CAST(floor({f}) AS INTEGER)"
+        return f"CAST({f} - CAST(floor({f}) AS FLOAT) AS FLOAT)", f"greatest({low}, 0)", f"least({low} + 1, {g - 1})"
+    xa, ta, tb = place("x", tw)
+    ya, ua, ub = place("y", th)
+    value = "CAST((p_partkey * 3 + x * y + p_size * x) % 256 AS INTEGER)"
+    at = lambda u, t: f"CAST(f[({u} * {g} + {t}) * 256 + {value} + 1] AS FLOAT)"
+    one = "CAST(1 AS FLOAT)"
     return "WITH " + _lum_sql(w, h).strip() + f""",
-pf AS (
-  SELECT frame_id, x, y, l,
-         CAST(x AS FLOAT) * CAST({1.0 / tw} AS FLOAT) - CAST(0.5 AS FLOAT) AS txf,
-         CAST(y AS FLOAT) * CAST({1.0 / th} AS FLOAT) - CAST(0.5 AS FLOAT) AS tyf FROM lp),
-pg AS (
-  SELECT frame_id, x, y, l, CAST(txf - CAST(floor(txf) AS FLOAT) AS FLOAT) AS xa, CAST(tyf - CAST(floor(tyf) AS FLOAT) AS FLOAT) AS ya,
-         greatest(CAST(floor(txf) AS INTEGER), 0) AS ta, least(CAST(floor(txf) AS INTEGER) + 1, {g - 1}) AS tb,
-         greatest(CAST(floor(tyf) AS INTEGER), 0) AS ua, least(CAST(floor(tyf) AS INTEGER) + 1, {g - 1}) AS ub FROM pf),
-done AS (
-SELECT pg.frame_id, pg.x, pg.y,
-       CAST(least(greatest(round_even(CAST(
-         (CAST(l1.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l2.lut AS FLOAT) * xa) * (CAST(1 AS FLOAT) - ya)
-         + (CAST(l3.lut AS FLOAT) * (CAST(1 AS FLOAT) - xa) + CAST(l4.lut AS FLOAT) * xa) * ya AS FLOAT), 0), 0), 255) AS INTEGER) AS v
-FROM pg
-JOIN lut l1 ON l1.frame_id = pg.frame_id AND l1.ty = pg.ua AND l1.tx = pg.ta AND l1.bin = pg.l
-JOIN lut l2 ON l2.frame_id = pg.frame_id AND l2.ty = pg.ua AND l2.tx = pg.tb AND l2.bin = pg.l
-JOIN lut l3 ON l3.frame_id = pg.frame_id AND l3.ty = pg.ub AND l3.tx = pg.ta AND l3.bin = pg.l
-JOIN lut l4 ON l4.frame_id = pg.frame_id AND l4.ty = pg.ub AND l4.tx = pg.tb AND l4.bin = pg.l)
-SELECT frame_id, y, string_agg(v, ',' ORDER BY x) AS l_eq FROM done GROUP BY frame_id, y"""
+flat AS (SELECT frame_id, flatten(list(lut ORDER BY ty, tx)) AS f FROM lut GROUP BY frame_id),
+lines AS (SELECT p_partkey, p_size, f, CAST(yy AS INTEGER) AS y FROM flat JOIN part ON p_partkey = frame_id, range(0, {h}) t(yy)),
+placed AS (SELECT *, {ya} AS ya, {ua} AS ua, {ub} AS ub FROM lines)
+SELECT p_partkey AS frame_id, y, array_to_string(list_transform(range(0, {w}), lambda x:
+  CAST(least(greatest(round_even(CAST(
+    ({at('ua', ta)} * ({one} - {xa}) + {at('ua', tb)} * {xa}) * ({one} - ya)
+    + ({at('ub', ta)} * ({one} - {xa}) + {at('ub', tb)} * {xa}) * ya AS FLOAT), 0), 0), 255) AS INTEGER)), ',') AS l_eq
+FROM placed"""
 
 
 def _lab_sql() -> str:
@@ -492,9 +484,9 @@ SELECT a.vec_id, b.vec_id AS next_id, {_dist_sql('a.h', 'b.h')} AS distance FROM
     q["tile_histogram"] = lum + """
 SELECT frame_id, ty, tx, string_agg(l || ':' || n, ',' ORDER BY l) AS counts FROM th GROUP BY ALL"""
     q["clipped_histogram"] = lum + """
-SELECT frame_id, ty, tx, string_agg(n, ',' ORDER BY bin) AS counts FROM cl GROUP BY ALL"""
+SELECT frame_id, ty, tx, array_to_string(c, ',') AS counts FROM cl"""
     q["equalize_lut"] = lum + """
-SELECT frame_id, ty, tx, string_agg(lut, ',' ORDER BY bin) AS lut FROM lut GROUP BY ALL"""
+SELECT frame_id, ty, tx, array_to_string(lut, ',') AS lut FROM lut"""
     q["equalize_apply"] = _equalized_sql(td.THUMB, td.THUMB)
     q["equalize_apply_padded"] = _equalized_sql(td.ODD_W, td.ODD_H)
     q["lab_round_trip"] = _lab_sql()
