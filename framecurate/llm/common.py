@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,18 +54,9 @@ def id_buckets(docs: DataFrame, key: str, n: int) -> list[int]:
 
 def bucket_of(key, cuts: list[int]):
     """Number of cuts <= key (0 for a null key): ascending ranges of the key."""
-    if not cuts:
-        return F.lit(0)
-    arr = F.array(*[F.lit(c).cast("long") for c in cuts])
-    return F.coalesce(F.size(F.filter(arr, lambda c: c <= key)), F.lit(0)) if len(cuts) < 9 else \
-        F.coalesce(_bisect(key, cuts, 0), F.lit(0))
-
-
-def _bisect(key, cuts: list[int], base: int):
-    """Nested comparison tree: log2(n) comparisons a row, code-generated."""
-    if not cuts:
-        return F.lit(base)
-    m = len(cuts) // 2
-    return F.when(key.isNull(), F.lit(0)).when(
-        key >= F.lit(cuts[m]), _bisect(key, cuts[m + 1:], base + m + 1)).otherwise(
-        _bisect(key, cuts[:m], base))
+    @F.arrow_udf("int")
+    def bucket(ids: pa.Array) -> pa.Array:
+        at = np.searchsorted(np.array(cuts, np.int64), ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
+        return pa.array(at.astype(np.int32), mask=ids.is_null().to_numpy(zero_copy_only=False)).fill_null(0)
+
+    return bucket(key) if cuts else F.lit(0)

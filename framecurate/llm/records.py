@@ -182,8 +182,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = shuffle_partitions(spark)
     cuts = id_buckets(own.select("doc_id"), "doc_id", n)
-    rows = (own.repartitionById(len(cuts) + 1, bucket_of(F.col("doc_id"), cuts).cast("int"))
-            .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")))
+    rows = (own.withColumn("part", bucket_of(F.col("doc_id"), cuts)).repartitionById(len(cuts) + 1, "part")
+            .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).drop("part"))
 
     def run(batches):
         for b in batches:

@@ -193,7 +193,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     cuts = id_buckets(own.select("doc_id"), "doc_id", shuffle_partitions(spark))
-    rows = own.select("*", bucket_of(F.col("doc_id"), cuts).cast("int").alias("part"), F.xxhash64("text").alias("h"))
+    rows = own.select("*", bucket_of(F.col("doc_id"), cuts).alias("part"), F.xxhash64("text").alias("h"))
     top = rows.groupBy("part").agg(F.max("doc_id").alias("top"))
     heads = (rows.join(F.broadcast(top), "part").where(F.col("doc_id").eqNullSafe(F.col("top")))
              .groupBy("part", "top").agg(F.min("h").alias("top_h")))          # a row a range
