@@ -3,9 +3,10 @@
 Texts are lower-cased with white space runs as one blank.  An item of n
 characters may occur in a document with up to k = floor(rate * n) edits.  Cut
 into k + 1 pieces, at least one piece must then occur unchanged, so one
-Aho-Corasick pass over the document finds every place worth a look.  A window
-there that keeps too few of the item's 5-grams (an edit spoils 5 at most)
-cannot match; the others are verified with Myers' bit-parallel distance.
+Aho-Corasick pass over the document finds every place worth a look.  An edit
+spoils at most one of the item's 5-grams that lie side by side, so a window
+there that lacks more than k of them cannot match; the others are verified
+with Myers' bit-parallel distance.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class Finder:
         pieces = defaultdict(list)
         for n, item in enumerate(self.items):
             self.budget[n], own = cut(item, rate)
-            self.grams.append({item[j:j + GRAM] for j in range(len(item) - GRAM + 1)})
+            self.grams.append([item[j:j + GRAM] for j in range(0, len(item) - GRAM + 1, GRAM)])
             for at, piece in own if item else ():
                 pieces[piece].append((n, at))
         self.machine = ahocorasick.Automaton()
@@ -99,6 +100,16 @@ class Finder:
             out[n] = runs
         return out
 
+    def _lacks(self, n: int, window: str) -> bool:
+        """Whether more of the item's grams than edits are not in the window."""
+        left = self.budget[n]
+        for gram in self.grams[n]:
+            if gram not in window:
+                left -= 1
+                if left < 0:
+                    return True
+        return False
+
     def matches(self, text: str | None, first_only: bool = False) -> list[tuple]:
         """(item_id, distance, start, end) in the normalised text, one an item:
         the least distance, of equal ones the first end."""
@@ -107,14 +118,12 @@ class Finder:
             return out
         for n, runs in self._windows(text).items():
             item, k, best = self.items[n], self.budget[n], None
-            need = len(self.grams[n]) - GRAM * k
             for low, high in runs:
                 a, b = max(0, low - k), min(len(text), high + len(item) + k)
-                if need > 0:
-                    window = {text[j:j + GRAM] for j in range(a, b - GRAM + 1)}
-                    if len(self.grams[n] & window) < need:
-                        continue
-                distance, end = best_match(item, text[a:b])
+                window = text[a:b]
+                if self._lacks(n, window):
+                    continue
+                distance, end = best_match(item, window)
                 if distance <= k and (best is None or distance < best[0]):
                     best = (distance, a + end)
             if best:
