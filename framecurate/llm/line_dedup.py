@@ -7,9 +7,11 @@ is a link if the edit similarity of the normalised lines is high enough.  Of
 each connected group the first occurrence stays.
 
 Equal lines are one node, whatever the number of their occurrences.  Pairs are
-verified in two rounds: first every line against the least of its block, then
-only pairs that the first round has left in different groups, so a large group
-of near copies costs a link a line, not a pair for every two.
+verified in two rounds: first every line with the next one of its block in
+order of size, then only pairs that the first round has left in different
+groups, so a large group of near copies costs a link a line, not a pair for
+every two.  Sizes that differ too much for the similarity rule a pair out
+before its texts are fetched.
 """
 
 from __future__ import annotations
@@ -23,32 +25,47 @@ from framecurate.llm.common import staged
 from framecurate.llm.components import connected_components
 
 _SIGN = 1 << 64
+FEW = 1_000_000          # keys that a broadcast may have
 
 
-def normalise(line: Column) -> Column:
-    """Lower case; runs of other characters than letters and digits are one blank."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
-
-
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, h, pos, norm, lid): h a hash of the whole text, lid the
-    normalised line's 128-bit id; lines without letters or digits are left out."""
-    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"),
-                      F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    return (own.select("doc_id", "h", "pos", normalise(F.col("line")).alias("norm")).where("norm <> ''")
-            .withColumn("lid", F.unhex(F.md5(F.col("norm").cast("binary")))))
-
+#: White space and ASCII signs: all but letters and digits there.
+_SIGNS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-def _simhash(lines: DataFrame) -> DataFrame:
-    """(lid, sim): a bit is set if it is in over half of the words' hashes.
 
-    Two bits' counters share a long, 32 bits each; counts are first summed by
-    task, where they cannot outgrow them, and occurrences of a line do not
-    change which bits have the majority."""
-    words = (lines.select("lid", F.spark_partition_id().alias("task"), F.explode(F.split("norm", " ")).alias("word"))
-             .select("lid", "task", F.xxhash64("word").alias("w")))
+def normalise(line: Column) -> Column:
+    """Lower case; runs of white space and ASCII signs are one blank."""
+    return F.trim(F.regexp_replace(F.lower(line), _SIGNS, " "))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (doc_id, h, pos, norm, l1, l2): h a hash of the whole
+    text, l1 and l2 the normalised line's 128-bit id; lines without letters or
+    digits are left out, which is told from the line as it is, so that lines
+    are normalised once."""
+    own = docs.select("doc_id", F.xxhash64("text").alias("h"),
+                      F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return (own.where(F.col("line").rlike(_LETTER))
+            .select("doc_id", "h", "pos", normalise(F.col("line")).alias("norm"))
+            .select("*", F.xxhash64("norm").alias("l1"), F.xxhash64(F.lit(1), "norm").alias("l2"),
+                    F.length("norm").alias("size")))
+
+
+def _lid() -> Column:
+    """The line's id as 16 bytes."""
+    return F.unhex(F.concat(F.lpad(F.hex("l1"), 16, "0"), F.lpad(F.hex("l2"), 16, "0")))
+
+
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, pos, lid, size, sim) of every line: size in characters; a bit
+    of sim is set if it is in over half of the words' hashes.  Two bits'
+    counters share a long, 32 bits each, and are summed with their line as the
+    key."""
+    key = ["doc_id", "h", "pos", "l1", "l2", "size"]
+    words = (_lines(docs).select(*key, F.explode(F.split("norm", " ")).alias("word"))
+             .select(*key, F.xxhash64("word").alias("w")))
     pair = F.lit((1 << 32) | 1)
-    counted = words.groupBy("lid", "task").agg(F.count("*").alias("n"), *[
+    counted = words.groupBy(*key).agg(F.count("*").alias("n"), *[
         F.sum(F.shiftrightunsigned("w", k).bitwiseAND(pair)).alias(f"s{k}") for k in range(32)])
     sim = F.lit(0).cast("long")
     for k in range(32):
@@ -56,7 +73,17 @@ def _simhash(lines: DataFrame) -> DataFrame:
         for bit, c in ((k, low), (32 + k, F.shiftrightunsigned(f"s{k}", 32))):
             one = (1 << bit) - (_SIGN if bit == 63 else 0)
             sim = sim.bitwiseOR(F.when(c * 2 > F.col("n"), F.lit(one).cast("long")).otherwise(F.lit(0).cast("long")))
-    return counted.select("lid", sim.alias("sim")).groupBy("lid").agg(F.max("sim").alias("sim"))
+    return counted.select("doc_id", "h", "pos", _lid().alias("lid"), "size", sim.alias("sim"))
+
+
+def _within(df: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """df's rows whose keys are in `few`: broadcast when counted to be under
+    FEW rows of a few dozen bytes, else left to Spark's own join."""
+    few = F.broadcast(few) if few.count() <= FEW else few
+    same = F.lit(True)
+    for c in on:
+        same = same & df[c].eqNullSafe(few[f"_{c}"])
+    return df.join(few, same, "left_semi")
 
 
 def _blocks(radius: int, pieces: int) -> list[int]:
@@ -66,16 +93,17 @@ def _blocks(radius: int, pieces: int) -> list[int]:
     return [m - _SIGN if m >> 63 else m for m in masks]
 
 
-def _near(a: Column, b: Column, radius: int) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)) <= radius
+def _budget(a: str, b: str, similarity: float) -> str:
+    """SQL: the most edits between texts of sizes a and b that are alike."""
+    return f"cast(floor({1 - similarity:.12f} * greatest({a}, {b}) + 1e-9) as int)"
 
 
 def _alike(a: str, b: str, similarity: float) -> Column:
     """Edit similarity of two texts is at least `similarity`.  Small distances
     are tried first, for the cost is the length times the distance allowed."""
-    most = f"cast(floor({1 - similarity:.12f} * greatest(length({a}), length({b})) + 1e-9) as int)"
-    tries = " OR ".join(f"levenshtein({a}, {b}, least({t}, {most})) >= 0" for t in (16, 128, 1024))
-    return F.expr(f"abs(length({a}) - length({b})) <= {most} AND ({tries} OR levenshtein({a}, {b}, {most}) >= 0)")
+    most = _budget(f"length({a})", f"length({b})", similarity)
+    tries = " OR ".join(f"({t} < {most} AND levenshtein({a}, {b}, {t}) >= 0)" for t in (32, 128, 512, 2048))
+    return F.expr(f"{tries} OR levenshtein({a}, {b}, {most}) >= 0")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -85,38 +113,53 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             .where(_alike("left", "right", similarity)).select("a", "b"))
 
 
-def line_components(lines: DataFrame, radius: int = 3, pieces: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(node, root) of the lines (lid, norm) that link to another distinct line."""
-    sims = staged(_simhash(lines), "line-sims")
+def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces: int = 5,
+                    similarity: float = 0.8) -> DataFrame:
+    """(node, root) of the distinct lines that link to another; docs (doc_id,
+    text), lines their occurrences."""
+    sims = lines.groupBy("lid").agg(F.first("sim").alias("sim"), F.first("size").alias("size"))
     keys = F.posexplode(F.array(*[F.col("sim").bitwiseAND(F.lit(m)) for m in _blocks(radius, pieces)]))
-    by_block = (sims.select("sim").distinct().select("sim", keys.alias("t", "bits"))
+    by_block = (lines.select("sim").distinct().select("sim", keys.alias("t", "bits"))
                 .select("sim", F.xxhash64("t", "bits").alias("block")))
     shared = by_block.withColumn("c", F.count("*").over(Window.partitionBy("block"))).where("c > 1").drop("c")
     equal = sims.groupBy("sim").agg(F.count("*").alias("c")).where("c > 1").select(
         "sim", F.xxhash64(F.lit(-1), "sim").alias("block"))
-    met = staged(shared.unionByName(equal).join(sims, "sim").select("block", "sim", "lid"), "line-blocks")
-
-    other = met.select(F.col("block").alias("b2"), F.col("sim").alias("s2"), F.col("lid").alias("l2"))
-    close = staged(met.join(other, (met["block"] == other["b2"]) & (met["lid"] != other["l2"])
-                            & _near(met["sim"], other["s2"], radius), "left_semi"), "line-close")
-    wanted = close.select("lid").distinct()
-    texts = staged(lines.select("lid", "norm").join(wanted, "lid", "left_semi")
+    met = staged(shared.unionByName(equal).join(sims, "sim").select("block", "sim", "lid", "size"), "line-blocks")
+
+    def near(sim, size):
+        return (F.bit_count(sim.bitwiseXOR(F.col("s2"))) <= radius) & F.expr(
+            f"abs(size - z2) <= {_budget('size', 'z2', similarity)}")
+
+    def other(df, *more):
+        return df.select(F.col("block").alias("b2"), F.col("sim").alias("s2"), F.col("size").alias("z2"),
+                         F.col("lid").alias("b"), *more)
+
+    two = other(met)
+    close = staged(met.join(two, (met["block"] == two["b2"]) & (met["lid"] != two["b"])
+                            & near(met["sim"], met["size"]), "left_semi"), "line-close")
+    wanted = close.select(F.col("lid").alias("_lid")).distinct()
+    place = F.struct("doc_id", "h")                     # a document that holds the line
+    homes = staged(_within(lines.select("lid", "doc_id", "h"), wanted, ["lid"]).groupBy("lid").agg(
+        F.min(place).alias("p")).select("lid", "p.doc_id", "p.h"), "line-homes")
+    hosts = homes.select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h")).distinct()
+    held = _within(docs.withColumn("h", F.xxhash64("text")), hosts, ["doc_id", "h"]).select("doc_id", "text")
+    texts = staged(_within(_lines(held).select(_lid().alias("lid"), "norm"), wanted, ["lid"])
                    .groupBy("lid").agg(F.first("norm").alias("norm")), "line-texts")
 
-    least = close.groupBy("block").agg(F.min(F.struct("lid", "sim")).alias("m")).select(
-        "block", F.col("m.lid").alias("b"), F.col("m.sim").alias("s2"))
-    stars = (close.join(least, "block").where((F.col("lid") != F.col("b")) & _near(F.col("sim"), F.col("s2"), radius))
-             .select(F.col("lid").alias("a"), "b"))
-    first = staged(_verified(stars, texts, similarity), "line-stars")
-    groups = connected_components(first, "line-stars")
-
-    labelled = close.join(groups, close["lid"] == groups["node"], "left").select(
-        "block", "sim", "lid", F.coalesce("root", "lid").alias("group"))
-    labelled = staged(labelled, "line-groups")
-    right = labelled.select(F.col("block").alias("b2"), F.col("sim").alias("s2"), F.col("lid").alias("b"),
-                            F.col("group").alias("g2"))
+    # first every line with the next one of its block by size ...
+    order = Window.partitionBy("block").orderBy("size", "lid")
+    following = close.select("sim", "size", F.col("lid").alias("a"), F.lead("lid").over(order).alias("b"),
+                             F.lead("sim").over(order).alias("s2"), F.lead("size").over(order).alias("z2"))
+    chain = following.where(F.col("b").isNotNull() & near(F.col("sim"), F.col("size"))).select("a", "b")
+    first = staged(_verified(chain, texts, similarity), "line-chain")
+    groups = connected_components(first, "line-chain")
+
+    # ... then the pairs that are still apart
+    labelled = staged(close.join(groups, close["lid"] == groups["node"], "left").select(
+        "block", "sim", "size", "lid", F.coalesce("root", "lid").alias("group")), "line-groups")
+    right = other(labelled, F.col("group").alias("g2"))
     rest = (labelled.join(right, (labelled["block"] == right["b2"]) & (labelled["lid"] < right["b"])
-                          & (labelled["group"] != right["g2"]) & _near(labelled["sim"], right["s2"], radius))
+                          & (labelled["group"] != right["g2"]) & near(labelled["sim"], labelled["size"]))
             .select(F.col("lid").alias("a"), "b"))
     return connected_components(first.unionByName(_verified(rest, texts, similarity)), "line-links")
 
@@ -130,8 +173,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows of equal id and text are one document.  Lines without letters or
     digits always stay; null and empty texts have no such lines.
     """
-    lines = staged(_lines(docs, id_col, text_col), "lines")
-    comps = line_components(lines.select("lid", "norm"), radius, pieces, similarity)
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    lines = staged(_occurrences(own), "lines")
+    comps = line_components(own, lines, radius, pieces, similarity)
     placed = lines.select("doc_id", "h", "pos", "lid")
     placed = placed.join(comps, placed["lid"] == comps["node"], "left").select(
         "doc_id", "h", "pos", F.coalesce("root", "lid").alias("g"))
