@@ -393,21 +393,21 @@ def q_bhattacharyya_consecutive(spark, d):
     return emb.join(nxt, "vec_id").select("vec_id", "next_id", hg.bhattacharyya("h", "h2").alias("distance"))
 
 
-def _tiles(spark, d):
-    return eq.tile_tables(td.luminance_planes(spark, d), 2.0, (td.CLAHE_GRID, td.CLAHE_GRID))
+def _tiles(spark, d, what):
+    return eq.tile_tables(td.luminance_planes(spark, d), what, 2.0, (td.CLAHE_GRID, td.CLAHE_GRID))
 
 
 def q_tile_histogram(spark, d):
-    n = F.transform("hist", lambda n, i: F.when(n > 0, F.concat(i.cast("string"), F.lit(":"), n.cast("string"))))
-    return _tiles(spark, d).select("frame_id", "ty", "tx", F.array_join(n, ",").alias("counts"))
+    n = F.transform("values", lambda n, i: F.when(n > 0, F.concat(i.cast("string"), F.lit(":"), n.cast("string"))))
+    return _tiles(spark, d, "hist").select("frame_id", "ty", "tx", F.array_join(n, ",").alias("counts"))
 
 
 def q_clipped_histogram(spark, d):
-    return _tiles(spark, d).select("frame_id", "ty", "tx", F.array_join("clipped", ",").alias("counts"))
+    return _tiles(spark, d, "clipped").select("frame_id", "ty", "tx", F.array_join("values", ",").alias("counts"))
 
 
 def q_equalize_lut(spark, d):
-    return _tiles(spark, d).select("frame_id", "ty", "tx", F.array_join("lut", ",").alias("lut"))
+    return _tiles(spark, d, "lut").select("frame_id", "ty", "tx", F.array_join("values", ",").alias("lut"))
 
 
 def _equalized(spark, d, width, height):

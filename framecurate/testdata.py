@@ -274,7 +274,7 @@ def thumbnail_pixels(spark: SparkSession, sf_dir: str, size: int = THUMB) -> Dat
 def luminance_planes(spark: SparkSession, sf_dir: str, width: int = THUMB, height: int = THUMB) -> DataFrame:
     """(frame_id, width, height, plane array<int>): an 8-bit L channel, row by
     row, per part."""
-    p = table(spark, sf_dir, "part")
+    p = _frames_by_id(spark, sf_dir).withColumnRenamed("frame_id", "p_partkey")
     x, y = (lambda i: i % width), (lambda i: F.floor(i / width).cast("int"))
     plane = F.transform(F.sequence(F.lit(0), F.lit(width * height - 1)), lambda i: (
         (F.col("p_partkey") * 3 + x(i) * y(i) + F.col("p_size") * x(i)) % 256).cast("int"))
