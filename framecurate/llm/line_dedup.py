@@ -6,6 +6,12 @@ fingerprints differ in at most `radius` bits agree on `pieces - radius` of
 is a link if the edit similarity of the normalised lines is high enough.  Of
 each connected group the first occurrence stays.
 
+SimHash alone misses most lines that are alike, as one edited word in ten turns
+more than `radius` bits.  With `anchors`, lines also meet on the least hashes of
+their 3-word shingles and, short ones, on their 4-character pieces; there loose
+bounds of the fingerprint (`reach` bits) or of the character pairs only spare
+edit distances.
+
 Equal lines are one node, whatever the number of their occurrences.  Pairs are
 verified in two rounds: first every line with the next one of its block in
 order of size, then only pairs that the first round has left in different
@@ -26,6 +32,8 @@ from framecurate.llm.components import connected_components
 
 _SIGN = 1 << 64
 FEW = 1_000_000          # keys that a broadcast may have
+SHORT = 48               # lines of less characters also meet on pieces of 4
+FAINT = 60               # lines of less characters have too few words for `reach`
 
 
 #: White space and ASCII signs: all but letters and digits there.
@@ -93,6 +101,29 @@ def _blocks(radius: int, pieces: int) -> list[int]:
     return [m - _SIGN if m >> 63 else m for m in masks]
 
 
+def _meetings(docs: DataFrame, anchors: int) -> DataFrame:
+    """(block, l1, kind, pairs) of the distinct lines that share a block with
+    another: kind 1 are the `anchors` least hashes of the line's 3-word shingles
+    (of the words, if less), kind 2 the 4-character pieces of short lines in the
+    two size classes that lines alike have one of in common, with the set of
+    character pairs as 64 bits."""
+    words = F.expr(f"slice(array_distinct(sort_array(transform(sequence(0, greatest(0, size(words) - 3)), "
+                   f"i -> xxhash64(1, slice(words, i + 1, 3))))), 1, {anchors})")
+    level = F.expr("cast(floor(ln(size) / ln(1.25)) as int)")
+    pieces = F.expr(f"if(size < {SHORT}, array_distinct(flatten(transform(sequence(1, greatest(1, size - 3)), "
+                    "i -> array(xxhash64(2, level, substring(norm, i, 4)), "
+                    "xxhash64(2, level + 1, substring(norm, i, 4)))))), array())")
+    two = F.expr(f"if(size < {SHORT}, aggregate(sequence(1, greatest(1, size - 1)), 0L, (a, i) -> "
+                 "a | shiftleft(1L, cast(pmod(xxhash64(substring(norm, i, 2)), 64) as int))), 0L)")
+    own = (_lines(docs).select("l1", "norm", "size", F.split("norm", " ").alias("words"))
+           .select("l1", "norm", "size", "words", level.alias("level"))
+           .select("l1", words.alias("kind1"), pieces.alias("kind2"), two.alias("pairs")))
+    keys = F.explode(F.expr("concat(transform(kind1, x -> struct(1 as kind, x as block, 0L as pairs)), "
+                            "transform(kind2, x -> struct(2 as kind, x as block, pairs)))"))
+    each = own.select("l1", keys.alias("k")).select("k.block", "l1", "k.kind", "k.pairs").distinct()
+    return each.withColumn("c", F.count("*").over(Window.partitionBy("block"))).where("c > 1").drop("c")
+
+
 def _budget(a: str, b: str, similarity: float) -> str:
     """SQL: the most edits between texts of sizes a and b that are alike."""
     return f"cast(floor({1 - similarity:.12f} * greatest({a}, {b}) + 1e-9) as int)"
@@ -114,7 +145,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces: int = 5,
-                    similarity: float = 0.8) -> DataFrame:
+                    similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
     """(node, root) of the distinct lines that link to another; docs (doc_id,
     text), lines their occurrences."""
     sims = lines.groupBy("lid").agg(F.first("sim").alias("sim"), F.first("size").alias("size"))
@@ -124,11 +155,19 @@ def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces:
     shared = by_block.withColumn("c", F.count("*").over(Window.partitionBy("block"))).where("c > 1").drop("c")
     equal = sims.groupBy("sim").agg(F.count("*").alias("c")).where("c > 1").select(
         "sim", F.xxhash64(F.lit(-1), "sim").alias("block"))
-    met = staged(shared.unionByName(equal).join(sims, "sim").select("block", "sim", "lid", "size"), "line-blocks")
+    by_sim = shared.unionByName(equal).join(sims, "sim").select("block", "sim", "lid", "size", F.lit(0).alias("kind"))
+    if anchors:
+        half = F.conv(F.substring(F.hex("lid"), 1, 16), 16, -10).cast("long")      # l1, of one line or seldom of two
+        by_word = _meetings(docs, anchors).join(sims.withColumn("l1", half), "l1").select(
+            "block", F.when(F.col("kind") == 1, F.col("sim")).otherwise(F.col("pairs")).alias("sim"), "lid", "size", "kind")
+        by_sim = by_sim.unionByName(by_word)
+    met = staged(by_sim, "line-blocks")
 
     def near(sim, size):
-        return (F.bit_count(sim.bitwiseXOR(F.col("s2"))) <= radius) & F.expr(
-            f"abs(size - z2) <= {_budget('size', 'z2', similarity)}")
+        edits = _budget("size", "z2", similarity)     # each changes 4 character pairs at most
+        bits = F.expr(f"CASE kind WHEN 0 THEN {radius} WHEN 1 THEN if(least(size, z2) < {FAINT}, 64, {reach}) "
+                      f"ELSE 4 * {edits} END")
+        return (F.bit_count(sim.bitwiseXOR(F.col("s2"))) <= bits) & F.expr(f"abs(size - z2) <= {edits}")
 
     def other(df, *more):
         return df.select(F.col("block").alias("b2"), F.col("sim").alias("s2"), F.col("size").alias("z2"),
@@ -148,7 +187,7 @@ def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces:
 
     # first every line with the next one of its block by size ...
     order = Window.partitionBy("block").orderBy("size", "lid")
-    following = close.select("sim", "size", F.col("lid").alias("a"), F.lead("lid").over(order).alias("b"),
+    following = close.select("kind", "sim", "size", F.col("lid").alias("a"), F.lead("lid").over(order).alias("b"),
                              F.lead("sim").over(order).alias("s2"), F.lead("size").over(order).alias("z2"))
     chain = following.where(F.col("b").isNotNull() & near(F.col("sim"), F.col("size"))).select("a", "b")
     first = staged(_verified(chain, texts, similarity), "line-chain")
@@ -156,7 +195,7 @@ def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces:
 
     # ... then the pairs that are still apart
     labelled = staged(close.join(groups, close["lid"] == groups["node"], "left").select(
-        "block", "sim", "size", "lid", F.coalesce("root", "lid").alias("group")), "line-groups")
+        "block", "kind", "sim", "size", "lid", F.coalesce("root", "lid").alias("group")), "line-groups")
     right = other(labelled, F.col("group").alias("g2"))
     rest = (labelled.join(right, (labelled["block"] == right["b2"]) & (labelled["lid"] < right["b"])
                           & (labelled["group"] != right["g2"]) & near(labelled["sim"], labelled["size"]))
@@ -165,7 +204,7 @@ def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces:
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3,
-                  pieces: int = 5, similarity: float = 0.8) -> DataFrame:
+                  pieces: int = 5, similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
     """(doc_id, h, dropped): the line numbers (from 0, ascending) of the
     documents, known by id and text hash, that repeat an earlier line.
 
@@ -175,7 +214,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = staged(_occurrences(own), "lines")
-    comps = line_components(own, lines, radius, pieces, similarity)
+    comps = line_components(own, lines, radius, pieces, similarity, anchors, reach)
     placed = lines.select("doc_id", "h", "pos", "lid")
     placed = placed.join(comps, placed["lid"] == comps["node"], "left").select(
         "doc_id", "h", "pos", F.coalesce("root", "lid").alias("g"))
@@ -192,10 +231,10 @@ def _joined(own: DataFrame, again: DataFrame, i: str, h: Column) -> DataFrame:
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3,
-                pieces: int = 5, similarity: float = 0.8) -> DataFrame:
+                pieces: int = 5, similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
     """One row a row of docs: (doc_id, n_lines, n_kept, dropped), dropped as
     comma-joined line numbers.  A null text has no line, an empty one has one."""
-    again = dropped_lines(docs, id_col, text_col, radius, pieces, similarity)
+    again = dropped_lines(docs, id_col, text_col, radius, pieces, similarity, anchors, reach)
     own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.coalesce(
         F.size(F.split(F.col(text_col), "\n")), F.lit(0)).cast("long").alias("n_lines"))
     own = own.withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
@@ -205,12 +244,12 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3,
-                pieces: int = 5, similarity: float = 0.8) -> DataFrame:
+                pieces: int = 5, similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
     """docs with the repeated lines taken out of the text; all columns and rows
     stay, whatever the columns' names."""
     own = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
     i, t = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    again = staged(dropped_lines(docs, id_col, text_col, radius, pieces, similarity), "line-drops")
+    again = staged(dropped_lines(docs, id_col, text_col, radius, pieces, similarity, anchors, reach), "line-drops")
     hit = _joined(own.select(i, t), again, i, F.xxhash64(own[t])).where("dropped is not null")
     lines = hit.select(F.col(i).alias("doc_id"), F.xxhash64(t).alias("h"),
                        F.posexplode(F.split(t, "\n")).alias("pos", "line")).distinct()
