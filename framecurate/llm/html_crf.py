@@ -26,9 +26,9 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
                     re.I)
 _WORD = re.compile(r"[a-z]+")
-# fixed values of HTML: elements that hold no text, that never close, that begin a block
-_RAW = {"script", "style", "template", "noscript", "textarea", "svg", "math", "iframe", "object", "canvas",
-        "noframes", "xmp"}
+# fixed values of HTML: elements whose content is no part of the text, that never close, that begin a block
+_RAW = {"script", "style", "template", "textarea", "iframe", "noframes", "xmp"}
+_APART = {"text", "desc"}     # parts of svg that are words of their own
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol "
@@ -65,6 +65,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     space as one blank, empty blocks left out."""
     page, at, out = page or "", 0, []
     tags, words, run, linked, size = [], [frozenset()], [], 0, 0
+    loose = False                # no template closes from here on
 
     def flush():
         nonlocal run, linked, size
@@ -92,14 +93,24 @@ def leaf_blocks(page: str | None) -> list[Block]:
         name = (m[2] or "").lower()
         if not name:
             continue
+        if name in _APART:
+            run.append(" ")
+        empty = (m[3] or "").rstrip().endswith("/")
+        end = None
+        if name in _RAW and not m[1] and not (empty and ("svg" in tags or "math" in tags)) \
+                and not (loose and name == "template"):
+            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if not end and name != "template":           # these hold the rest of the page as raw text
+                at = len(page)
+                continue
+            loose = loose or not end
         if m[1]:
             if name in _BLOCK:
                 flush()
             if name in tags:
                 close(len(tags) - 1 - tags[::-1].index(name))
-        elif name in _RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+        elif end:
+            at = end.end()
         elif name in _VOID:
             if name == "hr":
                 flush()
@@ -108,7 +119,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         else:
             if name in _BLOCK:
                 flush()
-                if "p" in tags and name not in ("label", "button", "option", "optgroup", "select"):
+                if "p" in tags and name not in ("label", "button", "option", "optgroup", "select", "title"):
                     close(len(tags) - 1 - tags[::-1].index("p"))
                 for up in range(len(tags) - 1, -1, -1):
                     if tags[up] in _ENDS.get(name, ()):
@@ -116,7 +127,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
                         break
                     if tags[up] in _SCOPE:
                         break
-            if not (m[3] or "").rstrip().endswith("/"):
+            if not empty:
                 tags.append(name)
                 words.append(words[-1] | _own_words(m[3]) if m[3] else words[-1])
     if at < len(page):

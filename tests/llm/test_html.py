@@ -25,6 +25,23 @@ def test_leaf_blocks():
     assert [b.text for b in H.leaf_blocks("a" * 200_000)] == ["a" * 200_000]
 
 
+def test_only_raw_elements_lose_their_content(model):
+    for tag in ("<svg viewBox='0 0 1 1'/>", "<math/>", "<object data='x'>", "<canvas>", "<noscript>", "<template>"):
+        got = H.leaf_blocks(f"<div><p>one {tag} two</p><p>three</p></div><p>four</p>")
+        assert [b.text for b in got] == ["one two", "three", "four"], tag
+    kept = ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b</p><p><object>c</object> <canvas>d</canvas></p>"
+            "<noscript>e</noscript><p><svg><style/><text>f</text><text>g</text></svg>h</p>"
+            "<p>i <svg><title>j</title></svg> k</p>")
+    got = H.leaf_blocks(kept)
+    assert [b.text for b in got] == ["a x=2 b", "c d", "e", "f g h", "i", "j", "k"] and got[-1].tags == ("p",)
+    raw = "".join(f"<{t}>x <p>y</p></{t}>" for t in ("script", "style", "textarea", "template", "iframe", "noframes", "xmp"))
+    assert [b.text for b in H.leaf_blocks(f"<p>one {raw} two</p>")] == ["one two"]
+    body = "".join(f"<p>This is paragraph {i} of the article, and it has a few more words in it.</p>" for i in range(4))
+    text = H.main_text(model, f"<article><h1>A title <svg/></h1>{body}<p>The sum of <math><mi>q</mi></math> "
+                              f"is known, and <object>its picture</object> too.</p>{body}</article>")
+    assert text.count("\n") == 9 and "The sum of q is known, and its picture too." in text
+
+
 def test_viterbi_is_the_best_chain(model):
     rng = np.random.default_rng(3)
     names = list(model.names)
