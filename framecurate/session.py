@@ -86,18 +86,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at shared storage and is read as-is.
-    Only when it is unset (local tests) a private scratch folder is created.
+    Only when it is unset (local tests) a private scratch folder is created and
+    given to the SparkContext, which keeps it for later calls: the setting
+    itself cannot be changed in a running session.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
                                "distributed file system); a machine-local folder does not survive "
                                "executor loss")
         d = tempfile.mkdtemp(prefix="framecurate-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -108,3 +110,18 @@ def stage(df, tag: str):
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*staged) -> None:
+    """Remove the folders of staged tables that nothing reads any more.
+
+    Takes DataFrames as ``stage`` returned them.  Only folders inside the
+    shared checkpoint folder are touched, through Spark's own file system."""
+    for df in staged:
+        spark = df.sparkSession
+        to_path = spark._jvm.org.apache.hadoop.fs.Path
+        root = to_path(checkpoint_dir(spark)).toUri().getPath().rstrip("/")
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = to_path(folder)
+            if path.toUri().getPath().startswith(root + "/"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,32 +1,14 @@
 import os
 import sys
-import tempfile
 
-import numpy as np
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
 def spark():
     from framecurate.session import get_spark
     s = get_spark("local[4]", 4, app_name="framecurate-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fc-test-ckpt-"))
     yield s
-
-
-def make_frame(height=480, width=640, color=(100, 150, 200)):
-    f = np.zeros((height, width, 3), dtype=np.uint8)
-    f[:] = color
-    return f
-
-
-def make_random_frame(height=480, width=640, seed=0):
-    return np.random.default_rng(seed).integers(0, 256, (height, width, 3), dtype=np.uint8)
-
-
-def image_row(arr, origin="mem://frame"):
-    h, w, c = arr.shape
-    return {"origin": origin, "height": h, "width": w, "nChannels": c, "mode": 16, "data": bytearray(arr.tobytes())}

@@ -6,7 +6,7 @@ import uuid
 
 import numpy as np
 
-from conftest import image_row, make_frame, make_random_frame
+from frames import image_row, make_frame, make_random_frame
 from framecurate.operators.histogram import bhattacharyya as bh_col
 from framecurate.operators.state_machine import FilterParams, bhattacharyya
 from framecurate.plans import curate as cu

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import image_row, make_frame
+from frames import image_row, make_frame
 from framecurate.plans import merge as mg
 from framecurate.plans import splitting as sp
 from framecurate.sinks import writers as wr

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import image_row, make_frame
+from frames import image_row, make_frame
 from framecurate.operators import equalize as eq
 from framecurate.operators.images import bilinear_resize, crop_pixels, detect, thumbnail_pixels
 from framecurate.plans import splitting as sp
