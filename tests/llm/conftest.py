@@ -1,18 +1,14 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from framecurate.llm.common import prepare
 
-WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
-
-
-def prose(seed: int, n: int) -> str:
-    import random
-    rng = random.Random(seed)
-    return " ".join(rng.choice(WORDS) + rng.choice(("", "", "s", "ed", "ing", ".")) for _ in range(n))
-
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-LONG = prose(1, 30_000)
+from texts import LONG, prose  # noqa: E402
 
 ODD_DOCS = [
     (7, prose(2, 80), "en", "a"), (3, prose(2, 80), "en", "a"),                 # equal texts, ids out of order

@@ -2,7 +2,7 @@ import random
 
 from framecurate.llm import decontam as D
 
-from conftest import LONG, prose  # noqa: E402
+from texts import LONG, prose  # noqa: E402
 
 
 def row_by_row(pattern, text):

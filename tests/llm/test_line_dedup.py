@@ -5,7 +5,7 @@ import xxhash
 
 from framecurate.llm import line_dedup as L
 
-from conftest import prose  # noqa: E402
+from texts import prose  # noqa: E402
 
 
 def norm(line):

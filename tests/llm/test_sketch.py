@@ -5,7 +5,7 @@ import pyarrow as pa
 
 from framecurate.llm import sketch as K
 
-from conftest import prose  # noqa: E402
+from texts import prose  # noqa: E402
 
 
 def shingles(text, n=5):
