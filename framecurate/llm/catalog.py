@@ -137,6 +137,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every vector whose id 50 divides, against all others."""
+    from framecurate.llm.topk import top_k
+    prepare(spark)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent word one edit away, if any."""
+    from framecurate.llm.spelling import count_words, group_variants
+    prepare(spark)
+    words = count_words(table(spark, sf_dir, "documents"), slip=97, min_chars=5, min_count=3)
+    return group_variants(words, ratio=2)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup,
     op2_token_records,
@@ -148,6 +163,8 @@ QUERIES = {f.__name__: f for f in (
     op8_backoff_scores,
     op9_benchmark_decontamination,
     op10_simhash_near_dedup,
+    op12_exact_top_k,
+    op13_spelling_variants,
 )}
 
 ORACLE_SQL: dict[str, str] = oracles.oracle_sql(MIX_POWERS)

@@ -109,9 +109,22 @@ SELECT doc_id, coalesce(k, 0) AS n_tokens, round(coalesce(s, 0), 4) AS log_score
 FROM d LEFT JOIN sums USING (r)"""
 
 
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, CAST(list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def oracle_sql(mix_powers: dict[str, float]) -> dict[str, str]:
     return {
         "op4_source_mixing": _mixing(mix_powers, 0.5, 11, 10),
         "op7_secret_scan": _secrets(),
         "op8_backoff_scores": _BACKOFF,
+        "op12_exact_top_k": _TOP_K,
     }
