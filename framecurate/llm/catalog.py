@@ -137,6 +137,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for the terms of every benchmark item."""
+    from framecurate.llm.ranked import rank_documents
+    prepare(spark)
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest inner products of every vector whose id 50 divides, against all others."""
     from framecurate.llm.topk import top_k
@@ -163,6 +170,7 @@ QUERIES = {f.__name__: f for f in (
     op8_backoff_scores,
     op9_benchmark_decontamination,
     op10_simhash_near_dedup,
+    op11_ranked_search,
     op12_exact_top_k,
     op13_spelling_variants,
 )}

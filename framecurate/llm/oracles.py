@@ -64,7 +64,7 @@ def _mixing(powers: dict[str, float], keep: float, seed: int, sweeps: int) -> st
     return f"""
 WITH n AS (
   SELECT doc_id, text, source, lang,
-    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D\\x20]+')) AS BIGINT) AS tokens FROM documents),
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x09-\x0D\x20]+')) AS BIGINT) AS tokens FROM documents),
 d AS (
   SELECT *, CASE WHEN tokens = 0 THEN 'empty'
     WHEN regexp_matches(coalesce(text, ''), '(AKIA|password|api_key|https?://|@)') THEN 'technical'
@@ -109,6 +109,32 @@ SELECT doc_id, coalesce(k, 0) AS n_tokens, round(coalesce(s, 0), 4) AS log_score
 FROM d LEFT JOIN sums USING (r)"""
 
 
+_RANKED = r"""
+WITH found AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, * FROM documents)),
+tfs AS (SELECT r, doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+sizes AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY r),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, whole GROUP BY term, docs),
+asked AS (
+  SELECT item_id, item, term, count(*) AS q FROM (
+    SELECT item_id, text AS item, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+scored AS (
+  SELECT item_id, item, r, doc_id,
+    CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (r), whole GROUP BY item_id, item, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+
 _TOP_K = """
 WITH v AS (
   SELECT vec_id, CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS v FROM embeddings
@@ -126,5 +152,6 @@ def oracle_sql(mix_powers: dict[str, float]) -> dict[str, str]:
         "op4_source_mixing": _mixing(mix_powers, 0.5, 11, 10),
         "op7_secret_scan": _secrets(),
         "op8_backoff_scores": _BACKOFF,
+        "op11_ranked_search": _RANKED,
         "op12_exact_top_k": _TOP_K,
     }
