@@ -27,11 +27,10 @@ def token_records(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of every document: edit similarity 0.8 of lines that meet by
-    3 bits of SimHash or one of 24 word shingles."""
+    """Repeated lines of every document: SimHash at most 3 bits apart, edit similarity 0.8."""
     from framecurate.llm.line_dedup import line_report
     prepare(spark)
-    return line_report(table(spark, sf_dir, "documents"), radius=3, pieces=5, similarity=0.8, anchors=24)
+    return line_report(table(spark, sf_dir, "documents"), radius=3, pieces=5, similarity=0.8)
 
 
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

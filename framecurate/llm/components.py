@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framecurate.llm.common import staged
+from framecurate.session import discard
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -30,15 +31,16 @@ def connected_components(links: DataFrame, tag: str) -> DataFrame:
     least node reachable, for every node that has a link to another node.
 
     Null ends and loops are ignored; an empty link table gives an empty result.
-    Each round is written to the shared folder, so lineage stays short and a
-    lost executor costs one round at most.  The minimum per node is combined
+    Each round is written to the shared folder and the one before it removed, so
+    lineage stays short and a lost executor costs one round at most.  The minimum per node is combined
     before the shuffle, and joins on a hub's id are ones AQE can split.  The
     driver sees only a count and a checksum a round.
     """
     e = staged(links.select("a", "b").where("a <> b").distinct(), f"{tag}-links")
     mark = None
     while True:
-        e = staged(_small_star(_large_star(e)), f"{tag}-round")
+        before, e = e, staged(_small_star(_large_star(e)), f"{tag}-round")
+        discard(before)
         now = e.agg(F.count("*").alias("n"),
                     F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if not now["n"] or tuple(now) == mark:

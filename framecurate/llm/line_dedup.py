@@ -4,20 +4,21 @@ Lines are normalised and given a 64-bit SimHash of their words.  Lines whose
 fingerprints differ in at most `radius` bits agree on `pieces - radius` of
 `pieces` bit blocks, so they meet in a join on some choice of blocks; a pair
 is a link if the edit similarity of the normalised lines is high enough.  Of
-each connected group the first occurrence stays.
-
-SimHash alone misses most lines that are alike, as one edited word in ten turns
-more than `radius` bits.  With `anchors`, lines also meet on the least hashes of
-their 3-word shingles and, short ones, on their 4-character pieces; there loose
-bounds of the fingerprint (`reach` bits) or of the character pairs only spare
-edit distances.
-
-Equal lines are one node, whatever the number of their occurrences.  Pairs are
-verified in two rounds: first every line with the next one of its block in
-order of size, then only pairs that the first round has left in different
-groups, so a large group of near copies costs a link a line, not a pair for
-every two.  Sizes that differ too much for the similarity rule a pair out
-before its texts are fetched.
+each connected group the first occurrence stays.  So a link is two things, few
+bits and few edits: lines that are alike but further apart in bits are none.
+
+Fingerprints are made where a line is read: 64 counters a byte wide in eight
+longs take the words in, CHUNK words at a time, and chunks add up in counters
+of 32 bits.  No word becomes a row.
+
+Equal lines are one node, whatever the number of their occurrences.  Blocks are
+counted first, with partial counts before the shuffle, and only lines of blocks
+that are shared go on.  Pairs are verified in two rounds: every line with the
+next one of its block in order of size, then only pairs that the first round has
+left in different groups, and blocks that it has made one group meet no more.  So
+a large group of near copies costs a link a line, not a pair for every two.
+Sizes that differ too much for the similarity rule a pair out before its texts
+are fetched.  Intermediate tables are removed once nothing reads them.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 
 from framecurate.llm.common import staged
 from framecurate.llm.components import connected_components
+from framecurate.session import discard
 
 _SIGN = 1 << 64
 FEW = 1_000_000          # keys that a broadcast may have
-SHORT = 48               # lines of less characters also meet on pieces of 4
-FAINT = 60               # lines of less characters have too few words for `reach`
+CHUNK = 127              # words that counters of a byte can take, as longs have a sign
 
 
 #: White space and ASCII signs: all but letters and digits there.
@@ -64,24 +65,39 @@ def _lid() -> Column:
     return F.unhex(F.concat(F.lpad(F.hex("l1"), 16, "0"), F.lpad(F.hex("l2"), 16, "0")))
 
 
+def _counters(hashes: str) -> str:
+    """SQL: 32 longs of two counters each, over an array of hashes: the low half of
+    number 4 k + m counts bit 8 m + k, the high half bit 32 + 8 m + k."""
+    ones = sum(1 << 8 * j for j in range(8))
+    eight = ", ".join(f"aggregate(p, 0L, (a, h) -> a + (shiftrightunsigned(h, {k}) & {ones}L))" for k in range(8))
+    chunks = (f"transform(sequence(0, (size({hashes}) - 1) div {CHUNK}), i -> transform(array(slice({hashes}, "
+              f"cast(i * {CHUNK} + 1 as int), {CHUNK})), p -> array({eight}))[0])")
+    wide = 0xFF << 32 | 0xFF
+    return (f"transform(array({chunks}), c -> array(" + ", ".join(
+        f"aggregate(c, 0L, (t, x) -> t + (shiftrightunsigned(x[{k}], {8 * m}) & {wide}L))"
+        for k in range(8) for m in range(4)) + "))[0]")
+
+
+def _simhash(counters: Column, n: Column) -> Column:
+    """A bit is set if it is in over half of n hashes."""
+    sim = F.lit(0).cast("long")
+    for k in range(8):
+        for m in range(4):
+            both = counters[4 * k + m]
+            for bit, c in ((8 * m + k, both.bitwiseAND(F.lit((1 << 32) - 1))),
+                           (32 + 8 * m + k, F.shiftrightunsigned(both, 32))):
+                one = (1 << bit) - (_SIGN if bit == 63 else 0)
+                sim = sim.bitwiseOR(F.when(c * 2 > n, F.lit(one).cast("long")).otherwise(F.lit(0).cast("long")))
+    return sim
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, pos, lid, size, sim) of every line: size in characters; a bit
-    of sim is set if it is in over half of the words' hashes.  Two bits'
-    counters share a long, 32 bits each, and are summed with their line as the
-    key."""
+    """(doc_id, h, pos, lid, size, sim) of every line: size in characters, sim the
+    SimHash of its words."""
     key = ["doc_id", "h", "pos", "l1", "l2", "size"]
-    words = (_lines(docs).select(*key, F.explode(F.split("norm", " ")).alias("word"))
-             .select(*key, F.xxhash64("word").alias("w")))
-    pair = F.lit((1 << 32) | 1)
-    counted = words.groupBy(*key).agg(F.count("*").alias("n"), *[
-        F.sum(F.shiftrightunsigned("w", k).bitwiseAND(pair)).alias(f"s{k}") for k in range(32)])
-    sim = F.lit(0).cast("long")
-    for k in range(32):
-        low = F.col(f"s{k}").bitwiseAND(F.lit((1 << 32) - 1))
-        for bit, c in ((k, low), (32 + k, F.shiftrightunsigned(f"s{k}", 32))):
-            one = (1 << bit) - (_SIGN if bit == 63 else 0)
-            sim = sim.bitwiseOR(F.when(c * 2 > F.col("n"), F.lit(one).cast("long")).otherwise(F.lit(0).cast("long")))
-    return counted.select("doc_id", "h", "pos", _lid().alias("lid"), "size", sim.alias("sim"))
+    hashes = _lines(docs).select(*key, F.expr("transform(split(norm, ' '), w -> xxhash64(w))").alias("hashes"))
+    counted = hashes.select(*key, F.size("hashes").alias("n"), F.expr(_counters("hashes")).alias("c"))
+    return counted.select("doc_id", "h", "pos", _lid().alias("lid"), "size", _simhash(F.col("c"), F.col("n")).alias("sim"))
 
 
 def _within(df: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
@@ -101,110 +117,115 @@ def _blocks(radius: int, pieces: int) -> list[int]:
     return [m - _SIGN if m >> 63 else m for m in masks]
 
 
-def _meetings(docs: DataFrame, anchors: int) -> DataFrame:
-    """(block, l1, kind, pairs) of the distinct lines that share a block with
-    another: kind 1 are the `anchors` least hashes of the line's 3-word shingles
-    (of the words, if less), kind 2 the 4-character pieces of short lines in the
-    two size classes that lines alike have one of in common, with the set of
-    character pairs as 64 bits."""
-    words = F.expr(f"slice(array_distinct(sort_array(transform(sequence(0, greatest(0, size(words) - 3)), "
-                   f"i -> xxhash64(1, slice(words, i + 1, 3))))), 1, {anchors})")
-    level = F.expr("cast(floor(ln(size) / ln(1.25)) as int)")
-    pieces = F.expr(f"if(size < {SHORT}, array_distinct(flatten(transform(sequence(1, greatest(1, size - 3)), "
-                    "i -> array(xxhash64(2, level, substring(norm, i, 4)), "
-                    "xxhash64(2, level + 1, substring(norm, i, 4)))))), array())")
-    two = F.expr(f"if(size < {SHORT}, aggregate(sequence(1, greatest(1, size - 1)), 0L, (a, i) -> "
-                 "a | shiftleft(1L, cast(pmod(xxhash64(substring(norm, i, 2)), 64) as int))), 0L)")
-    own = (_lines(docs).select("l1", "norm", "size", F.split("norm", " ").alias("words"))
-           .select("l1", "norm", "size", "words", level.alias("level"))
-           .select("l1", words.alias("kind1"), pieces.alias("kind2"), two.alias("pairs")))
-    keys = F.explode(F.expr("concat(transform(kind1, x -> struct(1 as kind, x as block, 0L as pairs)), "
-                            "transform(kind2, x -> struct(2 as kind, x as block, pairs)))"))
-    each = own.select("l1", keys.alias("k")).select("k.block", "l1", "k.kind", "k.pairs").distinct()
-    return each.withColumn("c", F.count("*").over(Window.partitionBy("block"))).where("c > 1").drop("c")
-
-
 def _budget(a: str, b: str, similarity: float) -> str:
     """SQL: the most edits between texts of sizes a and b that are alike."""
     return f"cast(floor({1 - similarity:.12f} * greatest({a}, {b}) + 1e-9) as int)"
 
 
-def _alike(a: str, b: str, similarity: float) -> Column:
-    """Edit similarity of two texts is at least `similarity`.  Small distances
-    are tried first, for the cost is the length times the distance allowed."""
-    most = _budget(f"length({a})", f"length({b})", similarity)
+def _alike(a: str, b: str, similarity: float, sizes: tuple[str, str] | None = None) -> Column:
+    """Edit similarity of two texts of `sizes` (their lengths) is at least
+    `similarity`.  Small distances are tried first, for the cost is the length
+    times the distance allowed."""
+    most = _budget(*(sizes or (f"length({a})", f"length({b})")), similarity)
     tries = " OR ".join(f"({t} < {most} AND levenshtein({a}, {b}, {t}) >= 0)" for t in (32, 128, 512, 2048))
     return F.expr(f"{tries} OR levenshtein({a}, {b}, {most}) >= 0")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    one = texts.select(F.col("lid").alias("a"), F.col("norm").alias("left"))
-    two = texts.select(F.col("lid").alias("b"), F.col("norm").alias("right"))
-    return (pairs.distinct().join(one, "a").join(two, "b")
-            .where(_alike("left", "right", similarity)).select("a", "b"))
+def _shared(a: str, b: str, part: str) -> str:
+    """SQL: the number of characters of the longest common start (part 'left') or
+    end ('right') of two texts, by halving steps."""
+    return (f"aggregate(sequence(28, 0), 0, (p, k) -> if(p + shiftleft(1, k) <= least(length({a}), length({b})) "
+            f"AND {part}({a}, p + shiftleft(1, k)) = {part}({b}, p + shiftleft(1, k)), p + shiftleft(1, k), p))")
 
 
-def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces: int = 5,
-                    similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
-    """(node, root) of the distinct lines that link to another; docs (doc_id,
-    text), lines their occurrences."""
-    sims = lines.groupBy("lid").agg(F.first("sim").alias("sim"), F.first("size").alias("size"))
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that are alike.  A common start and end, which change no distance,
+    are left out of the comparison: it takes time with the square of the length."""
+    one = texts.select(F.col("lid").alias("a"), F.col("norm").alias("one"))
+    two = texts.select(F.col("lid").alias("b"), F.col("norm").alias("two"))
+    both = (pairs.distinct().join(one, "a").join(two, "b")
+            .withColumn("start", F.expr(_shared("one", "two", "left")))
+            .select("a", "b", F.length("one").alias("z1"), F.length("two").alias("z2"),
+                    F.expr("substring(one, start + 1)").alias("one"), F.expr("substring(two, start + 1)").alias("two"))
+            .withColumn("end", F.expr(_shared("one", "two", "right")))
+            .select("a", "b", "z1", "z2", F.expr("left(one, length(one) - end)").alias("one"),
+                    F.expr("left(two, length(two) - end)").alias("two")))
+    return both.where(_alike("one", "two", similarity, ("z1", "z2"))).select("a", "b")
+
+
+def _met(sims: DataFrame, radius: int, pieces: int) -> DataFrame:
+    """(block, sim, lid, size) of the distinct lines that share a block with another."""
     keys = F.posexplode(F.array(*[F.col("sim").bitwiseAND(F.lit(m)) for m in _blocks(radius, pieces)]))
-    by_block = (lines.select("sim").distinct().select("sim", keys.alias("t", "bits"))
+    by_block = (sims.select("sim").distinct().select("sim", keys.alias("t", "bits"))
                 .select("sim", F.xxhash64("t", "bits").alias("block")))
-    shared = by_block.withColumn("c", F.count("*").over(Window.partitionBy("block"))).where("c > 1").drop("c")
+    shared = staged(by_block.groupBy("block").agg(F.count("*").alias("c")).where("c > 1")
+                    .select(F.col("block").alias("_block")), "line-shared")
+    meet = _within(by_block, shared, ["block"])
     equal = sims.groupBy("sim").agg(F.count("*").alias("c")).where("c > 1").select(
         "sim", F.xxhash64(F.lit(-1), "sim").alias("block"))
-    by_sim = shared.unionByName(equal).join(sims, "sim").select("block", "sim", "lid", "size", F.lit(0).alias("kind"))
-    if anchors:
-        half = F.conv(F.substring(F.hex("lid"), 1, 16), 16, -10).cast("long")      # l1, of one line or seldom of two
-        by_word = _meetings(docs, anchors).join(sims.withColumn("l1", half), "l1").select(
-            "block", F.when(F.col("kind") == 1, F.col("sim")).otherwise(F.col("pairs")).alias("sim"), "lid", "size", "kind")
-        by_sim = by_sim.unionByName(by_word)
-    met = staged(by_sim, "line-blocks")
+    met = staged(meet.unionByName(equal).join(sims, "sim").select("block", "sim", "lid", "size"), "line-blocks")
+    discard(shared)
+    return met
+
+
+def line_components(docs: DataFrame, lines: DataFrame, radius: int = 3, pieces: int = 5,
+                    similarity: float = 0.8) -> DataFrame:
+    """(node, root) of the distinct lines that link to another; docs (doc_id,
+    text), lines their occurrences."""
+    sims = staged(lines.groupBy("lid").agg(F.first("sim").alias("sim"), F.first("size").alias("size")), "line-sims")
+    met = _met(sims, radius, pieces)
 
     def near(sim, size):
-        edits = _budget("size", "z2", similarity)     # each changes 4 character pairs at most
-        bits = F.expr(f"CASE kind WHEN 0 THEN {radius} WHEN 1 THEN if(least(size, z2) < {FAINT}, 64, {reach}) "
-                      f"ELSE 4 * {edits} END")
-        return (F.bit_count(sim.bitwiseXOR(F.col("s2"))) <= bits) & F.expr(f"abs(size - z2) <= {edits}")
+        edits = _budget("size", "z2", similarity)
+        return (F.bit_count(sim.bitwiseXOR(F.col("s2"))) <= radius) & F.expr(f"abs(size - z2) <= {edits}")
 
     def other(df, *more):
         return df.select(F.col("block").alias("b2"), F.col("sim").alias("s2"), F.col("size").alias("z2"),
                          F.col("lid").alias("b"), *more)
 
-    two = other(met)
-    close = staged(met.join(two, (met["block"] == two["b2"]) & (met["lid"] != two["b"])
-                            & near(met["sim"], met["size"]), "left_semi"), "line-close")
-    wanted = close.select(F.col("lid").alias("_lid")).distinct()
-    place = F.struct("doc_id", "h")                     # a document that holds the line
+    # first every line with the next one of its block by size ...
+    order = Window.partitionBy("block").orderBy("size", "lid")
+    following = met.select("sim", "size", F.col("lid").alias("a"), F.lead("lid").over(order).alias("b"),
+                           F.lead("sim").over(order).alias("s2"), F.lead("size").over(order).alias("z2"))
+    chain = staged(following.where(F.col("b").isNotNull() & near(F.col("sim"), F.col("size"))).select("a", "b").distinct(),
+                   "line-chain")
+    texts = _texts(docs, lines, chain)
+    first = staged(_verified(chain, texts, similarity), "line-first")
+    groups = connected_components(first, "line-chain")
+
+    # ... then the pairs that are still apart, in blocks of more than one group
+    named = met.join(groups, met["lid"] == groups["node"], "left").select(
+        "block", "sim", "size", "lid", F.coalesce("root", "lid").alias("group"))
+    labelled = staged(named, "line-groups")
+    mixed = staged(labelled.groupBy("block").agg(F.min("group").alias("g"), F.max("group").alias("g2")).where("g <> g2")
+                   .select(F.col("block").alias("_block")), "line-mixed")
+    open_rows = _within(labelled, mixed, ["block"])
+    right = other(open_rows, F.col("group").alias("g2"))
+    rest = staged(open_rows.join(right, (open_rows["block"] == right["b2"]) & (open_rows["lid"] < right["b"])
+                                 & (open_rows["group"] != right["g2"]) & near(open_rows["sim"], open_rows["size"]))
+                  .select(F.col("lid").alias("a"), "b").distinct(), "line-rest")
+    more = _texts(docs, lines, rest)
+    found = connected_components(first.unionByName(_verified(rest, more, similarity)), "line-links")
+    discard(sims, met, chain, texts, first, groups, labelled, mixed, rest, more)
+    return found
+
+
+def _texts(docs: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(lid, norm) of the lines in pairs, each read in one document that holds it."""
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("_lid")).distinct(), "line-wanted")
+    place = F.struct("doc_id", "h")
     homes = staged(_within(lines.select("lid", "doc_id", "h"), wanted, ["lid"]).groupBy("lid").agg(
         F.min(place).alias("p")).select("lid", "p.doc_id", "p.h"), "line-homes")
     hosts = homes.select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h")).distinct()
     held = _within(docs.withColumn("h", F.xxhash64("text")), hosts, ["doc_id", "h"]).select("doc_id", "text")
     texts = staged(_within(_lines(held).select(_lid().alias("lid"), "norm"), wanted, ["lid"])
                    .groupBy("lid").agg(F.first("norm").alias("norm")), "line-texts")
-
-    # first every line with the next one of its block by size ...
-    order = Window.partitionBy("block").orderBy("size", "lid")
-    following = close.select("kind", "sim", "size", F.col("lid").alias("a"), F.lead("lid").over(order).alias("b"),
-                             F.lead("sim").over(order).alias("s2"), F.lead("size").over(order).alias("z2"))
-    chain = following.where(F.col("b").isNotNull() & near(F.col("sim"), F.col("size"))).select("a", "b")
-    first = staged(_verified(chain, texts, similarity), "line-chain")
-    groups = connected_components(first, "line-chain")
-
-    # ... then the pairs that are still apart
-    labelled = staged(close.join(groups, close["lid"] == groups["node"], "left").select(
-        "block", "kind", "sim", "size", "lid", F.coalesce("root", "lid").alias("group")), "line-groups")
-    right = other(labelled, F.col("group").alias("g2"))
-    rest = (labelled.join(right, (labelled["block"] == right["b2"]) & (labelled["lid"] < right["b"])
-                          & (labelled["group"] != right["g2"]) & near(labelled["sim"], labelled["size"]))
-            .select(F.col("lid").alias("a"), "b"))
-    return connected_components(first.unionByName(_verified(rest, texts, similarity)), "line-links")
+    discard(wanted, homes)
+    return texts
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3,
-                  pieces: int = 5, similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
+                  pieces: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, h, dropped): the line numbers (from 0, ascending) of the
     documents, known by id and text hash, that repeat an earlier line.
 
@@ -214,7 +235,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = staged(_occurrences(own), "lines")
-    comps = line_components(own, lines, radius, pieces, similarity, anchors, reach)
+    comps = line_components(own, lines, radius, pieces, similarity)
     placed = lines.select("doc_id", "h", "pos", "lid")
     placed = placed.join(comps, placed["lid"] == comps["node"], "left").select(
         "doc_id", "h", "pos", F.coalesce("root", "lid").alias("g"))
@@ -231,10 +252,12 @@ def _joined(own: DataFrame, again: DataFrame, i: str, h: Column) -> DataFrame:
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3,
-                pieces: int = 5, similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
+                pieces: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row a row of docs: (doc_id, n_lines, n_kept, dropped), dropped as
-    comma-joined line numbers.  A null text has no line, an empty one has one."""
-    again = dropped_lines(docs, id_col, text_col, radius, pieces, similarity, anchors, reach)
+    comma-joined line numbers.  A null text has no line, an empty one has one;
+    very long texts and lines are taken whole, rows of equal id and text are told
+    alike, and an empty table gives an empty result."""
+    again = dropped_lines(docs, id_col, text_col, radius, pieces, similarity)
     own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.coalesce(
         F.size(F.split(F.col(text_col), "\n")), F.lit(0)).cast("long").alias("n_lines"))
     own = own.withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
@@ -244,12 +267,12 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3,
-                pieces: int = 5, similarity: float = 0.8, anchors: int = 0, reach: int = 16) -> DataFrame:
+                pieces: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with the repeated lines taken out of the text; all columns and rows
     stay, whatever the columns' names."""
     own = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
     i, t = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    again = staged(dropped_lines(docs, id_col, text_col, radius, pieces, similarity, anchors, reach), "line-drops")
+    again = staged(dropped_lines(docs, id_col, text_col, radius, pieces, similarity), "line-drops")
     hit = _joined(own.select(i, t), again, i, F.xxhash64(own[t])).where("dropped is not null")
     lines = hit.select(F.col(i).alias("doc_id"), F.xxhash64(t).alias("h"),
                        F.posexplode(F.split(t, "\n")).alias("pos", "line")).distinct()
