@@ -1,6 +1,7 @@
 """Fuzzy line dedup, in DataFrame functions only.
 
-Lines are normalised and given a 64-bit SimHash of their words.  Lines whose
+Lines are normalised and given a 64-bit SimHash of their distinct words (repeats
+would let the commonest words of a language decide).  Lines whose
 fingerprints differ in at most `radius` bits agree on `pieces - radius` of
 `pieces` bit blocks, so they meet in a join on some choice of blocks; a pair
 is a link if the edit similarity of the normalised lines is high enough.  Of
@@ -93,9 +94,9 @@ def _simhash(counters: Column, n: Column) -> Column:
 
 def _occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, h, pos, lid, size, sim) of every line: size in characters, sim the
-    SimHash of its words."""
+    SimHash of its distinct words."""
     key = ["doc_id", "h", "pos", "l1", "l2", "size"]
-    hashes = _lines(docs).select(*key, F.expr("transform(split(norm, ' '), w -> xxhash64(w))").alias("hashes"))
+    hashes = _lines(docs).select(*key, F.expr("transform(array_distinct(split(norm, ' ')), w -> xxhash64(w))").alias("hashes"))
     counted = hashes.select(*key, F.size("hashes").alias("n"), F.expr(_counters("hashes")).alias("c"))
     return counted.select("doc_id", "h", "pos", _lid().alias("lid"), "size", _simhash(F.col("c"), F.col("n")).alias("sim"))
 
@@ -122,15 +123,6 @@ def _budget(a: str, b: str, similarity: float) -> str:
     return f"cast(floor({1 - similarity:.12f} * greatest({a}, {b}) + 1e-9) as int)"
 
 
-def _alike(a: str, b: str, similarity: float, sizes: tuple[str, str] | None = None) -> Column:
-    """Edit similarity of two texts of `sizes` (their lengths) is at least
-    `similarity`.  Small distances are tried first, for the cost is the length
-    times the distance allowed."""
-    most = _budget(*(sizes or (f"length({a})", f"length({b})")), similarity)
-    tries = " OR ".join(f"({t} < {most} AND levenshtein({a}, {b}, {t}) >= 0)" for t in (32, 128, 512, 2048))
-    return F.expr(f"{tries} OR levenshtein({a}, {b}, {most}) >= 0")
-
-
 def _shared(a: str, b: str, part: str) -> str:
     """SQL: the number of characters of the longest common start (part 'left') or
     end ('right') of two texts, by halving steps."""
@@ -138,19 +130,26 @@ def _shared(a: str, b: str, part: str) -> str:
             f"AND {part}({a}, p + shiftleft(1, k)) = {part}({b}, p + shiftleft(1, k)), p + shiftleft(1, k), p))")
 
 
+def _alike(a: str, b: str, similarity: float) -> Column:
+    """Edit similarity of two texts is at least `similarity`.
+
+    A common start and end, which change no distance, are left out of the
+    comparison, and a small distance is tried first: the cost grows with the
+    square of the length.  Each `exists` over an array of one value names it, so
+    that it is worked out once wherever the optimizer moves the condition."""
+    most = _budget(f"length({a})", f"length({b})", similarity)
+    return F.expr(
+        f"exists(array({_shared(a, b, 'left')}), s -> "
+        f"exists(array(struct(substring({a}, s + 1) AS x, substring({b}, s + 1) AS y, {most} AS most)), q -> "
+        f"exists(array({_shared('q.x', 'q.y', 'right')}), e -> "
+        "exists(array(struct(left(q.x, length(q.x) - e) AS x, left(q.y, length(q.y) - e) AS y, q.most AS most)), r -> "
+        "(32 < r.most AND levenshtein(r.x, r.y, 32) >= 0) OR levenshtein(r.x, r.y, r.most) >= 0))))")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that are alike.  A common start and end, which change no distance,
-    are left out of the comparison: it takes time with the square of the length."""
     one = texts.select(F.col("lid").alias("a"), F.col("norm").alias("one"))
     two = texts.select(F.col("lid").alias("b"), F.col("norm").alias("two"))
-    both = (pairs.distinct().join(one, "a").join(two, "b")
-            .withColumn("start", F.expr(_shared("one", "two", "left")))
-            .select("a", "b", F.length("one").alias("z1"), F.length("two").alias("z2"),
-                    F.expr("substring(one, start + 1)").alias("one"), F.expr("substring(two, start + 1)").alias("two"))
-            .withColumn("end", F.expr(_shared("one", "two", "right")))
-            .select("a", "b", "z1", "z2", F.expr("left(one, length(one) - end)").alias("one"),
-                    F.expr("left(two, length(two) - end)").alias("two")))
-    return both.where(_alike("one", "two", similarity, ("z1", "z2"))).select("a", "b")
+    return pairs.distinct().join(one, "a").join(two, "b").where(_alike("one", "two", similarity)).select("a", "b")
 
 
 def _met(sims: DataFrame, radius: int, pieces: int) -> DataFrame:
