@@ -86,20 +86,7 @@ def route_in_waves(rows: DataFrame, params: FilterParams, chunk_us: int, work_di
     state = None
     router = make_wave_router(params)
     for k in chunks:
-        data = r.where(F.col("chunk").eqNullSafe(F.lit(k))).select(
-            "camera_id", F.lit(False).alias("is_state"), "us", "frame_id", "has_cats", "control", "hist",
-            F.lit(None).cast("long").alias("s_cat_us"), F.lit(None).cast("array<double>").alias("s_cat_hist"),
-            F.lit(None).cast("long").alias("s_cat_fid"), F.lit(None).cast("long").alias("s_bg_us"))
-        if state is not None:
-            st = state.select("camera_id", F.lit(True).alias("is_state"), F.lit(None).cast("long").alias("us"),
-                              F.lit(None).cast("long").alias("frame_id"), F.lit(None).cast("boolean").alias("has_cats"),
-                              F.lit(None).cast("string").alias("control"),
-                              F.lit(None).cast("array<double>").alias("hist"),
-                              "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us")
-            data = st.unionByName(data)
-        wave = data.repartition("camera_id") \
-                   .sortWithinPartitions("camera_id", F.col("is_state").desc(), "us", "frame_id") \
-                   .mapInPandas(router, WAVE_OUT_SCHEMA)
+        wave = route_wave(r.where(F.col("chunk").eqNullSafe(F.lit(k))), state, router)
         out = os.path.join(base, "out", f"wave={k}")
         wave.write.mode("overwrite").parquet(out)
         state = spark.read.parquet(out).where(F.col("is_state"))
@@ -109,6 +96,25 @@ def route_in_waves(rows: DataFrame, params: FilterParams, chunk_us: int, work_di
     return done.select("camera_id", "frame_id", "us", "has_cats", "kind", "manual_save")
 
 
+def route_wave(rows: DataFrame, state: DataFrame | None, router) -> DataFrame:
+    """Decisions of rows, routed on from the cameras' carried state, and the end
+    state of every camera that has rows or a state (WAVE_OUT_SCHEMA)."""
+    data = rows.select(
+        "camera_id", F.lit(False).alias("is_state"), "us", "frame_id", "has_cats", "control", "hist",
+        F.lit(None).cast("long").alias("s_cat_us"), F.lit(None).cast("array<double>").alias("s_cat_hist"),
+        F.lit(None).cast("long").alias("s_cat_fid"), F.lit(None).cast("long").alias("s_bg_us"))
+    if state is not None:
+        st = state.select("camera_id", F.lit(True).alias("is_state"), F.lit(None).cast("long").alias("us"),
+                          F.lit(None).cast("long").alias("frame_id"), F.lit(None).cast("boolean").alias("has_cats"),
+                          F.lit(None).cast("string").alias("control"),
+                          F.lit(None).cast("array<double>").alias("hist"),
+                          "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us")
+        data = st.unionByName(data)
+    return data.repartition("camera_id") \
+               .sortWithinPartitions("camera_id", F.col("is_state").desc(), "us", "frame_id") \
+               .mapInPandas(router, WAVE_OUT_SCHEMA)
+
+
 def session_stats(routed: DataFrame) -> DataFrame:
     """A1 per camera: total, detection (has cats), saved (cats), background.
 
@@ -137,10 +143,15 @@ def latest_frame(frames: DataFrame, bucket: str = "1 minute") -> DataFrame:
         F.max_by(F.struct(*light), row).alias("r")).select("camera_id", "bucket", "r.*")
     if not heavy:
         return agg
-    back = frames.select(F.col("camera_id").alias("__cam"), F.col("frame_id").alias("__fid"), F.col("ts").alias("__ts"),
-                         *heavy).dropDuplicates(["__cam", "__fid", "__ts"])
-    return agg.join(back, F.col("camera_id").eqNullSafe(F.col("__cam")) & (F.col("frame_id") == F.col("__fid"))
-                    & (F.col("ts") == F.col("__ts"))).select("camera_id", "bucket", *cols)
+    # the winners' keys, few and narrow, go to the frames: no image of another frame is shuffled by an aggregate
+    won = agg.select(F.col("camera_id").alias("__cam"), F.col("frame_id").alias("__fid"), F.col("ts").alias("__ts")).distinct()
+    same = F.col("camera_id").eqNullSafe(F.col("__cam")) & (F.col("frame_id") == F.col("__fid")) & (F.col("ts") == F.col("__ts"))
+    own = frames.select("camera_id", "frame_id", "ts", *heavy).join(won, same, "left_semi")
+    # of rows that repeat a winner the one whose image has the least hash counts
+    order = F.xxhash64(*[F.to_json(c) if isinstance(frames.schema[c].dataType, T.StructType) else F.col(c) for c in heavy])
+    back = own.withColumn("__h", order).groupBy(F.col("camera_id").alias("__cam"), F.col("frame_id").alias("__fid"), F.col("ts").alias("__ts")) \
+        .agg(F.min_by(F.struct(*heavy), "__h").alias("__r")).select("__cam", "__fid", "__ts", "__r.*")
+    return agg.join(back, same).select("camera_id", "bucket", *cols)
 
 
 def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterParams(),
@@ -159,6 +170,14 @@ def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterPara
        decoding never run twice; T5 routing reads it.
     4. The saved frames' ids, staged too, are joined to the raw frames, and
        only those frames are preprocessed again, ready for the K1-K3 sinks."""
+    good, staged = detected(frames, make_predict_fn, confidence, num_classes, preprocess)
+    return with_images(good, staged, route_frames(routing_rows(staged), params, chunk_us), preprocess)
+
+
+def detected(frames: DataFrame, make_predict_fn, confidence: float = 0.4, num_classes: int = 80,
+             preprocess=None) -> tuple[DataFrame, DataFrame]:
+    """Steps 1 to 3 of ``curate``: the frames that can be decoded, and their
+    detections and histograms, staged."""
     from framecurate.functions.boxes import class_scope, confidence_filter
     from framecurate.operators.images import detect
 
@@ -170,10 +189,18 @@ def curate(frames: DataFrame, make_predict_fn, params: FilterParams = FilterPara
     det = det.withColumn("detections", class_scope(confidence_filter("detections", confidence), num_classes))
     staged = stage(det.select(*KEY, "ts", "control", "detections", (F.size("detections") > 0).alias("has_cats"),
                               "hist"), "curate")
-    rows = staged.select("camera_id", "frame_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+    return good, staged
+
+
+def routing_rows(staged: DataFrame) -> DataFrame:
+    """What routing reads of the staged detections."""
+    return staged.select("camera_id", "frame_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
                          "has_cats", F.col("control").cast("string").alias("control"),
                          F.when(F.col("has_cats"), F.col("hist")).alias("hist"))
-    routed = route_frames(rows, params, chunk_us)
+
+
+def with_images(good: DataFrame, staged: DataFrame, routed: DataFrame, preprocess=None) -> DataFrame:
+    """Step 4 of ``curate``: the frames to save, with their images."""
     chosen = routed.where(F.col("kind").isin("cats", "background") | F.col("manual_save")) \
         .withColumn("kind", F.when(F.col("kind").isin("cats", "background"), F.col("kind"))
                     .otherwise(F.lit("manual_background")))

@@ -100,20 +100,31 @@ def start_latest_frame(frames_stream: DataFrame, sink: Callable[[DataFrame, int]
 def start_incremental_queue(captures_stream: DataFrame, labeled: Callable[[], DataFrame],
                             sink: Callable[[DataFrame, int], None], name: str, trigger: dict | None = None,
                             inventory: Callable[[], DataFrame] | None = None, document_root: str | None = None,
-                            on_summary: Callable[[DataFrame, int], None] | None = None):
+                            on_summary: Callable[[DataFrame, int], None] | None = None,
+                            names: str | None = None):
     """Every micro-batch of new captures is queued for labeling minus the
     images already labeled (against the *current* labeled table, re-read per
     batch).  With an ``inventory`` the batch is classified like the batch queue
     (J1, J2, A4): ``sink`` gets the rows with their outcome, ``on_summary`` the
-    one-row counts."""
+    one-row counts.  With a folder ``names`` for the names queued so far, an image
+    that an earlier micro-batch has queued is not queued again (its outcome is
+    ``skipped``), restarts included."""
     from framecurate.plans import labeling as lb
+    from framecurate.streaming.chain import queue_once
     spark = captures_stream.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if inventory is None:
-            sink(lb.unlabeled(batch, labeled().distinct()), batch_id)
+            got = lb.unlabeled(batch, labeled().distinct())
+            sink(got if names is None else queue_once(got, batch_id, names), batch_id)
             return
         got = lb.classify_captures(batch, inventory(), labeled(), document_root)
+        if names is not None:
+            fresh = queue_once(got.where(F.col("outcome") == "exported"), batch_id, names).select(
+                F.col("filename").alias("__fresh")).distinct()
+            got = got.join(fresh, F.col("filename") == F.col("__fresh"), "left").withColumn(
+                "outcome", F.when((F.col("outcome") == "exported") & F.col("__fresh").isNull(), F.lit("skipped"))
+                .otherwise(F.col("outcome"))).drop("__fresh")
         if on_summary is not None:
             on_summary(lb.export_summary(got), batch_id)
         sink(got, batch_id)
