@@ -16,6 +16,7 @@ from framecurate.functions import naming as nm
 from framecurate.operators import histogram as hg
 from framecurate.operators import equalize as eq
 from framecurate.operators.state_machine import FilterParams
+from framecurate.operators.throttle import background_throttle
 from framecurate.plans import convert as cv
 from framecurate.plans import curate as cu
 from framecurate.plans import labeling as lb
@@ -485,6 +486,14 @@ def q_background_throttle_manual(spark, d):
                       F.when(~F.col("has_cats"), F.col("kind")).alias("bg_kind"), "manual_save")
 
 
+def q_background_throttle_jumps(spark, d):
+    """T3 with manual saves and resets, by pointer jumping."""
+    r = background_throttle(_routing_rows(spark, d), _params().background_us)
+    return r.where(F.col("kept").isNotNull() | F.col("manual_save")).select(
+        "camera_id", "frame_id", F.when(F.col("kept"), F.lit("background")).when(~F.col("kept"), F.lit("dropped")).alias("bg_kind"),
+        "manual_save")
+
+
 def q_latest_frame(spark, d):
     f = td.filter_frames(spark, d)
     # wall-clock (NTZ) output: the values do not depend on any reader's time zone

@@ -507,6 +507,7 @@ FROM r GROUP BY camera_id""")
         .replace("e.value > 200 THEN 'reset'", "false THEN 'reset'").replace("e.event_type = 'signup' THEN 'manual_background'", "false THEN 'manual_background'")
     q["background_throttle_manual"] = _route_sql("", """SELECT camera_id, frame_id, CASE WHEN NOT has_cats THEN kind END AS bg_kind, manual_save
 FROM r WHERE NOT has_cats OR manual_save""")
+    q["background_throttle_jumps"] = q["background_throttle_manual"]
     q["latest_frame"] = """
 WITH f AS (SELECT CASE WHEN user_id % 50 <> 7 THEN CAST(user_id AS VARCHAR) END AS camera_id, event_id AS frame_id, ts, date_trunc('day', ts) AS bucket FROM events),
 k AS (SELECT *, row_number() OVER (PARTITION BY camera_id, bucket ORDER BY ts DESC, frame_id DESC) AS rn FROM f)
