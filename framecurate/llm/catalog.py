@@ -30,7 +30,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated lines of every document: SimHash at most 3 bits apart, edit similarity 0.8."""
     from framecurate.llm.line_dedup import line_report
     prepare(spark)
-    return line_report(table(spark, sf_dir, "documents"), radius=3, pieces=5, similarity=0.8)
+    return line_report(table(spark, sf_dir, "documents"), radius=3, pieces=6, similarity=0.8)
 
 
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
