@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framecurate.operators.dedup import dedup_first
 from framecurate.functions.naming import image_filename
+from framecurate.session import folders_before
 from framecurate.sources.annotations import MERGE_WRAPPER_KEYS, _file_tasks, file_status
 
 
@@ -16,6 +17,25 @@ def merge_dedup_first(tasks: DataFrame) -> DataFrame:
                        key="filename", order=["file", "pos"])
 
 
+def merge_new_files(tasks: DataFrame, state_path: str, run: int) -> DataFrame:
+    """W1 run by run: the winners so far, of ``tasks`` of the new files and what
+    earlier runs have kept.
+
+    The state is a table of one row a filename, the winner with its (file, pos),
+    in a folder a run; a run reads the last folder before its own, so running one
+    again writes the same.  As the order is by (file, pos) and not by run, any
+    split of the files into runs ends with ``merge_dedup_first`` of them all."""
+    spark = tasks.sparkSession
+    own = tasks.select("filename", "file", "pos", "image_url", "task")
+    earlier = folders_before(spark, state_path, "run", run)
+    last = earlier.agg(F.max("run")).first()[0] if earlier is not None else None
+    if last is not None:
+        own = own.unionByName(earlier.where(F.col("run") == last).select(*own.columns))
+    out = f"{state_path.rstrip('/')}/run={run}"
+    merge_dedup_first(own).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def merge_stats(files: DataFrame, wrapper_keys=MERGE_WRAPPER_KEYS) -> DataFrame:
     """A2: files (incl. unreadable), total tasks (incl. no URL), duplicates, unique.
 

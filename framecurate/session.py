@@ -125,3 +125,17 @@ def discard(*staged) -> None:
             path = to_path(folder)
             if path.toUri().getPath().startswith(root + "/"):
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def folders_before(spark: SparkSession, path: str, part: str, number: int):
+    """The folders ``part=<n>`` under ``path`` with n below ``number``, as one table,
+    or None where nothing has been written."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return df.where(F.col(part) < number)

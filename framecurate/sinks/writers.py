@@ -100,7 +100,8 @@ def materialize_labeled(labels: DataFrame, images: DataFrame | None, path: str)
     :func:`labeled_images`."""
     out = labeled_images(labels)
     if images is not None:
-        one = images.groupBy(F.col("path").alias("image_path")).agg(F.first("image").alias("image"))
+        chosen = out.select(F.col("image_path").alias("path")).distinct()
+        one = images.join(chosen, "path", "left_semi").groupBy(F.col("path").alias("image_path")).agg(F.first("image").alias("image"))
         out = out.join(one, "image_path", "left")
     out.write.mode("overwrite").parquet(path)
 

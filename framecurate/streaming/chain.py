@@ -13,32 +13,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framecurate.operators.state_machine import KIND_LATE, FilterParams, make_wave_router
 from framecurate.plans import curate as cu
-from framecurate.session import discard, stage
+from framecurate.session import discard, folders_before, stage
 from framecurate.streaming.capture import checkpoint_for
 
 COUNTERS = ("total_frames", "detection_frames", "saved_frames", "background_frames")
 _STATE = ("s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us")
 
 
-def _before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """The folders of earlier batches, or None where there are none."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-    return df.where(F.col("batch") < batch_id)
-
-
 def _last_state(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
-    earlier = _before(spark, f"{base}/state", batch_id)
+    earlier = folders_before(spark, f"{base}/state", "batch", batch_id)
     last = earlier.agg(F.max("batch")).first()[0] if earlier is not None else None
     return None if last is None else earlier.where(F.col("batch") == last).drop("batch")
 
@@ -110,7 +98,7 @@ def queue_once(batch: DataFrame, batch_id: int, names: str) -> DataFrame:
 
     The names of a batch are kept in a folder of their own under ``names``; a
     batch that is run again looks at earlier ones only, so it queues the same."""
-    earlier = _before(batch.sparkSession, names, batch_id)
+    earlier = folders_before(batch.sparkSession, names, "batch", batch_id)
     fresh = batch if earlier is None else batch.join(earlier.select("filename").distinct(), "filename", "left_anti").select(*batch.columns)
     fresh.select("filename").distinct().write.mode("overwrite").parquet(f"{names}/batch={batch_id}")
     return fresh
