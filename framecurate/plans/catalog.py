@@ -17,12 +17,14 @@ from framecurate.operators import histogram as hg
 from framecurate.operators import equalize as eq
 from framecurate.operators.state_machine import FilterParams
 from framecurate.operators.throttle import background_throttle
+from framecurate.plans import bucketed as bk
 from framecurate.plans import convert as cv
 from framecurate.plans import curate as cu
 from framecurate.plans import labeling as lb
 from framecurate.plans import merge as mg
 from framecurate.plans import splitting as sp
 from framecurate.operators import images as im
+from framecurate.operators import lab_fixed as lf
 from framecurate.operators.dedup import union_with_merged
 from framecurate.sinks.writers import labeled_images
 from framecurate.sources.annotations import CONVERT_WRAPPER_KEYS, labeled_filenames, parse_task_files
@@ -262,17 +264,27 @@ def q_crop_pixels(spark, d):
     return i.select("frame_id", F.lower(F.hex(im.crop_pixels("image", "box"))).alias("crop_hex"))
 
 
-def q_lab_round_trip(spark, d):
-    px = td.table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+def _colours(spark, d):
+    return td.table(spark, d, "lineitem").select(
         (F.col("l_partkey") * 7 % 256).cast("int").alias("b"), (F.col("l_suppkey") * 29 % 256).cast("int").alias("g"),
-        (F.col("l_orderkey") % 256).cast("int").alias("r")).select("b", "g", "r").distinct()
-    lab = px.select("b", "g", "r", im.bgr_to_lab("b", "g", "r").alias("lab"))
-    back = im.lab_to_bgr(F.col("lab.l"), F.col("lab.a"), F.col("lab.b"))
+        (F.col("l_orderkey") % 256).cast("int").alias("r")).distinct()
+
+
+def _round_trip(px, to_lab, to_bgr):
+    lab = px.select("b", "g", "r", to_lab("b", "g", "r").alias("lab"))
+    back = to_bgr(F.col("lab.l"), F.col("lab.a"), F.col("lab.b"))
     return lab.select("b", "g", "r", F.col("lab.l").alias("lab_l"), F.col("lab.a").alias("lab_a"),
                       F.col("lab.b").alias("lab_b"), back["b"].alias("b2"), back["g"].alias("g2"), back["r"].alias("r2"))
 
 
+def q_lab_round_trip(spark, d):
+    return _round_trip(_colours(spark, d), im.bgr_to_lab, im.lab_to_bgr)
+
+
+def q_lab_fixed(spark, d):
+    return _round_trip(_colours(spark, d), lf.bgr_to_lab_fixed, lf.lab_to_bgr_fixed)
+
+
 def q_debug_summary(spark, d):
     best = cl.best_confidence(_frames(spark, d), cl.class_names_df(spark), bx.DEBUG_CONFIDENCE)
     found = best.groupBy("frame_id").agg(F.collect_list(F.struct("name", F.col("best_confidence").alias("confidence")))
@@ -329,6 +341,17 @@ def q_unlabeled_queue(spark, d):
     return lb.unlabeled(docs, _labeled(spark, d)).select("doc_id", "filename")
 
 
+def _buckets(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def q_unlabeled_queue_bucketed(spark, d):
+    docs = td.table(spark, d, "documents").select(
+        "doc_id", F.concat(F.lit("img_"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("filename"))
+    known = bk.store_labeled(_labeled(spark, d), _buckets(spark))
+    return lb.unlabeled(docs, known).select("doc_id", "filename")
+
+
 def q_pair_samples(spark, d):
     pairs, _ = sp.pair_samples(td.raw_listing(spark, d), td.label_listing(spark, d))
     return pairs.select("stem", "image_path", "label_path")
@@ -365,6 +388,13 @@ def q_export_outcomes(spark, d):
     return cls.select("frame_id", "full_frame", "outcome")
 
 
+def q_export_outcomes_bucketed(spark, d):
+    n = _buckets(spark)
+    cls = lb.classify_captures(_captures(spark, d), bk.store_inventory(td.image_inventory(spark, d), n),
+                               bk.store_labeled(_labeled(spark, d), n))
+    return cls.select("frame_id", "full_frame", "outcome")
+
+
 def q_labeled_images(spark, d):
     return labeled_images(_converted(spark, d))
 

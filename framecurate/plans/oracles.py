@@ -283,6 +283,42 @@ rgb AS (SELECT *, 3.240479::DOUBLE * x - 1.53715::DOUBLE * y - 0.498535::DOUBLE
 SELECT b, g, r, lab_l, lab_a, lab_b, {to8('bl')} AS b2, {to8('gl')} AS g2, {to8('rl')} AS r2 FROM rgb"""
 
 
+def _lab_fixed_sql() -> str:
+    """The fixed-point form with each table value computed where it is used."""
+    root, white, one = 1 << 15, 255 << 5, 1 << 20
+    up = lambda v: f"CAST(floor(({v}) + 0.5) AS BIGINT)"
+    k = lambda v, scale: int(v * scale + (0.5 if v >= 0 else -0.5))
+    light = lambda c: up(f"(CASE WHEN {c} / 255.0::DOUBLE <= 0.04045 THEN {c} / 255.0::DOUBLE / 12.92 ELSE pow(({c} / 255.0::DOUBLE + 0.055) / 1.055, 2.4) END) * {white}")
+    f = lambda t: up(f"(CASE WHEN {t} / {white}.0::DOUBLE > 0.008856 THEN pow({t} / {white}.0::DOUBLE, 1.0::DOUBLE / 3.0) ELSE 7.787 * ({t} / {white}.0::DOUBLE) + 16.0::DOUBLE / 116.0 END) * {root}")
+    xyz = lambda w, s: f"(rl * {k(w[0] / s, 4096)} + gl * {k(w[1] / s, 4096)} + bl * {k(w[2] / s, 4096)} + 2048) >> 12"
+    byte = lambda v: f"CAST(least(greatest({v}, 0), 255) AS INTEGER)"
+    down = lambda v, by: f"CAST(floor(({v})::DOUBLE / {by}) AS BIGINT)"
+    cube = lambda t: f"CASE WHEN {t} > {k(0.206893, one)} THEN {down(f'{down(f'{t} * {t}', one)} * {t}', one)} ELSE {down(f'({t} - {k(16 / 116, one)}) * {k(1 / 7.787, one)}', one)} END"
+
+    def channel(w):
+        m = [k(c * s, one) for c, s in zip(w, (0.950456, 1.0, 1.088754))]
+        at = down(f"{down(f'x * {m[0]} + y * {m[1]} + z * {m[2]}', one)} * {white} + {one // 2}", one)
+        v = f"(least(greatest({at}, 0), {white}) / {white}.0::DOUBLE)"
+        return f"CAST({up(f'(CASE WHEN {v} <= 0.0031308 THEN 12.92 * {v} ELSE 1.055 * pow({v}, 1.0::DOUBLE / 2.4) - 0.055 END) * 255')} AS INTEGER)"
+
+    return f"""
+WITH px AS (SELECT DISTINCT CAST(l_partkey * 7 % 256 AS INTEGER) AS b, CAST(l_suppkey * 29 % 256 AS INTEGER) AS g,
+                            CAST(l_orderkey % 256 AS INTEGER) AS r FROM lineitem),
+lin AS (SELECT *, {light('b')} AS bl, {light('g')} AS gl, {light('r')} AS rl FROM px),
+xyz AS (SELECT *, {xyz((0.412453, 0.357580, 0.180423), 0.950456)} AS x,
+  {xyz((0.212671, 0.715160, 0.072169), 1.0)} AS y, {xyz((0.019334, 0.119193, 0.950227), 1.088754)} AS z FROM lin),
+fs AS (SELECT *, {f('x')} AS fx, {f('y')} AS fy, {f('z')} AS fz FROM xyz),
+lab AS (SELECT b, g, r, {byte(f"(fy * 2958 - {403 * root}) // {10 * root}")} AS lab_l,
+  {byte(down(f"(fx - fy) * 500 + {128 * root + root // 2}", root))} AS lab_a,
+  {byte(down(f"(fy - fz) * 200 + {128 * root + root // 2}", root))} AS lab_b FROM fs),
+back AS (SELECT *, {up(f"(lab_l * 100.0::DOUBLE / 255.0 + 16.0) / 116.0 * {one}")} AS f2 FROM lab),
+inv AS (SELECT *, f2 + {up(f"(lab_a - 128) / 500.0::DOUBLE * {one}")} AS f1,
+  f2 - {up(f"(lab_b - 128) / 200.0::DOUBLE * {one}")} AS f3 FROM back),
+xyz2 AS (SELECT b, g, r, lab_l, lab_a, lab_b, {cube('f1')} AS x, {cube('f2')} AS y, {cube('f3')} AS z FROM inv)
+SELECT b, g, r, lab_l, lab_a, lab_b, {channel((0.055648, -0.204043, 1.057311))} AS b2,
+  {channel((-0.969256, 1.875991, 0.041556))} AS g2, {channel((3.240479, -1.537150, -0.498535))} AS r2 FROM xyz2"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     E = "WITH " + EXPORT_CTE.strip()
@@ -490,6 +526,9 @@ SELECT frame_id, ty, tx, array_to_string(lut, ',') AS lut FROM lut"""
     q["equalize_apply"] = _equalized_sql(td.THUMB, td.THUMB)
     q["equalize_apply_padded"] = _equalized_sql(td.ODD_W, td.ODD_H)
     q["lab_round_trip"] = _lab_sql()
+    q["lab_fixed"] = _lab_fixed_sql()
+    q["unlabeled_queue_bucketed"] = q["unlabeled_queue"]
+    q["export_outcomes_bucketed"] = q["export_outcomes"]
     q["crop_pixels"] = """
 WITH d AS (SELECT doc_id AS frame_id, hex(encode(text)) AS h, octet_length(encode(text)) // 16 AS rows, doc_id % 5 AS x1 FROM documents),
 r AS (SELECT frame_id, string_agg(substr(h, CAST((y * 16 + x1) * 2 + 1 AS BIGINT), 14), '' ORDER BY y) AS c

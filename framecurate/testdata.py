@@ -78,10 +78,14 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-def raw_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_boxes(spark: SparkSession, sf_dir: str, spread: str | None = None) -> DataFrame:
     """One detection per lineitem: frame=order, index=line-1, boxes partly
-    outside the frame and partly degenerate, confidence 0..1, class 0/1/15/99."""
+    outside the frame and partly degenerate, confidence 0..1, class 0/1/15/99.
+
+    ``spread`` names a column by which the lines are dealt out beforehand."""
     li = table(spark, sf_dir, "lineitem")
+    if spread:
+        li = li.repartition(spread)
     q = F.col("l_quantity").cast("int")
     x1 = (F.col("l_partkey") * 37 % 2100 - 100).cast("int")
     y1 = (F.col("l_suppkey") * 53 % 1200 - 60).cast("int")
@@ -105,10 +109,11 @@ def detection_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """frame_id, ts, camera_id, width, height, detections (ordered by det_idx)
     and img_key, the part of the first detection.
 
-    The per-frame array holds one order's lines (a dozen or so); the join to
-    `orders` is on the same key as the grouping, which AQE plans as one
-    shuffle of each side."""
-    det = raw_boxes(spark, sf_dir)
+    The per-frame array holds one order's lines (a dozen or so).  Lists shrink
+    nothing before a shuffle, so the lines are dealt out by frame first: one
+    shuffle, and boxes and lists are made on all tasks however few row groups
+    the file has."""
+    det = raw_boxes(spark, sf_dir, spread="l_orderkey")
     per_frame = det.groupBy("frame_id").agg(
         F.array_sort(F.collect_list(F.struct("line_key", "bbox", "confidence", "class_id"))).alias("d"))
     per_frame = per_frame.select(
@@ -186,13 +191,14 @@ def export_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines 1-4: JSON list; line 5: {"tasks": [...]}; line 6: {"results": [...]};
     line 7: list, except the first file (order keys < 2000), which is cut off.
     A file holds ≤ 2000 orders' tasks, so the per-file group is bounded; its
-    rows are gathered first and written as JSON once, in the file's task."""
+    rows are dealt out by file first, as lists shrink nothing before a shuffle,
+    and written as JSON once, in the file's task."""
     li = table(spark, sf_dir, "lineitem")
     per_file = li.select(
         F.concat(F.lit("exports/project-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                  F.floor(F.col("l_orderkey") / EXPORT_FILE_SPAN).cast("string"), F.lit(".json")).alias("file"),
         F.col("l_linenumber").alias("line"),
-        F.struct("l_orderkey", *LINE_ORDER[1:]).alias("t")).groupBy("file", "line").agg(
+        F.struct("l_orderkey", *LINE_ORDER[1:]).alias("t")).repartition("file", "line").groupBy("file", "line").agg(
         F.sort_array(F.collect_list("t")).alias("t"))
 
     def task(li):
