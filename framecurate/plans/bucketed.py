@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framecurate.session import checkpoint_dir
+from framecurate.session import folder
 
 
 def store_bucketed(df: DataFrame, key: str, buckets: int, name: str | None = None,
@@ -26,9 +26,8 @@ def store_bucketed(df: DataFrame, key: str, buckets: int, name: str | None = Non
     fewer, Spark may prefer to shuffle the table after all.  Rows are hashed to
     one file a bucket; rows of null key are stored like others."""
     spark = df.sparkSession
-    tag = uuid.uuid4().hex
-    name = name or f"bucketed_{tag}"
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/bucketed-{tag}"
+    name = name or f"bucketed_{uuid.uuid4().hex}"
+    path = path or folder(spark, "bucketed")
     df.repartition(buckets, F.col(key)).write.bucketBy(buckets, key).sortBy(key) \
         .option("path", path).format("parquet").saveAsTable(name)
     return spark.table(name)

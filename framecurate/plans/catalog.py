@@ -26,8 +26,11 @@ from framecurate.plans import splitting as sp
 from framecurate.operators import images as im
 from framecurate.operators import lab_fixed as lf
 from framecurate.operators.dedup import union_with_merged
-from framecurate.sinks.writers import labeled_images
-from framecurate.sources.annotations import CONVERT_WRAPPER_KEYS, labeled_filenames, parse_task_files
+from framecurate.session import folder, stage
+from framecurate.sinks.writers import labeled_images, write_annotation_import, write_merged_tasks
+from framecurate.sources.annotations import (CONVERT_WRAPPER_KEYS, labeled_filenames, parse_task_files,
+                                             read_annotation_files)
+from framecurate.sources.large_exports import LargeExports
 from framecurate.sources.captures import parse_capture_meta, capture_meta_json
 from framecurate.sources.images import image_dims
 
@@ -531,4 +534,95 @@ def q_latest_frame(spark, d):
                                               "frame_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+# ---------------------------------------------- written, then read back or drained
+def q_export_large_files(spark, d):
+    """List exports as files, read by byte ranges of 16 KB; files that are no
+    list have no ranges and are parsed whole."""
+    path = folder(spark, "exports")
+    files = stage(td.export_file_texts(spark, d), "export-texts")
+    listed = F.col("text").startswith("[")
+    files.where(listed).select("text", F.regexp_extract("file", r"project-(.*)\.json", 1).alias("export")) \
+        .write.partitionBy("export").text(path)
+    fields = ["file", "pos", F.try_variant_get("task", "$.id", "bigint").alias("task_id"), "image_url", "filename"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 << 10))
+    try:
+        t = stage(LargeExports(spark, path).tasks.select(
+            F.concat(F.lit("exports/project-"), F.regexp_extract("file", "export=([^/]*)/", 1), F.lit(".json")).alias("file"),
+            *fields[1:]), "large-exports")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return t.unionByName(parse_task_files(files.where(~listed)).select(*fields))
+
+
+def q_merge_runs(spark, d):
+    """W1 over three runs, the files dealt out by their names."""
+    tasks, state = _tasks(spark, d), folder(spark, "merge-runs")
+    for run in range(3):
+        won = mg.merge_new_files(tasks.where(F.pmod(F.crc32("file"), F.lit(3)) == 2 - run), state, run)
+    return won.select("filename", "file", "pos", "image_url", F.try_variant_get("task", "$.id", "bigint").alias("task_id"))
+
+
+def _shards(spark, path):
+    return parse_task_files(read_annotation_files(spark, path))
+
+
+def q_merged_task_shards(spark, d):
+    """K5: merged tasks written as shards and read back."""
+    path = folder(spark, "merged-tasks")
+    write_merged_tasks(mg.merge_dedup_first(_tasks(spark, d)), path)
+    return _shards(spark, path).select("filename", "image_url", F.try_variant_get("task", "$.id", "bigint").alias("task_id"))
+
+
+def q_import_task_shards(spark, d):
+    """K4: labeling tasks written as shards and read back."""
+    path = folder(spark, "import-tasks")
+    cls = lb.classify_captures(_captures(spark, d), td.image_inventory(spark, d), _labeled(spark, d))
+    write_annotation_import(lb.build_tasks(cls, "/data"), path)
+    t = cv.typed_results(_shards(spark, path))
+    return t.select("image_url", F.coalesce(F.size("all_results"), F.lit(0)).alias("n_results"))
+
+
+def q_split_table(spark, d):
+    """K8: the split written by its parts and read back."""
+    path = folder(spark, "split")
+    sp.write_split(_split(spark, d), path)
+    return spark.read.parquet(path).select("stem", "split")
+
+
+def q_route_frames_stream(spark, d):
+    """T2-T5 on a stream: four quarters of the time, each drained by a query of
+    its own that goes on from the state of the one before."""
+    from framecurate.streaming.capture import route_stream
+    rows = stage(_routing_rows(spark, d), "stream-rows")
+    land, out, state = folder(spark, "stream-in"), folder(spark, "stream-out"), folder(spark, "stream-state")
+    first, last = rows.agg(F.min("us"), F.max("us")).first()
+    if first is None:
+        return rows.select("camera_id", "frame_id", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("boolean").alias("manual_save"))
+    quarter = F.least(F.floor((F.col("us") - first) * 4 / (last - first + 1)), F.lit(3))
+    for k in range(4):
+        rows.where(quarter == k).write.mode("append").parquet(land)
+        source = spark.readStream.schema(rows.schema).parquet(land)
+        q = route_stream(source, _params()).writeStream.format("parquet").option("path", out) \
+            .option("checkpointLocation", state).trigger(availableNow=True).start()
+        q.awaitTermination()
+    return spark.read.parquet(out).select("camera_id", "frame_id", "kind", "manual_save")
+
+
+def q_queue_stream(spark, d):
+    """Even documents arrive first, then all of them; none is queued twice."""
+    from framecurate.streaming.capture import start_incremental_queue
+    docs = td.table(spark, d, "documents").select(
+        "doc_id", F.concat(F.lit("img_"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("filename"))
+    base = folder(spark, "queue-stream")
+    for k, part in enumerate((docs.where(F.col("doc_id") % 2 == 0), docs)):
+        part.write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(docs.schema).parquet(f"{base}/in")
+        start_incremental_queue(
+            source, lambda: _labeled(spark, d),
+            lambda got, batch: got.write.mode("overwrite").parquet(f"{base}/out/batch={batch}"),
+            base.rsplit("/", 1)[-1], names=f"{base}/names").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("doc_id", "filename")
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

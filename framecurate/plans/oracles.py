@@ -529,6 +529,13 @@ SELECT frame_id, ty, tx, array_to_string(lut, ',') AS lut FROM lut"""
     q["lab_fixed"] = _lab_fixed_sql()
     q["unlabeled_queue_bucketed"] = q["unlabeled_queue"]
     q["export_outcomes_bucketed"] = q["export_outcomes"]
+    q["export_large_files"] = q["export_tasks_parse"]
+    q["merge_runs"] = q["merge_dedup_first"]
+    q["merged_task_shards"] = q["merge_dedup_first"].replace("SELECT filename, file, pos, image_url, task_id", "SELECT filename, image_url, task_id")
+    q["import_task_shards"] = CAP + """
+SELECT '/data/local-files/?d=' || substr(full_frame, 7) AS image_url, cat_count AS n_results FROM cls WHERE outcome = 'exported'"""
+    q["split_table"] = q["seeded_split"]
+    q["queue_stream"] = q["unlabeled_queue"]
     q["crop_pixels"] = """
 WITH d AS (SELECT doc_id AS frame_id, hex(encode(text)) AS h, octet_length(encode(text)) // 16 AS rows, doc_id % 5 AS x1 FROM documents),
 r AS (SELECT frame_id, string_agg(substr(h, CAST((y * 16 + x1) * 2 + 1 AS BIGINT), 14), '' ORDER BY y) AS c
@@ -536,6 +543,7 @@ r AS (SELECT frame_id, string_agg(substr(h, CAST((y * 16 + x1) * 2 + 1 AS BIGINT
 SELECT frame_id, lower(c) AS crop_hex FROM d LEFT JOIN r USING (frame_id)"""
 
     q["route_frames_waves"] = _route_sql("", "SELECT camera_id, frame_id, kind, manual_save FROM r")
+    q["route_frames_stream"] = q["route_frames_waves"]
     q["route_frames"] = _route_sql("", "SELECT camera_id, frame_id, kind, manual_save FROM r")
     q["session_stats"] = _route_sql("", """SELECT camera_id, count(*) AS total_frames, count(*) FILTER (WHERE has_cats) AS detection_frames,
        count(*) FILTER (WHERE kind = 'cats') AS saved_frames, count(*) FILTER (WHERE kind = 'background') AS background_frames

@@ -103,11 +103,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def folder(spark: SparkSession, tag: str) -> str:
+    """The path of a new folder in the shared checkpoint folder."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
 def stage(df, tag: str):
     """``df`` written to a new folder of the shared checkpoint folder and read
     back, so that what is built on it does not run its upstream again."""
-    import uuid
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    path = folder(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
