@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framecurate.llm.common import staged
+
 GRAM = 5
 BLOCK_CHARS = 4_000_000      # item characters searched for in one pass over the documents
 
@@ -153,16 +155,21 @@ class _Sent:
         return self._own
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, rate: float, block_chars: int) -> list[_Sent]:
-    """The items in blocks of about block_chars: a stated query set that meets
-    all documents block by block, so what a task receives is bounded."""
+def _numbered(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[DataFrame, int]:
+    """(item_id, text, block) and the number of blocks of about block_chars."""
     own = items.select(F.col(id_col).cast("long").alias("item_id"),
                        F.col(text_col).alias("text")).where("text is not null")
     total = own.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_chars))
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [_Sent(sorted(((r["item_id"], r["text"]) for r in own.where(place == i).collect()),
-                         key=lambda x: (x[0] is None, x[0] or 0, x[1])), rate) for i in range(n)]
+    return own.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), n
+
+
+def _block(numbered: DataFrame, at: int, rate: float) -> _Sent:
+    """One block of the items, a stated query set that meets all documents; the
+    driver holds this block and no other."""
+    rows = numbered.where(F.col("block") == at).select("item_id", "text").collect()
+    return _Sent(sorted(((r["item_id"], r["text"]) for r in rows),
+                        key=lambda x: (x[0] is None, x[0] or 0, x[1])), rate)
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -172,7 +179,10 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     with at most floor(rate * n) edits; start and end are in the normalised text.
 
     Null and empty texts hold no item, null and empty items are in no text;
-    null ids are kept; equal rows give equal rows; other columns are ignored.
+    null ids are kept; equal rows give equal rows; other columns are ignored; an
+    empty table on either side gives no row.  A very long text is searched whole,
+    in time proportional to its length.  A block of items is searched for at a
+    time, in a pass over the documents; the hits of all but the last are staged.
     """
     kind = "doc_id long, item_id long, distance int, start int, end int"
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -188,17 +198,35 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                     names=["doc_id", "item_id", "distance", "start", "end"])
         return own.mapInArrow(run, kind)
 
-    got = [search(block) for block in _blocks(items, item_id, item_text, rate, block_chars)]
-    out = got[0]
-    for more in got[1:]:
+    numbered, n = _numbered(items, item_id, item_text, block_chars)
+    earlier = [staged(search(_block(numbered, i, rate)), "item-hits") for i in range(n - 1)]
+    out = search(_block(numbered, n - 1, rate))
+    for more in earlier:
         out = out.unionByName(more)
     return out
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
                       item_text: str = "text", rate: float = 0.1, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """docs without the rows whose text holds an item; all columns are kept."""
+    """docs without the rows whose text holds an item; all columns are kept.
+
+    Null and empty texts hold no item and stay, as do all rows when there are no
+    items; null and empty items are in no text; repeated rows go or stay together;
+    a very long text is searched whole; columns may have any names; an empty table
+    stays empty.  A block of items is searched for at a time: the hashes of texts
+    that hold one of all but the last block's are staged and leave by a join.
+    """
     at = docs.columns.index(text_col)
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text, key = F.col(f"c{at}"), F.sha2(f"c{at}", 256)
+    numbered, n = _numbered(items, item_id, item_text, block_chars)
+
+    def held(finder):
+        def run(batches):
+            for b in batches:
+                hit = pa.array([bool(finder.value.matches(t, first_only=True)) for t in b.column(1).to_pylist()], pa.bool_())
+                yield b.filter(hit).select(["key"])
+        return run
 
     def keep(finder):
         def run(batches):
@@ -207,6 +235,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                                          for t in b.column(at).to_pylist()], pa.bool_()))
         return run
 
-    for block in _blocks(items, item_id, item_text, rate, block_chars):
-        docs = docs.mapInArrow(keep(block), docs.schema)
-    return docs
+    left = own
+    for i in range(n - 1):
+        gone = staged(own.select(key.alias("key"), text.alias("text"))
+                      .mapInArrow(held(_block(numbered, i, rate)), "key string"), "item-holders")
+        left = left.join(gone, key == gone["key"], "left_anti")
+    return left.mapInArrow(keep(_block(numbered, n - 1, rate)), own.schema).toDF(*docs.columns)
