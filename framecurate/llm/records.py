@@ -174,14 +174,22 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+#: Bytes of text a records file is made for; ids take about half as many.
+FILE_BYTES = 512 << 20
+
+
+def _ranges_for(own: DataFrame, file_bytes: int) -> int:
+    """As many ranges of ids as the texts fill files, and no fewer than tasks."""
+    total = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(shuffle_partitions(own.sparkSession), -(-total // file_bytes))
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
-                     text_col: str = "text", end_id: int = 1) -> DataFrame:
+                     text_col: str = "text", end_id: int = 1, file_bytes: int = FILE_BYTES) -> DataFrame:
     """(record binary) of every row, in ascending (id, text hash) order over the
     partitions and within each; end_id is appended to every sequence."""
-    spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n = shuffle_partitions(spark)
-    cuts = id_buckets(own.select("doc_id"), "doc_id", n)
+    cuts = id_buckets(own.select("doc_id"), "doc_id", _ranges_for(own, file_bytes))
     rows = (own.withColumn("part", bucket_of(F.col("doc_id"), cuts)).repartitionById(len(cuts) + 1, "part")
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).drop("part"))
 
@@ -233,17 +241,18 @@ def _scan(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id",
-                  text_col: str = "text", end_id: int = 1) -> None:
-    """Write <path>/records (one file a range of ids, their names in ascending
+                  text_col: str = "text", end_id: int = 1, file_bytes: int = FILE_BYTES) -> None:
+    """Write <path>/records (one file a range of ids, numbered in ascending
     order) and <path>/index.
 
     Every row becomes a record: a null or empty text is the end id alone, a
     null id sorts first and is kept as null, rows of equal ids follow one
     another, other columns are ignored.  An empty table writes no record.
-    Files are as large as a shuffle partition; they are read whole by a task.
+    A file is read whole by a task, so the number of files follows the texts: one
+    for about file_bytes of them, at least one a shuffle partition.
     """
     spark = docs.sparkSession
-    (encode_documents(docs, tokenizer, id_col, text_col, end_id)
+    (encode_documents(docs, tokenizer, id_col, text_col, end_id, file_bytes)
      .select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", END.decode()).text(f"{path}/records"))
     _scan(spark, path, False).drop("ids").write.parquet(f"{path}/index")
@@ -255,7 +264,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     its file, start those before it in all files; ids are little-endian uint32."""
     index = spark.read.parquet(f"{path}/index")
     sums = index.groupBy("shard").agg(F.sum("n_tokens").alias("n"))      # a row a file
-    base = sums.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
+    # by number: names of 100,000 files and more do not sort as their numbers do
+    number = F.regexp_extract("shard", r"part-(\d+)", 1).cast("int")
+    base = sums.select("shard", (F.sum("n").over(Window.orderBy(number, "shard")) - F.col("n")).alias("base"))
     return (_scan(spark, path, True).join(F.broadcast(base), "shard")
             .select("shard", "offset", "length", "doc_id", "n_tokens", "first_token",
                     (F.col("base") + F.col("first_token")).alias("start"), "ids"))

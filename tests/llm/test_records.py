@@ -57,6 +57,19 @@ def test_records_hold_every_document_in_order(llm_spark, odd_docs, small_docs, w
     assert sorted(one) == sorted(two) == sorted(r["start"] for r in got) and one != two
 
 
+def test_files_follow_the_texts(llm_spark, small_docs):
+    size = sum(len((r["text"] or "").encode()) for r in small_docs.collect())
+    starts = {}
+    for name, most in (("few", size), ("many", size // 30)):
+        path = scratch(llm_spark, "t-records")
+        R.write_records(small_docs, path, tokenizer_path(), file_bytes=most)
+        got = R.read_records(llm_spark, path).collect()
+        starts[name] = sorted((r["doc_id"], r["start"], bytes(r["ids"])) for r in got)
+        files = {r["shard"] for r in got}
+        assert len(files) > 20 if name == "many" else len(files) <= int(llm_spark.conf.get("spark.sql.shuffle.partitions"))
+    assert starts["few"] == starts["many"]
+
+
 def rng_sample(rows, n):
     return random.Random(1).sample(rows, n)
 
