@@ -289,43 +289,41 @@ def make_wave_router(p: FilterParams):
                     "s_cat_hist": None if s.last_cat_hist is None else [float(x) for x in s.last_cat_hist],
                     "s_cat_fid": s.last_cat_fid, "s_bg_us": s.last_bg_us}
 
-        pending_end = []
+        columns = ["camera_id", "is_state", "frame_id", "us", "has_cats", "kind",
+                   "manual_save", "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us"]
         for pdf in batches:
             if not len(pdf):
                 continue
             cams = pdf["camera_id"].to_numpy()
             is_state = pdf["is_state"].to_numpy().astype(bool)
+            carried = {c: pdf[c].to_numpy() for c in columns[7:]}
             change = np.flatnonzero(cams[1:] != cams[:-1]) + 1
             starts = np.concatenate(([0], change))
             ends = np.concatenate((change, [len(pdf)]))
-            outs = []
+            outs, pending_end = [], []
             for a, b in zip(starts, ends):
                 if cams[a] != cam:
                     if cam is not _NO_CAMERA:
                         pending_end.append(end_row(cam, state))
                     cam, state = cams[a], CameraState()
                 if is_state[a]:
-                    r = pdf.iloc[a]
-                    h = r["s_cat_hist"]
-                    state = CameraState(last_cat_us=_nullable_int(r["s_cat_us"]),
+                    h = carried["s_cat_hist"][a]
+                    state = CameraState(last_cat_us=_nullable_int(carried["s_cat_us"][a]),
                                         last_cat_hist=None if h is None else np.asarray(h, dtype=np.float64),
-                                        last_cat_fid=_nullable_int(r["s_cat_fid"]),
-                                        last_bg_us=_nullable_int(r["s_bg_us"]))
+                                        last_cat_fid=_nullable_int(carried["s_cat_fid"][a]),
+                                        last_bg_us=_nullable_int(carried["s_bg_us"][a]))
                     a += 1
                 if b > a:
-                    o = fold_frames(pdf.iloc[a:b], state, p)
-                    o["is_state"] = False
-                    none = pd.Series([None] * len(o), dtype=object)
-                    for c in ("s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us"):
-                        o[c] = none
-                    outs.append(o)
-            if pending_end:
-                outs.append(pd.DataFrame(pending_end))
-                pending_end = []
+                    outs.append(fold_frames(pdf.iloc[a:b], state, p))
+            # the columns that decisions and states lack are added once a batch, not once a camera
             if outs:
-                out = pd.concat([o.astype(object) for o in outs], ignore_index=True)
-                yield out.reindex(columns=["camera_id", "is_state", "frame_id", "us", "has_cats", "kind",
-                                           "manual_save", "s_cat_us", "s_cat_hist", "s_cat_fid", "s_bg_us"])
+                decided = pd.concat(outs, ignore_index=True)
+                decided["is_state"] = False
+                for c in columns[7:]:
+                    decided[c] = pd.Series([None] * len(decided), dtype=object)
+                yield decided[columns]
+            if pending_end:
+                yield pd.DataFrame(pending_end, columns=columns, dtype=object)     # as object, long values stay exact
         if cam is not _NO_CAMERA:
             yield pd.DataFrame([end_row(cam, state)])
     return route
