@@ -169,47 +169,58 @@ def _fold_background(at: np.ndarray, us: np.ndarray, kinds, state: CameraState,
         k += 1
 
 
-def fold_frames(pdf: pd.DataFrame, state: CameraState, p: FilterParams,
-                late_policy: bool = False) -> pd.DataFrame:
-    """Run the state machine over rows already sorted by (us, frame_id).
+def frame_columns(pdf: pd.DataFrame) -> tuple:
+    """What a fold reads of routing rows, as arrays: us, frame id, is a cat frame,
+    has no flag, control, histogram."""
+    flags = pdf["has_cats"].to_numpy()
+    cats = np.array([x is True or x is np.True_ or (isinstance(x, float) and x == 1.0) for x in flags], dtype=bool)
+    none = np.array([x is None or x is pd.NA or (isinstance(x, float) and math.isnan(x)) for x in flags], dtype=bool)
+    ctrl = [c if isinstance(c, str) else None for c in pdf["control"].to_numpy()]
+    return pdf["us"].to_numpy().astype(np.int64), pdf["frame_id"].to_numpy(), cats, none, ctrl, _array(pdf["hist"].to_numpy())
+
+
+def fold_slice(columns: tuple, a: int, b: int, kinds: np.ndarray, manual: np.ndarray, state: CameraState,
+               p: FilterParams, late_policy: bool = False) -> None:
+    """Run the state machine over rows a to b of ``frame_columns``, one camera's in
+    order of (us, frame_id), and put the decisions into ``kinds`` and ``manual``.
 
     Between two control rows the cat and background filters do not touch each
     other, so each walks its own frames; a control row takes one ``step``.
     ``late_policy``: rows before the last one seen are not routed
     (``dropped_late``), but their controls still count."""
-    n = len(pdf)
-    kinds = np.empty(n, dtype=object)
-    manual = np.zeros(n, dtype=bool)
-    us = pdf["us"].to_numpy().astype(np.int64)
-    fid = pdf["frame_id"].to_numpy()
-    flags = pdf["has_cats"].to_numpy()
-    cats = np.array([x is True or x is np.True_ or (isinstance(x, float) and x == 1.0) for x in flags])
-    none = np.array([x is None or x is pd.NA or (isinstance(x, float) and math.isnan(x)) for x in flags])
-    ctrl = [c if isinstance(c, str) else None for c in pdf["control"].to_numpy()]
-    hists = _array(pdf["hist"].to_numpy())
-    begin = 0
+    us, fid, cats, none, ctrl, hists = columns
+    begin = a
     if late_policy and state.last_seen_us is not None:
-        begin = int(np.searchsorted(us, state.last_seen_us))
-        kinds[:begin] = KIND_LATE
-        for i in range(begin):
+        begin = a + int(np.searchsorted(us[a:b], state.last_seen_us))
+        kinds[a:begin] = KIND_LATE
+        for i in range(a, begin):
             if ctrl[i] == CONTROL_RESET:
                 state.reset()
             elif ctrl[i] == CONTROL_MANUAL:
                 manual[i] = True
                 state.last_bg_us = max(int(us[i]), state.last_bg_us or int(us[i]))
-    events = [i for i in range(begin, n) if ctrl[i] is not None]
-    for stop in [*events, n]:
-        span = np.arange(begin, stop)
-        _fold_cats(span[cats[begin:stop]], us, fid, hists, kinds, state, p)
-        _fold_background(span[~cats[begin:stop] & ~none[begin:stop]], us, kinds, state, p)
-        if stop < n:
+    events = [i for i in range(begin, b) if ctrl[i] is not None]
+    for stop in [*events, b]:
+        if stop > begin:
+            span = np.arange(begin, stop)
+            _fold_cats(span[cats[begin:stop]], us, fid, hists, kinds, state, p)
+            _fold_background(span[~cats[begin:stop] & ~none[begin:stop]], us, kinds, state, p)
+        if stop < b:
             flag = None if none[stop] else bool(cats[stop])
             kinds[stop], manual[stop], _ = step(state, int(us[stop]), int(fid[stop]), flag, ctrl[stop], hists[stop], p)
         begin = stop + 1
-    if n:
-        state.last_seen_us = max(int(us[-1]), state.last_seen_us or int(us[-1]))
-    return pd.DataFrame({"camera_id": pdf["camera_id"].to_numpy(), "frame_id": fid,
-                         "us": us, "has_cats": pdf["has_cats"].to_numpy(),
+    if b > a:
+        state.last_seen_us = max(int(us[b - 1]), state.last_seen_us or int(us[b - 1]))
+
+
+def fold_frames(pdf: pd.DataFrame, state: CameraState, p: FilterParams,
+                late_policy: bool = False) -> pd.DataFrame:
+    """:func:`fold_slice` over one camera's rows already sorted by (us, frame_id)."""
+    n = len(pdf)
+    kinds, manual, columns = np.empty(n, dtype=object), np.zeros(n, dtype=bool), frame_columns(pdf)
+    fold_slice(columns, 0, n, kinds, manual, state, p, late_policy)
+    return pd.DataFrame({"camera_id": pdf["camera_id"].to_numpy(), "frame_id": columns[1],
+                         "us": columns[0], "has_cats": pdf["has_cats"].to_numpy(),
                          "kind": kinds, "manual_save": manual})
 
 

@@ -1,9 +1,9 @@
 """Structured Streaming forms of the capture loop.
 
 The same state machine as the batch form (``operators.state_machine``) runs
-per camera inside ``applyInPandasWithState``: the keyed state holds the last
-accepted cat frame (time + histogram), the last background time and the
-last-seen time.  Within a micro-batch a camera's rows are sorted by
+per camera inside ``applyInPandasWithState``: the keyed state holds each
+camera's last accepted cat frame (time + histogram), last background time and
+last-seen time.  Cameras share a key by a hash of their id.  Within a micro-batch a camera's rows are sorted by
 (ts, frame_id); rows older than the state's last-seen time are routed to
 ``dropped_late`` (our one documented late-data policy: the reference is
 arrival-ordered and has no watermark).
@@ -23,44 +23,68 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from framecurate.operators.state_machine import (ROUTE_SCHEMA, CameraState, FilterParams,
-                                                 fold_frames)
+                                                 fold_slice, frame_columns)
 from framecurate.session import checkpoint_dir
 
+#: One camera's state.
 STATE_SCHEMA = ("last_cat_us long, last_cat_hist array<double>, last_cat_fid long, "
                 "last_bg_us long, last_seen_us long")
 
+#: The state of a group of cameras: an entry a camera, histograms as the bytes of their doubles.
+GROUP_STATE = ("camera_id array<string>, last_cat_us array<long>, last_cat_hist array<binary>, "
+               "last_cat_fid array<long>, last_bg_us array<long>, last_seen_us array<long>")
 
-def _load(state) -> CameraState:
+#: Groups that cameras are dealt out to; a group's cameras share one keyed state.
+STATE_BUCKETS = 2048
+
+
+def _load(state) -> dict[str | None, CameraState]:
     if not state.exists:
-        return CameraState()
-    lc, lh, lf, lb, ls = state.get
-    return CameraState(last_cat_us=lc, last_cat_hist=None if lh is None else np.asarray(lh, dtype=np.float64),
-                       last_cat_fid=lf, last_bg_us=lb, last_seen_us=ls)
+        return {}
+    return {cam: CameraState(cat, None if hist is None else np.frombuffer(bytes(hist), dtype=np.float64), fid, bg, seen)
+            for cam, cat, hist, fid, bg, seen in zip(*state.get, strict=True)}
 
 
-def _save(state, cs: CameraState) -> None:
-    state.update((cs.last_cat_us, None if cs.last_cat_hist is None else [float(x) for x in cs.last_cat_hist],
-                  cs.last_cat_fid, cs.last_bg_us, cs.last_seen_us))
+def _save(state, cameras: dict[str | None, CameraState]) -> None:
+    of = cameras.values()
+    state.update((list(cameras), [s.last_cat_us for s in of],
+                  [None if s.last_cat_hist is None else s.last_cat_hist.tobytes() for s in of],
+                  [s.last_cat_fid for s in of], [s.last_bg_us for s in of], [s.last_seen_us for s in of]))
 
 
 def make_stream_router(p: FilterParams) -> Callable:
     def route(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        cs = _load(state)
-        # one camera's rows of ONE micro-batch: bounded by the trigger size
+        cameras = _load(state)
+        # the rows of a group's cameras in ONE micro-batch: bounded by the trigger size
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(["us", "frame_id"], kind="mergesort", ignore_index=True)
-        out = fold_frames(pdf, cs, p, late_policy=True)
-        _save(state, cs)
-        yield out
+        codes, names = pd.factorize(pdf["camera_id"].to_numpy(dtype=object))        # a NULL camera is -1
+        order = np.lexsort((pdf["frame_id"].to_numpy(), pdf["us"].to_numpy(), codes))
+        pdf, codes = pdf.iloc[order], codes[order]
+        columns = frame_columns(pdf)
+        kinds, manual = np.empty(len(pdf), dtype=object), np.zeros(len(pdf), dtype=bool)
+        starts = np.flatnonzero(np.diff(codes, prepend=-2))
+        for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
+            cam = None if codes[a] < 0 else names[codes[a]]
+            fold_slice(columns, int(a), int(b), kinds, manual, cameras.setdefault(cam, CameraState()), p, late_policy=True)
+        _save(state, cameras)
+        yield pd.DataFrame({"camera_id": pdf["camera_id"].to_numpy(), "frame_id": columns[1], "us": columns[0],
+                            "has_cats": pdf["has_cats"].to_numpy(), "kind": kinds, "manual_save": manual})
     return route
 
 
-def route_stream(rows: DataFrame, params: FilterParams = FilterParams()) -> DataFrame:
+def route_stream(rows: DataFrame, params: FilterParams = FilterParams(), buckets: int = STATE_BUCKETS) -> DataFrame:
     """T2-T5 on a streaming DataFrame of routing rows
-    ``(camera_id, frame_id, us, has_cats, control, hist)``."""
-    return rows.select("camera_id", "frame_id", "us", "has_cats", "control", "hist") \
-        .groupBy("camera_id").applyInPandasWithState(
-            make_stream_router(params), outputStructType=ROUTE_SCHEMA, stateStructType=STATE_SCHEMA,
+    ``(camera_id, frame_id, us, has_cats, control, hist)``.
+
+    Cameras are dealt out to ``buckets`` groups by a hash of their id, and a
+    group keeps the state of its cameras, each on its own: Spark hands a group
+    to Python in milliseconds, so one group a camera costs far more than its
+    frames.  Like the number of shuffle partitions, ``buckets`` is fixed for
+    the life of a stream's checkpoint."""
+    bucket = F.pmod(F.xxhash64("camera_id"), F.lit(buckets)).cast("int")
+    return rows.select(bucket.alias("bucket"), "camera_id", "frame_id", "us", "has_cats", "control", "hist") \
+        .groupBy("bucket").applyInPandasWithState(
+            make_stream_router(params), outputStructType=ROUTE_SCHEMA, stateStructType=GROUP_STATE,
             outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
 
 

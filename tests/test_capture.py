@@ -141,6 +141,31 @@ def test_stream_drain_equals_batch(spark, tmp_path):
     assert stream == batch
 
 
+def test_stream_of_many_cameras_shares_keys(spark, tmp_path):
+    """Cameras, a NULL one among them, share keyed states by groups; each keeps its
+    own state from one micro-batch to the next, resets and late rows included."""
+    rng = np.random.default_rng(5)
+    cams = [None, *map(str, range(60))]
+    rows = [(cams[int(rng.integers(61))], i, int(rng.integers(1, 400)) * S, [True, False, None][int(rng.integers(3))],
+             [None, None, None, "reset", "manual_background"][int(rng.integers(5))],
+             None if rng.random() < 0.2 else [float(x) for x in rng.random(int(rng.choice([0, 8, 8, 8])))]) for i in range(1500)]
+    schema = "camera_id string, frame_id long, us long, has_cats boolean, control string, hist array<double>"
+    df = spark.createDataFrame(rows, schema)
+    p = FilterParams(similarity=0.2, min_us=10 * S, max_us=60 * S, background_us=30 * S)
+    want = {r.frame_id: (r.camera_id, r.kind, r.manual_save) for r in cu.route_frames(df, p).collect()}
+    late = spark.createDataFrame([(cams[1], 9001, 0, True, None, None), (None, 9002, 0, False, "manual_background", None)], schema)
+    want |= {9001: (cams[1], "dropped_late", False), 9002: (None, "dropped_late", True)}
+    land, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    for part in (df.where("us < 200000000"), df.where("us >= 200000000"), late):
+        part.coalesce(1).write.mode("append").parquet(land)
+        q = st.route_stream(spark.readStream.schema(schema).parquet(land), p, buckets=5).writeStream.format("parquet") \
+            .option("path", out).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+        q.awaitTermination(180)
+        keys = max(s["numRowsTotal"] for x in q.recentProgress for s in x["stateOperators"])
+        assert 1 < keys <= 5
+    assert {r.frame_id: (r.camera_id, r.kind, r.manual_save) for r in spark.read.parquet(out).collect()} == want
+
+
 def test_waves_equal_single_pass(spark, tmp_path):
     """Histories routed in time chunks with carried state, a NULL camera among
     them; decisions must equal the single-pass fold exactly."""
