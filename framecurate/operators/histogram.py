@@ -24,9 +24,10 @@ def _c(c) -> Column:
 
 
 def _recip(numer: int, denom: Column) -> Column:
-    """round(numer * 2^12 / denom) as the integer table entry (0 when denom is 0)."""
+    """round(numer * 2^12 / denom) as the integer table entry (0 when denom is 0), half up:
+    a quotient of such small integers is never near a half but on it."""
     return F.when(denom == 0, F.lit(0)).otherwise(
-        F.round(F.lit(float(numer << HSV_SHIFT)) / denom.cast("double")).cast("int"))
+        F.floor(F.lit(float(numer << HSV_SHIFT)) / denom.cast("double") + 0.5).cast("int"))
 
 
 def bgr_to_hsv(b, g, r) -> Column:

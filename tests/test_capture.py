@@ -5,6 +5,7 @@ import datetime as dt
 import uuid
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from frames import image_row, make_frame, make_random_frame
 from framecurate.operators.histogram import bhattacharyya as bh_col
@@ -49,6 +50,16 @@ def test_distance_column_equals_python(spark):
     assert df.select(bh_col("a", "b").alias("d")).first().d == bhattacharyya(a, b)
 
 
+def test_hsv_reciprocals_without_decimals(spark):
+    """Table entries of every denominator, half up, and no rounding by decimal numbers, which cost most of a pixel."""
+    from framecurate.operators.histogram import _recip, bgr_to_hsv
+    df = spark.range(0, 1531).select("id", _recip(255, F.col("id")).alias("s"), _recip(180, F.col("id")).alias("h"))
+    for r in df.collect():
+        assert (r.s, r.h) == tuple((2 * (n << 12) + r.id) // (2 * r.id) if r.id else 0 for n in (255, 180))
+    px = spark.range(1).select(F.col("id").cast("int").alias("b"), F.lit(1).alias("g"), F.lit(2).alias("r"))
+    assert "round(" not in px.select(bgr_to_hsv("b", "g", "r").alias("v"))._jdf.queryExecution().analyzed().toString()
+
+
 def test_variety_filter_timelines(spark):
     A, B, G = _hists(spark, [make_frame(color=(200, 50, 50)), make_frame(color=(50, 50, 200)),
                              make_frame(color=(100, 100, 100))])
