@@ -64,7 +64,7 @@ def image_filename(url) -> Column:
     return F.when(u.isNull() | (u == ""), F.lit(None).cast("string")).otherwise(file_name(tail))
 
 
-def _once(value: Column, use) -> Column:
+def once(value: Column, use) -> Column:
     """``use(value)`` with ``value`` evaluated once, however often it is used."""
     return F.get(F.transform(F.array(value), use), 0)
 
@@ -73,7 +73,7 @@ def _join_root(root: str, rel: Column) -> Column:
     """``str(Path(root) / rel)``: an absolute ``rel`` replaces the root; then
     collapse ``//``, drop ``.`` components and trailing ``/``; empty → ``.``."""
     under = F.lit(root.rstrip("/") + "/")
-    return _once(rel, lambda r: _once(F.when(r.startswith("/"), r).otherwise(F.concat(under, r)), _normal_path))
+    return once(rel, lambda r: once(F.when(r.startswith("/"), r).otherwise(F.concat(under, r)), _normal_path))
 
 
 def _normal_path(joined: Column) -> Column:
@@ -105,11 +105,11 @@ def image_path(url, document_root: str = ".") -> Column:
     u = _c(url)
     d_raw = F.regexp_extract(F.regexp_extract(u, _QUERY, 1), _D_PARAM, 1)
     # an escape that is none stays as it is written
-    local_rel = _once(d_raw, lambda d: F.coalesce(F.try_url_decode(d), F.try_url_decode(
+    local_rel = once(d_raw, lambda d: F.coalesce(F.try_url_decode(d), F.try_url_decode(
         F.regexp_replace(d, r"%(?![0-9A-Fa-f]{2})", "%25")), d))
     path = F.regexp_extract(u, _HTTP_PATH, 1)
     # ';params' belong to the last segment only
-    http_rel = F.when(F.instr(path, ";") > 0, F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
+    http_rel = once(path, lambda p: F.when(F.instr(p, ";") > 0, F.regexp_replace(p, r";[^/]*$", "")).otherwise(p))
     rel = F.when(F.instr(u, LOCAL_FILES_MARKER) > 0, local_rel).otherwise(http_rel)
     return _join_root(document_root, rel)
 

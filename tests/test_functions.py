@@ -145,3 +145,15 @@ def test_image_filename_path_edge_cases(spark):
     got = [r.f for r in df.select(nm.image_filename("u").alias("f")).collect()]
     # Path(...).name: '.' components and trailing slashes collapse; no percent-decoding; fragments stay
     assert got == ["b", "b", "", "a%20b.jpg", "x.jpg#frag"]
+
+
+def test_label_numbers_are_rounded_once(spark):
+    """Float texts equal Python's over all sizes, and a value is worked out once however it is written."""
+    values = [0.5, 1.0, 0.123457, 0.1, 12.000001, 99.999999, 1e-4, 9.9e-05, 1e-06, 0.0, -0.25, -3e-05, 123456789.654321, 7.1, 0.100001]
+    values += [i / 1e6 for i in range(1, 2000, 7)] + [round(1 + i / 1e6, 6) for i in range(0, 10 ** 6, 9973)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r.t for r in df.select(lb.py_float_text("v").alias("t")).collect()] == [str(v) for v in values]
+    odd = spark.createDataFrame([(None,), (2e9,), (float("nan"),)], "v double").select(lb.py_float_text("v").alias("t")).collect()
+    assert [r.t for r in odd] == ["null", "2000000000.0", "NaN"]
+    text = df.select(lb.py_float_text(F.round(F.col("v") / 3, 6)).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("round(") == 1
