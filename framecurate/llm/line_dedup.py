@@ -13,8 +13,8 @@ longs take the words in, CHUNK words at a time, and chunks add up in counters
 of 32 bits.  No word becomes a row.
 
 Equal lines are one node, whatever the number of their occurrences.  Blocks are
-counted first, with partial counts before the shuffle, and only lines of blocks
-that are shared go on.  Pairs are verified in two rounds: every line with the
+counted first, dealt out by block as they are (nearly all are of one fingerprint,
+which partial counts only hold in memory), and only lines of blocks that are shared go on.  Pairs are verified in two rounds: every line with the
 next one of its block in order of size, then only pairs that the first round has
 left in different groups, and blocks that it has made one group meet no more.  So
 a large group of near copies costs a link a line, not a pair for every two.
@@ -38,8 +38,9 @@ FEW = 1_000_000          # keys that a broadcast may have
 CHUNK = 127              # words that counters of a byte can take, as longs have a sign
 
 
-#: White space and ASCII signs: all but letters and digits there.
-_SIGNS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: White space and ASCII signs: all but letters and digits there, one by one, as
+#: Java looks them up in a table then and tries no ranges.
+_SIGNS = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 _LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
@@ -80,16 +81,17 @@ def _counters(hashes: str) -> str:
 
 
 def _simhash(counters: Column, n: Column) -> Column:
-    """A bit is set if it is in over half of n hashes."""
-    sim = F.lit(0).cast("long")
+    """A bit is set if it is in over half of n hashes.  Both counters of a long are
+    told at once: 2^30 + n / 2 less a counter keeps bit 30 if that is half or less.
+    The JVM compiles no method of over 8000 bytes, which a branch a bit would be."""
+    most = (F.shiftright(n, 1) + F.lit(1 << 30).cast("long")) * F.lit(1 << 32 | 1)
+    rare = F.lit(0).cast("long")
     for k in range(8):
         for m in range(4):
-            both = counters[4 * k + m]
-            for bit, c in ((8 * m + k, both.bitwiseAND(F.lit((1 << 32) - 1))),
-                           (32 + 8 * m + k, F.shiftrightunsigned(both, 32))):
-                one = (1 << bit) - (_SIGN if bit == 63 else 0)
-                sim = sim.bitwiseOR(F.when(c * 2 > n, F.lit(one).cast("long")).otherwise(F.lit(0).cast("long")))
-    return sim
+            left = most - F.coalesce(F.get(counters, F.lit(4 * k + m)), F.lit(0).cast("long"))
+            kept, up = left.bitwiseAND(F.lit(1 << 62 | 1 << 30)), 8 * m + k - 30
+            rare = rare.bitwiseOR(F.shiftleft(kept, up) if up > 0 else F.shiftrightunsigned(kept, -up))
+    return F.bitwise_not(rare)
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -154,11 +156,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 def _met(sims: DataFrame, radius: int, pieces: int) -> DataFrame:
     """(block, sim, lid, size) of the distinct lines that share a block with another."""
-    keys = F.posexplode(F.array(*[F.col("sim").bitwiseAND(F.lit(m)) for m in _blocks(radius, pieces)]))
-    by_block = (sims.select("sim").distinct().select("sim", keys.alias("t", "bits"))
-                .select("sim", F.xxhash64("t", "bits").alias("block")))
-    shared = staged(by_block.groupBy("block").agg(F.count("*").alias("c")).where("c > 1")
-                    .select(F.col("block").alias("_block")), "line-shared")
+    keys = F.explode(F.array(*[F.xxhash64(F.lit(t), F.col("sim").bitwiseAND(F.lit(m)))
+                               for t, m in enumerate(_blocks(radius, pieces))]))
+    by_block = sims.select("sim").distinct().select("sim", keys.alias("block"))
+    shared = staged(by_block.select("block").repartition("block").groupBy("block").agg(F.count("*").alias("c"))
+                    .where("c > 1").select(F.col("block").alias("_block")), "line-shared")
     meet = _within(by_block, shared, ["block"])
     equal = sims.groupBy("sim").agg(F.count("*").alias("c")).where("c > 1").select(
         "sim", F.xxhash64(F.lit(-1), "sim").alias("block"))

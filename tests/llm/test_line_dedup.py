@@ -145,3 +145,26 @@ def test_recall_by_length(llm_spark):
         docs = llm_spark.createDataFrame(rows, "doc_id long, text string")
         pairs, share = measured_recall(llm_spark, docs, 1, 10_000)
         assert pairs >= 30 and least <= share <= most
+
+
+def test_fingerprints_stay_code_that_the_jvm_compiles(llm_spark, capsys):
+    """HotSpot compiles no method of over 8000 bytes; the one of the fingerprints had 12,267."""
+    df = llm_spark.createDataFrame([(1, "one line")], "doc_id long, text string")
+    L._occurrences(df).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_counts_at_and_beside_half(llm_spark):
+    """Each bit by itself: in half of the hashes, one more, none and all."""
+    rows = [(n, [c for c in (0, n // 2, n // 2 + 1, n)]) for n in (1, 2, 3, 126, 127, 128, 1 << 29)]
+    got = llm_spark.createDataFrame(rows, "n int, some array<long>").select(
+        "n", F.posexplode("some").alias("i", "c")).select("n", "c", *[
+            L._simhash(F.expr(f"transform(sequence(0, 31), i -> if(i = {i}, c * {by}L, 0L))"), F.col("n")).alias(f"b{i}_{by}")
+            for i in (0, 13, 30, 31) for by in (1, 1 << 32)]).collect()
+    for r in got:
+        for i in (0, 13, 30, 31):
+            bit = i % 4 * 8 + i // 4
+            over = 2 * r["c"] > r["n"]
+            assert r[f"b{i}_1"] & (1 << 64) - 1 == over << bit
+            assert r[f"b{i}_{1 << 32}"] & (1 << 64) - 1 == over << 32 + bit
