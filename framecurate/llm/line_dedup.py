@@ -36,6 +36,7 @@ from framecurate.session import discard
 _SIGN = 1 << 64
 FEW = 1_000_000          # keys that a broadcast may have
 CHUNK = 127              # words that counters of a byte can take, as longs have a sign
+SHORT = 126              # words of a line that are counted without lambdas
 
 
 #: White space and ASCII signs: all but letters and digits there, one by one, as
@@ -94,13 +95,59 @@ def _simhash(counters: Column, n: Column) -> Column:
     return F.bitwise_not(rare)
 
 
+def _added(weights: list[list[str]], at: str = "{}") -> list[list[tuple[str, str]]]:
+    """One level of adders of bits: weights[i] names longs whose bits count 2^i each; three
+    become a sum and a carry, as two do where no lower carry can come.  Gives SQL and a
+    name for each.  The sum is SHORT at most, so that the last weight has no carry."""
+    out: list[list[str]] = [[] for _ in range(SHORT.bit_length())]
+    lowest = next(i for i, names in enumerate(weights) if len(names) > 1)
+    for i, names in enumerate(weights):
+        own = [at.format(x) for x in names]
+        while len(own) > 2 or len(own) == 2 and i == lowest:
+            a, b, *c = own[:3]
+            out[i].append(" ^ ".join(f"({x})" for x in (a, b, *c)))
+            if i + 1 < len(out):
+                out[i + 1].append(f"({a} & {b}) | ({c[0]} & ({a} | {b}))" if c else f"{a} & {b}")
+            own = own[3:]
+        out[i] += own
+    return [[(sql, f"p{i}_{n}") for n, sql in enumerate(w)] for i, w in enumerate(out) if w]
+
+
+def _over_half(planes: list[str], n: Column) -> Column:
+    """Bits whose counts, written in `planes` from the lowest digit on, are over n / 2."""
+    over = F.lit(0).cast("long")
+    for i, p in enumerate(planes):
+        digit = F.shiftright(F.shiftleft(F.shiftright(n, 1).cast("long"), 63 - i), 63)
+        over = F.col(p).bitwiseAND(F.bitwise_not(digit)).bitwiseOR(
+            F.bitwise_not(F.col(p).bitwiseXOR(digit)).bitwiseAND(over))
+    return over
+
+
+def _fingerprints(lines: DataFrame, key: list[str]) -> DataFrame:
+    """(*key, sim) from (*key, hashes).  Lambdas are interpreted, so that only lines of
+    over SHORT hashes are counted by them, the others by bits of longs."""
+    weights = _added([[str(i) for i in range(SHORT)]], "coalesce(get(hashes, {}), 0L)")
+    counted = lines.select(*key, F.size("hashes").alias("n"),
+                           F.expr(f"if(size(hashes) > {SHORT}, {_counters('hashes')}, null)").alias("c"),
+                           *[F.expr(sql).alias(name) for w in weights for sql, name in w])
+    level, told = 1, F.col("c")
+    by_lambdas = F.transform(F.array("c"), lambda c: _simhash(c, F.col("n")))[0]
+    while any(len(w) > 1 for w in weights):
+        weights, level = _added([[name for _, name in w] for w in weights]), level + 1
+        if level == 4:           # a lambda here parts the levels into two methods that the JVM compiles
+            told = F.when(F.col("n") > SHORT, by_lambdas).alias("c")
+        counted = counted.select(*key, "n", told, *[F.expr(sql).alias(name) for w in weights for sql, name in w])
+        told = F.col("c")
+    short = _over_half([w[0][1] for w in weights], F.col("n"))
+    return counted.select(*key, F.when(F.col("n") > SHORT, F.col("c")).otherwise(short).alias("sim"))
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, h, pos, lid, size, sim) of every line: size in characters, sim the
     SimHash of its distinct words."""
     key = ["doc_id", "h", "pos", "l1", "l2", "size"]
     hashes = _lines(docs).select(*key, F.expr("transform(array_distinct(split(norm, ' ')), w -> xxhash64(w))").alias("hashes"))
-    counted = hashes.select(*key, F.size("hashes").alias("n"), F.expr(_counters("hashes")).alias("c"))
-    return counted.select("doc_id", "h", "pos", _lid().alias("lid"), "size", _simhash(F.col("c"), F.col("n")).alias("sim"))
+    return _fingerprints(hashes, key).select("doc_id", "h", "pos", _lid().alias("lid"), "size", "sim")
 
 
 def _within(df: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
@@ -108,8 +155,8 @@ def _within(df: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
     FEW rows of a few dozen bytes, else left to Spark's own join."""
     few = F.broadcast(few) if few.count() <= FEW else few
     same = F.lit(True)
-    for c in on:
-        same = same & df[c].eqNullSafe(few[f"_{c}"])
+    for c in on:         # a block is one long and never null, which Spark looks up as it is
+        same = same & (df[c] == few[f"_{c}"] if c == "block" else df[c].eqNullSafe(few[f"_{c}"]))
     return df.join(few, same, "left_semi")
 
 
@@ -259,9 +306,9 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     very long texts and lines are taken whole, rows of equal id and text are told
     alike, and an empty table gives an empty result."""
     again = dropped_lines(docs, id_col, text_col, radius, pieces, similarity)
-    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.coalesce(
-        F.size(F.split(F.col(text_col), "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    own = own.withColumn("n_lines", F.greatest("n_lines", F.lit(0).cast("long")))
+    breaks = F.octet_length(text_col) - F.octet_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"),
+                      F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"))
     out = _joined(own, again, "doc_id", own["h"])
     return out.select("doc_id", "n_lines", (F.col("n_lines") - F.coalesce(F.size("dropped"), F.lit(0))).alias("n_kept"),
                       F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped"))

@@ -168,3 +168,14 @@ def test_counts_at_and_beside_half(llm_spark):
             over = 2 * r["c"] > r["n"]
             assert r[f"b{i}_1"] & (1 << 64) - 1 == over << bit
             assert r[f"b{i}_{1 << 32}"] & (1 << 64) - 1 == over << 32 + bit
+
+
+def test_short_lines_are_counted_without_lambdas(llm_spark):
+    """Lambdas are interpreted, word for word; up to SHORT words bits are added instead."""
+    sizes = [*range(1, 18), 31, 32, 63, 64, 65, 124, L.SHORT - 1, L.SHORT, L.SHORT + 1, 200, 300]
+    texts = [" ".join(f"w{n}x{i}" for i in range(n)) for n in sizes]
+    df = llm_spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["sim"] & (1 << 64) - 1 for r in L._occurrences(df).collect()}
+    assert got == {i: simhash(t) for i, t in enumerate(texts)}
+    many = llm_spark.createDataFrame([(n, [h] * n) for n in (1, 2, 63, L.SHORT) for h in (-1, 0, 1 << 62)], "k int, hashes array<long>")
+    assert [r["sim"] for r in L._fingerprints(many, ["k"]).orderBy("k", "sim").collect()] == [-1, 0, 1 << 62] * 4
