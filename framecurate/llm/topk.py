@@ -6,13 +6,15 @@ and the bin that holds a query's kth score becomes its next, finer range.  Once
 a range is one score wide, or holds as many scores as are still wanted, a last
 pass keeps the scores from there on, and equal scores go to the smaller id.
 
-Candidates and queries are packed into blocks of a bounded number of rows.  A
-cell is a block of queries with a group of candidate blocks; cells are dealt out
-by their number, so vectors that many rows share weigh on no task.  A task adds
-up its cells' counts and reports a query's bins from the top until they hold
-the scores still wanted, for lower ones cannot hold the kth: that drops
-nothing and bounds what leaves a task.  The last pass cuts ties per slice of
-candidates in the same way.
+Candidates and queries are packed into blocks of a bounded number of rows.
+Candidate blocks are dealt out once, by their ids, so vectors that many rows share
+weigh on no task, and stay where they are; a cell is one of them with a block of
+queries.  Queries are broadcast, so they go in waves of a bounded number of bytes,
+each through all rounds and past all candidates: the driver holds one wave,
+whatever the number of queries or candidates.  A task adds up its cells' counts
+and reports a query's bins from the top until they hold the scores still wanted,
+for lower ones cannot hold the kth: that drops nothing and bounds what leaves a
+task.  The last pass cuts ties per slice of candidates in the same way.
 """
 
 from __future__ import annotations
@@ -22,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framecurate.llm.common import staged
+from framecurate.llm.common import scratch, shuffle_partitions, staged
 from framecurate.session import discard
 
 LIMIT = (1 << 62) - 1
 BITS = 8                     # a round tells 2 ** BITS bins of a range apart
 BINS = 1 << BITS
 SLICE = 1024                 # candidates that are scored at once
+WAVE_BYTES = 16 << 20        # of queries and their states that are broadcast at once
+STATE_BYTES = 64             # that a query's state takes there
 
 _BLOCK = "dim int, ids binary, data binary, norm double"
 _QUERY = "qb int, dim int, ids binary, data binary, norms array<double>"
@@ -190,16 +194,20 @@ def _integers(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
 
 
-def _cells(blocks: DataFrame, queries: DataFrame, state: DataFrame, groups: int, n_blocks: int) -> DataFrame:
-    """Each block of queries that have a state with each candidate block of its
-    dimension, dealt out by cell."""
+def _asked(queries: DataFrame, state: DataFrame) -> DataFrame:
+    """Each block of queries that have a state, once, with their states."""
     packed = state.groupBy("qb", "dim").agg(F.sort_array(F.collect_list(
         F.struct("row", "low", "bits", "need"))).alias("state"))
-    left = (queries.select("qb", "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-            .join(packed, ["qb", "dim"]).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
-    right = (blocks.select("dim", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"), "g")
-             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-    return left.join(right, ["qb", "dim", "g"]).select("qb", "dim", "q_ids", "q_data", "state", "c_ids", "c_data")
+    return (queries.select("qb", "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+            .join(packed, ["qb", "dim"]))
+
+
+def _cells(blocks: DataFrame, queries: DataFrame, state: DataFrame) -> DataFrame:
+    """Each block of a wave's queries that have a state with each candidate block
+    of its dimension, in the candidates' tasks."""
+    return (blocks.select("dim", F.col("ids").alias("c_ids"), F.col("data").alias("c_data"))
+            .join(F.broadcast(_asked(queries, state)), "dim")
+            .select("qb", "dim", "q_ids", "q_data", "state", "c_ids", "c_data"))
 
 
 def _narrowed(state: DataFrame, counts: DataFrame) -> DataFrame:
@@ -222,8 +230,30 @@ def _narrowed(state: DataFrame, counts: DataFrame) -> DataFrame:
         (F.col("short") | (shift == 0) | (F.col("hit.n") == left)).alias("located"))
 
 
+def _top_of(blocks: DataFrame, queries: DataFrame, longest: float, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) of one wave of queries; longest is the
+    candidates' largest norm."""
+    reach = F.least(F.ceil(F.col("norm") * longest * (1 + 1e-9) + 1.0), F.lit(LIMIT))
+    state = (queries.select("qb", "dim", F.posexplode("norms").alias("row", "norm"))
+             .select("qb", "dim", "row", reach.cast("long").alias("reach"))
+             .select("qb", "dim", "row", (-F.col("reach")).alias("low"),
+                     (F.length(F.bin("reach")) + 1).alias("bits"), F.lit(k).cast("long").alias("need")))
+    open_rows = staged(state.withColumn("located", F.lit(False)), "topk-ranges")
+    while open_rows.where("NOT located").limit(1).count():
+        now = open_rows.where("NOT located").drop("located")
+        counts = _cells(blocks, queries, now).mapInArrow(_count, _COUNTS)
+        after = staged(_narrowed(now, counts).unionByName(open_rows.where("located")), "topk-ranges")
+        discard(open_rows)
+        open_rows = after
+    kept = _cells(blocks, queries, open_rows.drop("located")).mapInArrow(_keep, _KEPT)
+    order = Window.partitionBy("query_id", "qb", "dim", "row").orderBy(F.desc("score"), "vec_id")
+    return (kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-          scale: int = 256, block_rows: int = 4096, block_queries: int = 1024) -> DataFrame:
+          scale: int = 256, block_rows: int = 4096, block_queries: int = 1024,
+          wave_bytes: int = WAVE_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): of every row for which is_query holds,
     the k rows with the highest inner products, ties to the smaller id.
 
@@ -241,28 +271,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
                            F.coalesce(is_query, F.lit(False)).alias("is_query"))
             .where(F.col("id").isNotNull() & F.col("v0").isNotNull() & ~odd)
             .select("id", _integers(F.col("v0"), scale).alias("v"), "is_query"))
-    blocks = staged(rows.select("id", "v").mapInArrow(_pack(block_rows), _BLOCK), "topk-candidates")
+    spark = vectors.sparkSession
+    # dealt out: however the rows lie in files, every task gets some of the candidates
+    blocks = staged(rows.select("id", "v").mapInArrow(_pack(block_rows), _BLOCK)
+                    .repartition(shuffle_partitions(spark), "ids"), "topk-candidates")
     n_queries = rows.where("is_query").count()
     n_blocks = max(1, -(-n_queries // block_queries))
     queries = staged(rows.where("is_query").select("id", "v", F.expr(f"cast(pmod(xxhash64(id), {n_blocks}) as int)").alias("qb"))
                      .groupBy("qb").applyInArrow(_pack_queries, _QUERY), "topk-queries")
-    known = blocks.agg(F.count("*").alias("n"), F.max("norm").alias("norm")).first()
-    groups = max(1, known["n"])
-    blocks = blocks.withColumn("g", F.expr(f"cast(pmod(xxhash64(ids), {groups}) as int)"))
-
-    reach = F.least(F.ceil(F.col("norm") * float(known["norm"] or 0.0) * (1 + 1e-9) + 1.0), F.lit(LIMIT))
-    state = (queries.select("qb", "dim", F.posexplode("norms").alias("row", "norm"))
-             .select("qb", "dim", "row", reach.cast("long").alias("reach"))
-             .select("qb", "dim", "row", (-F.col("reach")).alias("low"),
-                     (F.length(F.bin("reach")) + 1).alias("bits"), F.lit(k).cast("long").alias("need")))
-    open_rows = staged(state.withColumn("located", F.lit(False)), "topk-ranges")
-    while open_rows.where("NOT located").limit(1).count():
-        now = open_rows.where("NOT located").drop("located")
-        counts = _cells(blocks, queries, now, groups, n_blocks).mapInArrow(_count, _COUNTS)
-        after = staged(_narrowed(now, counts).unionByName(open_rows.where("located")), "topk-ranges")
-        discard(open_rows)
-        open_rows = after
-    kept = _cells(blocks, queries, open_rows.drop("located"), groups, n_blocks).mapInArrow(_keep, _KEPT)
-    order = Window.partitionBy("query_id", "qb", "dim", "row").orderBy(F.desc("score"), "vec_id")
-    return (kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    longest = blocks.agg(F.max("norm")).first()[0] or 0.0
+    sent = queries.agg(F.sum(F.length("data") + F.length("ids") + F.size("norms") * STATE_BYTES)).first()[0] or 0
+    waves = min(n_blocks, -(-sent // wave_bytes)) or 1
+    if waves == 1:
+        return _top_of(blocks, queries, longest, k)
+    path = scratch(spark, "topk-found")
+    for wave in range(waves):
+        found = _top_of(blocks, queries.where(F.col("qb") % waves == wave), longest, k)
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)

@@ -37,6 +37,25 @@ def test_equals_brute_force(llm_spark):
     assert run(llm_spark, rows, block_rows=7, block_queries=4) == want
 
 
+def test_queries_go_in_waves_that_candidates_do_not_multiply(llm_spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(6)]) for i in range(150)] + [(5, [1.0, 2.0]), (151, [0.5, 0.5])]
+    want, seen = brute(rows, 5, lambda i: i % 5 == 0), []
+    asked = T._asked
+
+    def told(queries, state):
+        got = asked(queries, state)
+        seen.append((got.count(), got.select("qb").distinct().count(), got.select("qb", "dim").distinct().count()))
+        return got
+
+    monkeypatch.setattr(T, "_asked", told)
+    assert run(llm_spark, rows, block_rows=3, block_queries=4) == want      # some 50 candidate blocks, one wave
+    assert max(n for n, _, _ in seen) > 4 and all(n == blocks for n, _, blocks in seen)
+    seen.clear()
+    assert run(llm_spark, rows, block_rows=3, block_queries=4, wave_bytes=1) == want
+    assert {blocks for _, blocks, _ in seen} == {1}                         # a block of queries a wave
+
+
 def test_odd_rows(llm_spark):
     rng = random.Random(4)
     rows = [(i, [rng.choice((-1.0, 0.0, 1.0)) for _ in range(3)]) for i in range(-10, 20)]       # many ties
